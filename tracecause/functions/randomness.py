@@ -40,8 +40,13 @@ def uniform(row_id: Column, label, replicate=0, seed=0, method: str = "md5") ->
 
 def uniform_values(n: int, label: str, replicate=0, seed=0) -> np.ndarray:
     """The md5 numbers of :func:`uniform` for ids ``0..n-1``; for the bounded draws a model needs."""
-    heads = (hashlib.md5(f"{i}:{label}:{replicate}:{seed}".encode()).hexdigest()[:8] for i in range(n))
-    return np.fromiter((int(h, 16) for h in heads), dtype=np.float64, count=n) / TWO_POW_32
+    return keyed_uniform_values(range(n), label, replicate, seed)
+
+
+def keyed_uniform_values(keys, label: str, replicate=0, seed=0) -> np.ndarray:
+    """The md5 numbers of :func:`uniform` for given keys."""
+    heads = (hashlib.md5(f"{k}:{label}:{replicate}:{seed}".encode()).hexdigest()[:8] for k in keys)
+    return np.fromiter((int(h, 16) for h in heads), dtype=np.float64, count=len(keys)) / TWO_POW_32
 
 
 def normal_from(u1: Column, u2: Column) -> Column:
@@ -70,6 +75,10 @@ def poisson_weight(u: Column) -> Column:
     return chain.otherwise(len(poisson_thresholds())).cast("int")
 
 
+def poisson_values(u: np.ndarray) -> np.ndarray:
+    return np.searchsorted(poisson_thresholds(), u, side="right")
+
+
 def double_array(values) -> Column:
     """An array literal. Written as text and folded once by the optimizer, so a bounded pool of some
     thousand numbers costs one expression and not one per number."""

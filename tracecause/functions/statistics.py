@@ -57,16 +57,23 @@ def normal_edges(bins: int) -> list[float]:
     return [round(normal_quantile_value(i / bins), 12) for i in range(1, bins)]
 
 
-def normal_bin(x: Column, mean, sd, bins: int = 16) -> Column:
+def normal_bin(x: Column, mean: float, sd: float, bins: int = 16) -> Column:
     """Bin 0..bins-1 of ``x`` among the equally likely parts of a normal with the given moments.
 
-    The edges need two moments and no sort, so binning is one map over the data whatever its size.
+    The edges need two moments and no sort, so binning is one map over the data whatever its size. ``x``
+    should be a plain column: it is compared several times.
     """
-    z = (x - mean) / sd
-    chain = F.lit(0)
-    for edge in normal_edges(bins):
-        chain = chain + (z >= F.lit(edge)).cast("int")
-    return F.when(F.lit(sd) > 0 if not isinstance(sd, Column) else sd > 0, chain).otherwise(0)
+    if not sd > 0:
+        return F.lit(0)
+    edges = [mean + sd * e for e in normal_edges(bins)]
+
+    def split(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(x < F.lit(edges[mid]), split(low, mid)).otherwise(split(mid + 1, high))
+
+    return split(0, bins - 1)
 
 
 def significant(x: Column, digits: int = 9) -> Column:

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from tracecause.functions.randomness import pick, uniform
 from tracecause.functions.statistics import normal_bin
-from tracecause.operators.mechanisms import CausalModel
+from tracecause.operators.evaluation import KL_BINS, kl_of_counts
+from tracecause.operators.mechanisms import POOL_ROWS, CausalModel, pool_rows
 from tracecause.operators.shapley import coalition_plan
 
-KL_BINS = 16
-
 
 def arrow_strength(model: CausalModel, df: DataFrame, target: str, measure: str = "variance",
                    key: Column | None = None, seed: int = 0) -> DataFrame:
@@ -64,18 +63,19 @@ def _variance_strength(model: CausalModel, df: DataFrame, target: str) -> DataFr
 
 def _kl_strength(model: CausalModel, df: DataFrame, target: str, key: Column, seed: int) -> DataFrame:
     m = model[target]
-    y = F.col(target).cast("double")
     mean, sd = m.params["mean"], m.params["total_var"] ** 0.5
     seen = {p: F.col(p).cast("double") for p in m.parents}
-    cells = []
-    for parent in m.parents:
-        pool = model[parent].params.get("marginal") or None
-        if pool is None:
-            drawn = pick(F.col(f"__pool_{parent}"), uniform(key, f"{parent}->{target}", 0, seed))
-        cut = y - m.predict_column(seen) + m.predict_column({**seen, parent: drawn})
-        cells.append(F.struct(F.lit(parent).alias("parent"), normal_bin(y, mean, sd, KL_BINS).alias("seen"),
-                              normal_bin(cut, mean, sd, KL_BINS).alias("cut")))
-    return df, cells
+    pool = pool_rows(df, key, m.parents, POOL_ROWS, seed)
+    swing = [m.predict_column({**seen, p: pick(pool[:, i], uniform(key, f"{p}->{target}", 0, seed))})
+             - m.predict_column(seen) for i, p in enumerate(m.parents)]
+    y = F.col(target).cast("double")
+    cut = df.select(y.alias("__y"), *[(y + s).alias(f"__cut{i}") for i, s in enumerate(swing)])
+    cells = [F.struct(F.lit(p).alias("parent"), F.lit(target).alias("child"), F.lit(side).alias("side"),
+                      normal_bin(F.col(c), mean, sd, KL_BINS).alias("bin"))
+             for i, p in enumerate(m.parents) for side, c in (("a", "__y"), ("b", f"__cut{i}"))]
+    counts = (cut.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+              .groupBy("parent", "child", "side", "bin").agg(F.count(F.lit(1)).alias("n")))
+    return kl_of_counts(counts, ["parent", "child"], KL_BINS, "strength")
 
 
 def intrinsic(spark: SparkSession, model: CausalModel, target: str, draws: int = 500, outer: int = 200,

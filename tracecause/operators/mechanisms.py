@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracecause.functions.randomness import (double_array, normal_from, normal_values, pick, pick_values, uniform,
+from tracecause.functions.randomness import (normal_from, normal_values, pick, pick_values, uniform,
                                              uniform_values)
 from tracecause.operators.frames import complete
 from tracecause.operators.graph import CausalGraph
@@ -68,15 +68,16 @@ class Mechanism:
         out = self.predict(values)
         return out if isinstance(out, Column) else F.lit(float(out))
 
-    def noise_column(self, row_id: Column, replicate=0, seed=0, method="md5", pool: Column | None = None) -> Column:
-        """A noise draw for a row."""
+    def noise_column(self, row_id: Column, replicate=0, seed=0, method="md5", pool=None) -> Column:
+        """A noise draw for a row; ``pool`` may replace the mechanism's own by a function of a uniform."""
         if self.kind == "halfnorm":
             z = normal_from(uniform(row_id, f"{self.node}#1", replicate, seed, method),
                             uniform(row_id, f"{self.node}#2", replicate, seed, method))
             return F.lit(self.params["loc"]) + F.lit(self.params["scale"]) * F.abs(z)
         if self.params.get("noise_var", 0.0) == 0.0 and not self.is_root:
             return F.lit(0.0)
-        return pick(self.noise if pool is None else pool, uniform(row_id, self.node, replicate, seed, method))
+        u = uniform(row_id, self.node, replicate, seed, method)
+        return pick(self.noise, u) if pool is None else pool(u)
 
     def noise_values(self, n: int, replicate=0, seed=0) -> np.ndarray:
         """The first ``n`` draws of :meth:`noise_column` with md5, for the bounded draws of a query."""
@@ -339,8 +340,8 @@ def default_kinds(graph: CausalGraph, overrides: Mapping[str, str] | None = None
     return kinds
 
 
-def pool_rows(df: DataFrame, key: Column, nodes, size: int = POOL_ROWS, seed: int = 0) -> np.ndarray:
-    """Whole rows with the smallest key hashes, a uniform sample of at most ``size`` rows.
+def keyed_pool(df: DataFrame, key: Column, nodes, size: int = POOL_ROWS, seed: int = 0) -> tuple[list, np.ndarray]:
+    """Keys and whole rows with the smallest key hashes, a uniform sample of at most ``size`` rows.
 
     Drawing from an empirical distribution is sampling by definition; the bound limits how rare a noise
     value the model can know. Each task keeps its own ``size`` best rows, so nothing larger moves.
@@ -350,7 +351,12 @@ def pool_rows(df: DataFrame, key: Column, nodes, size: int = POOL_ROWS, seed: in
     rows = (df.select(F.md5(F.concat_ws(":", key.cast("string"), F.lit("pool"), F.lit(str(seed))).cast("binary"))
                       .alias("__h"), key.cast("string").alias("__k"), *[F.col(n).cast("double") for n in nodes])
             .orderBy("__h", "__k").limit(size).collect())
-    return np.array([[r[n] for n in nodes] for r in rows], dtype=float).reshape(len(rows), len(nodes))
+    return [r["__k"] for r in rows], np.array([[r[n] for n in nodes] for r in rows],
+                                              dtype=float).reshape(len(rows), len(nodes))
+
+
+def pool_rows(df: DataFrame, key: Column, nodes, size: int = POOL_ROWS, seed: int = 0) -> np.ndarray:
+    return keyed_pool(df, key, nodes, size, seed)[1]
 
 
 def attach_noise(mechanism: Mechanism, pool: Mapping[str, np.ndarray]) -> Mechanism:
@@ -429,7 +435,3 @@ def fit_by(df: DataFrame, graph: CausalGraph, by: list[str], scale: Scale, kinds
     groups = moments(df.filter(complete(nodes)), scale, needed_products(designs), by, weight)
     return {g: CausalModel(graph, {n: solve(m, n, kinds[n], graph.parents(n)) for n in nodes}, int(m.n))
             for g, m in groups.items()}
-
-
-def mechanism_noise_array(m: Mechanism) -> Column:
-    return double_array(m.noise)

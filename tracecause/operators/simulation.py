@@ -25,7 +25,7 @@ def draw(spark: SparkSession, model: CausalModel, n: int, replicate=0, seed: int
 
 def intervene(model: CausalModel, df: DataFrame, key: Column, interventions: Mapping[str, Callable[[Column], Column]],
               mode: str = "fresh", replicate=0, seed: int = 0, method: str = "md5",
-              pools: Mapping[str, Column] | None = None) -> DataFrame:
+              pools: Mapping[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """Observed rows under soft interventions; an intervention is a function from Column to Column.
 
     Nodes that are neither touched nor downstream keep their values. A touched root becomes
