@@ -11,7 +11,7 @@ scored: the two ends come from the sorted reference draws.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracecause.functions.randomness import double_array
+from tracecause.operators.frames import complete
 from tracecause.operators.mechanisms import CausalModel, draw_values
 from tracecause.operators.shapley import CoalitionPlan, coalition_plan, unpivot_players
 
@@ -91,7 +92,7 @@ def score_rows(model: CausalModel, df: DataFrame, target: str, keep=(), draws: i
     """Quantile score of every row: a map over the data, no join and no shuffle."""
     ref = reference_draws(model, target, draws, 0, seed)
     y = F.col(target).cast("double")
-    tagged = with_tail(df.dropna(subset=[target]), y, ref)
+    tagged = with_tail(df.filter(complete([target])), y, ref)
     return tagged.select(*keep, y.alias("value"), quantile_score(F.col("__tail"), ref).alias("score"))
 
 
@@ -114,80 +115,59 @@ def z_scores(df: DataFrame, target: str, keep=(), mean: float | None = None, sd:
 # --- attribution ---------------------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
-class LinearCase:
-    """What a task needs to attribute rows of an all-linear model: some arrays of set size."""
-
-    nodes: tuple[str, ...]
-    constant: float
-    effects: np.ndarray      # node
-    weighted: np.ndarray     # draw x node, effect times noise draw
-    reference: np.ndarray    # sorted draws of the target
-    tie: float
-    masks: tuple[int, ...]
-    factors: np.ndarray      # coalition x node
-
-    def scores(self, y: np.ndarray, noise: np.ndarray, sums: np.ndarray) -> np.ndarray:
-        """Shares per row. ``sums`` holds each coalition's summed draws, sorted."""
-        m = len(self.reference)
-        below = np.searchsorted(self.reference, y - self.tie, side="left")
-        upto = np.searchsorted(self.reference, y + self.tie, side="right")
-        tail = np.minimum(m - below, upto)
-        always = tail >= m
-        low = self.reference[np.minimum(tail, m - 1)] - self.tie
-        high = self.reference[np.maximum(m - tail - 1, 0)] + self.tie
-        fixed = noise * self.effects
-        out = np.zeros((len(y), len(self.nodes)))
-        draws = sums.shape[1]
-        for s, mask in enumerate(self.masks):
-            if mask == 0:
-                continue
-            kept = [j for j in range(len(self.nodes)) if not mask >> j & 1]
-            base = self.constant + fixed[:, kept].sum(axis=1)
-            hits = (np.searchsorted(sums[s], low - base, side="left")
-                    + draws - np.searchsorted(sums[s], high - base, side="right"))
-            q = np.where(always, 1.0, np.maximum(hits / draws, 1.0 / (draws + 1)))
-            out -= np.log(np.minimum(q, 1.0))[:, None] * self.factors[s]
-        return out
-
-    def coalition_sums(self) -> np.ndarray:
-        bits = np.array([[mask >> j & 1 for j in range(len(self.nodes))] for mask in self.masks], dtype=float)
-        return np.sort(bits @ self.weighted.T, axis=1)
-
-
 def linear_case(model: CausalModel, target: str, ref: Reference, plan: CoalitionPlan, draws: int, replicate=0,
-                seed: int = 0) -> LinearCase:
+                seed: int = 0) -> dict:
+    """What a task needs to attribute rows of an all-linear model: plain arrays of set size."""
     nodes = plan.players
     constant, effects = model.total_effects(target)
     noise, _ = draw_values(model, nodes, draws, replicate, seed)
-    w = np.array([effects[n] for n in nodes])
-    drawn = np.column_stack([np.broadcast_to(noise[n], (draws,)) for n in nodes]) * w
-    return LinearCase(nodes, constant, w, drawn, ref.values, ref.tie, plan.masks, plan.factors)
+    weight = np.array([effects[n] for n in nodes])
+    return {"constant": constant, "effects": weight, "reference": ref.values, "tie": ref.tie,
+            "weighted": np.column_stack([np.broadcast_to(noise[n], (draws,)) for n in nodes]) * weight,
+            "inside": np.array([[mask >> j & 1 for j in range(len(nodes))] for mask in plan.masks], dtype=bool),
+            "factors": plan.factors}
 
 
-def linear_scores(df: DataFrame, target: str, cases: Mapping[int, LinearCase], keep, nodes,
+def linear_scores(df: DataFrame, target: str, cases: Mapping[int, dict], keep, nodes,
                   replicate: str | None = None) -> DataFrame:
     """Attribute rows with binary searches, Arrow batch by Arrow batch; the rows never move.
 
-    ``cases`` holds one model, or one per value of the ``replicate`` column.
+    ``cases`` holds one model, or one per value of the ``replicate`` column. The draws of a coalition are
+    summed and sorted once per task; a row then costs two searches per coalition, not one test per draw.
     """
     noise_names = [f"{n}__noise" for n in nodes]
-    schema = T.StructType([df.schema[k] for k in keep] + [T.StructField(f"__p{j}", T.DoubleType())
-                                                          for j in range(len(nodes))])
+    share_names = [f"__p{j}" for j in range(len(nodes))]
     keep = list(keep)
-
-    def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, np.ndarray] = {}
+    schema = T.StructType([df.schema[k] for k in keep] + [T.StructField(n, T.DoubleType()) for n in share_names])
+
+    def attribute(batches):  # self-contained: workers need not import this package
+        def shares(case, sums, y, noise):
+            reference, tie, inside = case["reference"], case["tie"], case["inside"]
+            m, draws = len(reference), sums.shape[1]
+            tail = np.minimum(m - np.searchsorted(reference, y - tie, side="left"),
+                              np.searchsorted(reference, y + tie, side="right"))
+            low = reference[np.minimum(tail, m - 1)] - tie
+            high = reference[np.maximum(m - tail - 1, 0)] + tie
+            fixed = noise * case["effects"]
+            out = np.zeros((len(y), noise.shape[1]))
+            for s in range(len(inside)):
+                if not inside[s].any():
+                    continue  # nothing random: as anomalous as observed, value 0
+                base = case["constant"] + fixed[:, ~inside[s]].sum(axis=1)
+                hits = (np.searchsorted(sums[s], low - base, side="left")
+                        + draws - np.searchsorted(sums[s], high - base, side="right"))
+                q = np.where(tail >= m, 1.0, np.clip(hits / draws, 1.0 / (draws + 1), 1.0))
+                out -= np.log(q)[:, None] * case["factors"][s]
+            return out
+
+        sums = {}
         for batch in batches:
-            parts = [(0, batch)] if replicate is None else batch.groupby(replicate, sort=False)
-            for r, part in parts:
+            for r, part in ([(0, batch)] if replicate is None else batch.groupby(replicate, sort=False)):
+                case = cases[r]
                 if r not in sums:
-                    sums[r] = cases[r].coalition_sums()
-                scores = cases[r].scores(part["__y"].to_numpy(), part[noise_names].to_numpy(), sums[r])
-                out = part[keep].copy()
-                for j in range(len(nodes)):
-                    out[f"__p{j}"] = scores[:, j]
-                yield out
+                    sums[r] = np.sort(case["inside"].astype(float) @ case["weighted"].T, axis=1)
+                found = shares(case, sums[r], part["__y"].to_numpy(), part[noise_names].to_numpy())
+                yield pd.concat([part[keep].reset_index(drop=True), pd.DataFrame(found, columns=share_names)], axis=1)
 
     return df.select(*keep, F.col(target).alias("__y"), *noise_names).mapInPandas(attribute, schema)
 
@@ -233,7 +213,7 @@ def attribute_wide(model: CausalModel, rows: DataFrame, target: str, keep, draws
     keep = [keep] if isinstance(keep, str) else list(keep)
     ref = reference_draws(model, target, draws, replicate, seed)
     plan = coalition_plan(nodes, orderings, seed)
-    clean = rows.dropna(subset=list(nodes)).select(*keep, *[F.col(n).cast("double").alias(n) for n in nodes
+    clean = rows.filter(complete(nodes)).select(*keep, *[F.col(n).cast("double").alias(n) for n in nodes
                                                             if n not in keep])
     noisy = model.with_noise(clean, nodes)
     if linear is None:

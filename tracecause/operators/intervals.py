@@ -208,7 +208,7 @@ def anomaly_replicates(train: DataFrame, rows: DataFrame, graph: CausalGraph, ta
     plan = coalition_plan(nodes, seed=seed)
     cases = {r: linear_case(m, target, reference_draws(m, target, draws, r, seed), plan, draws, r, seed)
              for r, m in models.items()}
-    copies = rows.dropna(subset=list(nodes)).select(
+    copies = rows.filter(complete(nodes)).select(
         *keep, *[F.col(n).cast("double").alias(n) for n in nodes if n not in keep],
         F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
     noisy = indexed_model([models[r] for r in range(replicates)], nodes, F.col("replicate")).with_noise(copies, nodes)

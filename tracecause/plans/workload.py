@@ -43,3 +43,20 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.sum("gross").alias("gross"), F.sum("disc").alias("disc")))
     return days.select("d", F.month("d").isin(11, 12).alias("peak"), "n_orders", "n_lines", "qty", "gross", "disc",
                        (F.col("gross") - F.col("disc")).alias("net"))
+
+
+def supply_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Who an order depends on: region to nation to customer and supplier, and both to the order."""
+    def name(kind: str, column: str):
+        return F.concat(F.lit(kind + ":"), F.col(column).cast("string"))
+
+    def edges(source: str, parent, child) -> DataFrame:
+        return table(spark, sf_dir, source).select(parent.alias("parent"), child.alias("child")).dropna()
+
+    stacked = edges("nation", name("region", "n_regionkey"), name("nation", "n_nationkey"))
+    for more in (edges("customer", name("nation", "c_nationkey"), name("customer", "c_custkey")),
+                 edges("supplier", name("nation", "s_nationkey"), name("supplier", "s_suppkey")),
+                 edges("orders", name("customer", "o_custkey"), name("order", "o_orderkey")),
+                 edges("lineitem", name("supplier", "l_suppkey"), name("order", "l_orderkey"))):
+        stacked = stacked.unionByName(more)
+    return stacked.distinct()

@@ -28,6 +28,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder and go on from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to the shared folder once and go on from the file.
+
+    A lost executor costs a read, and the next join knows how large the rows are.
+    """
+    path = fresh_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
