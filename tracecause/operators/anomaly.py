@@ -133,7 +133,8 @@ def linear_scores(df: DataFrame, target: str, cases: Mapping[int, dict], keep, n
     """Attribute rows with binary searches, Arrow batch by Arrow batch; the rows never move.
 
     ``cases`` holds one model, or one per value of the ``replicate`` column. The draws of a coalition are
-    summed and sorted once per task; a row then costs two searches per coalition, not one test per draw.
+    summed and sorted once per task (and replicate: rows are sorted by it inside their partition, so one
+    set of sums is held at a time); a row then costs two searches per coalition, not one test per draw.
     """
     noise_names = [f"{n}__noise" for n in nodes]
     share_names = [f"__p{j}" for j in range(len(nodes))]
@@ -160,16 +161,19 @@ def linear_scores(df: DataFrame, target: str, cases: Mapping[int, dict], keep, n
                 out -= np.log(q)[:, None] * case["factors"][s]
             return out
 
-        sums = {}
+        current, sums = None, None
         for batch in batches:
             for r, part in ([(0, batch)] if replicate is None else batch.groupby(replicate, sort=False)):
                 case = cases[r]
-                if r not in sums:
-                    sums[r] = np.sort(case["inside"].astype(float) @ case["weighted"].T, axis=1)
-                found = shares(case, sums[r], part["__y"].to_numpy(), part[noise_names].to_numpy())
+                if r != current:
+                    current, sums = r, np.sort(case["inside"].astype(float) @ case["weighted"].T, axis=1)
+                found = shares(case, sums, part["__y"].to_numpy(), part[noise_names].to_numpy())
                 yield pd.concat([part[keep].reset_index(drop=True), pd.DataFrame(found, columns=share_names)], axis=1)
 
-    return df.select(*keep, F.col(target).alias("__y"), *noise_names).mapInPandas(attribute, schema)
+    slim = df.select(*keep, F.col(target).alias("__y"), *noise_names)
+    if replicate is not None:
+        slim = slim.sortWithinPartitions(replicate)
+    return slim.mapInPandas(attribute, schema)
 
 
 def _general_scores(df: DataFrame, model: CausalModel, target: str, ref: Reference, plan: CoalitionPlan, keep,

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from tracecause.functions.statistics import f_tail_value, normal_bin
 from tracecause.operators.frames import complete
 from tracecause.operators.graph import CausalGraph
-from tracecause.operators.mechanisms import (POOL_ROWS, CausalModel, attach_noise, default_kinds, design_terms, draw_values,
-                                             halfnorm_params, moments, needed_products, pool_rows, profile,
-                                             solve, solve_standard, squared_error)
+from tracecause.operators.mechanisms import (POOL_ROWS, CausalModel, attach_noise, collect_moments, default_kinds,
+                                             design_terms, draw_values, halfnorm_params, pool_rows, solve,
+                                             solve_standard, squared_error)
 from tracecause.operators.shapley import CoalitionPlan, coalition_plan
 
 Summary = Callable[[Column], Column]
@@ -87,10 +87,9 @@ def fit_periods(old: DataFrame, new: DataFrame, graph: CausalGraph, target: str,
         tagged.append(df.select(F.lit(side).alias("side"), *extra,
                                 *[F.col(n).cast("double").alias(n) for n in nodes]))
     both = tagged[0].unionByName(tagged[1])
-    scale, _, _ = profile(both, nodes)
     rows = both.filter(complete(nodes))
     designs = [(n, design_terms(kinds[n], graph.parents(n))) for n in nodes]
-    groups = moments(rows, scale, needed_products(designs), ["side"])
+    groups, _, _ = collect_moments(both, nodes, designs, ["side"])
     models = []
     for side in (0, 1):
         if (side,) not in groups:

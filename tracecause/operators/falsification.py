@@ -16,18 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from tracecause.functions.randomness import uniform_values
 from tracecause.functions.statistics import normal_tail_value
 from tracecause.operators.graph import CausalGraph
-from tracecause.operators.mechanisms import moments, needed_products, profile
-from tracecause.operators.frames import complete
+from tracecause.operators.mechanisms import collect_moments
 
 CONSTANT = 1e-9  # variance left after conditioning below which nothing is left to correlate
 
 
 def correlation_matrix(df: DataFrame, nodes) -> tuple[np.ndarray, float]:
-    """Correlations of complete rows and their number; two scans, one row of sums each."""
+    """Correlations of complete rows and their number, from one scan."""
     nodes = list(nodes)
-    scale, n, _ = profile(df, nodes)
-    products = needed_products([(nodes[0], tuple((c,) for c in nodes))])
-    m = moments(df.filter(complete(nodes)), scale, products)[()]
+    groups, n, _ = collect_moments(df, nodes, [(nodes[0], tuple((c,) for c in nodes))])
+    m = groups[()]
     cov = np.array([[m.cov(a, b) for b in nodes] for a in nodes])
     sd = np.sqrt(np.maximum(np.diag(cov), 0.0))
     safe = np.where(sd > 0, sd, 1.0)

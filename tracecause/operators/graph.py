@@ -143,7 +143,7 @@ def ancestor_table(edges: DataFrame, targets: DataFrame) -> DataFrame:
     One frontier step per level of the graph. A node enters the frontier once, so the work is one
     visit per edge however many paths there are, and a cycle ends by itself.
     """
-    edges = edges.persist()
+    edges = cut_lineage(edges)
     reached = None
     frontier = cut_lineage(targets.select("node").distinct())
     seen = frontier
@@ -159,7 +159,6 @@ def ancestor_table(edges: DataFrame, targets: DataFrame) -> DataFrame:
         seen = seen.union(frontier)
         found = frontier.withColumn("hops", F.lit(hops))
         reached = found if reached is None else reached.union(found)
-    edges.unpersist()
     if reached is None:
         return frontier.withColumn("hops", F.lit(0))
     return reached
@@ -168,20 +167,26 @@ def ancestor_table(edges: DataFrame, targets: DataFrame) -> DataFrame:
 def level_table(edges: DataFrame) -> DataFrame:
     """Topological level of every node: the longest path from a root.
 
-    Peels one level per round; each edge is dropped in the round after its parent's.
+    Each round takes the nodes with no open incoming edge and closes the edges that leave them. A round
+    reads the edges and writes the nodes that are left; edges are never rewritten.
     """
-    left = cut_lineage(edges)
-    nodes = cut_lineage(node_table(left))
+    edges = cut_lineage(edges)
+    degree = edges.groupBy(F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("open"))
+    left = cut_lineage(node_table(edges).join(degree, "node", "left").select("node", F.coalesce("open", F.lit(0))
+                                                                             .alias("open")))
     done = None
     level = 0
-    while not nodes.isEmpty():
-        heads = nodes.join(left.select(F.col("child").alias("node")), "node", "left_anti")
-        peeled = cut_lineage(heads)
-        if peeled.isEmpty():
+    while not left.isEmpty():
+        ready = left.filter(F.col("open") == 0).select("node")
+        if ready.isEmpty():
             raise ValueError("the graph has a cycle")
-        rows = peeled.withColumn("level", F.lit(level))
+        rows = ready.withColumn("level", F.lit(level))
         done = rows if done is None else done.union(rows)
-        nodes = cut_lineage(nodes.join(peeled, "node", "left_anti"))
-        left = cut_lineage(left.join(peeled.withColumnRenamed("node", "parent"), "parent", "left_anti"))
+        closed = (edges.join(ready.withColumnRenamed("node", "parent"), "parent", "left_semi")
+                  .groupBy(F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("closed")))
+        left = cut_lineage(left.filter(F.col("open") > 0).join(closed, "node", "left")
+                           .select("node", (F.col("open") - F.coalesce("closed", F.lit(0))).alias("open")))
         level += 1
+    if done is None:
+        return left.select("node", F.lit(0).alias("level"))
     return done

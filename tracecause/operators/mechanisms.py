@@ -211,13 +211,70 @@ def profile(df: DataFrame, nodes) -> tuple[Scale, int, int]:
                  *[F.stddev_samp(x[n]).alias(f"{n}__s") for n in nodes]).first()
     if row["__ok"] < 2:
         raise ValueError("fewer than two complete rows: nothing to fit")
-    sd = {}
-    for n in nodes:
-        s, size = row[f"{n}__s"], abs(row[f"{n}__m"])
-        sd[n] = s if s and s > 1e-12 * max(size, 1e-300) else 1.0
+    sd = {n: safe_scale(row[f"{n}__s"], row[f"{n}__m"]) for n in nodes}
     return Scale({n: row[f"{n}__m"] for n in nodes}, sd), row["__ok"], row["__all"] - row["__ok"]
 
 
+def linear_moments(df: DataFrame, nodes, products: list[Term], by: list[str] | None = None
+                   ) -> tuple[dict[tuple, Moments], int, int]:
+    """``(moments per group, complete rows, dropped rows)`` in one pass, for products of at most two columns.
+
+    Means and covariances merge without losing digits, so no earlier pass has to find where to shift; the
+    sums follow from them. Rows with a null or NaN are counted but not used.
+    """
+    by = by or []
+    ok = complete(nodes)
+    x = df.select(*by, ok.alias("__ok"), *[F.when(ok, F.col(n).cast("double")).alias(f"x{i}")
+                                           for i, n in enumerate(nodes)])
+    at = {n: i for i, n in enumerate(nodes)}
+    pairs = sorted({tuple(sorted((at[a], at[b]))) for a, b in (p for p in products if len(p) == 2)}
+                   | {(i, i) for i in at.values()})
+    aggs = [F.count(F.lit(1)).alias("__all"), F.count_if("__ok").alias("__n")]
+    aggs += [F.avg(f"x{i}").alias(f"m{i}") for i in at.values()]
+    aggs += [F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}_{j}") for i, j in pairs]
+    rows = (x.groupBy(*by) if by else x.groupBy()).agg(*aggs).collect()
+    used = [r for r in rows if r["__n"] > 0]
+    n_ok = sum(r["__n"] for r in used)
+    if n_ok < 2:
+        raise ValueError("fewer than two complete rows: nothing to fit")
+    mean = {n: sum(r["__n"] * r[f"m{i}"] for r in used) / n_ok for n, i in at.items()}
+    sd = {}
+    for n, i in at.items():
+        var = sum(r["__n"] * (r[f"c{i}_{i}"] + (r[f"m{i}"] - mean[n]) ** 2) for r in used) / n_ok
+        sd[n] = safe_scale(math.sqrt(max(var, 0.0)), mean[n])
+    scale = Scale(mean, sd)
+    out = {}
+    for r in used:
+        n = float(r["__n"])
+        shift = {c: (r[f"m{i}"] - mean[c]) / sd[c] for c, i in at.items()}
+        sums: dict[Term, float] = {}
+        for p in products:
+            if len(p) == 0:
+                sums[p] = n
+            elif len(p) == 1:
+                sums[p] = n * shift[p[0]]
+            else:
+                i, j = sorted((at[p[0]], at[p[1]]))
+                sums[p] = n * (r[f"c{i}_{j}"] / (sd[p[0]] * sd[p[1]]) + shift[p[0]] * shift[p[1]])
+        out[tuple(r[c] for c in by)] = Moments(scale, sums)
+    return out, n_ok, sum(r["__all"] for r in rows) - n_ok
+
+
+def safe_scale(sd: float | None, mean: float) -> float:
+    """A standard deviation to divide by; 1 for a column that does not vary."""
+    return sd if sd and sd > 1e-12 * max(abs(mean), 1e-300) else 1.0
+
+
+def collect_moments(df: DataFrame, nodes, designs, by: list[str] | None = None
+                    ) -> tuple[dict[tuple, Moments], int, int]:
+    """Moments for any designs: one pass if all terms are single columns, two if there are products."""
+    products = needed_products(designs)
+    if max(len(p) for p in products) <= 2 and len(products) <= WIDE_MOMENTS:
+        return linear_moments(df, nodes, products, by)
+    scale, n_ok, n_dropped = profile(df, nodes)
+    return moments(df.filter(complete(nodes)), scale, products, by), n_ok, n_dropped
+
+
 def needed_products(designs: Iterable[tuple[str, tuple[Term, ...]]]) -> list[Term]:
     """Distinct products that the normal equations of all ``(node, terms)`` designs are made of."""
     need = {()}
@@ -391,17 +448,17 @@ def halfnorm_params(df: DataFrame, nodes) -> dict[str, dict[str, float]]:
 
 def fit(df: DataFrame, graph: CausalGraph, key: Column, kinds: Mapping[str, str] | None = None,
         pool: int = POOL_ROWS, seed: int = 0, nodes=None) -> CausalModel:
-    """Fit all mechanisms: one pass for scales, one for sums, one for the noise pool (if asked for).
+    """Fit all mechanisms: one pass for the sums (two if there are product terms), one for the noise pool.
 
     ``kinds`` overrides the default family of single nodes. ``nodes`` limits the work to a set closed
     under parents, for queries about one target.
     """
     nodes = list(nodes or graph.order)
     kinds = default_kinds(graph, kinds)
-    scale, n_ok, n_dropped = profile(df, nodes)
     rows = df.filter(complete(nodes))
     designs = [(n, design_terms(kinds[n], graph.parents(n))) for n in nodes]
-    sums = moments(rows, scale, needed_products(designs))[()]
+    groups, n_ok, n_dropped = collect_moments(df, nodes, designs)
+    sums = groups[()]
     half = halfnorm_params(rows, [n for n in nodes if kinds[n] == "halfnorm"])
     mechanisms = {}
     for n in nodes:
@@ -426,12 +483,3 @@ def draw_values(model: CausalModel, nodes, n: int, replicate=0, seed=0) -> tuple
     """``n`` joint draws on the driver: ``(noise, values)``. For draw counts that are a parameter."""
     noise = {v: model[v].noise_values(n, replicate, seed) for v in nodes}
     return noise, evaluate_nodes(nodes, model.mechanisms, noise)
-
-
-def fit_by(df: DataFrame, graph: CausalGraph, by: list[str], scale: Scale, kinds: Mapping[str, str], nodes,
-           weight: Column | None = None) -> dict[tuple, CausalModel]:
-    """One model without noise pool per group, from a single pass over all groups."""
-    designs = [(n, design_terms(kinds[n], graph.parents(n))) for n in nodes]
-    groups = moments(df.filter(complete(nodes)), scale, needed_products(designs), by, weight)
-    return {g: CausalModel(graph, {n: solve(m, n, kinds[n], graph.parents(n)) for n in nodes}, int(m.n))
-            for g, m in groups.items()}

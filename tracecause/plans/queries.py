@@ -21,11 +21,14 @@ from tracecause.streaming.scoring import read_results, score, score_stream
 TARGET = "net"
 DRAWS = 400
 REPLICATES = 20
-DAY = F.col("d")
 DAILY_NODES = ["peak", "n_orders", "n_lines", "qty", "gross", "disc", "net"]
 ORDER_NODES = ["n_lines", "qty", "gross", "disc", "net"]
 
 
+def day() -> Column:
+    return F.col("d")
+
+
 def tidy(x, zero: float = 1e-6, digits: int = 7) -> Column:
     """Seven significant digits, and zero for what is only the rounding of sums."""
     x = F.col(x) if isinstance(x, str) else x
@@ -43,11 +46,11 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def old_new(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     cut = F.lit(SPLIT).cast("date")
-    return df.filter(DAY <= cut), df.filter(DAY > cut)
+    return df.filter(day() <= cut), df.filter(day() > cut)
 
 
 def day_model(df: DataFrame, pool: int = 1000) -> CausalModel:
-    return fit(df, DAILY_GRAPH, DAY, pool=pool)
+    return fit(df, DAILY_GRAPH, day(), pool=pool)
 
 
 # --- frames ---
@@ -97,7 +100,7 @@ def snapshot_as_of(spark, sf_dir):
 def model_latest_alias(spark, sf_dir):
     df = days(spark, sf_dir)
     registry = ModelRegistry(spark, fresh_path(spark, "registry"))
-    fitted = fit(df, DAILY_GRAPH, DAY)
+    fitted = fit(df, DAILY_GRAPH, day())
     for alias in ("candidate", "champion"):
         version = registry.save_model("shop", fitted, "daily", 0, {"quality": "good"}, df.schema)
         registry.set_alias("shop", alias, version)
@@ -138,7 +141,7 @@ def period_aligned_change(spark, sf_dir):
                                     "n_lines", TARGET)
     out = frames.aligned_change(frames.period(df, "y", 1996), frames.period(df, "y", 1997), ["month", "day"],
                                 ["n_lines", TARGET])
-    return out.select("month", "day", *[tidy(c).alias(c) for c in (
+    return out.select("month", "day", *[tidy(c, digits=11).alias(c) for c in (
         "n_lines_growth_pct", "n_lines_drop_pct", "net_growth_pct", "net_drop_pct")])
 
 
@@ -175,7 +178,7 @@ def topo_level(spark, sf_dir):
 
 
 def group_means(spark, sf_dir):
-    df = days(spark, sf_dir).withColumn("week", F.when(DAY <= F.lit(SPLIT).cast("date"), "w1").otherwise("w2"))
+    df = days(spark, sf_dir).withColumn("week", F.when(day() <= F.lit(SPLIT).cast("date"), "w1").otherwise("w2"))
     out = frames.group_means(df, "week")
     return out.select("week", *[tidy(c).alias(c) for c in DAILY_NODES])
 
@@ -205,12 +208,12 @@ def pairwise_counts(spark, sf_dir):
 
 
 def percent_change(spark, sf_dir):
-    out = frames.change(days(spark, sf_dir), DAY > F.lit(SPLIT).cast("date"), DAILY_NODES)
+    out = frames.change(days(spark, sf_dir), day() > F.lit(SPLIT).cast("date"), DAILY_NODES)
     return out.select("node", *[tidy(c).alias(c) for c in ("mean_old", "mean_new", "growth_pct", "drop_pct")])
 
 
 def mean_difference(spark, sf_dir):
-    out = frames.change(order_facts(spark, sf_dir), DAY > F.lit(SPLIT).cast("date"), ORDER_NODES)
+    out = frames.change(order_facts(spark, sf_dir), day() > F.lit(SPLIT).cast("date"), ORDER_NODES)
     return out.select("node", tidy("difference").alias("difference"))
 
 
@@ -309,7 +312,7 @@ def noise_pool(spark, sf_dir):
 def auto_assign(spark, sf_dir):
     df = days(spark, sf_dir)
     nodes = ["peak", "n_orders", "n_lines", "gross", "disc", "qty"]
-    _, rows = assignment.assign(df, DAILY_GRAPH, DAY, quality="simple", nodes=nodes)
+    _, rows = assignment.assign(df, DAILY_GRAPH, day(), quality="simple", nodes=nodes)
     return assignment.summary_table(spark, rows).select("node", "candidate", tidy("cv_mse", digits=6).alias("cv_mse"),
                                                         "chosen")
 
@@ -377,7 +380,7 @@ def arrow_strength(spark, sf_dir):
 
 def arrow_strength_kl(spark, sf_dir):
     df = days(spark, sf_dir)
-    out = influence.arrow_strength(day_model(df, 0), df, TARGET, "kl", DAY)
+    out = influence.arrow_strength(day_model(df, 0), df, TARGET, "kl", day())
     return out.select("parent", "child", tidy("strength", digits=6).alias("strength"))
 
 
@@ -437,19 +440,19 @@ def distribution_change_tested(spark, sf_dir):
 
 def distribution_change_variance(spark, sf_dir):
     old, new = old_new(days(spark, sf_dir))
-    out = change.distribution_change(old, new, DAILY_GRAPH, TARGET, change.variance, 500, key=DAY)
+    out = change.distribution_change(old, new, DAILY_GRAPH, TARGET, change.variance, 500, key=day())
     return out.select("node", tidy("score", 10.0, 5).alias("score"))
 
 
 def distribution_change_kl(spark, sf_dir):
     old, new = old_new(days(spark, sf_dir))
-    out = change.distribution_change(old, new, DAILY_GRAPH, TARGET, change.kl, 500, key=DAY)
+    out = change.distribution_change(old, new, DAILY_GRAPH, TARGET, change.kl, 500, key=day())
     return out.select("node", tidy("score", 1e-6, 5).alias("score"))
 
 
 def bootstrap_refit(spark, sf_dir):
     old, new = old_new(days(spark, sf_dir))
-    out = intervals.change_intervals(old, new, DAILY_GRAPH, TARGET, DAY, "refit", REPLICATES)
+    out = intervals.change_intervals(old, new, DAILY_GRAPH, TARGET, day(), "refit", REPLICATES)
     return interval_columns(out)
 
 
@@ -465,20 +468,20 @@ def bootstrap_resample(spark, sf_dir):
 
 def subsample_interval(spark, sf_dir):
     old, new = old_new(days(spark, sf_dir))
-    out = intervals.change_intervals(old, new, DAILY_GRAPH, TARGET, DAY, "subsample", 10, frac=0.6)
+    out = intervals.change_intervals(old, new, DAILY_GRAPH, TARGET, day(), "subsample", 10, frac=0.6)
     return interval_columns(out)
 
 
 def rerun_interval(spark, sf_dir):
     old, new = old_new(days(spark, sf_dir))
-    out = intervals.change_intervals(old, new, DAILY_GRAPH, TARGET, DAY, "rerun", 5, draws=500)
+    out = intervals.change_intervals(old, new, DAILY_GRAPH, TARGET, day(), "rerun", 5, draws=500)
     return interval_columns(out)
 
 
 def anomaly_interval(spark, sf_dir):
     """Every day's attribution with its interval: models refitted on resampled days."""
     df = days(spark, sf_dir)
-    out = intervals.anomaly_intervals(df, df, DAILY_GRAPH, TARGET, DAY, ["d"], "refit", 10, draws=200)
+    out = intervals.anomaly_intervals(df, df, DAILY_GRAPH, TARGET, day(), ["d"], "refit", 10, draws=200)
     return out.select("d", "node", *[tidy(c, 1e-5, 6).alias(c) for c in ("median", "lo", "hi")], "mode", "resamples")
 
 
@@ -487,7 +490,7 @@ SHIFTS = {"n_lines": lambda x: x - 1, "disc": lambda x: x * 2}
 
 def intervene(spark, sf_dir):
     df = days(spark, sf_dir)
-    out = simulation.intervene(day_model(df), df, DAY, SHIFTS)
+    out = simulation.intervene(day_model(df), df, day(), SHIFTS)
     return out.select("d", *[tidy(c, 1e-4, 6).alias(c) for c in ("n_orders", "n_lines", "gross", "disc", "net")])
 
 
@@ -500,7 +503,7 @@ def intervene_counterfactual(spark, sf_dir):
 
 def before_after(spark, sf_dir):
     df = days(spark, sf_dir)
-    after = simulation.intervene(day_model(df), df, DAY, SHIFTS)
+    after = simulation.intervene(day_model(df), df, day(), SHIFTS)
     out = simulation.before_after(df.select([F.col(n).cast("double").alias(n) for n in DAILY_NODES]), after,
                                   DAILY_NODES)
     return out.select("node", *[tidy(c, 1e-4, 6).alias(c) for c in ("mean_before", "mean_after", "difference")])
@@ -508,7 +511,7 @@ def before_after(spark, sf_dir):
 
 def intervention_interval(spark, sf_dir):
     df = days(spark, sf_dir)
-    out = intervals.intervention_intervals(df, DAILY_GRAPH, DAY, SHIFTS, "refit", 10)
+    out = intervals.intervention_intervals(df, DAILY_GRAPH, day(), SHIFTS, "refit", 10)
     return interval_columns(out)
 
 
