@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from tracecause.functions.randomness import uniform
 from tracecause.operators.frames import complete
 from tracecause.operators.graph import CausalGraph
-from tracecause.operators.mechanisms import (Moments, default_kinds, design_terms, moments, needed_products, profile,
-                                             solve_standard, squared_error)
+from tracecause.operators.mechanisms import (Moments, default_kinds, design_terms, fit_trees, moments,
+                                             needed_products, profile, solve_standard, squared_error)
 
 CANDIDATES = ("mean", "linear", "poly")
+QUALITIES = {"simple": ("mean", "linear"), "good": CANDIDATES, "better": CANDIDATES + ("gbt",)}
 GAIN = 0.05  # a richer family must lower the held-out error by more than this share
 SUMMARY_SCHEMA = "node string, candidate string, cv_mse double, chosen boolean"
 
@@ -28,7 +29,10 @@ def fold_of(key: Column, folds: int, seed: int = 0, method: str = "md5") -> Colu
 
 def fold_errors(df: DataFrame, graph: CausalGraph, key: Column, candidates=CANDIDATES, folds: int = 5, seed: int = 0,
                 nodes=None) -> dict[str, dict[str, float]]:
-    """Held-out mean squared error per non-root node and candidate family."""
+    """Held-out mean squared error per non-root node and candidate family.
+
+    Trees are the one family that has to be trained fold by fold.
+    """
     nodes = list(nodes or graph.order)
     inner = [n for n in nodes if graph.parents(n)]
     rows = df.filter(complete(nodes))
@@ -45,6 +49,9 @@ def fold_errors(df: DataFrame, graph: CausalGraph, key: Column, candidates=CANDI
     for n in inner:
         errors[n] = {}
         for c in candidates:
+            if c == "gbt":
+                errors[n][c] = tree_error(tagged, n, graph.parents(n), sorted(f for (f,) in parts), seed)
+                continue
             terms = design_terms(c, graph.parents(n))
             held = sum(squared_error(part, n, terms, solve_standard(total - part, n, terms)) * part.n
                        for part in parts.values())
@@ -52,11 +59,23 @@ def fold_errors(df: DataFrame, graph: CausalGraph, key: Column, candidates=CANDI
     return errors
 
 
+def tree_error(tagged: DataFrame, node: str, parents, folds, seed: int) -> float:
+    total = rows = 0.0
+    for fold in folds:
+        m = fit_trees(tagged.filter(F.col("__fold") != fold), node, parents, seed=seed)
+        gap = F.col(node).cast("double") - m.predict_column({p: F.col(p).cast("double") for p in parents})
+        row = (tagged.filter(F.col("__fold") == fold).select(gap.alias("g"))
+               .agg(F.sum(F.col("g") * F.col("g")).alias("s"), F.count(F.lit(1)).alias("n")).first())
+        total, rows = total + row.s, rows + row.n
+    return total / rows
+
+
 def choose(errors: Mapping[str, float], candidates=CANDIDATES) -> str:
-    """Linear unless a richer family is clearly better or plain mean is no worse."""
+    """Linear unless a richer family is clearly better than the best so far."""
     best = "linear"
-    if "poly" in errors and errors["poly"] < errors["linear"] * (1.0 - GAIN):
-        best = "poly"
+    for richer in ("poly", "gbt"):
+        if richer in candidates and errors[richer] < errors[best] * (1.0 - GAIN):
+            best = richer
     return best
 
 
@@ -65,9 +84,10 @@ def assign(df: DataFrame, graph: CausalGraph, key: Column, override_models: bool
            nodes=None) -> tuple[dict[str, str], list[tuple]]:
     """``(kinds, summary rows)``. With ``override_models=False`` kinds set by hand are kept.
 
-    ``quality="simple"`` takes linear mechanisms without looking; ``"good"`` also tries products of parents.
+    ``quality="simple"`` takes linear mechanisms without looking; ``"good"`` also tries products of parents
+    and ``"better"`` boosted trees, which cost a training run per fold.
     """
-    candidates = {"simple": ("mean", "linear"), "good": CANDIDATES}[quality]
+    candidates = QUALITIES[quality]
     nodes = list(nodes or graph.order)
     chosen = {n: k for n, k in default_kinds(graph).items() if n in nodes}
     summary = []

@@ -18,7 +18,7 @@ from tracecause.functions.statistics import f_tail_value, normal_bin
 from tracecause.operators.frames import complete
 from tracecause.operators.graph import CausalGraph
 from tracecause.operators.mechanisms import (POOL_ROWS, CausalModel, attach_noise, collect_moments, default_kinds,
-                                             design_terms, draw_values, halfnorm_params, pool_rows, solve,
+                                             design_terms, draw_values, fit_trees, halfnorm_params, pool_rows, solve,
                                              solve_standard, squared_error)
 from tracecause.operators.shapley import CoalitionPlan, coalition_plan
 
@@ -96,7 +96,8 @@ def fit_periods(old: DataFrame, new: DataFrame, graph: CausalGraph, target: str,
             raise ValueError("a period has no complete rows")
         part = rows.filter(F.col("side") == side)
         m = groups[(side,)]
-        mechanisms = {n: solve(m, n, kinds[n], graph.parents(n)) for n in nodes}
+        mechanisms = {n: fit_trees(part, n, graph.parents(n), seed=seed) if kinds[n] == "gbt"
+                      else solve(m, n, kinds[n], graph.parents(n)) for n in nodes}
         for n, params in halfnorm_params(part, [n for n in nodes if kinds[n] == "halfnorm"]).items():
             mechanisms[n] = replace(mechanisms[n], params={**mechanisms[n].params, **params})
         if pool:
@@ -116,6 +117,8 @@ def change_p_values(old, new, graph: CausalGraph, kinds: Mapping[str, str]) -> d
     out = {}
     both = old + new
     for n, kind in kinds.items():
+        if kind == "gbt":
+            raise ValueError("the change test compares coefficients; trees have none")
         terms = design_terms(kind, graph.parents(n))
         rss = [squared_error(m, n, terms, solve_standard(m, n, terms)) * m.n for m in (old, new, both)]
         d1, d2 = len(terms) + 1, both.n - 2 * (len(terms) + 1)
@@ -186,7 +189,7 @@ def distribution_change(old: DataFrame, new: DataFrame, graph: CausalGraph, targ
     nodes = graph.closure(target)
     kinds = default_kinds(graph, kinds)
     closed = (summary is mean and difference is None and draws in (None, 0)
-              and all(kinds[n] != "poly" for n in nodes))
+              and all(kinds[n] not in ("poly", "gbt") for n in nodes))
     if not closed and key is None:
         raise ValueError("drawing noise needs a row key")
     models = fit_periods(old, new, graph, target, kinds, key, 0 if closed else pool, seed, test_change, level)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracecause.functions.statistics import chi2_tail, normal_bin
+from tracecause.operators.assignment import fold_errors
+from tracecause.operators.falsification import falsify
 from tracecause.operators.frames import complete
 from tracecause.operators.mechanisms import CausalModel
 from tracecause.operators.simulation import draw
@@ -151,3 +153,36 @@ def independence(model: CausalModel, df: DataFrame, nodes=None, bins: int = INDE
     out = stats.withColumn("p_value", p)
     adjusted = F.least(F.col("p_value") * float(pairs), F.lit(1.0))
     return out.withColumn("p_adjusted", adjusted).withColumn("rejected", F.col("p_adjusted") < level)
+
+
+def evaluate(model: CausalModel, df: DataFrame, key: Column, compare_mechanism_baselines: bool = False,
+             evaluate_invertibility_assumptions: bool = True, falsify_graph: bool = True, draws: int = 10_000,
+             n_permutations: int = 20, folds: int = 5, seed: int = 0) -> DataFrame:
+    """Long report ``(section, node, metric, value)``.
+
+    ``performance`` of each mechanism, ``divergence`` of generated from observed columns, and as asked for
+    ``baseline`` (held-out error of simpler and richer families), ``invertibility`` (adjusted p-value per
+    parent) and ``graph`` (falsification).
+    """
+    spark = df.sparkSession
+    report = [mechanism_metrics(model, df, key).select(F.lit("performance").alias("section"), "node", "metric", "value"),
+              generated_divergence(model, df, draws, seed).select(F.lit("divergence").alias("section"), "node",
+                                                                  F.lit("kl").alias("metric"), F.col("kl").alias("value"))]
+    if compare_mechanism_baselines:
+        errors = fold_errors(df, model.graph, key, folds=folds, seed=seed)
+        rows = [("baseline", n, f"cv_mse:{c}", float(v)) for n, each in errors.items() for c, v in each.items()]
+        report.append(spark.createDataFrame(rows, "section string, node string, metric string, value double"))
+    if evaluate_invertibility_assumptions:
+        report.append(independence(model, df).select(
+            F.lit("invertibility").alias("section"), "node", F.concat(F.lit("p:"), "parent").alias("metric"),
+            F.col("p_adjusted").alias("value")))
+    if falsify_graph:
+        verdict = falsify(df, model.graph, n_permutations, seed=seed)
+        report.append(verdict.select(
+            F.lit("graph").alias("section"), F.lit("*").alias("node"), F.expr(
+                "stack(3, 'n_violations', cast(n_violations as double), 'p_value', p_value, "
+                "'same_claims_share', same_claims_share) as (metric, value)")))
+    out = report[0]
+    for part in report[1:]:
+        out = out.unionByName(part)
+    return out

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracecause.functions.randomness import pick, uniform
 from tracecause.functions.statistics import normal_bin
 from tracecause.operators.evaluation import KL_BINS, kl_of_counts
-from tracecause.operators.mechanisms import POOL_ROWS, CausalModel, pool_rows
+from tracecause.operators.mechanisms import POOL_ROWS, CausalModel, Mechanism, pool_rows
 from tracecause.operators.shapley import coalition_plan
 
 
@@ -17,12 +21,12 @@ def arrow_strength(model: CausalModel, df: DataFrame, target: str, measure: str
     """``(parent, child, strength)``: how much the target changes when one arrow is cut.
 
     Cutting an arrow feeds the target an independent draw from the parent's marginal. ``variance`` is the
-    mean rise of the target's variance given its parents and needs no draws: a mechanism is at most
-    quadratic in a parent, so the rise follows from five moments per parent, all from one pass. ``kl`` is
+    mean rise of the target's variance given its parents. A linear or product mechanism is at most quadratic
+    in a parent, so the rise follows from five moments per parent, all from one pass; trees are drawn. ``kl`` is
     the divergence between the observed target and the target with the arrow cut.
     """
     if measure == "variance":
-        return _variance_strength(model, df, target)
+        return _variance_strength(model, df, target, key, seed)
     if measure == "kl":
         if key is None:
             raise ValueError("measure 'kl' draws by row key")
@@ -30,8 +34,10 @@ def arrow_strength(model: CausalModel, df: DataFrame, target: str, measure: str
     raise ValueError(f"unknown measure {measure!r}")
 
 
-def _variance_strength(model: CausalModel, df: DataFrame, target: str) -> DataFrame:
+def _variance_strength(model: CausalModel, df: DataFrame, target: str, key: Column | None, seed: int) -> DataFrame:
     m = model[target]
+    if m.kind == "gbt":
+        return _drawn_strength(m, df, target, key, seed)
     aggs, square = [], {}
     for j, parent in enumerate(m.parents):
         slope = F.lit(0.0)
@@ -61,6 +67,39 @@ def _variance_strength(model: CausalModel, df: DataFrame, target: str) -> DataFr
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def _drawn_strength(m: Mechanism, df: DataFrame, target: str, key: Column | None, seed: int,
+                    draws: int = 100) -> DataFrame:
+    """Variance over draws of one parent, averaged over the rows: for mechanisms without a closed form.
+
+    All rows meet the same draws, so rows and draws swap places: ``mean_row Var_draw(f)`` follows from
+    per-row sums that an Arrow batch computes at once, and two numbers per batch and parent leave the task.
+    """
+    if key is None:
+        raise ValueError("trees need draws, and draws a row key")
+    parents = list(m.parents)
+    pool = pool_rows(df, key, parents, draws, seed)
+    trees = [(json.loads(t), c) for (t,), c in zip(m.terms, m.coef)]
+
+    def batch_sums(batches):  # self-contained: workers need not import this package
+        def value(tree, columns):
+            if not isinstance(tree, list):
+                return tree
+            name, threshold, low, high = tree
+            return np.where(columns[name] <= threshold, value(low, columns), value(high, columns))
+
+        for batch in batches:
+            seen = {p: batch[p].to_numpy()[:, None] for p in parents}
+            for i, parent in enumerate(parents):
+                columns = {**seen, parent: pool[None, :, i]}
+                out = sum(np.broadcast_to(value(t, columns) * c, (len(batch), len(pool))) for t, c in trees)
+                yield pd.DataFrame({"parent": [parent], "total": [float(out.var(axis=1).sum())], "n": [len(batch)]})
+
+    slim = df.select(*[F.col(p).cast("double").alias(p) for p in parents])
+    sums = slim.mapInPandas(batch_sums, "parent string, total double, n bigint")
+    return sums.groupBy("parent").agg((F.sum("total") / F.sum("n")).alias("strength")).select(
+        "parent", F.lit(target).alias("child"), "strength")
+
+
 def _kl_strength(model: CausalModel, df: DataFrame, target: str, key: Column, seed: int) -> DataFrame:
     m = model[target]
     mean, sd = m.params["mean"], m.params["total_var"] ** 0.5

@@ -77,6 +77,8 @@ def replicate_models(df: DataFrame, graph: CausalGraph, key: Column, nodes, mode
     """
     nodes = list(nodes)
     kinds = {n: k for n, k in default_kinds(graph, kinds).items() if n in nodes}
+    if "gbt" in kinds.values():
+        raise ValueError("trees are not fitted from sums; use confidence_intervals over a query that fits them")
     by = [side] if side else []
     rows = df.filter(complete(nodes)).select(*by, key.cast("string").alias("__k"),
                                              *[F.col(n).cast("double").alias(n) for n in nodes])
@@ -164,7 +166,7 @@ def change_replicates(old: DataFrame, new: DataFrame, graph: CausalGraph, target
     spark = old.sparkSession
     nodes = graph.closure(target)
     all_kinds = default_kinds(graph, kinds)
-    linear = summary is mean and all(all_kinds[n] != "poly" for n in nodes)
+    linear = summary is mean and all(all_kinds[n] not in ("poly", "gbt") for n in nodes)
     if mode == "rerun":
         draws = draws or 2000
         pair = fit_periods(old, new, graph, target, kinds, key, pool, seed)

@@ -8,7 +8,9 @@ whole rows, from which noise is drawn.
 
 from __future__ import annotations
 
+import json
 import math
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
 from itertools import combinations_with_replacement
@@ -29,10 +31,10 @@ POOL_ROWS = 1000        # rows kept for drawing noise
 MAX_POOL_ROWS = 10_000
 WIDE_MOMENTS = 400      # sums per aggregate before the work is split
 
-Term = tuple[str, ...]  # product of parents; () is the constant
+Term = tuple[str, ...]  # product of parents, () being the constant; of a tree ensemble, one tree as JSON
 
 ROOT_KINDS = ("empirical", "halfnorm")
-KINDS = ROOT_KINDS + ("mean", "linear", "poly")
+KINDS = ROOT_KINDS + ("mean", "linear", "poly", "gbt")
 
 
 @dataclass(frozen=True)
@@ -52,11 +54,15 @@ class Mechanism:
 
     @property
     def is_linear(self) -> bool:
-        return all(len(t) == 1 for t in self.terms)
+        return self.kind != "gbt" and all(len(t) == 1 for t in self.terms)
 
     def predict(self, values: Mapping):
         """Expected value given the parents. ``values`` may hold Columns, arrays or numbers."""
         out = self.intercept
+        if self.kind == "gbt":
+            for (tree,), c in zip(self.terms, self.coef):
+                out = out + tree_value(json.loads(tree), values) * c
+            return out
         for term, c in zip(self.terms, self.coef):
             piece = values[term[0]]
             for name in term[1:]:
@@ -147,7 +153,7 @@ class CausalModel:
 
     @classmethod
     def from_rows(cls, graph: CausalGraph, rows, n_rows: int = 0, n_dropped: int = 0) -> "CausalModel":
-        mechanisms = {r.node: Mechanism(r.node, r.kind, tuple(r.parents), tuple(tuple(t.split("*")) for t in r.terms),
+        mechanisms = {r.node: Mechanism(r.node, r.kind, tuple(r.parents), tuple((t,) if r.kind == "gbt" else tuple(t.split("*")) for t in r.terms),
                                         tuple(r.coef), r.intercept, tuple(r.noise), dict(r.params)) for r in rows}
         return cls(graph, mechanisms, n_rows, n_dropped)
 
@@ -319,7 +325,7 @@ def moments(df: DataFrame, scale: Scale, products: list[Term], by: list[str] | N
 
 
 def design_terms(kind: str, parents: tuple[str, ...]) -> tuple[Term, ...]:
-    if kind in ROOT_KINDS or kind == "mean":
+    if kind in ROOT_KINDS or kind in ("mean", "gbt"):
         return ()
     linear = tuple((p,) for p in parents)
     if kind == "linear":
@@ -383,6 +389,57 @@ def solve(m: Moments, node: str, kind: str, parents: tuple[str, ...]) -> Mechani
                              "r2": 1.0 - left / total if total > 0 else 0.0})
 
 
+# --- trees ---------------------------------------------------------------------------------------
+
+
+def tree_value(tree, values: Mapping):
+    """Value of a regression tree: a leaf is a number, a split ``[name, threshold, low side, high side]``."""
+    if not isinstance(tree, list):
+        return float(tree)
+    name, threshold, low, high = tree
+    a, b = tree_value(low, values), tree_value(high, values)
+    if isinstance(values[name], Column):
+        return F.when(values[name] <= threshold, a).otherwise(b)
+    return np.where(np.asarray(values[name]) <= threshold, a, b)
+
+
+def read_tree(text: str, names: tuple[str, ...]):
+    """A tree from its printed form: nested ``If``, ``Else`` and ``Predict`` lines."""
+    lines = iter([line.strip() for line in text.splitlines() if re.match(r"\s*(If|Else|Predict)", line)])
+
+    def node():
+        line = next(lines)
+        if line.startswith("Predict"):
+            return float(line.split(":")[1])
+        feature, threshold = re.match(r"If \(feature (\d+) <= (\S+)\)", line).groups()
+        low = node()
+        next(lines)  # the matching Else
+        return [names[int(feature)], float(threshold), low, node()]
+
+    return node()
+
+
+def fit_trees(rows: DataFrame, node: str, parents: tuple[str, ...], trees: int = 20, depth: int = 4,
+              seed: int = 0) -> Mechanism:
+    """Boosted regression trees, kept as nested comparisons so that they evaluate as plain expressions."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    data = rows.select(F.col(node).cast("double").alias("label"), *[F.col(p).cast("double").alias(p) for p in parents])
+    data = VectorAssembler(inputCols=list(parents), outputCol="features").transform(data).select("label", "features")
+    model = GBTRegressor(maxIter=trees, maxDepth=depth, seed=seed).fit(data)
+    terms = tuple((json.dumps(read_tree(t.toDebugString, parents)),) for t in model.trees)
+    bare = Mechanism(node, "gbt", parents, terms, tuple(float(w) for w in model.treeWeights))
+    x = F.col(node).cast("double")
+    row = rows.select(x.alias("x"), (x - bare.predict_column({p: F.col(p).cast("double") for p in parents})).alias("r")).agg(
+        F.avg("x").alias("mean"), F.var_samp("x").alias("total"), F.avg("r").alias("shift"), F.var_samp("r").alias("left"),
+        F.count(F.lit(1)).alias("n")).first()
+    exact = row.left <= NOISE_FLOOR * row.total
+    return replace(bare, intercept=row.shift, params={
+        "noise_var": 0.0 if exact else row.left, "total_var": row.total, "mean": row.mean, "n": float(row.n),
+        "r2": 1.0 - row.left / row.total if row.total > 0 else 0.0})
+
+
 # --- fitting -------------------------------------------------------------------------------------
 
 
@@ -462,6 +519,9 @@ def fit(df: DataFrame, graph: CausalGraph, key: Column, kinds: Mapping[str, str]
     half = halfnorm_params(rows, [n for n in nodes if kinds[n] == "halfnorm"])
     mechanisms = {}
     for n in nodes:
+        if kinds[n] == "gbt":
+            mechanisms[n] = fit_trees(rows, n, graph.parents(n), seed=seed)
+            continue
         m = solve(sums, n, kinds[n], graph.parents(n))
         mechanisms[n] = replace(m, params={**m.params, **half[n]}) if n in half else m
     if pool:

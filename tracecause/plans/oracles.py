@@ -94,9 +94,8 @@ def residual(node: str, chain) -> str:
     return node if i == 0 else f"({node} - a_{node} - b_{node} * {chain[i - 1]})"
 
 
-def effects(chain, source: str = "f", name: str = "w", keys: str = "") -> str:
+def effects(chain, source: str = "f", name: str = "w") -> str:
     """Total effects on net and the constant."""
-    lead = f"{keys}, " if keys else ""
     steps = [f"{name}_0 AS (SELECT *, bd AS w_disc, bg + bd * b_disc AS w_gross FROM {source})"]
     last = "gross"
     for i, n in enumerate(reversed(chain[:-2])):
@@ -104,7 +103,6 @@ def effects(chain, source: str = "f", name: str = "w", keys: str = "") -> str:
         last = n
     const = " + ".join(["a_net"] + [f"w_{n} * a_{n}" for n in chain[1:]])
     steps.append(f"{name} AS (SELECT *, {const} AS const FROM {name}_{len(chain) - 2})")
-    del lead
     return ", ".join(steps)
 
 
@@ -195,7 +193,7 @@ def mixes(chain, old: str, new: str, noise) -> str:
     return sql.replace(f"{old}.", f"{old}_").replace(f"{new}.", f"{new}_")
 
 
-def side_params(chain, names=("fo", "fn"), join: str = ", ", keys: str = "") -> str:
+def side_params(chain, names=("fo", "fn")) -> str:
     """Select list that prefixes the parameters of both sides."""
     fields = [f"m_{chain[0]}"] + [f"{x}_{n}" for n in chain[1:] for x in "ab"] + ["a_net", "bd", "bg"]
     return ", ".join(f"{s}.{f} AS {s}_{f}" for s in names for f in fields)
@@ -440,22 +438,23 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
                     f"AS x FROM (SELECT {r} AS e, {x} AS x, stddev_samp({r}) OVER () AS sd_e, avg({x}) OVER () AS m_x, "
                     f"stddev_samp({x}) OVER () AS sd_x FROM days, f)")
     z = "((power(g / dof, 1.0 / 3.0) - (1 - 2.0 / (9.0 * dof))) / sqrt(2.0 / (9.0 * dof)))"
-    q["noise_independence"] = f"""WITH {DAYS}, {fits('days', DAY_CHAIN)}, b AS ({' UNION ALL '.join(bins)}),
+    tests = f"""b AS ({' UNION ALL '.join(bins)}),
         o AS (SELECT node, parent, r, x, count(*)::DOUBLE AS o FROM b GROUP BY ALL),
         s AS (SELECT *, sum(o) OVER (PARTITION BY node, parent) AS n, sum(o) OVER (PARTITION BY node, parent, r) AS nr,
         sum(o) OVER (PARTITION BY node, parent, x) AS nx FROM o), g AS (SELECT node, parent, n,
         2 * sum(o * ln(o * n / (nr * nx))) AS g, (count(DISTINCT r) - 1) * (count(DISTINCT x) - 1) AS dof FROM s GROUP BY ALL),
-        z AS (SELECT *, {z} AS z FROM g)
+        z AS (SELECT *, {z} AS z FROM g)"""
+    q["noise_independence"] = f"""WITH {DAYS}, {fits('days', DAY_CHAIN)}, {tests}
         SELECT node, parent, CAST(n AS BIGINT) AS n, {tidy('g', digits=6)} AS g, dof,
         least(({normal_tail('z')}) * 5, 1.0) < 0.05 AS rejected FROM z"""
 
-    def divergence(a, b, nodes):
+    def divergence(a, b, nodes, zero="1e-6", digits=6):
         out = []
         for n in nodes:
             m = f"(SELECT avg({n}) AS m, stddev_samp({n}) AS sd FROM {a})"
             both = [f"(SELECT {counts(bin_of('y', 'm', 'sd'))} AS c{i} FROM (SELECT {n} AS y, m, sd FROM {t}, {m}))"
                     for i, t in enumerate((a, b))]
-            out.append(f"SELECT '{n}' AS node, {tidy(kl('c0', 'c1'), digits=6)} AS kl FROM {both[0]}, {both[1]}")
+            out.append(f"SELECT '{n}' AS node, {tidy(kl('c0', 'c1'), zero, digits)} AS kl FROM {both[0]}, {both[1]}")
         return " UNION ALL ".join(out)
     q["period_divergence"] = f"""WITH {DAYS}, a AS (SELECT * FROM days WHERE d <= {SPLIT}),
         b AS (SELECT * FROM days WHERE d > {SPLIT}) """ + divergence("a", "b", DAY_ALL)
@@ -474,6 +473,25 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     q["fit_divergence"] = (f"WITH {base}, draw AS (SELECT i AS id FROM range(5000) AS r(i)), "
                            f"gen AS (SELECT * FROM {forward(DAY_CHAIN, 'id', rep)}) "
                            + divergence("days", "gen", DAY_ALL))
+    report = []
+    for n in DAY_CHAIN + ["qty"]:
+        r = residual(n, DAY_CHAIN)
+        if n != "peak":
+            report.append(f"SELECT 'performance' AS section, '{n}' AS node, 'mse' AS metric, avg(power({r}, 2)) AS value "
+                          f"FROM days, f")
+            report.append(f"SELECT 'performance' AS section, '{n}' AS node, 'r2' AS metric, 1 - avg(power({r}, 2)) / var_pop({n}) FROM days, f")
+        report.append(f"SELECT 'performance' AS section, '{n}' AS node, 'crps' AS metric, sum((2 * i - n - 1) * r) / "
+                      f"(any_value(n) * any_value(n)) / any_value(sd) AS value FROM (SELECT r, row_number() OVER (ORDER BY r) AS i, count(*) OVER ()::DOUBLE AS n, "
+                      f"stddev_samp(x) OVER () AS sd FROM (SELECT {r} AS r, {n} AS x FROM days, f))")
+    report.append("SELECT 'baseline' AS section, node, 'cv_mse:mean', mean FROM cv UNION ALL "
+                  "SELECT 'baseline', node, 'cv_mse:linear', linear FROM cv")
+    report.append(f"SELECT 'invertibility', node, 'p:' || parent, least(({normal_tail('z')}) * 5, 1.0) FROM z")
+    report = [f"SELECT section, node, metric, {tidy('value', '1e-5', 5)} AS value FROM ({' UNION ALL '.join(report)})"]
+    report.append(f"SELECT 'divergence' AS section, node, 'kl' AS metric, kl AS value FROM "
+                  f"({divergence('days', 'gen', DAY_CHAIN + ['qty'], '1e-5', 5)})")
+    q["evaluate_model"] = (
+        f"WITH {base}, draw AS (SELECT i AS id FROM range(2000) AS r(i)), gen AS (SELECT * FROM {forward(DAY_CHAIN, 'id', rep)}), "
+        f"k AS (SELECT *, {fold} AS fold FROM days), cv AS ({cv}), {tests} " + " UNION ALL ".join(report))
     q["draw_samples"] = (f"WITH {base}, draw AS (SELECT i AS id FROM (SELECT unnest(range((SELECT count(*) FROM days))) AS i)) "
                          f"SELECT id, {cols(DAY_ALL, '1e-4', 6)} FROM {forward(DAY_CHAIN, 'id')}")
     q["dag_local_tests"] = dag_tests()
@@ -517,6 +535,7 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     q["distribution_change"] = f"WITH {DAYS}, {change_mean('days', DAY_CHAIN)} " + long("phi", "", nodes, "1e-3", 6)
     q["distribution_change_orders"] = (f"WITH {FACTS}, {change_mean('facts', ORDER_CHAIN)} "
                                        + long("phi", "", ORDER_CHAIN + ["net"], "1e-3", 6))
+    q["distribution_change_tested"] = change_tested(ORDER_CHAIN)
     drawn = f"{DAYS}, {change_drawn('days', 'd', DAY_CHAIN, 500)}"
     q["distribution_change_variance"] = (f"WITH {drawn}, vals AS (SELECT s, var_samp(net) AS v FROM mixed GROUP BY s), "
                                          f"{shapley('vals', nodes)} " + long("phi", "", nodes, "10.0", 5))
@@ -570,6 +589,31 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     return q
 
 
+def change_tested(chain) -> str:
+    """Mean change with mechanisms that pass a Chow test taken from the old side."""
+    parts, kept = [], []
+    for i, n in enumerate(chain):
+        d1 = 1 if i == 0 else 2
+        rss = {s: f"(SELECT sum(power({residual(n, chain) if i else f'{n} - m_{n}'}, 2)) FROM {t}, {s})"
+               for s, t in (("fo", "old"), ("fn", "new"), ("fb", "facts"))}
+        parts.append(f"SELECT '{n}' AS node, {d1}::DOUBLE AS d1, {rss['fo']} + {rss['fn']} AS rest, {rss['fb']} AS pooled, "
+                     f"(SELECT count(*) FROM facts) - {2 * d1}::DOUBLE AS d2")
+    root = "power(((pooled - rest) / d1) / (rest / d2), 1.0 / 3.0)"
+    z = f"((1 - 2 / (9 * d2)) * {root} - (1 - 2 / (9 * d1))) / sqrt(2 / (9 * d2) * power({root}, 2) + 2 / (9 * d1))"
+    for i, n in enumerate(chain):
+        same = f"(SELECT ({normal_tail('z')}) > 0.05 FROM chow WHERE node = '{n}')"
+        for field in ([f"m_{n}"] if i == 0 else [f"a_{n}", f"b_{n}"]):
+            kept.append(f"CASE WHEN {same} THEN fo.{field} ELSE fn.{field} END AS {field}")
+    nodes = chain + ["net"]
+    mixed = mixes(chain, "fo", "ft", lambda n, s: f"{s}.m_{n}" if n == chain[0] else "0.0")
+    return (f"WITH {FACTS}, old AS (SELECT * FROM facts WHERE d <= {SPLIT}), new AS (SELECT * FROM facts WHERE d > {SPLIT}), "
+            + ", ".join(fits(t, chain, name=f) for t, f in (("old", "fo"), ("new", "fn"), ("facts", "fb")))
+            + f", chow AS (SELECT *, {z} AS z FROM ({' UNION ALL '.join(parts)})), "
+            + f"ft AS (SELECT {', '.join(kept)}, fo.a_net, fo.bd, fo.bg FROM fo, fn), "
+            + f"base AS (SELECT s, {side_params(chain, ('fo', 'ft'))} FROM fo, ft, range({2 ** len(nodes)}) AS c(s)), "
+            + f"vals AS (SELECT s, net AS v FROM {mixed}), {shapley('vals', nodes)} " + long("phi", "", nodes, "1e-3", 6))
+
+
 def dag_tests() -> str:
     from tracecause.operators.falsification import implied_claims
     from tracecause.plans.workload import DAILY_GRAPH

@@ -350,6 +350,21 @@ def fit_divergence(spark, sf_dir):
     return out.select("node", tidy("kl", digits=6).alias("kl"))
 
 
+def evaluate_model(spark, sf_dir):
+    """The whole report but for the permutation test, which has a query of its own."""
+    df = days(spark, sf_dir).select("d", "peak", "n_orders", "n_lines", "gross", "disc", "qty")
+    spec = graph.CausalGraph(tuple(e for e in DAILY_GRAPH.edges if e[1] != TARGET))
+    out = evaluation.evaluate(fit(df, spec, day()), df, day(), True, True, False, draws=2000)
+    return out.filter(~F.col("metric").isin("cv_mse:poly")).select(
+        "section", "node", "metric", tidy("value", 1e-5, 5).alias("value"))
+
+
+def arrow_strength_trees(spark, sf_dir):
+    df = facts(spark, sf_dir)
+    fitted = fit(df, ORDER_GRAPH, F.col("o_orderkey"), {TARGET: "gbt"}, 0)
+    return influence.arrow_strength(fitted, df, TARGET, key=F.col("o_orderkey"))
+
+
 def dag_local_tests(spark, sf_dir):
     out = falsification.local_claims(days(spark, sf_dir), DAILY_GRAPH)
     return out.select("node", "other", "given", tidy("partial_corr", 1e-7, 5).alias("partial_corr"), "violated")
@@ -550,7 +565,7 @@ QUERIES = [
     percent_change, mean_difference, percent_share, root_cause_topk, head_rows, stack_periods, round_half_even,
     hash_sample, hash_sample_exact, poisson_weights, fit_linear, fit_linear_daily, fit_halfnormal, empirical_noise,
     noise_pool, auto_assign, auto_assign_products, mechanism_metrics, noise_independence, period_divergence,
-    fit_divergence, dag_local_tests, dag_permutations, dag_falsify, draw_samples, arrow_strength, arrow_strength_kl,
+    fit_divergence, evaluate_model, arrow_strength_trees, dag_local_tests, dag_permutations, dag_falsify, draw_samples, arrow_strength, arrow_strength_kl,
     intrinsic_influence, intrinsic_sampled, anomaly_score, z_score, attribute_anomalies, attribute_orders,
     distribution_change, distribution_change_orders, distribution_change_tested, distribution_change_variance,
     distribution_change_kl, bootstrap_refit, bootstrap_resample, subsample_interval, rerun_interval, anomaly_interval,

@@ -46,17 +46,20 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supply_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Who an order depends on: region to nation to customer and supplier, and both to the order."""
-    def name(kind: str, column: str):
-        return F.concat(F.lit(kind + ":"), F.col(column).cast("string"))
-
-    def edges(source: str, parent, child) -> DataFrame:
-        return table(spark, sf_dir, source).select(parent.alias("parent"), child.alias("child")).dropna()
-
-    stacked = edges("nation", name("region", "n_regionkey"), name("nation", "n_nationkey"))
-    for more in (edges("customer", name("nation", "c_nationkey"), name("customer", "c_custkey")),
-                 edges("supplier", name("nation", "s_nationkey"), name("supplier", "s_suppkey")),
-                 edges("orders", name("customer", "o_custkey"), name("order", "o_orderkey")),
-                 edges("lineitem", name("supplier", "l_suppkey"), name("order", "l_orderkey"))):
-        stacked = stacked.unionByName(more)
-    return stacked.distinct()
+    """Who an order depends on: region to nation to customer and supplier, and both to the order.
+
+    Repeated edges are dropped as pairs of ids, before the longer names are made; kinds of edges never
+    coincide, so their union needs no further check.
+    """
+    stacked = None
+    for source, parent, child, parent_id, child_id in (
+            ("nation", "region", "nation", "n_regionkey", "n_nationkey"),
+            ("customer", "nation", "customer", "c_nationkey", "c_custkey"),
+            ("supplier", "nation", "supplier", "s_nationkey", "s_suppkey"),
+            ("orders", "customer", "order", "o_custkey", "o_orderkey"),
+            ("lineitem", "supplier", "order", "l_suppkey", "l_orderkey")):
+        ids = table(spark, sf_dir, source).select(parent_id, child_id).dropna().distinct()
+        named = ids.select(*[F.concat(F.lit(kind + ":"), F.col(c).cast("string")).alias(role) for role, kind, c in (
+            ("parent", parent, parent_id), ("child", child, child_id))])
+        stacked = named if stacked is None else stacked.unionByName(named)
+    return stacked
