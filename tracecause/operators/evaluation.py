@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from tracecause.operators.mechanisms import CausalModel
 from tracecause.operators.simulation import draw
 
 KL_BINS = 16
-INDEPENDENCE_BINS = 16
+MIN_BINS, MAX_BINS, ROWS_PER_CELL = 3, 16, 50  # chi-square needs filled cells: few rows, few bins
 ROW_BITS = 33  # monotonically_increasing_id: partition above, position in the partition below
 
 
@@ -117,15 +119,20 @@ def mechanism_metrics(model: CausalModel, df: DataFrame, key: Column, nodes=None
             .filter(F.col("value").isNotNull()))
 
 
-def independence(model: CausalModel, df: DataFrame, nodes=None, bins: int = INDEPENDENCE_BINS,
+def independence_bins(n_rows: int) -> int:
+    return max(MIN_BINS, min(MAX_BINS, math.floor(math.sqrt(n_rows / ROWS_PER_CELL))))
+
+
+def independence(model: CausalModel, df: DataFrame, nodes=None, bins: int | None = None,
                  level: float = 0.05) -> DataFrame:
     """Is a node's noise independent of each parent? ``(node, parent, n, g, dof, p_value, p_adjusted, rejected)``.
 
-    Residual and parent are put into bins placed by their moments; the G statistic of the table of counts
-    is compared with chi-square and p-values are adjusted for the number of pairs (Bonferroni). Rows fold
+    Residual and parent are put into bins placed by their moments, as many as the fitted rows can fill; the
+    G statistic of the table of counts is compared with chi-square and p-values are adjusted for the number of pairs (Bonferroni). Rows fold
     to at most ``bins^2`` counts per pair before the shuffle.
     """
     nodes = [n for n in (nodes or model.graph.order) if not model[n].is_root]
+    bins = bins or independence_bins(model.n_rows)
     use = [n for n in model.graph.order if n in df.columns]
     at = {n: F.col(n).cast("double") for n in use}
     rows = df.filter(complete(use)).select(

@@ -227,6 +227,13 @@ def bin_of(x: str, mean: str, sd: str, bins: int = 16) -> str:
     return "(" + " + ".join(f"CAST({x} >= {mean} + {sd} * {e!r} AS INTEGER)" for e in normal_edges(bins)) + ")"
 
 
+def chosen_bin_of(x: str, mean: str, sd: str) -> str:
+    """Bin among as many normal-score bins as the rows of ``days`` can fill, between 3 and 16."""
+    edges = "[" + ", ".join("[" + ", ".join(f"{e!r}::DOUBLE" for e in normal_edges(b)) + "]" for b in range(3, 17)) + "]"
+    bins = "CAST(greatest(3, least(16, floor(sqrt((SELECT count(*) FROM days) / 50)))) AS BIGINT)"
+    return f"len(list_filter({edges}[{bins} - 2], lambda v: {x} >= {mean} + {sd} * v))"
+
+
 def kl(counts_a: str, counts_b: str, bins: int = 16) -> str:
     """KL over two lists of bin counts."""
     return (f"list_sum(list_transform(range({bins}), lambda i: ({counts_a}[i + 1] + 0.5) / (list_sum({counts_a}) + {bins / 2}) "
@@ -434,7 +441,7 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     bins = []
     for x, y in single:
         r = residual(y, DAY_CHAIN)
-        bins.append(f"SELECT '{y}' AS node, '{x}' AS parent, {bin_of('e', '0.0', 'sd_e')} AS r, {bin_of('x', 'm_x', 'sd_x')} "
+        bins.append(f"SELECT '{y}' AS node, '{x}' AS parent, {chosen_bin_of('e', '0.0', 'sd_e')} AS r, {chosen_bin_of('x', 'm_x', 'sd_x')} "
                     f"AS x FROM (SELECT {r} AS e, {x} AS x, stddev_samp({r}) OVER () AS sd_e, avg({x}) OVER () AS m_x, "
                     f"stddev_samp({x}) OVER () AS sd_x FROM days, f)")
     z = "((power(g / dof, 1.0 / 3.0) - (1 - 2.0 / (9.0 * dof))) / sqrt(2.0 / (9.0 * dof)))"
