@@ -119,61 +119,96 @@ def linear_case(model: CausalModel, target: str, ref: Reference, plan: Coalition
                 seed: int = 0) -> dict:
     """What a task needs to attribute rows of an all-linear model: plain arrays of set size."""
     nodes = plan.players
+    at = {n: j for j, n in enumerate(nodes)}
     constant, effects = model.total_effects(target)
     noise, _ = draw_values(model, nodes, draws, replicate, seed)
     weight = np.array([effects[n] for n in nodes])
-    return {"constant": constant, "effects": weight, "reference": ref.values, "tie": ref.tie,
+    abduct = np.eye(len(nodes))  # row values to noise: x - sum(coef * parents) - intercept
+    for n in nodes:
+        for (parent,), c in zip(model[n].terms, model[n].coef):
+            abduct[at[parent], at[n]] -= c
+    return {"constant": constant, "effects": weight, "reference": ref.values, "tie": ref.tie, "abduct": abduct,
+            "intercepts": np.array([model[n].intercept for n in nodes]),
             "weighted": np.column_stack([np.broadcast_to(noise[n], (draws,)) for n in nodes]) * weight,
             "inside": np.array([[mask >> j & 1 for j in range(len(nodes))] for mask in plan.masks], dtype=bool),
             "factors": plan.factors}
 
 
-def linear_scores(df: DataFrame, target: str, cases: Mapping[int, dict], keep, nodes,
-                  replicate: str | None = None) -> DataFrame:
-    """Attribute rows with binary searches, Arrow batch by Arrow batch; the rows never move.
+def share_function():
+    """The scoring of one Arrow batch, as a function that carries no import of this package to the workers.
+
+    The draws of each coalition are summed and sorted once; a row then costs two binary searches per
+    coalition and not one test per draw.
+    """
+    def prepare(case):
+        return np.sort(case["inside"].astype(float) @ case["weighted"].T, axis=1)
+
+    def shares(case, sums, x):
+        """Rows x nodes from observed values, the target being the last node."""
+        y, noise = x[:, -1], x @ case["abduct"] - case["intercepts"]
+        reference, tie, inside = case["reference"], case["tie"], case["inside"]
+        m, draws = len(reference), sums.shape[1]
+        tail = np.minimum(m - np.searchsorted(reference, y - tie, side="left"),
+                          np.searchsorted(reference, y + tie, side="right"))
+        low = reference[np.minimum(tail, m - 1)] - tie
+        high = reference[np.maximum(m - tail - 1, 0)] + tie
+        fixed = noise * case["effects"]
+        out = np.zeros((len(y), noise.shape[1]))
+        for s in range(len(inside)):
+            if not inside[s].any():
+                continue  # nothing random: as anomalous as observed, value 0
+            base = case["constant"] + fixed[:, ~inside[s]].sum(axis=1)
+            hits = (np.searchsorted(sums[s], low - base, side="left")
+                    + draws - np.searchsorted(sums[s], high - base, side="right"))
+            q = np.where(tail >= m, 1.0, np.clip(hits / draws, 1.0 / (draws + 1), 1.0))
+            out -= np.log(q)[:, None] * case["factors"][s]
+        return out
+
+    return prepare, shares
+
+
+def linear_scores(df: DataFrame, case: dict, keep, nodes) -> DataFrame:
+    """``(keep..., __p0..)``: attribute rows Arrow batch by Arrow batch; the rows never move."""
+    names = [f"__p{j}" for j in range(len(nodes))]
+    keep, nodes = list(keep), list(nodes)
+    schema = T.StructType([df.schema[k] for k in keep] + [T.StructField(n, T.DoubleType()) for n in names])
+    prepare, shares = share_function()
+
+    def attribute(batches):
+        sums = None
+        for batch in batches:
+            sums = prepare(case) if sums is None else sums
+            found = pd.DataFrame(shares(case, sums, batch[nodes].to_numpy(float)), columns=names)
+            yield pd.concat([batch[keep].reset_index(drop=True), found], axis=1)
+
+    return df.select(*keep, *[F.col(n) for n in nodes if n not in keep]).mapInPandas(attribute, schema)
+
+
+def linear_intervals(df: DataFrame, cases: Mapping[int, dict], keep, nodes, level: float) -> DataFrame:
+    """``(keep..., node, median, lo, hi)`` over several fits of the same graph.
 
-    ``cases`` holds one model, or one per value of the ``replicate`` column. The draws of a coalition are
-    summed and sorted once per task (and replicate: rows are sorted by it inside their partition, so one
-    set of sums is held at a time); a row then costs two searches per coalition, not one test per draw.
+    A batch meets one fit after the other and gives quantiles over them, so neither copies of rows nor
+    scores per replicate ever leave the task, and only one fit's sums are held at a time.
     """
-    noise_names = [f"{n}__noise" for n in nodes]
-    share_names = [f"__p{j}" for j in range(len(nodes))]
-    keep = list(keep)
-    schema = T.StructType([df.schema[k] for k in keep] + [T.StructField(n, T.DoubleType()) for n in share_names])
-
-    def attribute(batches):  # self-contained: workers need not import this package
-        def shares(case, sums, y, noise):
-            reference, tie, inside = case["reference"], case["tie"], case["inside"]
-            m, draws = len(reference), sums.shape[1]
-            tail = np.minimum(m - np.searchsorted(reference, y - tie, side="left"),
-                              np.searchsorted(reference, y + tie, side="right"))
-            low = reference[np.minimum(tail, m - 1)] - tie
-            high = reference[np.maximum(m - tail - 1, 0)] + tie
-            fixed = noise * case["effects"]
-            out = np.zeros((len(y), noise.shape[1]))
-            for s in range(len(inside)):
-                if not inside[s].any():
-                    continue  # nothing random: as anomalous as observed, value 0
-                base = case["constant"] + fixed[:, ~inside[s]].sum(axis=1)
-                hits = (np.searchsorted(sums[s], low - base, side="left")
-                        + draws - np.searchsorted(sums[s], high - base, side="right"))
-                q = np.where(tail >= m, 1.0, np.clip(hits / draws, 1.0 / (draws + 1), 1.0))
-                out -= np.log(q)[:, None] * case["factors"][s]
-            return out
-
-        current, sums = None, None
+    keep, nodes = list(keep), list(nodes)
+    fields = [T.StructField("node", T.StringType())] + [T.StructField(n, T.DoubleType()) for n in ("median", "lo", "hi")]
+    schema = T.StructType([df.schema[k] for k in keep] + fields)
+    prepare, shares = share_function()
+    points = [0.5, (1.0 - level) / 2.0, 1.0 - (1.0 - level) / 2.0]
+    order = [cases[r] for r in sorted(cases)]
+
+    def attribute(batches):
         for batch in batches:
-            for r, part in ([(0, batch)] if replicate is None else batch.groupby(replicate, sort=False)):
-                case = cases[r]
-                if r != current:
-                    current, sums = r, np.sort(case["inside"].astype(float) @ case["weighted"].T, axis=1)
-                found = shares(case, sums, part["__y"].to_numpy(), part[noise_names].to_numpy())
-                yield pd.concat([part[keep].reset_index(drop=True), pd.DataFrame(found, columns=share_names)], axis=1)
+            x = batch[nodes].to_numpy(float)
+            found = np.quantile(np.stack([shares(c, prepare(c), x) for c in order]), points, axis=0)
+            for j, n in enumerate(nodes):
+                out = batch[keep].reset_index(drop=True)
+                out["node"] = n
+                for i, name in enumerate(("median", "lo", "hi")):
+                    out[name] = found[i, :, j]
+                yield out
 
-    slim = df.select(*keep, F.col(target).alias("__y"), *noise_names)
-    if replicate is not None:
-        slim = slim.sortWithinPartitions(replicate)
-    return slim.mapInPandas(attribute, schema)
+    return df.select(*keep, *[F.col(n) for n in nodes if n not in keep]).mapInPandas(attribute, schema)
 
 
 def _general_scores(df: DataFrame, model: CausalModel, target: str, ref: Reference, plan: CoalitionPlan, keep,
@@ -219,13 +254,11 @@ def attribute_wide(model: CausalModel, rows: DataFrame, target: str, keep, draws
     plan = coalition_plan(nodes, orderings, seed)
     clean = rows.filter(complete(nodes)).select(*keep, *[F.col(n).cast("double").alias(n) for n in nodes
                                                             if n not in keep])
-    noisy = model.with_noise(clean, nodes)
     if linear is None:
         linear = model.is_linear(nodes)
     if not linear:
-        return _general_scores(noisy, model, target, ref, plan, keep, draws, replicate, seed), nodes
-    case = linear_case(model, target, ref, plan, draws, replicate, seed)
-    return linear_scores(noisy, target, {0: case}, keep, nodes), nodes
+        return _general_scores(model.with_noise(clean, nodes), model, target, ref, plan, keep, draws, replicate, seed), nodes
+    return linear_scores(clean, linear_case(model, target, ref, plan, draws, replicate, seed), keep, nodes), nodes
 
 
 def attribute_anomalies(model: CausalModel, rows: DataFrame, target: str, keep, draws: int = REFERENCE_DRAWS,

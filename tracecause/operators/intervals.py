@@ -19,16 +19,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracecause.functions.randomness import double_array, keyed_uniform_values, poisson_values
-from tracecause.operators.anomaly import (REFERENCE_DRAWS, attribute_anomalies, linear_case, linear_scores,
+from tracecause.functions.randomness import double_array
+from tracecause.operators.anomaly import (REFERENCE_DRAWS, attribute_anomalies, linear_case, linear_intervals,
                                           reference_draws)
-from tracecause.operators.change import change_scores, mean, mixed_values
+from tracecause.operators.change import change_scores, fit_periods, mean, mixed_values
 from tracecause.operators.frames import complete
 from tracecause.operators.graph import CausalGraph
 from tracecause.operators.mechanisms import (POOL_ROWS, CausalModel, Mechanism, attach_noise, default_kinds,
-                                             design_terms, keyed_pool, moments, needed_products, profile, solve)
+                                             design_terms, moments, needed_products, pool_frame, profile, solve)
 from tracecause.operators.sampling import bootstrap_weights, subsample_weights
-from tracecause.operators.shapley import coalition_plan, unpivot_players
+from tracecause.operators.shapley import coalition_plan
 from tracecause.operators.simulation import intervene
 
 RESAMPLES = 20
@@ -52,27 +52,34 @@ def confidence_intervals(query: Callable[[int], DataFrame], replicates: int = RE
     return interval_table(reduce(DataFrame.unionByName, parts), list(by), mode, level, score)
 
 
-def weight_rows(df: DataFrame, key: Column, mode: str, replicates: int, frac: float, seed: int) -> DataFrame:
+def weight_rows(df: DataFrame, key: Column, mode: str, replicates: int, frac: float, seed: int,
+                method: str = "md5") -> DataFrame:
     if not 1 <= replicates <= MAX_RESAMPLES:
         raise ValueError(f"between 1 and {MAX_RESAMPLES} resamples")
     if mode in ("refit", "resample"):
-        return bootstrap_weights(df, key, replicates, seed)
+        return bootstrap_weights(df, key, replicates, seed, method)
     if mode == "subsample":
-        return subsample_weights(df, key, frac, replicates, seed).filter(F.col("weight") > 0)
+        return subsample_weights(df, key, frac, replicates, seed, method).filter(F.col("weight") > 0)
     raise ValueError(f"mode {mode!r} has no row weights")
 
 
-def weights_of(keys, mode: str, replicate: int, frac: float, seed: int) -> np.ndarray:
-    if mode == "subsample":
-        return (keyed_uniform_values(keys, "sample", replicate, seed) < frac).astype(int)
-    return poisson_values(keyed_uniform_values(keys, "boot", replicate, seed))
+def weighted_pool(rows: DataFrame, key: Column, nodes, mode: str, replicates: int, frac: float, size: int, seed: int,
+                  method: str) -> tuple[np.ndarray, np.ndarray]:
+    """The noise pool's rows in hash order, and their weights per replicate."""
+    pool = weight_rows(pool_frame(rows, key, nodes, size, seed), F.col("__k"), mode, replicates, frac, seed, method)
+    pool = (pool.groupBy("__h", "__k", *nodes).agg(F.map_from_entries(F.collect_list(F.struct("replicate", "weight")))
+                                                   .alias("w")).orderBy("__h", "__k").collect())
+    values = np.array([[r[n] for n in nodes] for r in pool], dtype=float).reshape(len(pool), len(nodes))
+    return values, np.array([[r.w.get(i, 0) for i in range(replicates)] for r in pool], dtype=int)
 
 
 def replicate_models(df: DataFrame, graph: CausalGraph, key: Column, nodes, mode: str = "refit",
                      replicates: int = RESAMPLES, frac: float = 0.6, kinds: Mapping[str, str] | None = None,
-                     side: str | None = None, pool: int = POOL_ROWS, seed: int = 0) -> dict:
+                     side: str | None = None, pool: int = POOL_ROWS, seed: int = 0, method: str = "md5") -> dict:
     """``{replicate: model}``, or ``{(side, replicate): model}``, from one weighted pass over the rows.
 
+    A row costs one hash per replicate; ``method="xxhash64"`` makes that the cheaper one.
+
     Half-normal roots are given by their first two weighted moments and the observed minimum.
     """
     nodes = list(nodes)
@@ -83,7 +90,7 @@ def replicate_models(df: DataFrame, graph: CausalGraph, key: Column, nodes, mode
     rows = df.filter(complete(nodes)).select(*by, key.cast("string").alias("__k"),
                                              *[F.col(n).cast("double").alias(n) for n in nodes])
     scale, _, _ = profile(rows, nodes)
-    weighted = weight_rows(rows, F.col("__k"), mode, replicates, frac, seed)
+    weighted = weight_rows(rows, F.col("__k"), mode, replicates, frac, seed, method)
     designs = [(n, design_terms(kinds[n], graph.parents(n))) for n in nodes]
     groups = moments(weighted, scale, needed_products(designs), by + ["replicate"], F.col("weight"))
     half = [n for n in nodes if kinds[n] == "halfnorm"]
@@ -92,7 +99,7 @@ def replicate_models(df: DataFrame, graph: CausalGraph, key: Column, nodes, mode
     samples = {}
     for group in lows if pool else ():
         part = rows.filter(F.col(side) == group[0]) if side else rows
-        samples[group] = keyed_pool(part, F.col("__k"), nodes, pool, seed)
+        samples[group] = weighted_pool(part, F.col("__k"), nodes, mode, replicates, frac, pool, seed, method)
     models = {}
     for group, m in groups.items():
         own, r = group[:-1], group[-1]
@@ -104,9 +111,8 @@ def replicate_models(df: DataFrame, graph: CausalGraph, key: Column, nodes, mode
                                                  "noise_mean": low + size * float(np.sqrt(2 / np.pi)),
                                                  "noise_var": size ** 2 * (1 - 2 / np.pi)})
         if pool:
-            keys, values = samples[own]
-            w = weights_of(keys, mode, r, frac, seed)
-            picked = np.repeat(values, w, axis=0) if w.sum() else values
+            values, weights = samples[own]
+            picked = np.repeat(values, weights[:, r], axis=0) if weights[:, r].sum() else values
             at = {n: picked[:, i] for i, n in enumerate(nodes)}
             found = {n: attach_noise(x, at) for n, x in found.items()}
         models[group if side else r] = CausalModel(graph, found, int(m.n))
@@ -161,8 +167,6 @@ def change_replicates(old: DataFrame, new: DataFrame, graph: CausalGraph, target
                       draws: int | None = None, kinds: Mapping[str, str] | None = None, pool: int = POOL_ROWS,
                       seed: int = 0) -> DataFrame:
     """``(replicate, node, score)``."""
-    from tracecause.operators.change import fit_periods
-
     spark = old.sparkSession
     nodes = graph.closure(target)
     all_kinds = default_kinds(graph, kinds)
@@ -190,39 +194,37 @@ def change_replicates(old: DataFrame, new: DataFrame, graph: CausalGraph, target
     return plan.shares(mixed, F.col(target), ["replicate"])
 
 
-def anomaly_replicates(train: DataFrame, rows: DataFrame, graph: CausalGraph, target: str, key: Column, keep,
-                       mode: str = "refit", replicates: int = RESAMPLES, frac: float = 0.6,
-                       draws: int = REFERENCE_DRAWS, kinds: Mapping[str, str] | None = None, pool: int = POOL_ROWS,
-                       seed: int = 0, model: CausalModel | None = None) -> DataFrame:
-    """``(replicate, keep..., node, score)`` of anomaly attributions under refitted models."""
-    nodes = graph.closure(target)
-    keep = [keep] if isinstance(keep, str) else list(keep)
+def anomaly_models(train: DataFrame, graph: CausalGraph, target: str, key: Column, mode: str, replicates: int,
+                   frac: float, kinds, pool: int, seed: int, model: CausalModel | None, method: str) -> dict:
     if mode == "rerun":
         if model is None:
             raise ValueError("mode 'rerun' needs the fitted model")
-        models = dict.fromkeys(range(replicates), model)
-    else:
-        models = replicate_models(train, graph, key, nodes, mode, replicates, frac, kinds, None, pool, seed)
-    if not all(m.is_linear(nodes) for m in models.values()):
-        parts = [attribute_anomalies(models[r], rows, target, keep, draws, r, seed).withColumn("replicate", F.lit(r))
-                 for r in range(replicates)]
-        return reduce(DataFrame.unionByName, parts)
-    plan = coalition_plan(nodes, seed=seed)
-    cases = {r: linear_case(m, target, reference_draws(m, target, draws, r, seed), plan, draws, r, seed)
-             for r, m in models.items()}
-    copies = rows.filter(complete(nodes)).select(
-        *keep, *[F.col(n).cast("double").alias(n) for n in nodes if n not in keep],
-        F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
-    noisy = indexed_model([models[r] for r in range(replicates)], nodes, F.col("replicate")).with_noise(copies, nodes)
-    wide = linear_scores(noisy, target, cases, ["replicate", *keep], nodes, "replicate")
-    return unpivot_players(wide, nodes, ["replicate", *keep])
+        return dict.fromkeys(range(replicates), model)
+    return replicate_models(train, graph, key, graph.closure(target), mode, replicates, frac, kinds, None, pool, seed,
+                            method)
 
 
 def anomaly_intervals(train: DataFrame, rows: DataFrame, graph: CausalGraph, target: str, key: Column, keep,
-                      mode: str = "refit", replicates: int = RESAMPLES, level: float = 0.95, **options) -> DataFrame:
+                      mode: str = "refit", replicates: int = RESAMPLES, level: float = 0.95, frac: float = 0.6,
+                      draws: int = REFERENCE_DRAWS, kinds: Mapping[str, str] | None = None, pool: int = POOL_ROWS,
+                      seed: int = 0, model: CausalModel | None = None, method: str = "md5") -> DataFrame:
+    """``(keep..., node, median, lo, hi, mode, resamples)`` of each row's attribution under refitted models.
+
+    All-linear models are scored in one map over the rows; others one after the other.
+    """
+    nodes = graph.closure(target)
     keep = [keep] if isinstance(keep, str) else list(keep)
-    scores = anomaly_replicates(train, rows, graph, target, key, keep, mode, replicates, **options)
-    return interval_table(scores, [*keep, "node"], mode, level)
+    models = anomaly_models(train, graph, target, key, mode, replicates, frac, kinds, pool, seed, model, method)
+    if not all(m.is_linear(nodes) for m in models.values()):
+        parts = [attribute_anomalies(models[r], rows, target, keep, draws, r, seed) for r in range(replicates)]
+        return interval_table(reduce(DataFrame.unionByName, parts), [*keep, "node"], mode, level)
+    plan = coalition_plan(nodes, seed=seed)
+    cases = {r: linear_case(m, target, reference_draws(m, target, draws, r, seed), plan, draws, r, seed)
+             for r, m in models.items()}
+    clean = rows.filter(complete(nodes)).select(*keep, *[F.col(n).cast("double").alias(n) for n in nodes
+                                                         if n not in keep])
+    return linear_intervals(clean, cases, keep, nodes, level).select(
+        "*", F.lit(mode).alias("mode"), F.lit(replicates).alias("resamples"))
 
 
 def intervention_intervals(df: DataFrame, graph: CausalGraph, key: Column, interventions, mode: str = "refit",

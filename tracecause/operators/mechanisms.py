@@ -454,23 +454,23 @@ def default_kinds(graph: CausalGraph, overrides: Mapping[str, str] | None = None
     return kinds
 
 
-def keyed_pool(df: DataFrame, key: Column, nodes, size: int = POOL_ROWS, seed: int = 0) -> tuple[list, np.ndarray]:
-    """Keys and whole rows with the smallest key hashes, a uniform sample of at most ``size`` rows.
+def pool_frame(df: DataFrame, key: Column, nodes, size: int = POOL_ROWS, seed: int = 0) -> DataFrame:
+    """Whole rows with the smallest key hashes, a uniform sample of at most ``size`` rows.
 
     Drawing from an empirical distribution is sampling by definition; the bound limits how rare a noise
     value the model can know. Each task keeps its own ``size`` best rows, so nothing larger moves.
     """
     if size > MAX_POOL_ROWS:
         raise ValueError(f"a noise pool holds at most {MAX_POOL_ROWS} rows")
-    rows = (df.select(F.md5(F.concat_ws(":", key.cast("string"), F.lit("pool"), F.lit(str(seed))).cast("binary"))
+    return (df.select(F.md5(F.concat_ws(":", key.cast("string"), F.lit("pool"), F.lit(str(seed))).cast("binary"))
                       .alias("__h"), key.cast("string").alias("__k"), *[F.col(n).cast("double") for n in nodes])
-            .orderBy("__h", "__k").limit(size).collect())
-    return [r["__k"] for r in rows], np.array([[r[n] for n in nodes] for r in rows],
-                                              dtype=float).reshape(len(rows), len(nodes))
+            .orderBy("__h", "__k").limit(size))
 
 
 def pool_rows(df: DataFrame, key: Column, nodes, size: int = POOL_ROWS, seed: int = 0) -> np.ndarray:
-    return keyed_pool(df, key, nodes, size, seed)[1]
+    """The pool as an array, row by row in hash order."""
+    rows = pool_frame(df, key, nodes, size, seed).collect()
+    return np.array([[r[n] for n in nodes] for r in rows], dtype=float).reshape(len(rows), len(nodes))
 
 
 def attach_noise(mechanism: Mechanism, pool: Mapping[str, np.ndarray]) -> Mechanism:
