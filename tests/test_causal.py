@@ -420,6 +420,27 @@ def test_bootstrap_by_brute_force(weeks):
         assert mine == pytest.approx(want, rel=1e-6, abs=1e-9)
 
 
+def test_drawn_replicates_share_one_plan(weeks, spark):
+    """All replicates at once give what each gives alone."""
+    for mode in ("refit", "rerun"):
+        got = intervals.change_replicates(*weeks, SUPPLY, "received", F.col("asin"), mode, 2, summary=change.variance,
+                                          draws=200).toPandas()
+        if mode == "refit":
+            both = weeks[0].withColumn("side", F.lit(0)).unionByName(weeks[1].withColumn("side", F.lit(1)))
+            models = intervals.replicate_models(both, SUPPLY, F.col("asin"), SUPPLY.closure("received"), mode, 2, side="side")
+        for r in range(2):
+            pair = ([models[(s, r)] for s in (0, 1)] if mode == "refit"
+                    else change.fit_periods(*weeks, SUPPLY, "received", key=F.col("asin"), pool=1000))
+            want = scores(change.change_scores(spark, *pair, "received", change.variance, 200, r))
+            assert got[got.replicate == r].set_index("node").score.to_dict() == pytest.approx(want, rel=1e-9, abs=1e-9)
+
+
+def test_cheaper_hash_gives_like_intervals(weeks):
+    args = (*weeks, SUPPLY, "received", F.col("asin"), "refit", 10)
+    a, b = (intervals.change_intervals(*args, method=m).toPandas().set_index("node") for m in ("md5", "xxhash64"))
+    assert b.loc["demand", "median"] == pytest.approx(a.loc["demand", "median"], rel=0.1)
+
+
 def test_intervals_over_a_closure(weeks, spark):
     model = fit(weeks[0], SUPPLY, F.col("asin"))
     other = fit(weeks[1], SUPPLY, F.col("asin"))

@@ -142,22 +142,34 @@ def mixed_values(df: DataFrame, plan: CoalitionPlan, old: CausalModel, new: Caus
 
 
 def coalition_values(spark: SparkSession, plan: CoalitionPlan, old: CausalModel, new: CausalModel, target: str,
-                     summary: Summary, draws: int, replicate=0, seed: int = 0) -> DataFrame:
-    """``(slot, coalition, value)``: the summary of the target under each mix of mechanisms."""
+                     summary: Summary, draws: int, replicate=0, seed: int = 0, replicates: int | None = None,
+                     pools=({}, {})) -> DataFrame:
+    """``(slot, coalition, value)``: the summary of the target under each mix of mechanisms.
+
+    With ``replicates`` all of them are drawn in one plan and a ``replicate`` column leads the result;
+    ``pools`` then gives noise by replicate where models differ.
+    """
     if draws == 0:
         base = plan.explode(spark.range(1).select(F.lit(0.0).alias("__zero")))
         means = {0: old, 1: new}
         mixed = mixed_values(base, plan, old, new, lambda n, side: F.lit(means[side][n].noise_mean))
         return mixed.select("slot", "coalition", F.col(target).alias("value"))
     base = spark.range(draws).select(F.col("id").alias("draw"))
+    by = []
+    if replicates is not None:
+        if summary is kl:
+            raise ValueError("kl is placed by one old model; stack its replicates with confidence_intervals")
+        base = base.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+        by, replicate = ["replicate"], F.col("replicate")
     for n in plan.players:
         for side, model in enumerate((old, new)):
-            base = base.withColumn(f"{n}__{side}", model[n].noise_column(F.col("draw"), replicate, seed))
+            base = base.withColumn(f"{n}__{side}", model[n].noise_column(F.col("draw"), replicate, seed,
+                                                                         pool=pools[side].get(n)))
     mixed = mixed_values(plan.explode(base), plan, old, new, lambda n, side: F.col(f"{n}__{side}"))
     if summary is kl:
         y = draw_values(old, plan.players, draws, replicate, seed)[1][target]
         return kl_values(mixed, target, float(y.mean()), float(y.std(ddof=1)), draws)
-    return mixed.groupBy("slot", "coalition").agg(summary(F.col(target)).alias("value"))
+    return mixed.groupBy(*by, "slot", "coalition").agg(summary(F.col(target)).alias("value"))
 
 
 def change_scores(spark: SparkSession, old: CausalModel, new: CausalModel, target: str, summary: Summary = mean,

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tracecause.functions.randomness import double_array
 from tracecause.operators.anomaly import (REFERENCE_DRAWS, attribute_anomalies, linear_case, linear_intervals,
                                           reference_draws)
-from tracecause.operators.change import change_scores, fit_periods, mean, mixed_values
+from tracecause.operators.change import change_scores, coalition_values, fit_periods, kl, mean, mixed_values
 from tracecause.operators.frames import complete
 from tracecause.operators.graph import CausalGraph
 from tracecause.operators.mechanisms import (POOL_ROWS, CausalModel, Mechanism, attach_noise, default_kinds,
@@ -156,39 +156,47 @@ def indexed_pools(models: Sequence[CausalModel], nodes, index: Column) -> dict[s
 def change_intervals(old: DataFrame, new: DataFrame, graph: CausalGraph, target: str, key: Column,
                      mode: str = "refit", replicates: int = RESAMPLES, level: float = 0.95, frac: float = 0.6,
                      summary=mean, draws: int | None = None, kinds: Mapping[str, str] | None = None,
-                     pool: int = POOL_ROWS, seed: int = 0) -> DataFrame:
+                     pool: int = POOL_ROWS, seed: int = 0, method: str = "md5") -> DataFrame:
     """Intervals of :func:`tracecause.operators.change.distribution_change`."""
     return interval_table(change_replicates(old, new, graph, target, key, mode, replicates, frac, summary, draws,
-                                            kinds, pool, seed), ["node"], mode, level)
+                                            kinds, pool, seed, method), ["node"], mode, level)
 
 
 def change_replicates(old: DataFrame, new: DataFrame, graph: CausalGraph, target: str, key: Column,
                       mode: str = "refit", replicates: int = RESAMPLES, frac: float = 0.6, summary=mean,
                       draws: int | None = None, kinds: Mapping[str, str] | None = None, pool: int = POOL_ROWS,
-                      seed: int = 0) -> DataFrame:
-    """``(replicate, node, score)``."""
+                      seed: int = 0, method: str = "md5") -> DataFrame:
+    """``(replicate, node, score)``: all replicates in one plan."""
     spark = old.sparkSession
     nodes = graph.closure(target)
     all_kinds = default_kinds(graph, kinds)
     linear = summary is mean and all(all_kinds[n] not in ("poly", "gbt") for n in nodes)
+    index = F.col("replicate")
+    plan = coalition_plan(nodes, seed=seed)
+    closed = linear and draws in (None, 0) and mode != "rerun"
+    draws = draws or 2000
     if mode == "rerun":
-        draws = draws or 2000
         pair = fit_periods(old, new, graph, target, kinds, key, pool, seed)
-        parts = [change_scores(spark, *pair, target, summary, draws, r, seed).withColumn("replicate", F.lit(r))
-                 for r in range(replicates)]
-        return reduce(DataFrame.unionByName, parts)
-    closed = linear and draws in (None, 0)
-    cols = [key.cast("string").alias("__key"), *[F.col(n).cast("double").alias(n) for n in nodes]]
-    both = old.select(F.lit(0).alias("side"), *cols).unionByName(new.select(F.lit(1).alias("side"), *cols))
-    models = replicate_models(both, graph, F.col("__key"), nodes, mode, replicates, frac, kinds, "side",
-                              0 if closed else pool, seed)
-    if not closed:
-        parts = [change_scores(spark, models[(0, r)], models[(1, r)], target, summary, draws or 2000, r, seed)
+        if summary is not kl:
+            drawn = coalition_values(spark, plan, *pair, target, summary, draws, 0, seed, replicates)
+            return plan.shares(drawn, F.col("value"), ["replicate"])
+        models = {(s, r): pair[s] for s in (0, 1) for r in range(replicates)}
+    else:
+        cols = [key.cast("string").alias("__key"), *[F.col(n).cast("double").alias(n) for n in nodes]]
+        both = old.select(F.lit(0).alias("side"), *cols).unionByName(new.select(F.lit(1).alias("side"), *cols))
+        models = replicate_models(both, graph, F.col("__key"), nodes, mode, replicates, frac, kinds, "side",
+                                  0 if closed else pool, seed, method)
+    each = [[models[(s, r)] for r in range(replicates)] for s in (0, 1)]
+    if summary is kl:
+        parts = [change_scores(spark, each[0][r], each[1][r], target, summary, draws, r, seed)
                  .withColumn("replicate", F.lit(r)) for r in range(replicates)]
         return reduce(DataFrame.unionByName, parts)
-    index = F.col("replicate")
-    sides = [indexed_model([models[(s, r)] for r in range(replicates)], nodes, index) for s in (0, 1)]
-    plan = coalition_plan(nodes, seed=seed)
+    if not closed:
+        pools = tuple(indexed_pools(m, nodes, index) for m in each)
+        drawn = coalition_values(spark, plan, *(indexed_model(m, nodes, index) for m in each), target, summary, draws, 0,
+                                 seed, replicates, pools)
+        return plan.shares(drawn, F.col("value"), ["replicate"])
+    sides = [indexed_model(m, nodes, index) for m in each]
     base = plan.explode(spark.range(replicates).select(F.col("id").cast("int").alias("replicate")))
     mixed = mixed_values(base, plan, *sides, lambda n, s: sides[s][n].noise_mean if sides[s][n].is_root else F.lit(0.0))
     return plan.shares(mixed, F.col(target), ["replicate"])
