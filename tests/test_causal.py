@@ -131,6 +131,20 @@ def test_trees(spark):
     assert tree == ["x", 0.5, 1.0, 2.0] and tree_value(json.loads(json.dumps(tree)), {"x": np.array([0.0, 1.0])}).tolist() == [1, 2]
 
 
+def test_columns_that_do_not_vary(spark):
+    rows = [(i, 5.0, float(i % 7), 2.0 * (i % 7) + 1, 3.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, flat double, a double, y double, z double")
+    g = CausalGraph((("flat", "y"), ("a", "y"), ("a", "z")))
+    model = fit(df, g, F.col("k"))
+    coef = dict(zip(model["y"].parents, model["y"].coef))
+    assert coef["a"] == pytest.approx(2.0) and coef["flat"] * 5 + model["y"].intercept == pytest.approx(1.0)
+    assert model["z"].coef == pytest.approx((0.0,)) and model["z"].noise_var == 0.0
+    got = anomaly.attribute_anomalies(model, df, "y", "k", 50).groupBy("k").agg(F.sum("score").alias("s")).toPandas()
+    assert np.isfinite(got.s).all() and len(got) == 60
+    assert evaluation.independence(model, df).filter("rejected").count() == 0
+    assert (anomaly.z_scores(df, "flat").toPandas().score == 0).all()
+
+
 # --- evaluation ---
 
 

@@ -103,6 +103,26 @@ def test_sanitize(spark):
         ingest.sanitize(spark.createDataFrame([(1, 2)], ["a b", "a_b"]))
 
 
+def test_ingest_makes_tables(spark):
+    path, name = fresh_path(spark, "csv"), "ingest_" + fresh_path(spark, "x").rsplit("-", 1)[1]
+    df = spark.createDataFrame([(1, True, 2.5)], ["Sold Units", "Shopping Event?", "Profit"])
+    ingest.write_csv(df, path)
+    ingest.ensure_schema(spark, name, fresh_path(spark, "schema"))
+    full = ingest.ingest(spark, {"days": path}, name)["days"]
+    row = spark.read.table(full).first()
+    assert (row.Sold_Units, row.Shopping_Event, row.Profit) == (1, True, 2.5)
+    ingest.drop_table(spark, full)
+    assert not spark.catalog.tableExists(full)
+    ingest.drop_table(spark, full)
+
+
+def test_aligned_keys_never_multiply(spark):
+    old = spark.createDataFrame([(1, 2.0), (1, 4.0), (2, 0.0)], "k int, x double")
+    new = spark.createDataFrame([(1, 6.0), (1, 6.0), (2, 1.0)], "k int, x double")
+    rows = {r.k: r for r in frames.aligned_change(old, new, "k", ["x"]).collect()}
+    assert len(rows) == 2 and rows[1].x_growth_pct == 100.0 and rows[2].x_growth_pct is None
+
+
 def test_snapshots(spark):
     path = fresh_path(spark, "snapshots")
     with pytest.raises(ValueError):

@@ -24,8 +24,9 @@ def normal_tail(z: Column) -> Column:
 
 def chi2_tail(statistic: Column, dof: Column) -> Column:
     """P(X >= statistic) for chi-square by the Wilson-Hilferty cube root."""
-    spread = F.lit(2.0) / (9.0 * dof)
-    z = (F.pow(statistic / dof, F.lit(1.0 / 3.0)) - (1.0 - spread)) / F.sqrt(spread)
+    safe = F.greatest(dof, F.lit(1.0))
+    spread = F.lit(2.0) / (9.0 * safe)
+    z = (F.pow(statistic / safe, F.lit(1.0 / 3.0)) - (1.0 - spread)) / F.sqrt(spread)
     return F.when(dof > 0, normal_tail(z)).otherwise(F.lit(1.0))
 
 

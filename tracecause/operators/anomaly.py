@@ -107,9 +107,10 @@ def z_scores(df: DataFrame, target: str, keep=(), mean: float | None = None, sd:
         ref = reference_draws(model, target, draws, 0, seed)
         mean, sd = float(ref.values.mean()), float(ref.values.std(ddof=1))
     if mean is None or sd is None:
-        row = df.agg(F.avg(y).alias("m"), F.stddev_samp(y).alias("s")).first()
+        row = df.filter(complete([target])).agg(F.avg(y).alias("m"), F.stddev_samp(y).alias("s")).first()
         mean, sd = row.m, row.s
-    return df.select(*keep, y.alias("value"), (F.abs(y - F.lit(mean)) / F.lit(sd)).alias("score"))
+    score = F.abs(y - F.lit(mean)) / F.lit(sd) if sd else F.lit(0.0)
+    return df.filter(complete([target])).select(*keep, y.alias("value"), score.alias("score"))
 
 
 # --- attribution ---------------------------------------------------------------------------------

@@ -82,10 +82,14 @@ def event_overlay(df: DataFrame, key: str, flag: str, target: str) -> DataFrame:
 
 
 def aligned_change(old: DataFrame, new: DataFrame, on, columns) -> DataFrame:
-    """Pair the rows of two periods on real keys and give growth and drop in percent."""
+    """Pair two periods on real keys and give growth and drop in percent.
+
+    A key that comes more than once stands for its mean, so the join never multiplies rows; it reuses the
+    partitioning of that fold.
+    """
     on = [on] if isinstance(on, str) else list(on)
-    left = old.select(*on, *[F.col(c).alias(f"{c}_old") for c in columns])
-    right = new.select(*on, *[F.col(c).alias(f"{c}_new") for c in columns])
+    left = old.groupBy(*on).agg(*[F.avg(F.col(c).cast("double")).alias(f"{c}_old") for c in columns])
+    right = new.groupBy(*on).agg(*[F.avg(F.col(c).cast("double")).alias(f"{c}_new") for c in columns])
     both = left.join(right, on, "inner")
     for c in columns:
         both = (both.withColumn(f"{c}_growth_pct", growth_pct(F.col(f"{c}_old"), F.col(f"{c}_new")))
@@ -94,11 +98,12 @@ def aligned_change(old: DataFrame, new: DataFrame, on, columns) -> DataFrame:
 
 
 def growth_pct(old: Column, new: Column) -> Column:
-    return (new / old - 1.0) * 100.0
+    """Null where the old value is zero."""
+    return (F.try_divide(new, old) - 1.0) * 100.0
 
 
 def drop_pct(old: Column, new: Column) -> Column:
-    return (1.0 - new / old) * 100.0
+    return (1.0 - F.try_divide(new, old)) * 100.0
 
 
 def group_means(df: DataFrame, by: str, exclude=()) -> DataFrame:

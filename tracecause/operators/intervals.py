@@ -103,6 +103,8 @@ def replicate_models(df: DataFrame, graph: CausalGraph, key: Column, nodes, mode
     models = {}
     for group, m in groups.items():
         own, r = group[:-1], group[-1]
+        if m.n < 2:
+            raise ValueError("too few rows to resample")
         found = {n: solve(m, n, kinds[n], graph.parents(n)) for n in nodes}
         for n in half:
             low = lows[own][n]

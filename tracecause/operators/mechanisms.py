@@ -146,7 +146,7 @@ class CausalModel:
     def to_rows(self) -> list[tuple]:
         return [(n, m.kind, list(m.parents), ["*".join(t) for t in m.terms], [float(c) for c in m.coef],
                  float(m.intercept), [float(v) for v in m.noise], {k: float(v) for k, v in m.params.items()})
-                for n, m in ((n, self.mechanisms[n]) for n in self.graph.order)]
+                for n, m in ((n, self.mechanisms[n]) for n in self.graph.order if n in self.mechanisms)]
 
     def to_table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.to_rows(), MECHANISM_SCHEMA)

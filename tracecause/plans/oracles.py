@@ -394,6 +394,10 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
         for n in DAY_CHAIN + ["net"])
     q["head_rows"] = f"""WITH {FACTS} SELECT o_orderkey, CAST(n_lines AS BIGINT) AS n_lines, round(gross, 2) AS gross
         FROM facts ORDER BY n_lines DESC, o_orderkey LIMIT 5"""
+    q["first_day"] = f"""WITH {DAYS} SELECT d, {tidy('(net - (SELECT avg(net) FROM days))')} AS from_mean FROM days
+        ORDER BY d LIMIT 1"""
+    q["edge_list"] = """SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS parent, CAST(l_partkey AS VARCHAR) AS child
+        FROM lineitem"""
     q["stack_periods"] = f"""WITH {FACTS} SELECT o_orderkey, d, CAST(n_lines AS BIGINT) AS n_lines,
         CASE WHEN d <= {SPLIT} THEN 'w1' ELSE 'w2' END AS week FROM facts"""
     q["round_half_even"] = """SELECT l_orderkey, l_linenumber, round_even(l_quantity / 2, 0) AS half,
@@ -466,13 +470,13 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     q["period_divergence"] = f"""WITH {DAYS}, a AS (SELECT * FROM days WHERE d <= {SPLIT}),
         b AS (SELECT * FROM days WHERE d > {SPLIT}) """ + divergence("a", "b", DAY_ALL)
 
-    def forward(chain, row, replicate="'0'", qty=True):
+    def forward(chain, row, replicate="'0'", qty=True, shift={}):
         """Nested SELECT drawing all nodes for rows of ``draw``."""
         sql = "draw, f, pool"
         for i, n in enumerate(chain):
             noise = pick("p_" + n, u(row, n, replicate))
             value = noise if i == 0 else f"a_{n} + b_{n} * {chain[i - 1]} + {noise}"
-            sql = f"(SELECT *, {value} AS {n} FROM {sql})"
+            sql = f"(SELECT *, {shift.get(n, '{}').format(value)} AS {n} FROM {sql})"
         extra = f", a_qty + b_qty * n_lines + {pick('p_qty', u(row, 'qty', replicate))} AS qty" if qty else ""
         return f"(SELECT *, a_net + bd * disc + bg * gross AS net{extra} FROM {sql})"
     base = f"{DAYS}, {fits('days', DAY_CHAIN)}, {pools('days', 'd', DAY_CHAIN, ['qty'])}"
@@ -546,6 +550,8 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     drawn = f"{DAYS}, {change_drawn('days', 'd', DAY_CHAIN, 500)}"
     q["distribution_change_variance"] = (f"WITH {drawn}, vals AS (SELECT s, var_samp(net) AS v FROM mixed GROUP BY s), "
                                          f"{shapley('vals', nodes)} " + long("phi", "", nodes, "10.0", 5))
+    q["distribution_change_python"] = (f"WITH {drawn}, vals AS (SELECT s, avg(net) AS v FROM mixed GROUP BY s), "
+                                       f"{shapley('vals', nodes)} " + long("phi", "", nodes, "1e-3", 6))
     b = bin_of("net", "m", "sd")
     q["distribution_change_kl"] = (
         f"WITH {drawn}, o AS (SELECT avg(net) AS m, stddev_samp(net) AS sd FROM mixed WHERE s = 0), "
@@ -567,6 +573,10 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     stacked = " UNION ALL ".join(f"SELECT replicate, d, '{n}' AS node, {n} AS score FROM phi" for n in nodes)
     q["anomaly_interval"] = (f"WITH {boot}, {attribution('days', 'd', DAY_CHAIN, 200, 10)}, scores AS ({stacked}) "
                              + interval("scores", "refit", "d", "1e-5", 6))
+    shift = {"n_lines": "({} - 1)", "disc": "(({}) * 2)"}
+    q["interventional_draws"] = (f"WITH {base}, draw AS (SELECT unnest(range((SELECT count(*) FROM days))) AS id) SELECT id, "
+                                 + cols(["n_orders", "n_lines", "gross", "disc", "net"], "1e-4", 6)
+                                 + f" FROM {forward(DAY_CHAIN, 'id', shift=shift)}")
     row = {n: pick("p_" + n, u("d", n)) for n in ("n_lines", "gross", "disc", "qty")}
 
     def shifted(noise, source):

@@ -156,6 +156,11 @@ def roots_of(spark, sf_dir):
     return graph.root_table(supply_edges(spark, sf_dir))
 
 
+def edge_list(spark, sf_dir):
+    """Distinct edges out of any table: who supplied which part."""
+    return graph.edge_table(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_partkey")
+
+
 def node_list(spark, sf_dir):
     return graph.node_table(supply_edges(spark, sf_dir))
 
@@ -233,6 +238,14 @@ def head_rows(spark, sf_dir):
         "o_orderkey", "n_lines", F.round("gross", 2).alias("gross"))
 
 
+def first_day(spark, sf_dir):
+    """The earliest day, and how far its target lies from the mean of all days."""
+    df = days(spark, sf_dir)
+    first = frames.first_row(df, "d").select("d", F.lit(1).alias("one"), F.col(TARGET))
+    mean = df.groupBy(F.lit(1).alias("one")).agg(F.avg(TARGET).alias("mean"))
+    return first.join(mean, "one").select("d", tidy(F.col(TARGET) - F.col("mean")).alias("from_mean"))
+
+
 def stack_periods(spark, sf_dir):
     df = order_facts(spark, sf_dir).select("o_orderkey", "d", "n_lines")
     return frames.stack(*[frames.label(x, "week", w) for x, w in zip(old_new(df), ("w1", "w2"))])
@@ -459,6 +472,14 @@ def distribution_change_variance(spark, sf_dir):
     return out.select("node", tidy("score", 10.0, 5).alias("score"))
 
 
+def distribution_change_python(spark, sf_dir):
+    """The difference of means as a Python function of two samples."""
+    old, new = old_new(days(spark, sf_dir))
+    out = change.distribution_change(old, new, DAILY_GRAPH, TARGET, draws=500, key=day(),
+                                     difference=lambda x, y: y.mean() - x.mean())
+    return out.select("node", tidy("score", 1e-3, 6).alias("score"))
+
+
 def distribution_change_kl(spark, sf_dir):
     old, new = old_new(days(spark, sf_dir))
     out = change.distribution_change(old, new, DAILY_GRAPH, TARGET, change.kl, 500, key=day())
@@ -516,6 +537,13 @@ def intervene_counterfactual(spark, sf_dir):
     return out.select("o_orderkey", *[tidy(c, 1e-4, 6).alias(c) for c in ORDER_NODES])
 
 
+def interventional_draws(spark, sf_dir):
+    """Rows of the model under interventions, without data to start from."""
+    df = days(spark, sf_dir)
+    out = simulation.interventional_samples(spark, day_model(df), df.count(), SHIFTS)
+    return out.select("id", *[tidy(c, 1e-4, 6).alias(c) for c in ("n_orders", "n_lines", "gross", "disc", "net")])
+
+
 def before_after(spark, sf_dir):
     df = days(spark, sf_dir)
     after = simulation.intervene(day_model(df), df, day(), SHIFTS)
@@ -562,12 +590,13 @@ QUERIES = [
     daily_frame, order_frame, sanitized_columns, csv_roundtrip, snapshot_as_of, model_latest_alias, payload_roundtrip,
     period_filter, event_overlay, net_series, period_aligned_change, parents_of, roots_of, node_list, invert_edges,
     upstream, topo_level, group_means, column_means, target_spread, histograms, pairwise_corr, pairwise_counts,
-    percent_change, mean_difference, percent_share, root_cause_topk, head_rows, stack_periods, round_half_even,
+    percent_change, mean_difference, percent_share, root_cause_topk, head_rows, first_day, edge_list,
+    stack_periods, round_half_even,
     hash_sample, hash_sample_exact, poisson_weights, fit_linear, fit_linear_daily, fit_halfnormal, empirical_noise,
     noise_pool, auto_assign, auto_assign_products, mechanism_metrics, noise_independence, period_divergence,
     fit_divergence, evaluate_model, arrow_strength_trees, dag_local_tests, dag_permutations, dag_falsify, draw_samples, arrow_strength, arrow_strength_kl,
     intrinsic_influence, intrinsic_sampled, anomaly_score, z_score, attribute_anomalies, attribute_orders,
     distribution_change, distribution_change_orders, distribution_change_tested, distribution_change_variance,
-    distribution_change_kl, bootstrap_refit, bootstrap_resample, subsample_interval, rerun_interval, anomaly_interval,
+    distribution_change_python, distribution_change_kl, interventional_draws, bootstrap_refit, bootstrap_resample, subsample_interval, rerun_interval, anomaly_interval,
     intervene, intervene_counterfactual, before_after, intervention_interval, batch_scores, stream_scores,
 ]
