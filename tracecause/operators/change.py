@@ -71,7 +71,19 @@ def kl_values(mixed: DataFrame, target: str, mean_old: float, sd_old: float, dra
     return both.select("slot", "coalition", sum(parts[1:], parts[0]).alias("value"))
 
 
-def fit_periods(old: DataFrame, new: DataFrame, graph: CausalGraph, target: str,
+def stack_sides(old: DataFrame, new, nodes, key: Column | None = None) -> DataFrame:
+    """``(side, __key, node...)`` with side 0 for old and 1 for new rows.
+
+    ``new`` is a table, or a predicate on ``old`` where both periods are in one: then it is read once.
+    """
+    cols = [key.cast("string").alias("__key")] if key is not None else []
+    cols += [F.col(n).cast("double").alias(n) for n in nodes]
+    if isinstance(new, Column):
+        return old.select(F.when(new, 1).when(~new, 0).alias("side"), *cols).filter(F.col("side").isNotNull())
+    return old.select(F.lit(0).alias("side"), *cols).unionByName(new.select(F.lit(1).alias("side"), *cols))
+
+
+def fit_periods(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, target: str,
                 kinds: Mapping[str, str] | None = None, key: Column | None = None, pool: int = 0, seed: int = 0,
                 test_change: bool = False, level: float = 0.05) -> tuple[CausalModel, CausalModel]:
     """Old and new model of the target and its ancestors; both periods share every pass over the data.
@@ -81,12 +93,7 @@ def fit_periods(old: DataFrame, new: DataFrame, graph: CausalGraph, target: str,
     """
     nodes = list(graph.closure(target))
     kinds = {n: k for n, k in default_kinds(graph, kinds).items() if n in nodes}
-    tagged = []
-    for side, df in ((0, old), (1, new)):
-        extra = [key.cast("string").alias("__key")] if key is not None else []
-        tagged.append(df.select(F.lit(side).alias("side"), *extra,
-                                *[F.col(n).cast("double").alias(n) for n in nodes]))
-    both = tagged[0].unionByName(tagged[1])
+    both = stack_sides(old, new, nodes, key)
     rows = both.filter(complete(nodes))
     designs = [(n, design_terms(kinds[n], graph.parents(n))) for n in nodes]
     groups, _, _ = collect_moments(both, nodes, designs, ["side"])
@@ -189,12 +196,13 @@ def change_scores(spark: SparkSession, old: CausalModel, new: CausalModel, targe
     return plan.shares(values, F.col("value"))
 
 
-def distribution_change(old: DataFrame, new: DataFrame, graph: CausalGraph, target: str, summary: Summary = mean,
+def distribution_change(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, target: str, summary: Summary = mean,
                         draws: int | None = None, kinds: Mapping[str, str] | None = None, key: Column | None = None,
                         pool: int = POOL_ROWS, seed: int = 0, test_change: bool = False, level: float = 0.05,
                         difference=None) -> DataFrame:
     """Long ``(node, score)``: how much of the target's change, new minus old, each mechanism explains.
 
+    ``new`` is a table, or a predicate that marks the new rows of ``old`` where one table holds both periods.
     ``summary`` is one of this module's or any function from a Column to an aggregate Column; ``difference``
     is a Python function of two samples, old and new, for measures with no Column form.
     """

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from tracecause.functions.randomness import double_array
 from tracecause.operators.anomaly import (REFERENCE_DRAWS, attribute_anomalies, linear_case, linear_intervals,
                                           reference_draws)
-from tracecause.operators.change import change_scores, coalition_values, fit_periods, kl, mean, mixed_values
+from tracecause.operators.change import (change_scores, coalition_values, fit_periods, kl, mean, mixed_values,
+                                         stack_sides)
 from tracecause.operators.frames import complete
 from tracecause.operators.graph import CausalGraph
 from tracecause.operators.mechanisms import (POOL_ROWS, CausalModel, Mechanism, attach_noise, default_kinds,
@@ -94,12 +95,13 @@ def replicate_models(df: DataFrame, graph: CausalGraph, key: Column, nodes, mode
     designs = [(n, design_terms(kinds[n], graph.parents(n))) for n in nodes]
     groups = moments(weighted, scale, needed_products(designs), by + ["replicate"], F.col("weight"))
     half = [n for n in nodes if kinds[n] == "halfnorm"]
-    lows = {tuple(r[b] for b in by): r for r in
-            rows.groupBy(*by).agg(*[F.min(n).alias(n) for n in half], F.count(F.lit(1)).alias("__n")).collect()}
+    lows = {}
+    if half:
+        lows = {tuple(r[b] for b in by): r for r in rows.groupBy(*by).agg(*[F.min(n).alias(n) for n in half]).collect()}
     samples = {}
-    for group in lows if pool else ():
-        part = rows.filter(F.col(side) == group[0]) if side else rows
-        samples[group] = weighted_pool(part, F.col("__k"), nodes, mode, replicates, frac, pool, seed, method)
+    for own in sorted({g[:-1] for g in groups}) if pool else ():
+        part = rows.filter(F.col(side) == own[0]) if side else rows
+        samples[own] = weighted_pool(part, F.col("__k"), nodes, mode, replicates, frac, pool, seed, method)
     models = {}
     for group, m in groups.items():
         own, r = group[:-1], group[-1]
@@ -155,7 +157,7 @@ def indexed_pools(models: Sequence[CausalModel], nodes, index: Column) -> dict[s
     return pools
 
 
-def change_intervals(old: DataFrame, new: DataFrame, graph: CausalGraph, target: str, key: Column,
+def change_intervals(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, target: str, key: Column,
                      mode: str = "refit", replicates: int = RESAMPLES, level: float = 0.95, frac: float = 0.6,
                      summary=mean, draws: int | None = None, kinds: Mapping[str, str] | None = None,
                      pool: int = POOL_ROWS, seed: int = 0, method: str = "md5") -> DataFrame:
@@ -164,7 +166,7 @@ def change_intervals(old: DataFrame, new: DataFrame, graph: CausalGraph, target:
                                             kinds, pool, seed, method), ["node"], mode, level)
 
 
-def change_replicates(old: DataFrame, new: DataFrame, graph: CausalGraph, target: str, key: Column,
+def change_replicates(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, target: str, key: Column,
                       mode: str = "refit", replicates: int = RESAMPLES, frac: float = 0.6, summary=mean,
                       draws: int | None = None, kinds: Mapping[str, str] | None = None, pool: int = POOL_ROWS,
                       seed: int = 0, method: str = "md5") -> DataFrame:
@@ -184,9 +186,7 @@ def change_replicates(old: DataFrame, new: DataFrame, graph: CausalGraph, target
             return plan.shares(drawn, F.col("value"), ["replicate"])
         models = {(s, r): pair[s] for s in (0, 1) for r in range(replicates)}
     else:
-        cols = [key.cast("string").alias("__key"), *[F.col(n).cast("double").alias(n) for n in nodes]]
-        both = old.select(F.lit(0).alias("side"), *cols).unionByName(new.select(F.lit(1).alias("side"), *cols))
-        models = replicate_models(both, graph, F.col("__key"), nodes, mode, replicates, frac, kinds, "side",
+        models = replicate_models(stack_sides(old, new, nodes, key), graph, F.col("__key"), nodes, mode, replicates, frac, kinds, "side",
                                   0 if closed else pool, seed, method)
     each = [[models[(s, r)] for r in range(replicates)] for s in (0, 1)]
     if summary is kl:

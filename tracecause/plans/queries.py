@@ -44,6 +44,10 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_facts(spark, sf_dir).persist()
 
 
+def is_new() -> Column:
+    return day() > F.lit(SPLIT).cast("date")
+
+
 def old_new(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     cut = F.lit(SPLIT).cast("date")
     return df.filter(day() <= cut), df.filter(day() > cut)
@@ -213,12 +217,12 @@ def pairwise_counts(spark, sf_dir):
 
 
 def percent_change(spark, sf_dir):
-    out = frames.change(days(spark, sf_dir), day() > F.lit(SPLIT).cast("date"), DAILY_NODES)
+    out = frames.change(days(spark, sf_dir), is_new(), DAILY_NODES)
     return out.select("node", *[tidy(c).alias(c) for c in ("mean_old", "mean_new", "growth_pct", "drop_pct")])
 
 
 def mean_difference(spark, sf_dir):
-    out = frames.change(order_facts(spark, sf_dir), day() > F.lit(SPLIT).cast("date"), ORDER_NODES)
+    out = frames.change(order_facts(spark, sf_dir), is_new(), ORDER_NODES)
     return out.select("node", tidy("difference").alias("difference"))
 
 
@@ -449,46 +453,39 @@ def attribute_orders(spark, sf_dir):
 
 
 def distribution_change(spark, sf_dir):
-    old, new = old_new(days(spark, sf_dir))
-    out = change.distribution_change(old, new, DAILY_GRAPH, TARGET)
+    out = change.distribution_change(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET)
     return out.select("node", tidy("score", 1e-3, 6).alias("score"))
 
 
 def distribution_change_orders(spark, sf_dir):
-    old, new = old_new(facts(spark, sf_dir))
-    out = change.distribution_change(old, new, ORDER_GRAPH, TARGET)
+    out = change.distribution_change(facts(spark, sf_dir), is_new(), ORDER_GRAPH, TARGET)
     return out.select("node", tidy("score", 1e-3, 6).alias("score"))
 
 
 def distribution_change_tested(spark, sf_dir):
-    old, new = old_new(facts(spark, sf_dir))
-    out = change.distribution_change(old, new, ORDER_GRAPH, TARGET, test_change=True)
+    out = change.distribution_change(facts(spark, sf_dir), is_new(), ORDER_GRAPH, TARGET, test_change=True)
     return out.select("node", tidy("score", 1e-3, 6).alias("score"))
 
 
 def distribution_change_variance(spark, sf_dir):
-    old, new = old_new(days(spark, sf_dir))
-    out = change.distribution_change(old, new, DAILY_GRAPH, TARGET, change.variance, 500, key=day())
+    out = change.distribution_change(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET, change.variance, 500, key=day())
     return out.select("node", tidy("score", 10.0, 5).alias("score"))
 
 
 def distribution_change_python(spark, sf_dir):
     """The difference of means as a Python function of two samples."""
-    old, new = old_new(days(spark, sf_dir))
-    out = change.distribution_change(old, new, DAILY_GRAPH, TARGET, draws=500, key=day(),
+    out = change.distribution_change(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET, draws=500, key=day(),
                                      difference=lambda x, y: y.mean() - x.mean())
     return out.select("node", tidy("score", 1e-3, 6).alias("score"))
 
 
 def distribution_change_kl(spark, sf_dir):
-    old, new = old_new(days(spark, sf_dir))
-    out = change.distribution_change(old, new, DAILY_GRAPH, TARGET, change.kl, 500, key=day())
+    out = change.distribution_change(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET, change.kl, 500, key=day())
     return out.select("node", tidy("score", 1e-6, 5).alias("score"))
 
 
 def bootstrap_refit(spark, sf_dir):
-    old, new = old_new(days(spark, sf_dir))
-    out = intervals.change_intervals(old, new, DAILY_GRAPH, TARGET, day(), "refit", REPLICATES)
+    out = intervals.change_intervals(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET, day(), "refit", REPLICATES)
     return interval_columns(out)
 
 
@@ -497,20 +494,17 @@ def interval_columns(out: DataFrame) -> DataFrame:
 
 
 def bootstrap_resample(spark, sf_dir):
-    old, new = old_new(facts(spark, sf_dir))
-    out = intervals.change_intervals(old, new, ORDER_GRAPH, TARGET, F.col("o_orderkey"), "resample", 10)
+    out = intervals.change_intervals(facts(spark, sf_dir), is_new(), ORDER_GRAPH, TARGET, F.col("o_orderkey"), "resample", 10)
     return interval_columns(out)
 
 
 def subsample_interval(spark, sf_dir):
-    old, new = old_new(days(spark, sf_dir))
-    out = intervals.change_intervals(old, new, DAILY_GRAPH, TARGET, day(), "subsample", 10, frac=0.6)
+    out = intervals.change_intervals(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET, day(), "subsample", 10, frac=0.6)
     return interval_columns(out)
 
 
 def rerun_interval(spark, sf_dir):
-    old, new = old_new(days(spark, sf_dir))
-    out = intervals.change_intervals(old, new, DAILY_GRAPH, TARGET, day(), "rerun", 5, draws=500)
+    out = intervals.change_intervals(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET, day(), "rerun", 5, draws=500)
     return interval_columns(out)
 
 
