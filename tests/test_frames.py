@@ -40,7 +40,7 @@ def test_tails(spark):
 
 def test_normal_bins_are_equally_likely(spark):
     x = normal_from(uniform(F.col("id"), "a"), uniform(F.col("id"), "b")) * 3 + 5
-    counts = (spark.range(8000).select(x.alias("x")).groupBy(normal_bin(F.col("x"), 5.0, 3.0, 8).alias("b")).count()
+    counts = (spark.range(8000).select(x.alias("x")).groupBy(normal_bin("x", 5.0, 3.0, 8).alias("b")).count()
               .orderBy("b").toPandas())
     assert counts.b.tolist() == list(range(8)) and counts["count"].between(880, 1120).all()
 

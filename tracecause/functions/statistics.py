@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,28 +54,29 @@ def normal_quantile_value(p: float) -> float:
     return 0.5 * (lo + hi)
 
 
+@lru_cache
 def normal_edges(bins: int) -> list[float]:
     """Inner edges that cut a standard normal into ``bins`` equally likely parts."""
     return [round(normal_quantile_value(i / bins), 12) for i in range(1, bins)]
 
 
-def normal_bin(x: Column, mean: float, sd: float, bins: int = 16) -> Column:
-    """Bin 0..bins-1 of ``x`` among the equally likely parts of a normal with the given moments.
+def normal_bin(column: str, mean: float, sd: float, bins: int = 16) -> Column:
+    """Bin 0..bins-1 of a column among the equally likely parts of a normal with the given moments.
 
-    The edges need two moments and no sort, so binning is one map over the data whatever its size. ``x``
-    should be a plain column: it is compared several times.
+    The edges need two moments and no sort, so binning is one map over the data whatever its size. The
+    nested comparisons are written as one SQL expression: four tests per value, one call to build.
     """
     if not sd > 0:
         return F.lit(0)
     edges = [mean + sd * e for e in normal_edges(bins)]
 
-    def split(low: int, high: int) -> Column:
+    def split(low: int, high: int) -> str:
         if low == high:
-            return F.lit(low)
+            return str(low)
         mid = (low + high) // 2
-        return F.when(x < F.lit(edges[mid]), split(low, mid)).otherwise(split(mid + 1, high))
+        return f"CASE WHEN `{column}` < {edges[mid]!r}D THEN {split(low, mid)} ELSE {split(mid + 1, high)} END"
 
-    return split(0, bins - 1)
+    return F.expr(split(0, bins - 1))
 
 
 def significant(x: Column, digits: int = 9) -> Column:

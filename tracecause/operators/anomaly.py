@@ -55,30 +55,29 @@ def reference_draws(model: CausalModel, target: str, draws: int = REFERENCE_DRAW
     return Reference(y, TIE * float(y.std(ddof=1) if draws > 1 else 0.0))
 
 
-def with_rank(df: DataFrame, name: str, sorted_values: np.ndarray, passes) -> DataFrame:
-    """Add how many leading elements of a sorted array pass a test, by binary search.
+def rank_steps(name: str, size: int, test: str) -> list[str]:
+    """SQL for how many leading elements of the sorted array ``__ref`` pass a test, by binary search.
 
-    Each halving is a projection of its own: a dozen integer steps of generated code per row, where a
-    scan of the array would cost one interpreted call per element.
+    Each halving is a column that refers to the one before: a dozen integer steps of generated code per
+    row, where a scan of the array would cost one interpreted call per element.
     """
-    size = len(sorted_values)
-    array = double_array(sorted_values)
-    df = df.withColumn(name, F.lit(0))
-    step = 1 << (size.bit_length() - 1)
+    steps, last, step = [], "0", 1 << (size.bit_length() - 1)
     while step:
-        here = F.col(name) + step
-        hit = (here <= size) & passes(F.element_at(array, F.least(here, F.lit(size))))
-        df = df.withColumn(name, F.when(hit, here).otherwise(F.col(name)))
-        step >>= 1
-    return df
+        here = f"{last} + {step}"
+        now = f"__{name}{step}" if step > 1 else name
+        element = f"element_at(__ref, least({here}, {size}))"
+        steps.append(f"CASE WHEN {here} <= {size} AND {element} {test} THEN {here} ELSE {last} END AS {now}")
+        last, step = now, step >> 1
+    return steps
 
 
 def with_tail(df: DataFrame, y: Column, ref: Reference, name: str = "__tail") -> DataFrame:
     """Add ``min(#draws >= y, #draws <= y)``, ties counted on both sides."""
-    df = df.withColumn("__y", y)
-    df = with_rank(df, "__below", ref.values, lambda v: v < F.col("__y") - ref.tie)
-    df = with_rank(df, "__upto", ref.values, lambda v: v <= F.col("__y") + ref.tie)
-    return df.withColumn(name, F.least(ref.size - F.col("__below"), F.col("__upto"))).drop("__below", "__upto", "__y")
+    kept = df.columns
+    steps = rank_steps("__below", ref.size, f"< __y - {ref.tie!r}D") + rank_steps("__upto", ref.size,
+                                                                                 f"<= __y + {ref.tie!r}D")
+    found = df.select("*", y.alias("__y"), double_array(ref.values).alias("__ref")).selectExpr("*", *steps)
+    return found.select(*kept, F.least(ref.size - F.col("__below"), F.col("__upto")).alias(name))
 
 
 def quantile_score(tail: Column, ref: Reference) -> Column:

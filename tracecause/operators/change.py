@@ -59,16 +59,15 @@ def kl(x: Column) -> Column:
 
 def kl_values(mixed: DataFrame, target: str, mean_old: float, sd_old: float, draws: int) -> DataFrame:
     """Divergence per coalition on shared normal-score bins, half a count added to each bin."""
-    slots = normal_bin(F.col(target), mean_old, sd_old, KL_BINS)
-    counts = mixed.groupBy("slot", "coalition").agg(
-        *[F.count(F.when(slots == b, 1)).alias(f"b{b}") for b in range(KL_BINS)])
+    binned = mixed.select("slot", "coalition", normal_bin(target, mean_old, sd_old, KL_BINS).alias("bin"))
+    counts = binned.groupBy("slot", "coalition").agg(
+        *[F.expr(f"count(*) FILTER (WHERE bin = {b}) AS b{b}") for b in range(KL_BINS)])
     base = counts.filter(F.col("coalition") == 0).select(
         F.lit(1).alias("one"), *[F.col(f"b{b}").alias(f"q{b}") for b in range(KL_BINS)])
     both = counts.withColumn("one", F.lit(1)).join(F.broadcast(base), "one")  # base is one row
     total = draws + 0.5 * KL_BINS
-    parts = [(F.col(f"b{b}") + 0.5) / total * F.log((F.col(f"b{b}") + 0.5) / (F.col(f"q{b}") + 0.5))
-             for b in range(KL_BINS)]
-    return both.select("slot", "coalition", sum(parts[1:], parts[0]).alias("value"))
+    terms = [f"(b{b} + 0.5D) / {total!r}D * ln((b{b} + 0.5D) / (q{b} + 0.5D))" for b in range(KL_BINS)]
+    return both.select("slot", "coalition", F.expr(" + ".join(terms)).alias("value"))
 
 
 def stack_sides(old: DataFrame, new, nodes, key: Column | None = None) -> DataFrame:

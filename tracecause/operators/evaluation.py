@@ -21,17 +21,13 @@ ROW_BITS = 33  # monotonically_increasing_id: partition above, position in the p
 
 def kl_of_counts(counts: DataFrame, by, bins: int, name: str = "kl") -> DataFrame:
     """Divergence of side ``a`` from side ``b`` from ``(by..., side, bin, n)``, half a count added per bin."""
-    aggs = [F.sum(F.when((F.col("side") == side) & (F.col("bin") == i), F.col("n"))).alias(f"{side}{i}")
-            for side in "ab" for i in range(bins)]
-    wide = counts.groupBy(*by).agg(*aggs).fillna(0)
-    half = 0.5
-    total = {side: sum((F.col(f"{side}{i}") for i in range(1, bins)), F.col(f"{side}0")) + half * bins
-             for side in "ab"}
-    kl = F.lit(0.0)
-    for i in range(bins):
-        p, q = (F.col(f"a{i}") + half) / total["a"], (F.col(f"b{i}") + half) / total["b"]
-        kl = kl + p * F.log(p / q)
-    return wide.select(*by, kl.alias(name))
+    wide = counts.groupBy(*by).agg(*[
+        F.expr(f"coalesce(sum(n) FILTER (WHERE side = '{side}' AND bin = {i}), 0) AS {side}{i}")
+        for side in "ab" for i in range(bins)])
+    total = {side: "(" + " + ".join(f"{side}{i}" for i in range(bins)) + f" + {0.5 * bins}D)" for side in "ab"}
+    terms = [f"(a{i} + 0.5D) / {total['a']} * ln(((a{i} + 0.5D) / {total['a']}) / ((b{i} + 0.5D) / {total['b']}))"
+             for i in range(bins)]
+    return wide.select(*by, F.expr(" + ".join(terms)).alias(name))
 
 
 def binned_kl(a: DataFrame, b: DataFrame, columns, bins: int = KL_BINS) -> DataFrame:
@@ -41,9 +37,9 @@ def binned_kl(a: DataFrame, b: DataFrame, columns, bins: int = KL_BINS) -> DataF
     sides = []
     for side, df in (("a", a), ("b", b)):
         cells = F.array(*[F.struct(F.lit(c).alias("node"), F.lit(side).alias("side"),
-                                   normal_bin(F.col(c).cast("double"), row[f"m{i}"], row[f"s{i}"] or 0.0, bins)
-                                   .alias("bin")) for i, c in enumerate(columns)])
-        sides.append(df.select(F.explode(cells).alias("c")).select("c.*"))
+                                   normal_bin(c, row[f"m{i}"], row[f"s{i}"] or 0.0, bins).alias("bin"))
+                          for i, c in enumerate(columns)])
+        sides.append(df.select([F.col(c).cast("double").alias(c) for c in columns]).select(F.explode(cells).alias("c")).select("c.*"))
     counts = sides[0].union(sides[1]).groupBy("node", "side", "bin").agg(F.count(F.lit(1)).alias("n"))
     return kl_of_counts(counts, ["node"], bins)
 
@@ -139,10 +135,10 @@ def independence(model: CausalModel, df: DataFrame, nodes=None, bins: int | None
         *[at[n].alias(n) for n in use], *[(at[n] - model[n].predict_column(at)).alias(f"__r_{n}") for n in nodes])
     cells, pairs = [], 0
     for n in nodes:
-        r = normal_bin(F.col(f"__r_{n}"), 0.0, model[n].params["noise_var"] ** 0.5, bins)
+        r = normal_bin(f"__r_{n}", 0.0, model[n].params["noise_var"] ** 0.5, bins)
         for p in model[n].parents:
             pairs += 1
-            x = normal_bin(F.col(p), model[p].params["mean"], model[p].params["total_var"] ** 0.5, bins)
+            x = normal_bin(p, model[p].params["mean"], model[p].params["total_var"] ** 0.5, bins)
             cells.append(F.struct(F.lit(n).alias("node"), F.lit(p).alias("parent"), r.alias("r"), x.alias("x")))
     if not cells:
         raise ValueError("no node with parents to test")

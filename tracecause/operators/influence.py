@@ -110,7 +110,7 @@ def _kl_strength(model: CausalModel, df: DataFrame, target: str, key: Column, se
     y = F.col(target).cast("double")
     cut = df.select(y.alias("__y"), *[(y + s).alias(f"__cut{i}") for i, s in enumerate(swing)])
     cells = [F.struct(F.lit(p).alias("parent"), F.lit(target).alias("child"), F.lit(side).alias("side"),
-                      normal_bin(F.col(c), mean, sd, KL_BINS).alias("bin"))
+                      normal_bin(c, mean, sd, KL_BINS).alias("bin"))
              for i, p in enumerate(m.parents) for side, c in (("a", "__y"), ("b", f"__cut{i}"))]
     counts = (cut.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
               .groupBy("parent", "child", "side", "bin").agg(F.count(F.lit(1)).alias("n")))

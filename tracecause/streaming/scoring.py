@@ -56,9 +56,14 @@ def score_stream(source: DataFrame, registry: ModelRegistry, model: str, target:
     """
     keep = [keep] if isinstance(keep, str) else list(keep)
 
+    loaded: dict[int, CausalModel] = {}
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         version = registry.resolve(model, alias)
-        fitted: CausalModel = registry.load_model(model, version=version)
+        if version not in loaded:  # versions never change, so one load each is enough
+            loaded.clear()
+            loaded[version] = registry.load_model(model, version=version)
+        fitted = loaded[version]
         nodes = fitted.graph.closure(target)
         rows = batch.persist()
         wide = score_batch(rows, fitted, target, keep, draws, seed).persist()
