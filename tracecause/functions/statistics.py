@@ -68,7 +68,7 @@ def normal_bin(column: str, mean: float, sd: float, bins: int = 16) -> Column:
     """
     if not sd > 0:
         return F.lit(0)
-    edges = [mean + sd * e for e in normal_edges(bins)]
+    edges = [float(mean + sd * e) for e in normal_edges(bins)]
 
     def split(low: int, high: int) -> str:
         if low == high:

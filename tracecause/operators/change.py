@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import replace
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracecause.functions.statistics import f_tail_value, normal_bin
+from tracecause.functions.statistics import f_tail_value, normal_bin, normal_edges
 from tracecause.operators.frames import complete
 from tracecause.operators.graph import CausalGraph
 from tracecause.operators.mechanisms import (POOL_ROWS, CausalModel, attach_noise, collect_moments, default_kinds,
@@ -57,17 +58,17 @@ def kl(x: Column) -> Column:
     raise TypeError("kl compares two samples and is handled by coalition_values")
 
 
-def kl_values(mixed: DataFrame, target: str, mean_old: float, sd_old: float, draws: int) -> DataFrame:
-    """Divergence per coalition on shared normal-score bins, half a count added to each bin."""
+def kl_values(mixed: DataFrame, target: str, old_draws: np.ndarray) -> DataFrame:
+    """Divergence per coalition from the all-old draws on shared normal-score bins, half a count per bin added."""
+    mean_old, sd_old, draws = float(old_draws.mean()), float(old_draws.std(ddof=1)), len(old_draws)
+    edges = [mean_old + sd_old * e for e in normal_edges(KL_BINS)] if sd_old > 0 else [np.inf] * (KL_BINS - 1)
+    before = np.bincount(np.searchsorted(edges, old_draws, side="right"), minlength=KL_BINS)
     binned = mixed.select("slot", "coalition", normal_bin(target, mean_old, sd_old, KL_BINS).alias("bin"))
     counts = binned.groupBy("slot", "coalition").agg(
         *[F.expr(f"count(*) FILTER (WHERE bin = {b}) AS b{b}") for b in range(KL_BINS)])
-    base = counts.filter(F.col("coalition") == 0).select(
-        F.lit(1).alias("one"), *[F.col(f"b{b}").alias(f"q{b}") for b in range(KL_BINS)])
-    both = counts.withColumn("one", F.lit(1)).join(F.broadcast(base), "one")  # base is one row
     total = draws + 0.5 * KL_BINS
-    terms = [f"(b{b} + 0.5D) / {total!r}D * ln((b{b} + 0.5D) / (q{b} + 0.5D))" for b in range(KL_BINS)]
-    return both.select("slot", "coalition", F.expr(" + ".join(terms)).alias("value"))
+    terms = [f"(b{b} + 0.5D) / {total!r}D * ln((b{b} + 0.5D) / {float(before[b]) + 0.5!r}D)" for b in range(KL_BINS)]
+    return counts.select("slot", "coalition", F.expr(" + ".join(terms)).alias("value"))
 
 
 def stack_sides(old: DataFrame, new, nodes, key: Column | None = None) -> DataFrame:
@@ -174,7 +175,7 @@ def coalition_values(spark: SparkSession, plan: CoalitionPlan, old: CausalModel,
     mixed = mixed_values(plan.explode(base), plan, old, new, lambda n, side: F.col(f"{n}__{side}"))
     if summary is kl:
         y = draw_values(old, plan.players, draws, replicate, seed)[1][target]
-        return kl_values(mixed, target, float(y.mean()), float(y.std(ddof=1)), draws)
+        return kl_values(mixed, target, y)
     return mixed.groupBy(*by, "slot", "coalition").agg(summary(F.col(target)).alias("value"))
 
 

@@ -74,11 +74,10 @@ def series(df: DataFrame, key: str, target: str) -> DataFrame:
 
 def event_overlay(df: DataFrame, key: str, flag: str, target: str) -> DataFrame:
     """Keys of the rows where the flag holds, beside the bounds of the whole series."""
-    tag = F.lit(1).alias("one")
-    bounds = df.groupBy(tag).agg(F.min(target).alias("low"), F.max(target).alias("high"),
-                                 F.count(F.lit(1)).alias("n_rows"))
-    marked = df.filter(F.col(flag).cast("boolean")).select(tag, F.col(key), F.col(target))
-    return marked.join(F.broadcast(bounds), "one").drop("one")  # bounds is one row
+    bounds = df.agg(F.min(target).alias("low"), F.max(target).alias("high"), F.count(F.lit(1)).alias("n_rows")).first()
+    return df.filter(F.col(flag).cast("boolean")).select(
+        F.col(key), F.col(target), F.lit(bounds.low).alias("low"), F.lit(bounds.high).alias("high"),
+        F.lit(bounds.n_rows).cast("bigint").alias("n_rows"))
 
 
 def aligned_change(old: DataFrame, new: DataFrame, on, columns) -> DataFrame:

@@ -110,14 +110,11 @@ def model_latest_alias(spark, sf_dir):
         registry.set_alias("shop", alias, version)
     registry.set_alias("shop", "candidate", 2)
     rows = registry.load_model("shop", alias="Champion").to_table(spark)
-    names = registry.aliases().groupBy().agg(F.sum("version").alias("alias_versions"))
-    tagged = rows.withColumn("latest", F.lit(registry.latest_version("shop"))).withColumn("one", F.lit(1))
-    return (tagged.join(F.broadcast(names.withColumn("one", F.lit(1))), "one")
-            .select("node", "kind", "latest", F.col("alias_versions").cast("int").alias("alias_versions"),
-                    F.concat_ws(",", "parents").alias("parents"),
-                    tidy(F.coalesce(F.try_element_at("coef", F.lit(1)),
-                                    F.lit(0.0))).alias("first_coef"),
-                    F.col("params")["n"].cast("bigint").alias("n_rows")))
+    versions = sum(registry.resolve("shop", a) for a in ("CANDIDATE", "champion"))
+    return rows.select("node", "kind", F.lit(registry.latest_version("shop")).alias("latest"),
+                       F.lit(versions).alias("alias_versions"), F.concat_ws(",", "parents").alias("parents"),
+                       tidy(F.coalesce(F.try_element_at("coef", F.lit(1)), F.lit(0.0))).alias("first_coef"),
+                       F.col("params")["n"].cast("bigint").alias("n_rows"))
 
 
 def payload_roundtrip(spark, sf_dir):
@@ -245,9 +242,8 @@ def head_rows(spark, sf_dir):
 def first_day(spark, sf_dir):
     """The earliest day, and how far its target lies from the mean of all days."""
     df = days(spark, sf_dir)
-    first = frames.first_row(df, "d").select("d", F.lit(1).alias("one"), F.col(TARGET))
-    mean = df.groupBy(F.lit(1).alias("one")).agg(F.avg(TARGET).alias("mean"))
-    return first.join(mean, "one").select("d", tidy(F.col(TARGET) - F.col("mean")).alias("from_mean"))
+    mean = df.agg(F.avg(TARGET)).first()[0]
+    return frames.first_row(df, "d").select("d", tidy(F.col(TARGET) - mean).alias("from_mean"))
 
 
 def stack_periods(spark, sf_dir):
