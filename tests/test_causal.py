@@ -127,6 +127,11 @@ def test_trees(spark):
     np.testing.assert_allclose(columns, model["y"].predict({"x": x}), rtol=1e-12)
     strength = influence.arrow_strength(model, df, "y", key=F.col("k")).first().strength
     assert strength == pytest.approx(y.var(), rel=0.15)
+    odd = anomaly.attribute_anomalies(model, df.orderBy("k").limit(2), "y", "k", 30).toPandas()
+    assert len(odd) == 4 and np.isfinite(odd.score).all()
+    for row in df.orderBy("k").limit(1).toPandas().to_dict("records"):
+        want, _ = brute_force_attribution(model, row, "y", 30)
+        assert odd[odd.k == row["k"]].set_index("node").score.to_dict() == pytest.approx(want, abs=1e-9)
     tree = read_tree("If (feature 0 <= 0.5)\n  Predict: 1.0\n Else (feature 0 > 0.5)\n  Predict: 2.0", ("x",))
     assert tree == ["x", 0.5, 1.0, 2.0] and tree_value(json.loads(json.dumps(tree)), {"x": np.array([0.0, 1.0])}).tolist() == [1, 2]
 
@@ -236,6 +241,29 @@ def test_sampled_orderings_keep_the_sum_and_find_additive_shares(spark):
     np.testing.assert_allclose([got[p] for p in players], worth, atol=1e-9)
 
 
+def test_attribution_beyond_the_exact_limit(spark):
+    """A chain of many nodes: sampled orderings still share out the whole score."""
+    r = np.random.default_rng(4)
+    names, data = [f"n{i:02d}" for i in range(14)], {}
+    for i, n in enumerate(names):
+        data[n] = (0.9 * data[names[i - 1]] if i else 0.0) + r.normal(size=300)
+    df = spark.createDataFrame(pd.DataFrame({"k": range(300), **data}))
+    model = fit(df, CausalGraph(tuple(zip(names, names[1:]))), F.col("k"))
+    got = anomaly.attribute_anomalies(model, df, names[-1], "k", 60, orderings=30).toPandas()
+    pair = got.groupby("k").score.sum()
+    assert len(got) == 300 * 14 and np.isfinite(got.score).all()
+    full = brute_force_sum(model, names[-1], df.toPandas(), 60)
+    np.testing.assert_allclose(pair.sort_index(), full, atol=1e-9)
+
+
+def brute_force_sum(model, target, pdf, draws):
+    ref = np.sort(draw_values(model, model.graph.closure(target), draws, "ref0", 0)[1][target])
+    tie = 1e-9 * ref.std(ddof=1)
+    y = draw_values(model, model.graph.closure(target), draws, 0, 0)[1][target]
+    tail = lambda v: min((ref >= v - tie).sum(), (ref <= v + tie).sum())
+    return [-np.log(max(np.mean([tail(v) <= tail(x) for v in y]), 1 / (draws + 1))) for x in pdf.sort_values("k")[target]]
+
+
 # --- influence ---
 
 

@@ -28,7 +28,8 @@ class CausalGraph:
 
     def __post_init__(self):
         object.__setattr__(self, "edges", tuple(dict.fromkeys((str(p), str(c)) for p, c in self.edges)))
-        object.__setattr__(self, "order", tuple(sorted(self.levels(), key=lambda n: (self.levels()[n], n))))
+        level = self.levels()
+        object.__setattr__(self, "order", tuple(sorted(level, key=lambda n: (level[n], n))))
 
     @classmethod
     def from_table(cls, edges: DataFrame) -> "CausalGraph":
@@ -90,14 +91,14 @@ class CausalGraph:
     def levels(self) -> dict[str, int]:
         """Longest path from a root; raises on a cycle."""
         level: dict[str, int] = {}
-        left = set(self.nodes)
-        depth = 0
+        left, open_edges, depth = set(self.nodes), self.edges, 0
         while left:
-            ready = {n for n in left if not any(p in left for p in self.parents(n))}
+            ready = left - {c for _, c in open_edges}
             if not ready:
                 raise ValueError(f"the graph has a cycle among {sorted(left)}")
             level.update(dict.fromkeys(ready, depth))
             left -= ready
+            open_edges = [e for e in open_edges if e[0] not in ready]
             depth += 1
         return level
 
