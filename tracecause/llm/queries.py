@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracecause.llm import langid, pieces, simhash, toxicity
+from tracecause.llm import langid, linededup, pieces, simhash, templates, toxicity, warc
 from tracecause.llm.common import cut_lineage, fold_of, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -25,6 +25,30 @@ def op3_simhash(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_warc(spark, sf_dir: str) -> DataFrame:
+    """Every page written to a sharded archive and read back."""
+    folder = warc.archive_folder(spark)
+    manifest = warc.write(table(spark, sf_dir, "pages"), folder)
+    out = warc.read(manifest, folder, payloads=False)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP4_SQL = """
+WITH payloads AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+chiefs AS (SELECT d, max(page_id) AS chief FROM payloads WHERE n >= 1000 GROUP BY d)
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN page_id < chief THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < chief THEN chief END AS refers_to
+FROM payloads p LEFT JOIN chiefs c ON p.d = c.d AND p.n >= 1000"""
+
+
+def op5_decontamination(spark, sf_dir: str) -> DataFrame:
+    """Benchmark items that every document holds, one row per pair."""
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = templates.with_leaks(docs.select("doc_id", "text"), benchmark)
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def op6_language(spark, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of them."""
     docs = table(spark, sf_dir, "documents")
@@ -43,5 +67,19 @@ def op7_toxicity(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold == 1).alias("held_out"), "score", "predicted")
 
 
-QUERIES = [op1_sentencepiece, op3_simhash, op6_language, op7_toxicity]
-ORACLES: dict[str, str] = {}
+def op8_line_dedup(spark, sf_dir: str) -> DataFrame:
+    """What is removed of every document, with offsets and the documents that keep it."""
+    docs = table(spark, sf_dir, "documents")
+    spans = linededup.repeated_spans(docs)
+    removed = F.aggregate("spans", F.lit(0), lambda total, s: total + s["stop"] - s["start"])
+    mine = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.coalesce(F.length("text"), F.lit(0)).alias("chars"))
+    same = mine["doc_id"].eqNullSafe(spans["doc_id"]) & (mine["text_key"] == spans["text_key"])
+    return mine.join(spans, same, "left").select(
+        mine["doc_id"], "chars", F.coalesce(removed, F.lit(0)).alias("removed_chars"),
+        F.coalesce("removed_units", F.lit(0)).alias("removed_units"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["stop"])), ",").alias("spans"),
+        F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["origin"]))).alias("origin_ids"))
+
+
+QUERIES = [op1_sentencepiece, op3_simhash, op4_warc, op5_decontamination, op6_language, op7_toxicity, op8_line_dedup]
+ORACLES: dict[str, str] = {"op4_warc": OP4_SQL}
