@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracecause.llm import langid, linededup, pieces, simhash, templates, toxicity, warc
+from tracecause.llm import kneserney, langid, linededup, pieces, simhash, templates, toxicity, warc
 from tracecause.llm.common import cut_lineage, fold_of, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -81,5 +81,15 @@ def op8_line_dedup(spark, sf_dir: str) -> DataFrame:
         F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["origin"]))).alias("origin_ids"))
 
 
-QUERIES = [op1_sentencepiece, op3_simhash, op4_warc, op5_decontamination, op6_language, op7_toxicity, op8_line_dedup]
+def op9_kneser_ney(spark, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under a model of six sevenths of them."""
+    docs = table(spark, sf_dir, "documents")
+    fold = fold_of(F.col("doc_id"), 7)
+    model = kneserney.train(docs.where(fold != 2))
+    out = kneserney.score(docs, model)
+    return out.select("doc_id", (fold == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+QUERIES = [op1_sentencepiece, op3_simhash, op4_warc, op5_decontamination, op6_language, op7_toxicity, op8_line_dedup,
+           op9_kneser_ney]
 ORACLES: dict[str, str] = {"op4_warc": OP4_SQL}

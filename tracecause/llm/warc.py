@@ -219,4 +219,4 @@ def read(manifest: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
 
 def archive_folder(spark) -> str:
     path = fresh_path(spark, "warc")
-    return path if "://" in path or path.startswith("file:") else f"file://{path}"
+    return path if ":" in path.split("/")[0] else f"file://{path}"
