@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracecause.llm import kneserney, langid, linededup, pieces, simhash, templates, toxicity, warc
+from tracecause.llm import kneserney, langid, linededup, pieces, secretscan, simhash, templates, toxicity, warc
 from tracecause.llm.common import cut_lineage, fold_of, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -18,6 +18,11 @@ def op1_sentencepiece(spark, sf_dir: str, model_path: str = PIECE_MODEL) -> Data
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op2_secrets(spark, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secretscan.report(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op3_simhash(spark, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and the smallest doc_id of its near-duplicate group."""
     prints = cut_lineage(simhash.fingerprints(table(spark, sf_dir, "documents"), ["doc_id"]))
@@ -90,6 +95,6 @@ def op9_kneser_ney(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-QUERIES = [op1_sentencepiece, op3_simhash, op4_warc, op5_decontamination, op6_language, op7_toxicity, op8_line_dedup,
-           op9_kneser_ney]
+QUERIES = [op1_sentencepiece, op2_secrets, op3_simhash, op4_warc, op5_decontamination, op6_language, op7_toxicity,
+           op8_line_dedup, op9_kneser_ney]
 ORACLES: dict[str, str] = {"op4_warc": OP4_SQL}
