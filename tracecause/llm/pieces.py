@@ -20,6 +20,7 @@ from array import array
 
 import ahocorasick
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tracecause.llm.common import map_rows
 
@@ -269,7 +270,7 @@ def decode_documents(encoded: DataFrame, model_path: str, keep: list[str]) -> Da
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StringType, StructField, StructType
 
-    source = encoded.select(*[f"`{k}`" for k in keep], "ids")
+    source = encoded.select(*[F.col(f"`{k}`") for k in keep], F.col("ids").alias("__ids"))
     schema = StructType([*source.schema.fields[:-1], StructField("decoded", StringType())])
     out = to_arrow_schema(schema)
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracecause.llm import kneserney, langid, linededup, pieces, secretscan, simhash, templates, toxicity, warc
+from tracecause.llm import kneserney, langid, linededup, neighbours, pieces, secretscan, simhash, templates, toxicity, warc
 from tracecause.llm.common import cut_lineage, fold_of, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -95,6 +95,11 @@ def op9_kneser_ney(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op10_neighbours(spark, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = [op1_sentencepiece, op2_secrets, op3_simhash, op4_warc, op5_decontamination, op6_language, op7_toxicity,
-           op8_line_dedup, op9_kneser_ney]
+           op8_line_dedup, op9_kneser_ney, op10_neighbours]
 ORACLES: dict[str, str] = {"op4_warc": OP4_SQL}
