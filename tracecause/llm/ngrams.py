@@ -35,13 +35,15 @@ def letters(text: str) -> np.ndarray:
 
 
 def letter_grams(text: str) -> np.ndarray:
-    """Codes of all 1-, 2- and 3-grams within words, blanks at their ends included (21 bits per character)."""
+    """Codes of all 1-, 2- and 3-grams within words, blanks at their ends included (21 bits per character, a blank is 1)."""
     s = letters(text)
     if not len(s):
         return s
+    letter = s != 0
+    s = s + ~letter
     two = s[:-1] << 21 | s[1:]
-    three = (two[:-1] << 21 | s[2:])[s[1:-1] != 0]
-    return np.concatenate((s[s != 0], two, three))
+    three = (two[:-1] << 21 | s[2:])[letter[1:-1]]
+    return np.concatenate((s[letter], two, three))
 
 
 def counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
