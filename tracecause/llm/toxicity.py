@@ -23,7 +23,7 @@ ORDERS, BITS = (3, 4, 5), 22
 #: Labelled documents per class that are learned from; the only bound on learning.
 SAMPLE = 2000
 #: Standard errors that a ratio must differ from 0, least documents with an n-gram, smoothing, ridge and steps.
-Z, LEAST, ALPHA, RIDGE, STEPS = 4.0, 5, 1.0, 1e-3, 300
+Z, LEAST, ALPHA, RIDGE, STEPS = 2.5, 5, 1.0, 1e-3, 300
 THRESHOLD = 0.7
 
 
