@@ -42,8 +42,8 @@ OP4_SQL = """
 WITH payloads AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
 chiefs AS (SELECT d, max(page_id) AS chief FROM payloads WHERE n >= 1000 GROUP BY d)
 SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
-       CASE WHEN page_id < chief THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN page_id < chief THEN chief END AS refers_to
+       CASE WHEN coalesce(page_id < chief, chief IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN coalesce(page_id < chief, chief IS NOT NULL) THEN chief END AS refers_to
 FROM payloads p LEFT JOIN chiefs c ON p.d = c.d AND p.n >= 1000"""
 
 

@@ -243,8 +243,9 @@ def joined(docs: DataFrame, items: DataFrame, name: str) -> DataFrame:
     """Windows of both sides meet in a join on their hash; only windows in the bitmap of the items are shuffled."""
     flat = items.select("item_id", "windows", "slots", "size", F.posexplode("hash").alias("k", "hash"), "place").select(
         "item_id", "windows", "slots", "size", "hash", F.element_at("place", F.col("k") + 1).alias("place"))
-    word = F.shiftrightunsigned("hash", 64 - BITS)
-    marks = flat.groupBy((word / 32).cast("int").alias("at")).agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), (word % 32).cast("int"))).alias("bits"))
+    word = flat.select(F.shiftrightunsigned("hash", 64 - BITS).alias("word"))
+    marks = word.groupBy(F.expr("cast(word div 32 AS int)").alias("at")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(word % 32 AS int)))").alias("bits"))
     likely = np.zeros(1 << BITS, dtype=bool)
     for r in marks.collect():  # at most 2 ** BITS / 32 rows
         for k in range(32):
