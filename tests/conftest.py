@@ -54,22 +54,37 @@ SHOP_EDGES = (("Shopping_Event", "Ad_Spend"), ("Shopping_Event", "Page_Views"),
               ("Operational_Cost", "Profit"))
 
 
-def requests(n, seed, slow_cache=0.0):
-    """Latencies of services that call one another; the cache hits or misses, the product page waits for the slowest."""
+def from_graph(edges, n, seed, roots, weights=None, rules=None, noise=0.1):
+    """Rows of a graph, node by node: a root is what ``roots`` draws, another node a weighted sum of its parents plus
+    normal noise, unless ``rules`` has a function of (values so far, random generator) for it."""
     r = np.random.default_rng(seed)
-    half = lambda scale: np.abs(r.normal(0, scale, n))
-    product_db, customer_db, order_db, shipping = 0.25 + half(0.6), 0.1 + half(0.2), 0.3 + half(0.2), 0.1 + half(0.25)
-    caching = 1.6 * product_db * (r.random(n) < 0.5) + 0.2 + r.normal(0, 0.03, n) + slow_cache
-    product = np.maximum(np.maximum(shipping, caching), customer_db) + 0.1 + r.normal(0, 0.05, n)
-    auth = 0.15 + customer_db + r.normal(0, 0.05, n)
-    order = 0.1 + order_db + r.normal(0, 0.05, n)
-    api = 0.1 + 0.3 * customer_db + product + 0.4 * auth + 0.5 * order + r.normal(0, 0.1, n)
-    www = 0.05 + 0.2 * auth + api + r.normal(0, 0.05, n)
-    website = 0.1 + www + r.normal(0, 0.1, n)
-    return pd.DataFrame({"request_id": np.arange(n), "Product_DB": product_db, "Customer_DB": customer_db,
-                         "Order_DB": order_db, "Shipping_Cost_Service": shipping, "Caching_Service": caching,
-                         "Product_Service": product, "Auth_Service": auth, "Order_Service": order, "API": api,
-                         "www": www, "Website": website})
+    parents = {}
+    for parent, child in edges:
+        parents.setdefault(parent, [])
+        parents.setdefault(child, []).append(parent)
+    values = {}
+    while len(values) < len(parents):
+        for node, above in parents.items():
+            if node in values or not all(p in values for p in above):
+                continue
+            if node in (rules or {}):
+                values[node] = rules[node](values, r)
+            elif not above:
+                values[node] = roots(node, r, n)
+            else:
+                values[node] = sum((weights or {}).get((p, node), 0.5) * values[p] for p in above) + r.normal(0.2, noise, n)
+    return values
+
+
+def requests(n, seed, slow_cache=0.0):
+    """Latencies of services that call one another; two of them do not depend on their parents by a straight line."""
+    chain = {(p, c): 1.0 for p, c in (("Product_Service", "API"), ("API", "www"), ("www", "Website"))}
+    rules = {"Caching_Service": lambda v, r: v["Product_DB"] * r.lognormal(-0.2, 0.6, n) + 0.15 + slow_cache,
+             "Product_Service": lambda v, r: np.log(sum(np.exp(3 * v[p]) for p in ("Shipping_Cost_Service", "Caching_Service", "Customer_DB")))
+             / 3 + r.normal(0, 0.05, n)}
+    values = from_graph(SERVICE_EDGES, n, seed, lambda node, r, n: 0.15 + np.abs(r.normal(0, 0.15 + 0.04 * len(node) % 0.3, n)),
+                        chain, rules, 0.06)
+    return pd.DataFrame({"request_id": np.arange(n), **values})
 
 
 SERVICE_EDGES = (("Product_DB", "Caching_Service"), ("Shipping_Cost_Service", "Product_Service"),
@@ -79,16 +94,13 @@ SERVICE_EDGES = (("Product_DB", "Caching_Service"), ("Shipping_Cost_Service", "P
                  ("Auth_Service", "www"), ("API", "www"), ("www", "Website"))
 
 
-def product_week(n, seed, demand_mean=2.0, alpha=1.0):
+def product_week(n, seed, demand=3.0, alpha=0.8):
     """Orders of a week: what is asked for, what is confirmed, what arrives."""
-    r = np.random.default_rng(seed)
-    demand = r.gamma(3.0, demand_mean / 3.0, n)
-    constraint = r.gamma(2.0, 0.5, n)
-    submitted = demand - 0.4 * constraint + r.gamma(2.0, 0.3, n)
-    confirmed = alpha * submitted + r.gamma(2.0, 0.2, n)
-    received = 0.9 * confirmed + r.gamma(2.0, 0.15, n)
-    return pd.DataFrame({"asin": [f"P{i:05d}" for i in range(n)], "demand": demand, "constraint": constraint,
-                         "submitted": submitted, "confirmed": confirmed, "received": received})
+    centre = {"demand": demand, "constraint": 1.2}
+    values = from_graph(SUPPLY_EDGES, n, seed, lambda node, r, n: r.normal(centre[node], 0.25 * centre[node], n),
+                        {("demand", "submitted"): 0.9, ("constraint", "submitted"): -0.3, ("submitted", "confirmed"): alpha,
+                         ("confirmed", "received"): 0.8}, noise=0.3)
+    return pd.DataFrame({"asin": [f"P{i:05d}" for i in range(n)], **values})
 
 
 SUPPLY_EDGES = (("demand", "submitted"), ("constraint", "submitted"), ("submitted", "confirmed"),
@@ -118,4 +130,4 @@ def degraded(spark):
 @pytest.fixture(scope="session")
 def weeks(spark):
     return (spark.createDataFrame(product_week(1000, 5)).persist(),
-            spark.createDataFrame(product_week(1000, 6, demand_mean=4.0, alpha=2.0)).persist())
+            spark.createDataFrame(product_week(1000, 6, demand=5.0, alpha=1.3)).persist())

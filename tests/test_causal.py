@@ -91,7 +91,9 @@ def test_kinds_are_checked():
         default_kinds(SHOP, {"Profit": "empirical"})
 
 
-def test_assignment_finds_the_product(shop):
+@pytest.mark.parametrize("partitions", [1, 3, 4, 7, 8, 12])
+def test_assignment_finds_the_product(shop, partitions):
+    shop = shop.repartition(partitions)
     kinds, rows = assignment.assign(shop, SHOP, F.col("Date"))
     assert kinds["Revenue"] == "poly" and kinds["Shopping_Event"] == "empirical"
     assert all(kinds[n] == "linear" for n in ("Ad_Spend", "Page_Views", "Sold_Units", "Operational_Cost", "Profit"))
@@ -208,6 +210,27 @@ def test_falsification(weeks, spark):
     assert got == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-9) and n == 1000
 
 
+def test_a_graph_without_claims_is_not_rejected(spark):
+    r = np.random.default_rng(8)
+    a = r.normal(size=200)
+    df = spark.createDataFrame(pd.DataFrame({"a": a, "b": a + r.normal(size=200), "c": r.normal(size=200)}))
+    silent = falsification.falsify(df, CausalGraph((("a", "b"),)), 20).first()
+    assert silent.same_claims_share == 1.0 and not silent.informative and not silent.rejected
+
+
+def test_a_wrong_graph_is_rejected(spark):
+    r = np.random.default_rng(9)
+    names, data = list("abcdef"), {}
+    for i, n in enumerate(names):
+        data[n] = (0.9 * data[names[i - 1]] if i else 0.0) + r.normal(size=3000)
+    df = spark.createDataFrame(pd.DataFrame(data))
+    true = falsification.falsify(df, CausalGraph(tuple(zip(names, names[1:]))), 20).first()
+    odd = ["a", "d", "b", "f", "c", "e"]
+    wrong = falsification.falsify(df, CausalGraph(tuple(zip(odd, odd[1:]))), 20).first()
+    assert true.informative and not true.rejected
+    assert wrong.n_violations > true.n_violations and wrong.p_value > true.p_value
+
+
 # --- Shapley ---
 
 
@@ -417,6 +440,42 @@ def test_unchanged_mechanisms_score_exactly_zero_when_tested(weeks):
     assert got["constraint"] == 0.0 and got["demand"] > 0 and got["confirmed"] > 0
 
 
+@pytest.mark.parametrize("summary", [change.mean, change.variance, change.quantile(0.9), change.kl])
+def test_a_changed_spread_keeps_its_share_when_tested(spark, summary):
+    """Equal means, another variance at the root: the share stays, and shares add up to the whole change."""
+    r = np.random.default_rng(10)
+    sides = []
+    for sd in (1.0, 3.0):
+        x = r.normal(0, sd, 1500)
+        x -= x.mean()
+        sides.append(spark.createDataFrame(pd.DataFrame({"k": range(1500), "x": x, "y": x + r.normal(0, 0.5, 1500)})))
+    kw = {"summary": summary, "draws": 800, "key": F.col("k")}
+    graph = CausalGraph((("x", "y"),))
+    free, tested = (scores(change.distribution_change(*sides, graph, "y", test_change=t, **kw)) for t in (False, True))
+    assert tested["y"] == 0.0
+    assert tested["x"] == pytest.approx(free["x"] + free["y"], abs=0.1 * abs(free["x"]) + 0.05)
+    if summary is not change.mean:
+        assert abs(tested["x"]) > 0.1
+
+
+def test_gaps_count_nowhere(spark):
+    """A null and a NaN row change nothing in divergences and strengths."""
+    r = np.random.default_rng(11)
+    x = r.normal(size=300)
+    whole = pd.DataFrame({"k": range(300), "x": x, "y": 2 * x + r.normal(size=300)})
+    a = spark.createDataFrame(whole)
+    b = a.unionByName(spark.createDataFrame([(300, None, 1.0), (301, 1.0, float("nan"))], "k long, x double, y double"))
+    g = CausalGraph((("x", "y"),))
+    assert evaluation.binned_kl(a, b, ["x"]).first().kl == pytest.approx(evaluation.binned_kl(a, a.union(a.limit(0)), ["x"]).first().kl, abs=1e-2)
+    for kind in ("linear", "gbt"):
+        model = fit(a, g, F.col("k"), {"y": kind}, 0)
+        one, two = (influence.arrow_strength(model, df, "y", key=F.col("k")).first().strength for df in (a, b))
+        assert one == pytest.approx(two, rel=1e-9)
+    model = fit(a, g, F.col("k"))
+    one, two = (influence.arrow_strength(model, df, "y", "kl", F.col("k")).first().strength for df in (a, b))
+    assert one == pytest.approx(two, rel=1e-9)
+
+
 def test_a_python_difference_agrees_with_the_built_in(weeks):
     kw = {"draws": 400, "key": F.col("asin")}
     mine = scores(change.distribution_change(*weeks, SUPPLY, "received",

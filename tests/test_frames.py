@@ -168,3 +168,17 @@ def test_graph_tables_match_the_column_graph(spark):
     with pytest.raises(ValueError, match="cycle"):
         graph.level_table(loop)
     assert graph.ancestor_table(loop, spark.createDataFrame([("a",)], "node string")).count() == 1
+
+
+def test_gaps_are_left_out(spark):
+    """Summaries of rows with a null and a NaN equal those of the rows without them."""
+    rows = [("a", float(i), float(i * i % 7)) for i in range(20)]
+    kind = "g string, x double, y double"
+    whole = spark.createDataFrame(rows, kind)
+    holed = spark.createDataFrame(rows + [("a", None, None), ("a", float("nan"), float("nan"))], kind)
+    as_set = lambda df: {tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()}
+    for f in (lambda df: frames.histograms(df, ["x", "y"], 5), lambda df: frames.pairwise(df, ["x", "y"]),
+              lambda df: frames.pairwise_counts(df, ["x", "y"], 4), lambda df: frames.column_means(df),
+              lambda df: frames.group_means(df, "g"), lambda df: frames.spread(df, "x").drop("n_rows"),
+              lambda df: frames.change(df, F.lit(True), ["x"]), lambda df: frames.aligned_change(df, df, "g", ["x"])):
+        assert as_set(f(holed)) == as_set(f(whole))

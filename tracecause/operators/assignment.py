@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tracecause.functions.randomness import uniform
 from tracecause.operators.frames import complete
 from tracecause.operators.graph import CausalGraph
-from tracecause.operators.mechanisms import (Moments, default_kinds, design_terms, fit_trees, moments,
+from tracecause.operators.mechanisms import (NOISE_FLOOR, Moments, default_kinds, design_terms, fit_trees, moments,
                                              needed_products, profile, solve_standard, squared_error)
 
 CANDIDATES = ("mean", "linear", "poly")
@@ -31,7 +31,8 @@ def fold_errors(df: DataFrame, graph: CausalGraph, key: Column, candidates=CANDI
                 nodes=None) -> dict[str, dict[str, float]]:
     """Held-out mean squared error per non-root node and candidate family.
 
-    Trees are the one family that has to be trained fold by fold.
+    An error below ``NOISE_FLOOR`` of the node's variance is the rounding of sums and counts as 0. Trees are the one
+    family that has to be trained fold by fold.
     """
     nodes = list(nodes or graph.order)
     inner = [n for n in nodes if graph.parents(n)]
@@ -48,14 +49,16 @@ def fold_errors(df: DataFrame, graph: CausalGraph, key: Column, candidates=CANDI
     errors: dict[str, dict[str, float]] = {}
     for n in inner:
         errors[n] = {}
+        floor = NOISE_FLOOR * total.var(n)
         for c in candidates:
             if c == "gbt":
-                errors[n][c] = tree_error(tagged, n, graph.parents(n), sorted(f for (f,) in parts), seed)
+                held = tree_error(tagged, n, graph.parents(n), sorted(f for (f,) in parts), seed)
+                errors[n][c] = held if held > floor else 0.0
                 continue
             terms = design_terms(c, graph.parents(n))
             held = sum(squared_error(part, n, terms, solve_standard(total - part, n, terms)) * part.n
                        for part in parts.values())
-            errors[n][c] = held / total.n
+            errors[n][c] = held / total.n if held / total.n > floor else 0.0
     return errors
 
 
@@ -71,7 +74,7 @@ def tree_error(tagged: DataFrame, node: str, parents, folds, seed: int) -> float
 
 
 def choose(errors: Mapping[str, float], candidates=CANDIDATES) -> str:
-    """Linear unless a richer family is clearly better than the best so far."""
+    """Linear unless a richer family is clearly better than the best so far; equal errors go to the simpler one."""
     best = "linear"
     for richer in ("poly", "gbt"):
         if richer in candidates and errors[richer] < errors[best] * (1.0 - GAIN):

@@ -88,8 +88,8 @@ def fit_periods(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, tar
                 test_change: bool = False, level: float = 0.05) -> tuple[CausalModel, CausalModel]:
     """Old and new model of the target and its ancestors; both periods share every pass over the data.
 
-    With ``test_change`` a mechanism whose parameters do not differ significantly (Chow test) is taken
-    from the old model on both sides, so it scores exactly zero.
+    With ``test_change`` a mechanism that differs significantly neither in its parameters nor in the spread of its
+    noise is taken from the old model on both sides, so it scores exactly zero.
     """
     nodes = list(graph.closure(target))
     kinds = {n: k for n, k in default_kinds(graph, kinds).items() if n in nodes}
@@ -120,7 +120,10 @@ def fit_periods(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, tar
 
 
 def change_p_values(old, new, graph: CausalGraph, kinds: Mapping[str, str]) -> dict[str, float]:
-    """Chow test per node from the sums of both periods: do two fits beat one?"""
+    """Has a node's mechanism changed? The smaller p-value of two tests on the sums of both periods.
+
+    Chow test: do two fits beat one? Variance ratio: is the spread of the noise (of a root: of its values) another?
+    """
     out = {}
     both = old + new
     for n, kind in kinds.items():
@@ -131,10 +134,17 @@ def change_p_values(old, new, graph: CausalGraph, kinds: Mapping[str, str]) -> d
         d1, d2 = len(terms) + 1, both.n - 2 * (len(terms) + 1)
         floor = 1e-9 * max(both.product((n,), (n,)) * both.scale.sd[n] ** 2, 1e-300)
         gain, left = max(rss[2] - rss[0] - rss[1], 0.0), rss[0] + rss[1]
+        free = [max(m.n - d1, 1.0) for m in (old, new)]
         if left <= floor:
             out[n] = 1.0 if gain <= floor else 0.0
         else:
-            out[n] = f_tail_value(gain / d1 / (left / max(d2, 1.0)), d1, max(d2, 1.0))
+            chow = f_tail_value(gain / d1 / (left / max(d2, 1.0)), d1, max(d2, 1.0))
+            if min(rss[0], rss[1]) <= floor:
+                out[n] = 0.0  # noise on one side only
+            else:
+                ratio = (rss[1] / free[1]) / (rss[0] / free[0])
+                spread = 2.0 * min(f_tail_value(ratio, free[1], free[0]), f_tail_value(1.0 / ratio, free[0], free[1]))
+                out[n] = min(chow, spread)
     return out
 
 
@@ -180,7 +190,7 @@ def coalition_values(spark: SparkSession, plan: CoalitionPlan, old: CausalModel,
 
 
 def change_scores(spark: SparkSession, old: CausalModel, new: CausalModel, target: str, summary: Summary = mean,
-                  draws: int | None = None, replicate=0, seed: int = 0, orderings: int = 400) -> DataFrame:
+                  draws: int | None = None, replicate=0, seed: int = 0, orderings: int | None = None) -> DataFrame:
     """Shapley shares of the change from two fitted models.
 
     Means of linear mechanisms are propagated exactly (``draws=0``, the default for them). Anything else

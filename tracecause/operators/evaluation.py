@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracecause.functions.statistics import chi2_tail, normal_bin
 from tracecause.operators.assignment import fold_errors
 from tracecause.operators.falsification import falsify
-from tracecause.operators.frames import complete
+from tracecause.operators.frames import complete, number
 from tracecause.operators.mechanisms import CausalModel
 from tracecause.operators.simulation import draw
 
 KL_BINS = 16
-MIN_BINS, MAX_BINS, ROWS_PER_CELL = 3, 16, 50  # chi-square needs filled cells: few rows, few bins
+INDEPENDENCE_BINS = 6  # chi-square needs filled cells; some hundred rows fill 36
 ROW_BITS = 33  # monotonically_increasing_id: partition above, position in the partition below
 
 
@@ -31,15 +29,19 @@ def kl_of_counts(counts: DataFrame, by, bins: int, name: str = "kl") -> DataFram
 
 
 def binned_kl(a: DataFrame, b: DataFrame, columns, bins: int = KL_BINS) -> DataFrame:
-    """``(node, kl)`` per column on bins placed by the moments of ``a``: two scans, ``bins`` rows shuffled."""
+    """``(node, kl)`` per column on bins placed by the moments of ``a``: two scans, ``bins`` rows shuffled.
+
+    Nulls and NaNs count in no bin.
+    """
     row = a.agg(*[e for i, c in enumerate(columns) for e in (
-        F.avg(F.col(c).cast("double")).alias(f"m{i}"), F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}"))]).first()
+        F.avg(number(c)).alias(f"m{i}"), F.stddev_samp(number(c)).alias(f"s{i}"))]).first()
     sides = []
     for side, df in (("a", a), ("b", b)):
         cells = F.array(*[F.struct(F.lit(c).alias("node"), F.lit(side).alias("side"),
-                                   normal_bin(c, row[f"m{i}"], row[f"s{i}"] or 0.0, bins).alias("bin"))
+                                   F.when(F.col(c).isNotNull(), normal_bin(c, row[f"m{i}"], row[f"s{i}"] or 0.0, bins)).alias("bin"))
                           for i, c in enumerate(columns)])
-        sides.append(df.select([F.col(c).cast("double").alias(c) for c in columns]).select(F.explode(cells).alias("c")).select("c.*"))
+        cells = F.filter(cells, lambda c: c["bin"].isNotNull())
+        sides.append(df.select([number(c).alias(c) for c in columns]).select(F.explode(cells).alias("c")).select("c.*"))
     counts = sides[0].union(sides[1]).groupBy("node", "side", "bin").agg(F.count(F.lit(1)).alias("n"))
     return kl_of_counts(counts, ["node"], bins)
 
@@ -115,20 +117,14 @@ def mechanism_metrics(model: CausalModel, df: DataFrame, key: Column, nodes=None
             .filter(F.col("value").isNotNull()))
 
 
-def independence_bins(n_rows: int) -> int:
-    return max(MIN_BINS, min(MAX_BINS, math.floor(math.sqrt(n_rows / ROWS_PER_CELL))))
-
-
-def independence(model: CausalModel, df: DataFrame, nodes=None, bins: int | None = None,
+def independence(model: CausalModel, df: DataFrame, nodes=None, bins: int = INDEPENDENCE_BINS,
                  level: float = 0.05) -> DataFrame:
     """Is a node's noise independent of each parent? ``(node, parent, n, g, dof, p_value, p_adjusted, rejected)``.
 
-    Residual and parent are put into bins placed by their moments, as many as the fitted rows can fill; the
-    G statistic of the table of counts is compared with chi-square and p-values are adjusted for the number of pairs (Bonferroni). Rows fold
+    Residual and parent are put into ``bins`` bins placed by their moments; the G statistic of the table of counts is compared with chi-square and p-values are adjusted for the number of pairs (Bonferroni). Rows fold
     to at most ``bins^2`` counts per pair before the shuffle.
     """
     nodes = [n for n in (nodes or model.graph.order) if not model[n].is_root]
-    bins = bins or independence_bins(model.n_rows)
     use = [n for n in model.graph.order if n in df.columns]
     at = {n: F.col(n).cast("double") for n in use}
     rows = df.filter(complete(use)).select(

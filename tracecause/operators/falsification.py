@@ -89,7 +89,7 @@ def permuted_graph(graph: CausalGraph, replicate: int, seed: int = 0) -> CausalG
 PERMUTATION_SCHEMA = ("graph string, replicate int, n_claims int, n_violations int, violation_share double, "
                       "same_claims boolean")
 VERDICT_SCHEMA = ("n_claims int, n_violations int, n_permutations int, p_value double, same_claims_share double, "
-                  "rejected boolean")
+                  "informative boolean, rejected boolean")
 
 
 def permutation_results(df: DataFrame, graph: CausalGraph, n_permutations: int = 20, level: float = 0.05,
@@ -122,7 +122,8 @@ def falsify(df: DataFrame, graph: CausalGraph, n_permutations: int = 20, level:
             seed: int = 0) -> DataFrame:
     """One row: p-value (share of permuted graphs violated no more often) and how much the test can tell.
 
-    When many permutations imply the very same independences the graph says little that could be wrong.
+    When many permutations imply the very same independences the graph says little that could be wrong: the test
+    is informative only if at most ``level`` of them do, and only an informative test rejects.
     """
     rows = permutation_results(df, graph, n_permutations, level, seed)
     given, others = rows[0], rows[1:]
@@ -132,4 +133,5 @@ def falsify(df: DataFrame, graph: CausalGraph, n_permutations: int = 20, level:
 
 
 def verdict(spark: SparkSession, given, n: int, p: float, same: float, level: float) -> DataFrame:
-    return spark.createDataFrame([(given[2], given[3], n, p, same, p > level)], VERDICT_SCHEMA)
+    informative = same <= level
+    return spark.createDataFrame([(given[2], given[3], n, p, same, informative, informative and p > level)], VERDICT_SCHEMA)

@@ -36,6 +36,12 @@ def complete(nodes) -> Column:
     return test
 
 
+def number(name: str) -> Column:
+    """A column as double, null where it is NaN; aggregates then leave the gap out."""
+    x = F.col(name).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def node_frame(df: DataFrame, nodes, keep=()) -> DataFrame:
     """The columns a causal query needs and no others: ``keep`` as is, nodes as doubles.
 
@@ -74,7 +80,7 @@ def series(df: DataFrame, key: str, target: str) -> DataFrame:
 
 def event_overlay(df: DataFrame, key: str, flag: str, target: str) -> DataFrame:
     """Keys of the rows where the flag holds, beside the bounds of the whole series."""
-    bounds = df.agg(F.min(target).alias("low"), F.max(target).alias("high"), F.count(F.lit(1)).alias("n_rows")).first()
+    bounds = df.agg(F.min(number(target)).alias("low"), F.max(number(target)).alias("high"), F.count(F.lit(1)).alias("n_rows")).first()
     return df.filter(F.col(flag).cast("boolean")).select(
         F.col(key), F.col(target), F.lit(bounds.low).alias("low"), F.lit(bounds.high).alias("high"),
         F.lit(bounds.n_rows).cast("bigint").alias("n_rows"))
@@ -87,8 +93,8 @@ def aligned_change(old: DataFrame, new: DataFrame, on, columns) -> DataFrame:
     partitioning of that fold.
     """
     on = [on] if isinstance(on, str) else list(on)
-    left = old.groupBy(*on).agg(*[F.avg(F.col(c).cast("double")).alias(f"{c}_old") for c in columns])
-    right = new.groupBy(*on).agg(*[F.avg(F.col(c).cast("double")).alias(f"{c}_new") for c in columns])
+    left = old.groupBy(*on).agg(*[F.avg(number(c)).alias(f"{c}_old") for c in columns])
+    right = new.groupBy(*on).agg(*[F.avg(number(c)).alias(f"{c}_new") for c in columns])
     both = left.join(right, on, "inner")
     for c in columns:
         both = (both.withColumn(f"{c}_growth_pct", growth_pct(F.col(f"{c}_old"), F.col(f"{c}_new")))
@@ -107,19 +113,19 @@ def drop_pct(old: Column, new: Column) -> Column:
 
 def group_means(df: DataFrame, by: str, exclude=()) -> DataFrame:
     """Mean of every numeric column per group; other columns are skipped."""
-    return df.groupBy(by).agg(*[F.avg(F.col(c).cast("double")).alias(c)
+    return df.groupBy(by).agg(*[F.avg(number(c)).alias(c)
                                 for c in numeric_columns(df, {by, *exclude})])
 
 
 def column_means(df: DataFrame, columns=None) -> DataFrame:
     """Long ``(node, mean)``: one pass for all columns, then one row turned on its side."""
     columns = columns or numeric_columns(df)
-    wide = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in columns])
+    wide = df.agg(*[F.avg(number(c)).alias(c) for c in columns])
     return wide.unpivot([], columns, "node", "mean")
 
 
 def spread(df: DataFrame, target: str) -> DataFrame:
-    x = F.col(target)
+    x = number(target)
     return df.agg(F.stddev_samp(x).alias("sd"), F.min(x).alias("low"), F.max(x).alias("high"),
                   F.avg(x).alias("mean"), F.count(F.lit(1)).alias("n_rows"))
 
@@ -128,7 +134,7 @@ def change(old_new: DataFrame, is_new: Column, columns) -> DataFrame:
     """Means of both periods and their differences, all columns in one pass over the stacked rows."""
     aggs = []
     for c in columns:
-        x = F.col(c).cast("double")
+        x = number(c)
         aggs += [F.avg(F.when(~is_new, x)).alias(f"{c}__old"), F.avg(F.when(is_new, x)).alias(f"{c}__new")]
     wide = old_new.agg(*aggs)
     pairs = ", ".join(f"'{c}', `{c}__old`, `{c}__new`" for c in columns)
@@ -144,11 +150,10 @@ def histograms(df: DataFrame, columns, bins: int = 20) -> DataFrame:
     One pass for the bounds, one for the counts; rows collapse to at most ``bins`` per column before
     the shuffle.
     """
-    bounds = df.agg(*[e for c in columns for e in (F.min(F.col(c).cast("double")).alias(f"{c}__lo"),
-                                                   F.max(F.col(c).cast("double")).alias(f"{c}__hi"))])
+    bounds = df.agg(*[e for c in columns for e in (F.min(number(c)).alias(f"{c}__lo"), F.max(number(c)).alias(f"{c}__hi"))])
     edges = ", ".join(f"'{c}', `{c}__lo`, `{c}__hi`" for c in columns)
     bounds = bounds.selectExpr(f"stack({len(columns)}, {edges}) as (node, lo, hi)")
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "node", "x")
+    long = df.select(*[number(c).alias(c) for c in columns]).unpivot([], list(columns), "node", "x")
     width = (F.col("hi") - F.col("lo")) / bins
     slot = F.when(width > 0, F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1))).otherwise(0)
     return (long.dropna().join(F.broadcast(bounds), "node")  # bounds has one row per column
@@ -158,17 +163,21 @@ def histograms(df: DataFrame, columns, bins: int = 20) -> DataFrame:
 
 
 def pairwise(df: DataFrame, columns) -> DataFrame:
-    """Correlation of every pair of columns from one pass, long ``(left, right, corr)``."""
+    """Correlation of every pair of columns from one pass, long ``(left, right, corr)``.
+
+    A row counts for a pair if both values are there.
+    """
     pairs = list(combinations(sorted(columns), 2))
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}")
+    wide = df.agg(*[F.corr(number(a), number(b)).alias(f"p{i}")
                     for i, (a, b) in enumerate(pairs)])
     rows = ", ".join(f"'{a}', '{b}', p{i}" for i, (a, b) in enumerate(pairs))
     return wide.selectExpr(f"stack({len(pairs)}, {rows}) as (left_node, right_node, corr)")
 
 
 def pairwise_counts(df: DataFrame, columns, bins: int = 8) -> DataFrame:
-    """Two-dimensional counts of every pair of columns: the data behind a scatter matrix."""
+    """Two-dimensional counts of every pair of columns: the data behind a scatter matrix. Complete rows only."""
     columns = sorted(columns)
+    df = df.filter(complete(columns))
     lows = df.agg(*[e for c in columns for e in (F.min(F.col(c).cast("double")).alias(f"{c}__lo"),
                                                  F.max(F.col(c).cast("double")).alias(f"{c}__hi"))]).first()
     slots = {}
@@ -180,7 +189,7 @@ def pairwise_counts(df: DataFrame, columns, bins: int = 8) -> DataFrame:
     cells = F.array(*[F.struct(F.lit(a).alias("left_node"), F.lit(b).alias("right_node"),
                                slots[a].alias("left_bin"), slots[b].alias("right_bin"))
                       for a, b in combinations(columns, 2)])
-    return (df.filter(complete(columns)).select(F.explode(cells).alias("c")).select("c.*")
+    return (df.select(F.explode(cells).alias("c")).select("c.*")
             .groupBy("left_node", "right_node", "left_bin", "right_bin").agg(F.count(F.lit(1)).alias("n")))
 
 

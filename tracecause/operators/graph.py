@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from tracecause.sources.workspace import cut_lineage
 
-MAX_COLUMN_EDGES = 10_000
-
 
 @dataclass(frozen=True)
 class CausalGraph:
@@ -33,9 +31,8 @@ class CausalGraph:
 
     @classmethod
     def from_table(cls, edges: DataFrame) -> "CausalGraph":
-        rows = edges.select("parent", "child").distinct().limit(MAX_COLUMN_EDGES + 1).collect()
-        if len(rows) > MAX_COLUMN_EDGES:
-            raise ValueError("an edge table this large is data, not a graph over columns")
+        """A graph over columns is part of a query; edge tables of data stay tables (``parent_table`` and others)."""
+        rows = edges.select("parent", "child").distinct().collect()
         return cls(tuple(sorted((r.parent, r.child) for r in rows)))
 
     def to_table(self, spark: SparkSession) -> DataFrame:

@@ -12,21 +12,23 @@ from pyspark.sql import functions as F
 from tracecause.functions.randomness import pick, uniform
 from tracecause.functions.statistics import normal_bin
 from tracecause.operators.evaluation import KL_BINS, kl_of_counts
+from tracecause.operators.frames import complete
 from tracecause.operators.mechanisms import POOL_ROWS, CausalModel, Mechanism, pool_rows
 from tracecause.operators.shapley import coalition_plan
 
 
 def arrow_strength(model: CausalModel, df: DataFrame, target: str, measure: str = "variance",
-                   key: Column | None = None, seed: int = 0) -> DataFrame:
+                   key: Column | None = None, seed: int = 0, draws: int = 100) -> DataFrame:
     """``(parent, child, strength)``: how much the target changes when one arrow is cut.
 
     Cutting an arrow feeds the target an independent draw from the parent's marginal. ``variance`` is the
     mean rise of the target's variance given its parents. A linear or product mechanism is at most quadratic
-    in a parent, so the rise follows from five moments per parent, all from one pass; trees are drawn. ``kl`` is
+    in a parent, so the rise follows from five moments per parent, all from one pass; trees are drawn ``draws`` times. ``kl`` is
     the divergence between the observed target and the target with the arrow cut.
     """
+    df = df.filter(complete([target, *model[target].parents]))
     if measure == "variance":
-        return _variance_strength(model, df, target, key, seed)
+        return _variance_strength(model, df, target, key, seed, draws)
     if measure == "kl":
         if key is None:
             raise ValueError("measure 'kl' draws by row key")
@@ -34,10 +36,11 @@ def arrow_strength(model: CausalModel, df: DataFrame, target: str, measure: str
     raise ValueError(f"unknown measure {measure!r}")
 
 
-def _variance_strength(model: CausalModel, df: DataFrame, target: str, key: Column | None, seed: int) -> DataFrame:
+def _variance_strength(model: CausalModel, df: DataFrame, target: str, key: Column | None, seed: int,
+                       draws: int) -> DataFrame:
     m = model[target]
     if m.kind == "gbt":
-        return _drawn_strength(m, df, target, key, seed)
+        return _drawn_strength(m, df, target, key, seed, draws)
     aggs, square = [], {}
     for j, parent in enumerate(m.parents):
         slope = F.lit(0.0)
@@ -68,7 +71,7 @@ def _variance_strength(model: CausalModel, df: DataFrame, target: str, key: Colu
 
 
 def _drawn_strength(m: Mechanism, df: DataFrame, target: str, key: Column | None, seed: int,
-                    draws: int = 100) -> DataFrame:
+                    draws: int) -> DataFrame:
     """Variance over draws of one parent, averaged over the rows: for mechanisms without a closed form.
 
     All rows meet the same draws, so rows and draws swap places: ``mean_row Var_draw(f)`` follows from

@@ -33,7 +33,6 @@ from tracecause.operators.shapley import coalition_plan
 from tracecause.operators.simulation import intervene
 
 RESAMPLES = 20
-MAX_RESAMPLES = 1000
 MODES = ("refit", "resample", "subsample", "rerun")
 
 
@@ -55,8 +54,8 @@ def confidence_intervals(query: Callable[[int], DataFrame], replicates: int = RE
 
 def weight_rows(df: DataFrame, key: Column, mode: str, replicates: int, frac: float, seed: int,
                 method: str = "md5") -> DataFrame:
-    if not 1 <= replicates <= MAX_RESAMPLES:
-        raise ValueError(f"between 1 and {MAX_RESAMPLES} resamples")
+    if replicates < 1:
+        raise ValueError("at least one resample")
     if mode in ("refit", "resample"):
         return bootstrap_weights(df, key, replicates, seed, method)
     if mode == "subsample":
@@ -97,7 +96,8 @@ def replicate_models(df: DataFrame, graph: CausalGraph, key: Column, nodes, mode
     half = [n for n in nodes if kinds[n] == "halfnorm"]
     lows = {}
     if half:
-        lows = {tuple(r[b] for b in by): r for r in rows.groupBy(*by).agg(*[F.min(n).alias(n) for n in half]).collect()}
+        drawn = weighted.filter(F.col("weight") > 0).groupBy(*by, "replicate").agg(*[F.min(n).alias(n) for n in half])
+        lows = {tuple(r[b] for b in by + ["replicate"]): r for r in drawn.collect()}
     samples = {}
     for own in sorted({g[:-1] for g in groups}) if pool else ():
         part = rows.filter(F.col(side) == own[0]) if side else rows
@@ -109,7 +109,7 @@ def replicate_models(df: DataFrame, graph: CausalGraph, key: Column, nodes, mode
             raise ValueError("too few rows to resample")
         found = {n: solve(m, n, kinds[n], graph.parents(n)) for n in nodes}
         for n in half:
-            low = lows[own][n]
+            low = lows[group][n]
             size = float(np.sqrt(max(found[n].noise_var * (m.n - 1) / m.n, 0.0) + (found[n].noise_mean - low) ** 2))
             found[n] = replace(found[n], params={**found[n].params, "loc": low, "scale": size,
                                                  "noise_mean": low + size * float(np.sqrt(2 / np.pi)),

@@ -223,7 +223,8 @@ def profile(df: DataFrame, nodes) -> tuple[Scale, int, int]:
 
 def linear_moments(df: DataFrame, nodes, products: list[Term], by: list[str] | None = None
                    ) -> tuple[dict[tuple, Moments], int, int]:
-    """``(moments per group, complete rows, dropped rows)`` in one pass, for products of at most two columns.
+    """``(moments per group, complete rows, dropped rows)`` in one pass, for products of at most two columns (very wide
+    graphs take a pass per ``WIDE_MOMENTS`` covariances; the numbers are the same).
 
     Means and covariances merge without losing digits, so no earlier pass has to find where to shift; the
     sums follow from them. Rows with a null or NaN are counted but not used.
@@ -237,8 +238,12 @@ def linear_moments(df: DataFrame, nodes, products: list[Term], by: list[str] | N
                    | {(i, i) for i in at.values()})
     aggs = [F.count(F.lit(1)).alias("__all"), F.count_if("__ok").alias("__n")]
     aggs += [F.avg(f"x{i}").alias(f"m{i}") for i in at.values()]
-    aggs += [F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}_{j}") for i, j in pairs]
-    rows = (x.groupBy(*by) if by else x.groupBy()).agg(*aggs).collect()
+    merged: dict[tuple, dict] = {}
+    for start in range(0, len(pairs), WIDE_MOMENTS):
+        more = [F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}_{j}") for i, j in pairs[start:start + WIDE_MOMENTS]]
+        for row in (x.groupBy(*by) if by else x.groupBy()).agg(*aggs, *more).collect():
+            merged.setdefault(tuple(row[c] for c in by), {}).update(row.asDict())
+    rows = list(merged.values())
     used = [r for r in rows if r["__n"] > 0]
     n_ok = sum(r["__n"] for r in used)
     if n_ok < 2:
@@ -275,7 +280,7 @@ def collect_moments(df: DataFrame, nodes, designs, by: list[str] | None = None
                     ) -> tuple[dict[tuple, Moments], int, int]:
     """Moments for any designs: one pass if all terms are single columns, two if there are products."""
     products = needed_products(designs)
-    if max(len(p) for p in products) <= 2 and len(products) <= WIDE_MOMENTS:
+    if max(len(p) for p in products) <= 2:
         return linear_moments(df, nodes, products, by)
     scale, n_ok, n_dropped = profile(df, nodes)
     return moments(df.filter(complete(nodes)), scale, products, by), n_ok, n_dropped

@@ -1,8 +1,8 @@
 """Coalitions and Shapley weights.
 
 A plan lists the coalitions to evaluate and, per player, the factor of each coalition's value in the
-player's share. With all 2^k coalitions the shares are exact; above the limit they are averages over
-sampled orderings, and coalitions met twice are evaluated once.
+player's share. With all 2^k coalitions the shares are exact, which is the default; asked for ``orderings``, they are
+averages over so many sampled orderings, and coalitions met twice are evaluated once.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from tracecause.functions.randomness import double_array, uniform_values
 
-EXACT_PLAYERS = 12
 MAX_PLAYERS = 62   # a coalition is the bits of one long
 
 
@@ -61,12 +60,12 @@ def unpivot_players(wide: DataFrame, players, by=()) -> DataFrame:
     return wide.select(*by, F.expr(f"stack({len(players)}, {rows}) as (node, score)"))
 
 
-def coalition_plan(players, orderings: int = 400, seed: int = 0, exact_players: int = EXACT_PLAYERS) -> CoalitionPlan:
+def coalition_plan(players, orderings: int | None = None, seed: int = 0) -> CoalitionPlan:
     players = tuple(players)
     k = len(players)
     if k > MAX_PLAYERS:
         raise ValueError(f"at most {MAX_PLAYERS} nodes upstream of a target")
-    if k <= exact_players:
+    if orderings is None:
         weight = [factorial(s) * factorial(k - s - 1) / factorial(k) for s in range(k)]
         factors = np.empty((2 ** k, k))
         for mask in range(2 ** k):

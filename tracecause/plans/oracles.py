@@ -6,16 +6,20 @@ the two-parent one by Cramer's rule, Shapley values by summing over all coalitio
 
 from __future__ import annotations
 
-from math import factorial
+from math import exp, factorial
+from statistics import NormalDist
 
-from tracecause.functions.statistics import TAIL_B, TAIL_P, normal_edges
+# Abramowitz & Stegun 26.2.17.
+TAIL_P = 0.2316419
+TAIL_B = (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
 
 SPLIT = "DATE '1998-04-15'"
 
 FACTS = """facts AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, CAST(n_lines AS DOUBLE) AS n_lines, qty, gross,
-  disc, gross - disc AS net FROM orders JOIN (SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS qty,
+  disc, gross - disc AS net FROM (SELECT o_orderkey, o_orderdate, coalesce(n_lines, 0) AS n_lines, coalesce(qty, 0) AS qty,
+  coalesce(gross, 0) AS gross, coalesce(disc, 0) AS disc FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS qty,
   sum(l_extendedprice) AS gross, sum(l_extendedprice * l_discount) AS disc FROM lineitem GROUP BY l_orderkey)
-  ON o_orderkey = l_orderkey)"""
+  ON o_orderkey = l_orderkey))"""
 DAYS = FACTS + """, days AS (SELECT d, CASE WHEN month(d) IN (11, 12) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS peak,
   CAST(n_orders AS DOUBLE) AS n_orders, n_lines, qty, gross, disc, gross - disc AS net FROM (SELECT d,
   count(*) AS n_orders, sum(n_lines) AS n_lines, sum(qty) AS qty, sum(gross) AS gross, sum(disc) AS disc
@@ -32,6 +36,10 @@ DAY_ALL = ["peak", "n_orders", "n_lines", "qty", "gross", "disc", "net"]
 ORDER_ALL = ["n_lines", "qty", "gross", "disc", "net"]
 
 
+def normal_edges(bins: int) -> list[float]:
+    return [round(NormalDist().inv_cdf(i / bins), 12) for i in range(1, bins)]
+
+
 def tidy(x: str, zero: str = "1e-6", digits: int = 7) -> str:
     return f"CASE WHEN abs({x}) < {zero} THEN 0.0 ELSE CAST(printf('%.{digits - 1}e', {x}) AS DOUBLE) END"
 
@@ -227,13 +235,6 @@ def bin_of(x: str, mean: str, sd: str, bins: int = 16) -> str:
     return "(" + " + ".join(f"CAST({x} >= {mean} + {sd} * {e!r} AS INTEGER)" for e in normal_edges(bins)) + ")"
 
 
-def chosen_bin_of(x: str, mean: str, sd: str) -> str:
-    """Bin among as many normal-score bins as the rows of ``days`` can fill, between 3 and 16."""
-    edges = "[" + ", ".join("[" + ", ".join(f"{e!r}::DOUBLE" for e in normal_edges(b)) + "]" for b in range(3, 17)) + "]"
-    bins = "CAST(greatest(3, least(16, floor(sqrt((SELECT count(*) FROM days) / 50)))) AS BIGINT)"
-    return f"len(list_filter({edges}[{bins} - 2], lambda v: {x} >= {mean} + {sd} * v))"
-
-
 def kl(counts_a: str, counts_b: str, bins: int = 16) -> str:
     """KL over two lists of bin counts."""
     return (f"list_sum(list_transform(range({bins}), lambda i: ({counts_a}[i + 1] + 0.5) / (list_sum({counts_a}) + {bins / 2}) "
@@ -254,10 +255,11 @@ def interval(source: str, mode: str, keys: str = "", zero: str = "1e-3", digits:
 
 
 def poisson_case(uniform: str) -> str:
-    from tracecause.functions.randomness import poisson_thresholds
-
-    steps = " ".join(f"WHEN {uniform} < {t!r}::DOUBLE THEN {k}" for k, t in enumerate(poisson_thresholds()))
-    return f"CASE {steps} ELSE {len(poisson_thresholds())} END"
+    below, steps = 0.0, ""
+    for k in range(13):
+        below += exp(-1) / factorial(k)
+        steps += f" WHEN {uniform} < {below!r}::DOUBLE THEN {k}"
+    return f"CASE{steps} ELSE 13 END"
 
 
 def weighted(source: str, key: str, replicates: int, mode: str) -> str:
@@ -445,7 +447,7 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     bins = []
     for x, y in single:
         r = residual(y, DAY_CHAIN)
-        bins.append(f"SELECT '{y}' AS node, '{x}' AS parent, {chosen_bin_of('e', '0.0', 'sd_e')} AS r, {chosen_bin_of('x', 'm_x', 'sd_x')} "
+        bins.append(f"SELECT '{y}' AS node, '{x}' AS parent, {bin_of('e', '0.0', 'sd_e', 6)} AS r, {bin_of('x', 'm_x', 'sd_x', 6)} "
                     f"AS x FROM (SELECT {r} AS e, {x} AS x, stddev_samp({r}) OVER () AS sd_e, avg({x}) OVER () AS m_x, "
                     f"stddev_samp({x}) OVER () AS sd_x FROM days, f)")
     z = "((power(g / dof, 1.0 / 3.0) - (1 - 2.0 / (9.0 * dof))) / sqrt(2.0 / (9.0 * dof)))"
@@ -614,18 +616,26 @@ def change_tested(chain) -> str:
         rss = {s: f"(SELECT sum(power({residual(n, chain) if i else f'{n} - m_{n}'}, 2)) FROM {t}, {s})"
                for s, t in (("fo", "old"), ("fn", "new"), ("fb", "facts"))}
         parts.append(f"SELECT '{n}' AS node, {d1}::DOUBLE AS d1, {rss['fo']} + {rss['fn']} AS rest, {rss['fb']} AS pooled, "
+                     f"{rss['fo']} AS r0, {rss['fn']} AS r1, (SELECT count(*) FROM old) - {d1}::DOUBLE AS k0, "
+                     f"(SELECT count(*) FROM new) - {d1}::DOUBLE AS k1, "
                      f"(SELECT count(*) FROM facts) - {2 * d1}::DOUBLE AS d2")
     root = "power(((pooled - rest) / d1) / (rest / d2), 1.0 / 3.0)"
     z = f"((1 - 2 / (9 * d2)) * {root} - (1 - 2 / (9 * d1))) / sqrt(2 / (9 * d2) * power({root}, 2) + 2 / (9 * d1))"
+    def cube(a, da, b, db):
+        """The score of an F statistic (a / da) / (b / db)."""
+        root = f"power(({a} / {da}) / ({b} / {db}), 1.0 / 3.0)"
+        return f"((1 - 2 / (9 * {db})) * {root} - (1 - 2 / (9 * {da}))) / sqrt(2 / (9 * {db}) * power({root}, 2) + 2 / (9 * {da}))"
+    up, down = cube("r1", "k1", "r0", "k0"), cube("r0", "k0", "r1", "k1")
     for i, n in enumerate(chain):
-        same = f"(SELECT ({normal_tail('z')}) > 0.05 FROM chow WHERE node = '{n}')"
+        same = (f"(SELECT ({normal_tail('z')}) > 0.05 AND 2 * ({normal_tail('up')}) > 0.05 AND 2 * ({normal_tail('down')}) > 0.05 "
+                f"FROM chow WHERE node = '{n}')")
         for field in ([f"m_{n}"] if i == 0 else [f"a_{n}", f"b_{n}"]):
             kept.append(f"CASE WHEN {same} THEN fo.{field} ELSE fn.{field} END AS {field}")
     nodes = chain + ["net"]
     mixed = mixes(chain, "fo", "ft", lambda n, s: f"{s}.m_{n}" if n == chain[0] else "0.0")
     return (f"WITH {FACTS}, old AS (SELECT * FROM facts WHERE d <= {SPLIT}), new AS (SELECT * FROM facts WHERE d > {SPLIT}), "
             + ", ".join(fits(t, chain, name=f) for t, f in (("old", "fo"), ("new", "fn"), ("facts", "fb")))
-            + f", chow AS (SELECT *, {z} AS z FROM ({' UNION ALL '.join(parts)})), "
+            + f", chow AS (SELECT *, {z} AS z, {up} AS up, {down} AS down FROM ({' UNION ALL '.join(parts)})), "
             + f"ft AS (SELECT {', '.join(kept)}, fo.a_net, fo.bd, fo.bg FROM fo, fn), "
             + f"base AS (SELECT s, {side_params(chain, ('fo', 'ft'))} FROM fo, ft, range({2 ** len(nodes)}) AS c(s)), "
             + f"vals AS (SELECT s, net AS v FROM {mixed}), {shapley('vals', nodes)} " + long("phi", "", nodes, "1e-3", 6))

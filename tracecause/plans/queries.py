@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-
 from tracecause.functions.statistics import significant
 from tracecause.operators import (anomaly, assignment, change, evaluation, falsification, frames, graph, influence,
                                   intervals, sampling, simulation)
@@ -15,7 +13,7 @@ from tracecause.plans.workload import (DAILY_GRAPH, ORDER_GRAPH, SPLIT, daily, o
 from tracecause.sources import ingest, snapshots
 from tracecause.sources.payload import from_payload, to_payload
 from tracecause.sources.registry import ModelRegistry
-from tracecause.sources.workspace import fresh_path
+from tracecause.sources.workspace import cut_lineage, fresh_path
 from tracecause.streaming.scoring import read_results, score, score_stream
 
 TARGET = "net"
@@ -36,12 +34,12 @@ def tidy(x, zero: float = 1e-6, digits: int = 7) -> Column:
 
 
 def days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily table, kept: most queries pass over it more than once."""
-    return daily(spark, sf_dir).persist()
+    """The daily table, written to the shared folder: most queries pass over it more than once."""
+    return cut_lineage(daily(spark, sf_dir))
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_facts(spark, sf_dir).persist()
+    return cut_lineage(order_facts(spark, sf_dir))
 
 
 def is_new() -> Column:

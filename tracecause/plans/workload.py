@@ -25,16 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines are folded per order before the join, so the join sees one row per order on both sides and
-    reuses the partitioning of the fold."""
+    """One row per order, with zeros for an order without lines.
+
+    Lines are folded per order before the join, so the join sees one row per order on both sides and reuses the
+    partitioning of the fold."""
     lines = (table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
              .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("qty"),
                   F.sum("l_extendedprice").alias("gross"),
                   F.sum(F.col("l_extendedprice") * F.col("l_discount")).alias("disc")))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
-    return (orders.join(lines, orders.o_orderkey == lines.l_orderkey)
-            .select("o_orderkey", "d", "n_lines", "qty", "gross", "disc",
-                    (F.col("gross") - F.col("disc")).alias("net")))
+    rows = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").fillna(0, ["n_lines", "qty", "gross", "disc"])
+    return rows.select("o_orderkey", "d", "n_lines", "qty", "gross", "disc", (F.col("gross") - F.col("disc")).alias("net"))
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,13 +8,13 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracecause.operators.graph import CausalGraph
 from tracecause.operators.mechanisms import MECHANISM_SCHEMA, CausalModel
+from tracecause.sources.workspace import read_or_empty
 
 SCHEMAS = {
     "edges": "model string, version int, parent string, child string",
@@ -30,10 +30,7 @@ class ModelRegistry:
         self.spark, self.path = spark, path.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path}/{name}")
-        except AnalysisException:
-            return self.spark.createDataFrame([], SCHEMAS[name])
+        return read_or_empty(self.spark, f"{self.path}/{name}", SCHEMAS[name])
 
     def _append(self, name: str, rows: list[tuple]) -> None:
         self.spark.createDataFrame(rows, SCHEMAS[name]).coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")

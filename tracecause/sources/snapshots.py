@@ -6,20 +6,18 @@ written last, so a failed write is never read.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracecause.sources.workspace import read_or_empty
+
 VERSION = "snapshot_version"
 HISTORY_SCHEMA = "version int, written_at timestamp, operation string"
 
 
 def history(spark: SparkSession, path: str) -> DataFrame:
     """Versions of a table, newest first."""
-    try:
-        return spark.read.schema(HISTORY_SCHEMA).parquet(f"{path}/history").orderBy(F.desc("version"))
-    except AnalysisException:
-        return spark.createDataFrame([], HISTORY_SCHEMA)
+    return read_or_empty(spark, f"{path}/history", HISTORY_SCHEMA).orderBy(F.desc("version"))
 
 
 def latest_version(spark: SparkSession, path: str) -> int:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,6 +28,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Parquet rows at a path, none if nothing was written there yet; any other error is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder once and go on from the file.
 
