@@ -43,7 +43,8 @@ def test_linear_fit_is_least_squares(shop):
         beta, rest = least_squares(pdf, node, [pdf[p].to_numpy(float) for p in m.parents])
         np.testing.assert_allclose([m.intercept, *m.coef], beta, rtol=1e-7)
         assert m.noise_var == pytest.approx(rest.var(), rel=1e-7)
-        assert len(m.noise) == 365 and np.sort(m.noise) == pytest.approx(np.sort(rest), abs=1e-6)
+        drawn = m.noise.frame.select(m.drawn({c: F.col(c) for c in m.noise.nodes}).alias("e")).toPandas().e
+        assert m.noise.size == 365 and np.sort(drawn) == pytest.approx(np.sort(rest), abs=1e-6)
     assert model["Profit"].noise_var == 0.0 and model["Profit"].coef == pytest.approx((-1.0, 1.0))
 
 
@@ -82,7 +83,20 @@ def test_fit_does_not_depend_on_partitions(shop):
     a, b = (fit(d, SHOP, F.col("Date")) for d in (shop.repartition(7), shop.coalesce(1)))
     for n in SHOP.order:
         np.testing.assert_allclose([a[n].intercept, *a[n].coef], [b[n].intercept, *b[n].coef], rtol=1e-6, atol=1e-6)
-        np.testing.assert_allclose(a[n].noise, b[n].noise, rtol=1e-6, atol=1e-5)
+        np.testing.assert_allclose(a[n].noise_values(50), b[n].noise_values(50), rtol=1e-6, atol=1e-5)
+
+
+def test_a_rare_value_can_be_drawn(spark):
+    """One row in 100,000 holds a value that no other does; draws come from all rows."""
+    df = spark.range(100_000).select("id", F.when(F.col("id") == 77, 1000.0).otherwise(F.col("id") % 7).cast("double").alias("x"))
+    model = fit(df, CausalGraph((), ("x",)), F.col("id"))
+    assert model["x"].noise.size == 100_000
+    table = model["x"].noise.frame
+    assert table.agg(F.count_distinct("pos"), F.max("pos")).first()[:] == (100_000, 99_999)
+    at = table.where("x = 1000").first().pos
+    asked = spark.createDataFrame([(at / 100_000 + 1e-9,), (0.5,)], "u double")
+    assert 1000.0 in [r.v for r in model["x"].noise.join(asked, F.col("u"), F.col("x"), "v").collect()]
+    assert model["x"].noise.rows(np.array([at]))["x"][0] == 1000.0
 
 
 def test_kinds_are_checked():
@@ -607,7 +621,7 @@ def test_registry(spark, shop):
     assert set(loaded.graph.edges) == set(SHOP.edges)
     for n in SHOP.nodes:
         assert loaded[n].kind == model[n].kind and loaded[n].terms == model[n].terms
-        assert loaded[n].coef == pytest.approx(model[n].coef) and loaded[n].noise == pytest.approx(model[n].noise)
+        assert loaded[n].coef == pytest.approx(model[n].coef) and loaded[n].noise_values(40) == pytest.approx(model[n].noise_values(40))
     with pytest.raises(ValueError, match="missing"):
         registry.check_input("shop", 1, shop.drop("Profit"))
     with pytest.raises(ValueError, match="is string"):

@@ -85,14 +85,3 @@ def double_array(values) -> Column:
     if len(values) == 0:
         return F.array().cast("array<double>")
     return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
-
-
-def pick(pool, u: Column) -> Column:
-    """Element of a pool (array column or sequence of numbers) at uniform position ``u``."""
-    if isinstance(pool, Column):
-        return F.element_at(pool, (F.floor(u * F.size(pool)) + 1).cast("int"))
-    return F.element_at(double_array(pool), (F.floor(u * float(len(pool))) + 1).cast("int"))
-
-
-def pick_values(pool: np.ndarray, u: np.ndarray) -> np.ndarray:
-    return np.asarray(pool)[np.floor(u * len(pool)).astype(np.int64)]

@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from tracecause.functions.statistics import f_tail_value, normal_bin, normal_edges
 from tracecause.operators.frames import complete
 from tracecause.operators.graph import CausalGraph
-from tracecause.operators.mechanisms import (POOL_ROWS, CausalModel, attach_noise, collect_moments, default_kinds,
-                                             design_terms, draw_values, fit_trees, halfnorm_params, pool_rows, solve,
-                                             solve_standard, squared_error)
+from tracecause.operators.mechanisms import (CausalModel, collect_moments, default_kinds, design_terms, draw_values,
+                                             fit_trees, halfnorm_params, solve, solve_standard, squared_error)
+from tracecause.operators.noise import NoiseTable, ranked
 from tracecause.operators.shapley import CoalitionPlan, coalition_plan
 
 Summary = Callable[[Column], Column]
@@ -84,7 +84,7 @@ def stack_sides(old: DataFrame, new, nodes, key: Column | None = None) -> DataFr
 
 
 def fit_periods(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, target: str,
-                kinds: Mapping[str, str] | None = None, key: Column | None = None, pool: int = 0, seed: int = 0,
+                kinds: Mapping[str, str] | None = None, key: Column | None = None, pool: bool = False, seed: int = 0,
                 test_change: bool = False, level: float = 0.05) -> tuple[CausalModel, CausalModel]:
     """Old and new model of the target and its ancestors; both periods share every pass over the data.
 
@@ -97,6 +97,7 @@ def fit_periods(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, tar
     rows = both.filter(complete(nodes))
     designs = [(n, design_terms(kinds[n], graph.parents(n))) for n in nodes]
     groups, _, _ = collect_moments(both, nodes, designs, ["side"])
+    tables = side_tables(*ranked(rows, F.col("__key"), nodes, seed, ["side"])) if pool else {}
     models = []
     for side in (0, 1):
         if (side,) not in groups:
@@ -107,11 +108,7 @@ def fit_periods(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, tar
                       else solve(m, n, kinds[n], graph.parents(n)) for n in nodes}
         for n, params in halfnorm_params(part, [n for n in nodes if kinds[n] == "halfnorm"]).items():
             mechanisms[n] = replace(mechanisms[n], params={**mechanisms[n].params, **params})
-        if pool:
-            sample = pool_rows(part, F.col("__key"), nodes, pool, seed)
-            at = {n: sample[:, i] for i, n in enumerate(nodes)}
-            mechanisms = {n: attach_noise(x, at) for n, x in mechanisms.items()}
-        models.append(CausalModel(graph, mechanisms, int(m.n)))
+        models.append(CausalModel(graph, mechanisms, int(m.n)).with_table(tables.get(side)))
     if test_change:
         p = change_p_values(groups[(0,)], groups[(1,)], graph, kinds)
         kept = {n: models[0][n] for n in nodes if p[n] > level}
@@ -119,6 +116,10 @@ def fit_periods(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, tar
     return models[0], models[1]
 
 
+def side_tables(frame: DataFrame, sizes: Mapping[tuple, int]) -> dict[int, NoiseTable]:
+    return {s: NoiseTable(frame.filter(F.col("side") == s).drop("side"), n) for (s,), n in sizes.items()}
+
+
 def change_p_values(old, new, graph: CausalGraph, kinds: Mapping[str, str]) -> dict[str, float]:
     """Has a node's mechanism changed? The smaller p-value of two tests on the sums of both periods.
 
@@ -159,12 +160,10 @@ def mixed_values(df: DataFrame, plan: CoalitionPlan, old: CausalModel, new: Caus
 
 
 def coalition_values(spark: SparkSession, plan: CoalitionPlan, old: CausalModel, new: CausalModel, target: str,
-                     summary: Summary, draws: int, replicate=0, seed: int = 0, replicates: int | None = None,
-                     pools=({}, {})) -> DataFrame:
+                     summary: Summary, draws: int, replicate=0, seed: int = 0, replicates: int | None = None) -> DataFrame:
     """``(slot, coalition, value)``: the summary of the target under each mix of mechanisms.
 
-    With ``replicates`` all of them are drawn in one plan and a ``replicate`` column leads the result;
-    ``pools`` then gives noise by replicate where models differ.
+    With ``replicates`` all of them are drawn in one plan and a ``replicate`` column leads the result.
     """
     if draws == 0:
         base = plan.explode(spark.range(1).select(F.lit(0.0).alias("__zero")))
@@ -178,10 +177,8 @@ def coalition_values(spark: SparkSession, plan: CoalitionPlan, old: CausalModel,
             raise ValueError("kl is placed by one old model; stack its replicates with confidence_intervals")
         base = base.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
         by, replicate = ["replicate"], F.col("replicate")
-    for n in plan.players:
-        for side, model in enumerate((old, new)):
-            base = base.withColumn(f"{n}__{side}", model[n].noise_column(F.col("draw"), replicate, seed,
-                                                                         pool=pools[side].get(n)))
+    for side, model in enumerate((old, new)):
+        base = model.with_draws(base, F.col("draw"), plan.players, replicate, seed, suffix=f"__{side}")
     mixed = mixed_values(plan.explode(base), plan, old, new, lambda n, side: F.col(f"{n}__{side}"))
     if summary is kl:
         y = draw_values(old, plan.players, draws, replicate, seed)[1][target]
@@ -208,7 +205,7 @@ def change_scores(spark: SparkSession, old: CausalModel, new: CausalModel, targe
 
 def distribution_change(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, target: str, summary: Summary = mean,
                         draws: int | None = None, kinds: Mapping[str, str] | None = None, key: Column | None = None,
-                        pool: int = POOL_ROWS, seed: int = 0, test_change: bool = False, level: float = 0.05,
+                        seed: int = 0, test_change: bool = False, level: float = 0.05,
                         difference=None) -> DataFrame:
     """Long ``(node, score)``: how much of the target's change, new minus old, each mechanism explains.
 
@@ -222,7 +219,7 @@ def distribution_change(old: DataFrame, new: DataFrame | Column, graph: CausalGr
               and all(kinds[n] not in ("poly", "gbt") for n in nodes))
     if not closed and key is None:
         raise ValueError("drawing noise needs a row key")
-    models = fit_periods(old, new, graph, target, kinds, key, 0 if closed else pool, seed, test_change, level)
+    models = fit_periods(old, new, graph, target, kinds, key, not closed, seed, test_change, level)
     if difference is not None:
         draws = draws or 2000
         before = draw_values(models[0], nodes, draws, 0, seed)[1][target]

@@ -9,11 +9,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracecause.functions.randomness import pick, uniform
+from tracecause.functions.randomness import uniform
 from tracecause.functions.statistics import normal_bin
 from tracecause.operators.evaluation import KL_BINS, kl_of_counts
 from tracecause.operators.frames import complete
-from tracecause.operators.mechanisms import POOL_ROWS, CausalModel, Mechanism, pool_rows
+from tracecause.operators.mechanisms import CausalModel, Mechanism, first_rows, noise_table
 from tracecause.operators.shapley import coalition_plan
 
 
@@ -80,7 +80,7 @@ def _drawn_strength(m: Mechanism, df: DataFrame, target: str, key: Column | None
     if key is None:
         raise ValueError("trees need draws, and draws a row key")
     parents = list(m.parents)
-    pool = pool_rows(df, key, parents, draws, seed)
+    pool = first_rows(df, key, parents, draws, seed)
     trees = [(json.loads(t), c) for (t,), c in zip(m.terms, m.coef)]
 
     def batch_sums(batches):  # self-contained: workers need not import this package
@@ -107,9 +107,11 @@ def _kl_strength(model: CausalModel, df: DataFrame, target: str, key: Column, se
     m = model[target]
     mean, sd = m.params["mean"], m.params["total_var"] ** 0.5
     seen = {p: F.col(p).cast("double") for p in m.parents}
-    pool = pool_rows(df, key, m.parents, POOL_ROWS, seed)
-    swing = [m.predict_column({**seen, p: pick(pool[:, i], uniform(key, f"{p}->{target}", 0, seed))})
-             - m.predict_column(seen) for i, p in enumerate(m.parents)]
+    marginal = noise_table(df, key, m.parents, seed)
+    df = df.select(key.cast("string").alias("__key"), *[F.col(c) for c in dict.fromkeys([target, *m.parents])])
+    for p in m.parents:
+        df = marginal.join(df, uniform(F.col("__key"), f"{p}->{target}", 0, seed), F.col(p), f"{p}__draw")
+    swing = [m.predict_column({**seen, p: F.col(f"{p}__draw")}) - m.predict_column(seen) for p in m.parents]
     y = F.col(target).cast("double")
     cut = df.select(y.alias("__y"), *[(y + s).alias(f"__cut{i}") for i, s in enumerate(swing)])
     cells = [F.struct(F.lit(p).alias("parent"), F.lit(target).alias("child"), F.lit(side).alias("side"),
@@ -136,12 +138,10 @@ def intrinsic(spark: SparkSession, model: CausalModel, target: str, draws: int =
                                      "node string, score double")
     plan = coalition_plan(nodes, seed=seed)
     base = spark.range(outer).select(F.col("id").alias("outer_id"))
-    for n in nodes:
-        base = base.withColumn(f"{n}__fix", model[n].noise_column(F.col("outer_id"), "outer", seed))
+    base = model.with_draws(base, F.col("outer_id"), nodes, "outer", seed, suffix="__fix")
     base = base.withColumn("inner_id", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
     cell = F.concat_ws("/", "outer_id", "inner_id")
-    for n in nodes:
-        base = base.withColumn(f"{n}__var", model[n].noise_column(cell, "inner", seed))
+    base = model.with_draws(base, cell, nodes, "inner", seed, suffix="__var")
     grid = plan.explode(base)
     for n in nodes:
         values = {p: F.col(p) for p in nodes}

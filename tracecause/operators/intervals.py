@@ -26,8 +26,9 @@ from tracecause.operators.change import (change_scores, coalition_values, fit_pe
                                          stack_sides)
 from tracecause.operators.frames import complete
 from tracecause.operators.graph import CausalGraph
-from tracecause.operators.mechanisms import (POOL_ROWS, CausalModel, Mechanism, attach_noise, default_kinds,
-                                             design_terms, moments, needed_products, pool_frame, profile, solve)
+from tracecause.operators.mechanisms import (CausalModel, Mechanism, default_kinds, design_terms, moments,
+                                             needed_products, prefetch, profile, solve)
+from tracecause.operators.noise import NoiseTable, ranked
 from tracecause.operators.sampling import bootstrap_weights, subsample_weights
 from tracecause.operators.shapley import coalition_plan
 from tracecause.operators.simulation import intervene
@@ -63,19 +64,24 @@ def weight_rows(df: DataFrame, key: Column, mode: str, replicates: int, frac: fl
     raise ValueError(f"mode {mode!r} has no row weights")
 
 
-def weighted_pool(rows: DataFrame, key: Column, nodes, mode: str, replicates: int, frac: float, size: int, seed: int,
-                  method: str) -> tuple[np.ndarray, np.ndarray]:
-    """The noise pool's rows in hash order, and their weights per replicate."""
-    pool = weight_rows(pool_frame(rows, key, nodes, size, seed), F.col("__k"), mode, replicates, frac, seed, method)
-    pool = (pool.groupBy("__h", "__k", *nodes).agg(F.map_from_entries(F.collect_list(F.struct("replicate", "weight")))
-                                                   .alias("w")).orderBy("__h", "__k").collect())
-    values = np.array([[r[n] for n in nodes] for r in pool], dtype=float).reshape(len(pool), len(nodes))
-    return values, np.array([[r.w.get(i, 0) for i in range(replicates)] for r in pool], dtype=int)
+def replicate_tables(weighted: DataFrame, nodes, by: list[str], seed: int) -> dict[tuple, NoiseTable]:
+    """Per ``(by..., replicate)`` the rows a replicate holds, each as often as its weight says, by position."""
+    frame, sizes = ranked(weighted.filter(F.col("weight") > 0), F.col("__k"), nodes, seed, [*by, "replicate"], "weight")
+    out = {}
+    for own in sorted({g[:-1] for g in sizes}):
+        mine = frame
+        for name, value in zip(by, own, strict=True):
+            mine = mine.filter(F.col(name) == value).drop(name)
+        count = {g[-1]: n for g, n in sizes.items() if g[:-1] == own}
+        whole = NoiseTable(mine, [count.get(r, 0) for r in range(max(count) + 1)], "replicate")
+        for r, n in count.items():
+            out[(*own, r)] = NoiseTable(mine.filter(F.col("replicate") == r).drop("replicate"), n, whole=whole)
+    return out
 
 
 def replicate_models(df: DataFrame, graph: CausalGraph, key: Column, nodes, mode: str = "refit",
                      replicates: int = RESAMPLES, frac: float = 0.6, kinds: Mapping[str, str] | None = None,
-                     side: str | None = None, pool: int = POOL_ROWS, seed: int = 0, method: str = "md5") -> dict:
+                     side: str | None = None, pool: bool = True, seed: int = 0, method: str = "md5") -> dict:
     """``{replicate: model}``, or ``{(side, replicate): model}``, from one weighted pass over the rows.
 
     A row costs one hash per replicate; ``method="xxhash64"`` makes that the cheaper one.
@@ -98,13 +104,9 @@ def replicate_models(df: DataFrame, graph: CausalGraph, key: Column, nodes, mode
     if half:
         drawn = weighted.filter(F.col("weight") > 0).groupBy(*by, "replicate").agg(*[F.min(n).alias(n) for n in half])
         lows = {tuple(r[b] for b in by + ["replicate"]): r for r in drawn.collect()}
-    samples = {}
-    for own in sorted({g[:-1] for g in groups}) if pool else ():
-        part = rows.filter(F.col(side) == own[0]) if side else rows
-        samples[own] = weighted_pool(part, F.col("__k"), nodes, mode, replicates, frac, pool, seed, method)
+    tables = replicate_tables(weighted, nodes, by, seed) if pool else {}
     models = {}
     for group, m in groups.items():
-        own, r = group[:-1], group[-1]
         if m.n < 2:
             raise ValueError("too few rows to resample")
         found = {n: solve(m, n, kinds[n], graph.parents(n)) for n in nodes}
@@ -114,12 +116,7 @@ def replicate_models(df: DataFrame, graph: CausalGraph, key: Column, nodes, mode
             found[n] = replace(found[n], params={**found[n].params, "loc": low, "scale": size,
                                                  "noise_mean": low + size * float(np.sqrt(2 / np.pi)),
                                                  "noise_var": size ** 2 * (1 - 2 / np.pi)})
-        if pool:
-            values, weights = samples[own]
-            picked = np.repeat(values, weights[:, r], axis=0) if weights[:, r].sum() else values
-            at = {n: picked[:, i] for i, n in enumerate(nodes)}
-            found = {n: attach_noise(x, at) for n, x in found.items()}
-        models[group if side else r] = CausalModel(graph, found, int(m.n))
+        models[group if side else group[-1]] = CausalModel(graph, found, int(m.n)).with_table(tables.get(group))
     return models
 
 
@@ -131,36 +128,22 @@ def indexed_model(models: Sequence[CausalModel], nodes, index: Column) -> Causal
     out = {}
     for n in nodes:
         each = [m[n] for m in models]
-        params = {"noise_var": 1.0, "noise_mean": lookup([m.params.get("noise_mean", 0.0) for m in each])}
+        exact = all(m.params.get("noise_var", 0.0) == 0.0 for m in each)
+        table = each[0].noise
+        params = {"noise_var": 0.0 if exact else 1.0, "noise_mean": lookup([m.params.get("noise_mean", 0.0) for m in each])}
         for name in ("loc", "scale"):
             if name in each[0].params:
                 params[name] = lookup([m.params[name] for m in each])
         out[n] = Mechanism(n, each[0].kind, each[0].parents, each[0].terms,
                            tuple(lookup([m.coef[i] for m in each]) for i in range(len(each[0].coef))),
-                           lookup([m.intercept for m in each]), params=params)
+                           lookup([m.intercept for m in each]), table and (table.whole or table), params)
     return CausalModel(models[0].graph, out)
 
 
-def indexed_pools(models: Sequence[CausalModel], nodes, index: Column) -> dict[str, Callable[[Column], Column]]:
-    """Per node a function from a uniform to a noise value of the replicate's pool."""
-    pools = {}
-    for n in nodes:
-        each = [m[n].noise for m in models]
-        if not all(each):
-            continue
-        starts = np.concatenate([[0], np.cumsum([len(p) for p in each])])
-        flat = double_array([v for p in each for v in p])
-        first = F.element_at(double_array(starts[:-1]), (index + 1).cast("int"))
-        size = F.element_at(double_array(np.diff(starts)), (index + 1).cast("int"))
-        pools[n] = lambda u, flat=flat, first=first, size=size: F.element_at(
-            flat, (first + F.floor(u * size) + 1).cast("int"))
-    return pools
-
-
 def change_intervals(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, target: str, key: Column,
                      mode: str = "refit", replicates: int = RESAMPLES, level: float = 0.95, frac: float = 0.6,
                      summary=mean, draws: int | None = None, kinds: Mapping[str, str] | None = None,
-                     pool: int = POOL_ROWS, seed: int = 0, method: str = "md5") -> DataFrame:
+                     pool: bool = True, seed: int = 0, method: str = "md5") -> DataFrame:
     """Intervals of :func:`tracecause.operators.change.distribution_change`."""
     return interval_table(change_replicates(old, new, graph, target, key, mode, replicates, frac, summary, draws,
                                             kinds, pool, seed, method), ["node"], mode, level)
@@ -168,7 +151,7 @@ def change_intervals(old: DataFrame, new: DataFrame | Column, graph: CausalGraph
 
 def change_replicates(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, target: str, key: Column,
                       mode: str = "refit", replicates: int = RESAMPLES, frac: float = 0.6, summary=mean,
-                      draws: int | None = None, kinds: Mapping[str, str] | None = None, pool: int = POOL_ROWS,
+                      draws: int | None = None, kinds: Mapping[str, str] | None = None, pool: bool = True,
                       seed: int = 0, method: str = "md5") -> DataFrame:
     """``(replicate, node, score)``: all replicates in one plan."""
     spark = old.sparkSession
@@ -187,16 +170,15 @@ def change_replicates(old: DataFrame, new: DataFrame | Column, graph: CausalGrap
         models = {(s, r): pair[s] for s in (0, 1) for r in range(replicates)}
     else:
         models = replicate_models(stack_sides(old, new, nodes, key), graph, F.col("__key"), nodes, mode, replicates, frac, kinds, "side",
-                                  0 if closed else pool, seed, method)
+                                  pool and not closed, seed, method)
     each = [[models[(s, r)] for r in range(replicates)] for s in (0, 1)]
     if summary is kl:
         parts = [change_scores(spark, each[0][r], each[1][r], target, summary, draws, r, seed)
                  .withColumn("replicate", F.lit(r)) for r in range(replicates)]
         return reduce(DataFrame.unionByName, parts)
     if not closed:
-        pools = tuple(indexed_pools(m, nodes, index) for m in each)
         drawn = coalition_values(spark, plan, *(indexed_model(m, nodes, index) for m in each), target, summary, draws, 0,
-                                 seed, replicates, pools)
+                                 seed, replicates)
         return plan.shares(drawn, F.col("value"), ["replicate"])
     sides = [indexed_model(m, nodes, index) for m in each]
     base = plan.explode(spark.range(replicates).select(F.col("id").cast("int").alias("replicate")))
@@ -216,7 +198,7 @@ def anomaly_models(train: DataFrame, graph: CausalGraph, target: str, key: Colum
 
 def anomaly_intervals(train: DataFrame, rows: DataFrame, graph: CausalGraph, target: str, key: Column, keep,
                       mode: str = "refit", replicates: int = RESAMPLES, level: float = 0.95, frac: float = 0.6,
-                      draws: int = REFERENCE_DRAWS, kinds: Mapping[str, str] | None = None, pool: int = POOL_ROWS,
+                      draws: int = REFERENCE_DRAWS, kinds: Mapping[str, str] | None = None, pool: bool = True,
                       seed: int = 0, model: CausalModel | None = None, method: str = "md5") -> DataFrame:
     """``(keep..., node, median, lo, hi, mode, resamples)`` of each row's attribution under refitted models.
 
@@ -229,6 +211,7 @@ def anomaly_intervals(train: DataFrame, rows: DataFrame, graph: CausalGraph, tar
         parts = [attribute_anomalies(models[r], rows, target, keep, draws, r, seed) for r in range(replicates)]
         return interval_table(reduce(DataFrame.unionByName, parts), [*keep, "node"], mode, level)
     plan = coalition_plan(nodes, seed=seed)
+    prefetch([(m, nodes, draws, label, seed) for r, m in models.items() for label in (r, f"ref{r}")])
     cases = {r: linear_case(m, target, reference_draws(m, target, draws, r, seed), plan, draws, r, seed)
              for r, m in models.items()}
     clean = rows.filter(complete(nodes)).select(*keep, *[F.col(n).cast("double").alias(n) for n in nodes
@@ -239,7 +222,7 @@ def anomaly_intervals(train: DataFrame, rows: DataFrame, graph: CausalGraph, tar
 
 def intervention_intervals(df: DataFrame, graph: CausalGraph, key: Column, interventions, mode: str = "refit",
                            replicates: int = RESAMPLES, level: float = 0.95, frac: float = 0.6,
-                           kinds: Mapping[str, str] | None = None, pool: int = POOL_ROWS, seed: int = 0) -> DataFrame:
+                           kinds: Mapping[str, str] | None = None, pool: bool = True, seed: int = 0) -> DataFrame:
     """Interval of every node's mean under soft interventions, models refitted per replicate."""
     nodes = graph.order
     found = replicate_models(df, graph, key, nodes, mode, replicates, frac, kinds, None, pool, seed)
@@ -247,8 +230,7 @@ def intervention_intervals(df: DataFrame, graph: CausalGraph, key: Column, inter
     copies = df.filter(complete(nodes)).withColumn(
         "replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
     index = F.col("replicate")
-    moved = intervene(indexed_model(models, nodes, index), copies, key, interventions, "fresh", index, seed,
-                      pools=indexed_pools(models, nodes, index))
+    moved = intervene(indexed_model(models, nodes, index), copies, key, interventions, "fresh", index, seed)
     means = (moved.groupBy("replicate").agg(*[F.avg(n).alias(n) for n in nodes])
              .unpivot(["replicate"], list(nodes), "node", "score"))
     return interval_table(means, ["node"], mode, level)

@@ -2,8 +2,8 @@
 
 A node is ``intercept + sum(coef * term) + noise``, where a term is a product of parents. Fitting needs
 no more than sums of products of columns, so all nodes, folds, periods or bootstrap replicates come out
-of one aggregate, and only those sums reach the driver. The second pass keeps a bounded hash sample of
-whole rows, from which noise is drawn.
+of one aggregate, and only those sums reach the driver. A second pass numbers the rows, and noise is drawn from all
+of them.
 """
 
 from __future__ import annotations
@@ -19,16 +19,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracecause.functions.randomness import (normal_from, normal_values, pick, pick_values, uniform,
-                                             uniform_values)
+from tracecause.functions.randomness import normal_from, normal_values, uniform, uniform_values
 from tracecause.operators.frames import complete
 from tracecause.operators.graph import CausalGraph
+from tracecause.operators.noise import NoiseTable, fetch, ranked
 
 RIDGE = 1e-10           # on the scaled moment matrix of exactly collinear parents
 MAX_CONDITION = 1e10    # condition number from which on parents count as collinear
 NOISE_FLOOR = 1e-9      # share of a node's variance below which its noise counts as none
-POOL_ROWS = 1000        # rows kept for drawing noise
-MAX_POOL_ROWS = 10_000
 WIDE_MOMENTS = 400      # sums per aggregate before the work is split
 
 Term = tuple[str, ...]  # product of parents, () being the constant; of a tree ensemble, one tree as JSON
@@ -45,7 +43,7 @@ class Mechanism:
     terms: tuple[Term, ...] = ()
     coef: tuple[float, ...] = ()
     intercept: float = 0.0
-    noise: tuple[float, ...] = ()
+    noise: NoiseTable | None = field(default=None, compare=False)
     params: Mapping[str, float] = field(default_factory=dict)
 
     @property
@@ -74,26 +72,38 @@ class Mechanism:
         out = self.predict(values)
         return out if isinstance(out, Column) else F.lit(float(out))
 
-    def noise_column(self, row_id: Column, replicate=0, seed=0, method="md5", pool=None) -> Column:
-        """A noise draw for a row; ``pool`` may replace the mechanism's own by a function of a uniform."""
+    @property
+    def is_drawn(self) -> bool:
+        """Does the noise come from rows? Otherwise it follows a formula or is none."""
+        return self.kind != "halfnorm" and (self.is_root or self.params.get("noise_var", 0.0) != 0.0)
+
+    def drawn(self, rows: Mapping):
+        """Noise of rows given the values of all nodes in them: a root's is its value."""
+        return rows[self.node] if self.is_root else rows[self.node] - self.predict(rows)
+
+    def with_draws(self, df: DataFrame, row_id: Column, name: str, replicate=0, seed=0, method="md5") -> DataFrame:
+        """``df`` with a column ``name``: a noise draw for each row."""
         if self.kind == "halfnorm":
             z = normal_from(uniform(row_id, f"{self.node}#1", replicate, seed, method),
                             uniform(row_id, f"{self.node}#2", replicate, seed, method))
-            return F.lit(self.params["loc"]) + F.lit(self.params["scale"]) * F.abs(z)
-        if self.params.get("noise_var", 0.0) == 0.0 and not self.is_root:
-            return F.lit(0.0)
+            return df.withColumn(name, F.lit(self.params["loc"]) + F.lit(self.params["scale"]) * F.abs(z))
+        if not self.is_drawn:
+            return df.withColumn(name, F.lit(0.0))
         u = uniform(row_id, self.node, replicate, seed, method)
-        return pick(self.noise, u) if pool is None else pool(u)
+        return self.noise.join(df, u, self.drawn({n: F.col(n) for n in self.noise.nodes}), name)
+
+    def noise_positions(self, n: int, replicate=0, seed=0) -> np.ndarray:
+        return self.noise.positions(uniform_values(n, self.node, replicate, seed))
 
     def noise_values(self, n: int, replicate=0, seed=0) -> np.ndarray:
-        """The first ``n`` draws of :meth:`noise_column` with md5, for the bounded draws of a query."""
+        """The first ``n`` draws of :meth:`with_draws` with md5, for the bounded draws of a query."""
         if self.kind == "halfnorm":
             z = normal_values(uniform_values(n, f"{self.node}#1", replicate, seed),
                               uniform_values(n, f"{self.node}#2", replicate, seed))
             return self.params["loc"] + self.params["scale"] * np.abs(z)
-        if self.params.get("noise_var", 0.0) == 0.0 and not self.is_root:
+        if not self.is_drawn:
             return np.zeros(n)
-        return pick_values(np.asarray(self.noise), uniform_values(n, self.node, replicate, seed))
+        return np.broadcast_to(self.drawn(self.noise.rows(self.noise_positions(n, replicate, seed))), (n,))
 
     @property
     def noise_mean(self) -> float:
@@ -143,9 +153,27 @@ class CausalModel:
         noisy = self.with_noise(df, nodes)
         return noisy.select(*keep, *[F.col(n + "__noise").alias(n) for n in nodes])
 
+    def with_draws(self, df: DataFrame, row_id: Column, nodes, replicate=0, seed=0, method="md5",
+                   suffix: str = "__draw") -> DataFrame:
+        """One column of noise draws per node; ``row_id`` says which draws a row gets."""
+        for n in nodes:
+            df = self[n].with_draws(df, row_id, n + suffix, replicate, seed, method)
+        return df
+
+    @property
+    def noise(self) -> NoiseTable | None:
+        """The table all mechanisms draw from."""
+        tables = {id(m.noise): m.noise for m in self.mechanisms.values() if m.noise is not None}
+        if len(tables) > 1:
+            raise ValueError("the mechanisms draw from different periods")
+        return next(iter(tables.values()), None)
+
+    def with_table(self, table: NoiseTable | None) -> "CausalModel":
+        return replace(self, mechanisms={n: replace(m, noise=table) for n, m in self.mechanisms.items()})
+
     def to_rows(self) -> list[tuple]:
-        return [(n, m.kind, list(m.parents), ["*".join(t) for t in m.terms], [float(c) for c in m.coef],
-                 float(m.intercept), [float(v) for v in m.noise], {k: float(v) for k, v in m.params.items()})
+        return [(n, m.kind, list(m.parents), [list(t) for t in m.terms], [float(c) for c in m.coef],
+                 float(m.intercept), {k: float(v) for k, v in m.params.items()})
                 for n, m in ((n, self.mechanisms[n]) for n in self.graph.order if n in self.mechanisms)]
 
     def to_table(self, spark: SparkSession) -> DataFrame:
@@ -153,13 +181,13 @@ class CausalModel:
 
     @classmethod
     def from_rows(cls, graph: CausalGraph, rows, n_rows: int = 0, n_dropped: int = 0) -> "CausalModel":
-        mechanisms = {r.node: Mechanism(r.node, r.kind, tuple(r.parents), tuple((t,) if r.kind == "gbt" else tuple(t.split("*")) for t in r.terms),
-                                        tuple(r.coef), r.intercept, tuple(r.noise), dict(r.params)) for r in rows}
+        mechanisms = {r.node: Mechanism(r.node, r.kind, tuple(r.parents), tuple(tuple(t) for t in r.terms),
+                                        tuple(r.coef), r.intercept, params=dict(r.params)) for r in rows}
         return cls(graph, mechanisms, n_rows, n_dropped)
 
 
-MECHANISM_SCHEMA = ("node string, kind string, parents array<string>, terms array<string>, coef array<double>, "
-                    "intercept double, noise array<double>, params map<string,double>")
+MECHANISM_SCHEMA = ("node string, kind string, parents array<string>, terms array<array<string>>, coef array<double>, "
+                    "intercept double, params map<string,double>")
 
 
 # --- moments -------------------------------------------------------------------------------------
@@ -378,7 +406,7 @@ def to_raw(scale: Scale, node: str, terms: tuple[Term, ...], beta: np.ndarray) -
 
 
 def solve(m: Moments, node: str, kind: str, parents: tuple[str, ...]) -> Mechanism:
-    """A mechanism without its noise pool."""
+    """A mechanism without the rows it draws noise from."""
     if kind in ROOT_KINDS:
         return Mechanism(node, kind, params={"noise_mean": m.mean(node), "noise_var": m.var(node), "n": m.n,
                                              "mean": m.mean(node), "total_var": m.var(node)})
@@ -459,34 +487,21 @@ def default_kinds(graph: CausalGraph, overrides: Mapping[str, str] | None = None
     return kinds
 
 
-def pool_frame(df: DataFrame, key: Column, nodes, size: int = POOL_ROWS, seed: int = 0) -> DataFrame:
-    """Whole rows with the smallest key hashes, a uniform sample of at most ``size`` rows.
+def first_rows(df: DataFrame, key: Column, nodes, size: int, seed: int = 0) -> np.ndarray:
+    """``size`` rows picked by key hash, a uniform sample; the size is the caller's number of draws.
 
-    Drawing from an empirical distribution is sampling by definition; the bound limits how rare a noise
-    value the model can know. Each task keeps its own ``size`` best rows, so nothing larger moves.
+    Each task keeps its own ``size`` best rows, so nothing larger moves.
     """
-    if size > MAX_POOL_ROWS:
-        raise ValueError(f"a noise pool holds at most {MAX_POOL_ROWS} rows")
-    return (df.select(F.md5(F.concat_ws(":", key.cast("string"), F.lit("pool"), F.lit(str(seed))).cast("binary"))
-                      .alias("__h"), key.cast("string").alias("__k"), *[F.col(n).cast("double") for n in nodes])
-            .orderBy("__h", "__k").limit(size))
-
-
-def pool_rows(df: DataFrame, key: Column, nodes, size: int = POOL_ROWS, seed: int = 0) -> np.ndarray:
-    """The pool as an array, row by row in hash order."""
-    rows = pool_frame(df, key, nodes, size, seed).collect()
+    rows = (df.select(F.md5(F.concat_ws(":", key.cast("string"), F.lit("pool"), F.lit(str(seed))).cast("binary")).alias("__h"),
+                      key.cast("string").alias("__k"), *[F.col(n).cast("double") for n in nodes])
+            .orderBy("__h", "__k").limit(size).collect())
     return np.array([[r[n] for n in nodes] for r in rows], dtype=float).reshape(len(rows), len(nodes))
 
 
-def attach_noise(mechanism: Mechanism, pool: Mapping[str, np.ndarray]) -> Mechanism:
-    """Noise pool of a mechanism from a sample of whole rows."""
-    if mechanism.kind == "halfnorm":
-        return mechanism
-    x = pool[mechanism.node]
-    noise = x if mechanism.is_root else x - mechanism.predict(pool)
-    if not mechanism.is_root and mechanism.params["noise_var"] == 0.0:
-        return replace(mechanism, noise=(0.0,))
-    return replace(mechanism, noise=tuple(float(v) for v in np.broadcast_to(noise, x.shape)))
+def noise_table(rows: DataFrame, key: Column, nodes, seed: int = 0) -> NoiseTable:
+    """All of ``rows`` (complete ones) by position."""
+    frame, sizes = ranked(rows, key, nodes, seed)
+    return NoiseTable(frame, sizes[()])
 
 
 def halfnorm_params(df: DataFrame, nodes) -> dict[str, dict[str, float]]:
@@ -509,9 +524,10 @@ def halfnorm_params(df: DataFrame, nodes) -> dict[str, dict[str, float]]:
 
 
 def fit(df: DataFrame, graph: CausalGraph, key: Column, kinds: Mapping[str, str] | None = None,
-        pool: int = POOL_ROWS, seed: int = 0, nodes=None) -> CausalModel:
-    """Fit all mechanisms: one pass for the sums (two if there are product terms), one for the noise pool.
+        pool: bool = True, seed: int = 0, nodes=None) -> CausalModel:
+    """Fit all mechanisms: one pass for the sums (two if there are product terms), one to number the rows for draws.
 
+    ``pool=False`` leaves the numbering out, for queries that draw no noise.
     ``kinds`` overrides the default family of single nodes. ``nodes`` limits the work to a set closed
     under parents, for queries about one target.
     """
@@ -529,11 +545,8 @@ def fit(df: DataFrame, graph: CausalGraph, key: Column, kinds: Mapping[str, str]
             continue
         m = solve(sums, n, kinds[n], graph.parents(n))
         mechanisms[n] = replace(m, params={**m.params, **half[n]}) if n in half else m
-    if pool:
-        sample = pool_rows(rows, key, nodes, pool, seed)
-        at = {n: sample[:, i] for i, n in enumerate(nodes)}
-        mechanisms = {n: attach_noise(m, at) for n, m in mechanisms.items()}
-    return CausalModel(graph, mechanisms, n_ok, n_dropped)
+    model = CausalModel(graph, mechanisms, n_ok, n_dropped)
+    return model.with_table(noise_table(rows, key, nodes, seed)) if pool else model
 
 
 def evaluate_nodes(nodes, mechanisms: Mapping[str, Mechanism], noise: Mapping[str, np.ndarray]) -> dict:
@@ -546,5 +559,12 @@ def evaluate_nodes(nodes, mechanisms: Mapping[str, Mechanism], noise: Mapping[st
 
 def draw_values(model: CausalModel, nodes, n: int, replicate=0, seed=0) -> tuple[dict, dict]:
     """``n`` joint draws on the driver: ``(noise, values)``. For draw counts that are a parameter."""
+    prefetch([(model, nodes, n, replicate, seed)])
     noise = {v: model[v].noise_values(n, replicate, seed) for v in nodes}
     return noise, evaluate_nodes(nodes, model.mechanisms, noise)
+
+
+def prefetch(draws) -> None:
+    """Bring the rows behind all ``(model, nodes, n, replicate, seed)`` in one job."""
+    fetch([(m[v].noise, m[v].noise_positions(n, replicate, seed).tolist()) for m, nodes, n, replicate, seed in draws
+           for v in nodes if m[v].is_drawn])

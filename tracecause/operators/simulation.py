@@ -1,4 +1,4 @@
-"""Draws from a fitted model and soft interventions. Both are maps: one projection per node."""
+"""Draws from a fitted model and soft interventions: a join per node whose noise is drawn, and one projection per node."""
 
 from __future__ import annotations
 
@@ -15,17 +15,15 @@ def draw(spark: SparkSession, model: CausalModel, n: int, replicate=0, seed: int
          nodes=None) -> DataFrame:
     """``n`` rows ``(id, node...)`` from the joint distribution, parents before children."""
     nodes = nodes or model.graph.order
-    df = spark.range(n)
+    df = model.with_draws(spark.range(n), F.col("id"), nodes, replicate, seed, method)
     for node in nodes:
         values = {p: F.col(p) for p in model[node].parents}
-        df = df.withColumn(node, model[node].predict_column(values)
-                           + model[node].noise_column(F.col("id"), replicate, seed, method))
-    return df
+        df = df.withColumn(node, model[node].predict_column(values) + F.col(f"{node}__draw"))
+    return df.drop(*[f"{node}__draw" for node in nodes])
 
 
 def intervene(model: CausalModel, df: DataFrame, key: Column, interventions: Mapping[str, Callable[[Column], Column]],
-              mode: str = "fresh", replicate=0, seed: int = 0, method: str = "md5",
-              pools: Mapping[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+              mode: str = "fresh", replicate=0, seed: int = 0, method: str = "md5") -> DataFrame:
     """Observed rows under soft interventions; an intervention is a function from Column to Column.
 
     Nodes that are neither touched nor downstream keep their values. A touched root becomes
@@ -41,6 +39,8 @@ def intervene(model: CausalModel, df: DataFrame, key: Column, interventions: Map
     moved = {n for t in interventions for n in graph.descendants(t)} | set(interventions)
     order = graph.order
     df = df.select("*", key.cast("string").alias("__key"), *[F.col(n).cast("double").alias(f"{n}__obs") for n in order])
+    fresh = [n for n in order if mode == "fresh" and n in moved and not (n in interventions and model[n].is_root)]
+    df = model.with_draws(df, F.col("__key"), fresh, replicate, seed, method)
     for n in order:
         observed = F.col(f"{n}__obs")
         if n not in moved:
@@ -53,25 +53,25 @@ def intervene(model: CausalModel, df: DataFrame, key: Column, interventions: Map
             if mode == "counterfactual":
                 noise = observed - model[n].predict_column(seen)
             else:
-                noise = model[n].noise_column(F.col("__key"), replicate, seed, method, (pools or {}).get(n))
+                noise = F.col(f"{n}__draw")
             value = model[n].predict_column(now) + noise
             if n in interventions:
                 value = interventions[n](value)
         df = df.withColumn(n, value)
-    return df.drop("__key", *[f"{n}__obs" for n in order])
+    return df.drop("__key", *[f"{n}__obs" for n in order], *[f"{n}__draw" for n in fresh])
 
 
 def interventional_samples(spark: SparkSession, model: CausalModel, n: int,
                            interventions: Mapping[str, Callable[[Column], Column]], replicate=0,
                            seed: int = 0) -> DataFrame:
     """Soft interventions on rows drawn from the model, for when there is no data to start from."""
-    df = spark.range(n)
-    for node in model.graph.order:
+    order = model.graph.order
+    df = model.with_draws(spark.range(n), F.col("id"), order, replicate, seed)
+    for node in order:
         values = {p: F.col(p) for p in model[node].parents}
-        value = (model[node].predict_column(values)
-                 + model[node].noise_column(F.col("id"), replicate, seed))
+        value = model[node].predict_column(values) + F.col(f"{node}__draw")
         df = df.withColumn(node, interventions[node](value) if node in interventions else value)
-    return df
+    return df.drop(*[f"{node}__draw" for node in order])
 
 
 def before_after(before: DataFrame, after: DataFrame, nodes) -> DataFrame:

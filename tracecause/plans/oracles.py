@@ -116,7 +116,7 @@ def effects(chain, source: str = "f", name: str = "w") -> str:
 
 def pools(source: str, key: str, chain, extra=(), params: str = "f", name: str = "pool", group: str = "",
           raw: bool = False) -> str:
-    """Noise lists of the 1000 rows with the smallest hash."""
+    """Noise lists of all rows in the order of their hash."""
     nodes = list(chain) + list(extra)
     part = f"PARTITION BY {group} " if group else ""
     text = f"CAST({key} AS VARCHAR)"
@@ -125,7 +125,7 @@ def pools(source: str, key: str, chain, extra=(), params: str = "f", name: str =
     lead = f"{group}, " if group else ""
     tail = f"GROUP BY {group}" if group else ""
     return (f"{name}_r AS (SELECT *, row_number() OVER ({part}ORDER BY md5({text} || ':pool:0'), {text}) AS pos "
-            f"FROM {source}), {name} AS (SELECT {lead}{lists} FROM (SELECT * FROM {name}_r WHERE pos <= 1000) {join} {tail})")
+            f"FROM {source}), {name} AS (SELECT {lead}{lists} FROM {name}_r {join} {tail})")
 
 
 def shapley(values: str, nodes, keys: str = "", value: str = "v", name: str = "phi") -> str:
@@ -290,7 +290,7 @@ def boot_pools(key: str, chain, extra=()) -> str:
     lists = ", ".join(f"list({residual(n, chain)} ORDER BY pos, copy) AS p_{n}" for n in nodes)
     return (f"pool_r AS (SELECT *, row_number() OVER (PARTITION BY replicate ORDER BY md5({text} || ':pool:0'), {text}) "
             f"AS pos FROM boot), pool AS (SELECT replicate, {lists} FROM (SELECT *, unnest(range(weight)) AS copy "
-            f"FROM pool_r WHERE pos <= 1000) JOIN f USING (replicate) GROUP BY replicate)")
+            f"FROM pool_r) JOIN f USING (replicate) GROUP BY replicate)")
 
 
 def normal_tail(z: str) -> str:
@@ -420,9 +420,9 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     res = ", ".join(f"{residual(n, ORDER_CHAIN)} AS r_{n}" for n in nodes)
     q["empirical_noise"] = f"""WITH {FACTS}, {fits('facts', ORDER_CHAIN)} SELECT o_orderkey,
         {', '.join(f"{tidy('r_' + n, '1e-4', 6)} AS {n}" for n in nodes)} FROM (SELECT o_orderkey, {res} FROM facts, f)"""
-    q["noise_pool"] = f"WITH {DAYS}, {fits('days', DAY_CHAIN)}, {pools('days', 'd', DAY_CHAIN)} " + " UNION ALL ".join(
-        f"SELECT '{n}' AS node, CAST(i AS INTEGER) AS pos, {tidy(f'p_{n}[i + 1]', '1e-4', 6)} AS noise FROM pool, "
-        f"range(1000) AS r(i)" for n in DAY_CHAIN)
+    q["noise_pool"] = f"WITH {DAYS}, {fits('days', DAY_CHAIN)}, {pools('days', 'd', DAY_CHAIN, ['qty'])} " + " UNION ALL ".join(
+        f"SELECT '{n}' AS node, i AS pos, {tidy('v', '1e-4', 6)} AS noise FROM (SELECT unnest(p_{n}) AS v, "
+        f"unnest(range(len(p_{n}))) AS i FROM pool)" for n in DAY_CHAIN + ["qty"])
     fold = f"CAST(floor({u('d', 'fold')} * 5) AS INTEGER)"
     single = list(zip(DAY_CHAIN, DAY_CHAIN[1:])) + [("n_lines", "qty")]
     cv = " UNION ALL ".join(

@@ -51,7 +51,7 @@ def old_new(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(day() <= cut), df.filter(day() > cut)
 
 
-def day_model(df: DataFrame, pool: int = 1000) -> CausalModel:
+def day_model(df: DataFrame, pool: bool = True) -> CausalModel:
     return fit(df, DAILY_GRAPH, day(), pool=pool)
 
 
@@ -314,10 +314,10 @@ def empirical_noise(spark, sf_dir):
 def noise_pool(spark, sf_dir):
     df = days(spark, sf_dir)
     fitted = day_model(df)
-    rows = [(n, i, float(v)) for n in ("peak", "n_orders", "n_lines", "gross", "disc")
-            for i, v in enumerate(fitted[n].noise)]
-    return spark.createDataFrame(rows, "node string, pos int, noise double").select(
-        "node", "pos", tidy("noise", 1e-4, 6).alias("noise"))
+    nodes, table = ["peak", "n_orders", "n_lines", "qty", "gross", "disc"], fitted.noise
+    at = {n: F.col(n) for n in table.nodes}
+    wide = table.frame.select("pos", *[fitted[n].drawn(at).alias(n) for n in nodes])
+    return wide.unpivot("pos", nodes, "node", "noise").select("node", "pos", tidy("noise", 1e-4, 6).alias("noise"))
 
 
 def auto_assign(spark, sf_dir):

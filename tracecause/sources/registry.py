@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tracecause.operators.graph import CausalGraph
 from tracecause.operators.mechanisms import MECHANISM_SCHEMA, CausalModel
+from tracecause.operators.noise import NoiseTable
 from tracecause.sources.workspace import read_or_empty
 
 SCHEMAS = {
@@ -53,12 +54,17 @@ class ModelRegistry:
         version = 1 if row is None else row.version + 1
         self._append("edges", [(name, version, p, c) for p, c in model.graph.edges] or [(name, version, None, None)])
         self._append("mechanisms", [(name, version, *r) for r in model.to_rows()])
+        if model.noise is not None:
+            model.noise.frame.write.mode("overwrite").parquet(self.noise_path(name, version))
         self._append("runs", [(name, version, source_table, source_version, model.n_rows, model.n_dropped,
                                model.graph.to_json(), input_schema.json() if input_schema else None,
                                output_schema.json() if output_schema else None,
                                {k: str(v) for k, v in (params or {}).items()})])
         return version
 
+    def noise_path(self, model: str, version: int) -> str:
+        return f"{self.path}/noise/model={model}/version={version}"
+
     def set_alias(self, model: str, alias: str, version: int) -> None:
         known = self.table("runs").filter((F.col("model") == model) & (F.col("version") == version))
         if known.isEmpty():
@@ -88,7 +94,11 @@ class ModelRegistry:
         if run is None:
             raise ValueError(f"model {model!r} has no version {version}")
         rows = self.table("mechanisms").filter(mine).collect()
-        return CausalModel.from_rows(CausalGraph.from_json(run.graph_json), rows, run.n_rows, run.n_dropped)
+        found = CausalModel.from_rows(CausalGraph.from_json(run.graph_json), rows, run.n_rows, run.n_dropped)
+        schema = ", ".join(["pos bigint"] + [f"`{r.node.replace('`', '``')}` double" for r in rows])
+        noise = read_or_empty(self.spark, self.noise_path(model, version), schema)
+        size = noise.count()
+        return found.with_table(NoiseTable(noise, size)) if size else found
 
     def check_input(self, model: str, version: int, df: DataFrame) -> None:
         """Raise where a scoring table lacks a column of the training schema or has another type."""
