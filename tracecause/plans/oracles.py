@@ -336,8 +336,8 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     q["event_overlay"] = f"""WITH {DAYS}, b AS (SELECT min(net) AS low, max(net) AS high, count(*) AS n_rows FROM days)
         SELECT d, round(net, 4) AS net, round(low, 4) AS low, round(high, 4) AS high, n_rows FROM days, b WHERE peak = 1"""
     q["net_series"] = f"WITH {DAYS} SELECT d, round(net, 4) AS net FROM days ORDER BY d"
-    aligned = ", ".join(f"{tidy(f'((b.{c} / a.{c} - 1) * 100)', digits=11)} AS {c}_growth_pct, "
-                        f"{tidy(f'((1 - b.{c} / a.{c}) * 100)', digits=11)} AS {c}_drop_pct" for c in ("n_lines", "net"))
+    aligned = ", ".join(f"{tidy(f'((b.{c} / nullif(a.{c}, 0) - 1) * 100)', digits=11)} AS {c}_growth_pct, "
+                        f"{tidy(f'((1 - b.{c} / nullif(a.{c}, 0)) * 100)', digits=11)} AS {c}_drop_pct" for c in ("n_lines", "net"))
     q["period_aligned_change"] = f"""WITH {DAYS} SELECT month(a.d)::INTEGER AS month, day(a.d)::INTEGER AS day, {aligned}
         FROM days a JOIN days b ON month(a.d) = month(b.d) AND day(a.d) = day(b.d)
         WHERE year(a.d) = 1996 AND year(b.d) = 1997"""
@@ -589,8 +589,8 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
                 f"a_net + bd * x_disc + bg * x_gross AS x_net FROM {s})")
     after = shifted(row, "days, f, pool")
     moved = ["n_lines", "gross", "disc", "net"]
-    q["intervene"] = (f"WITH {base} SELECT d, {tidy('n_orders', '1e-4', 6)} AS n_orders, "
-                      + ", ".join(f"{tidy('x_' + n, '1e-4', 6)} AS {n}" for n in moved) + f" FROM {after}")
+    q["intervene"] = (f"WITH {base} SELECT d, {tidy('n_orders', '1e-4', 9)} AS n_orders, "
+                      + ", ".join(f"{tidy('x_' + n, '1e-4', 9)} AS {n}" for n in moved) + f" FROM {after}")
     ahead = {n: f"x_{n}" if n in moved + ["qty"] else n for n in DAY_ALL}
     avgs = ", ".join(f"avg({n}) AS b_{n}, avg({ahead[n]}) AS a_{n}" for n in DAY_ALL)
     q["before_after"] = f"WITH {base}, ab AS (SELECT {avgs} FROM {after}) " + " UNION ALL ".join(

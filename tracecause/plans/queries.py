@@ -515,7 +515,7 @@ SHIFTS = {"n_lines": lambda x: x - 1, "disc": lambda x: x * 2}
 def intervene(spark, sf_dir):
     df = days(spark, sf_dir)
     out = simulation.intervene(day_model(df), df, day(), SHIFTS)
-    return out.select("d", *[tidy(c, 1e-4, 6).alias(c) for c in ("n_orders", "n_lines", "gross", "disc", "net")])
+    return out.select("d", *[tidy(c, 1e-4, 9).alias(c) for c in ("n_orders", "n_lines", "gross", "disc", "net")])
 
 
 def intervene_counterfactual(spark, sf_dir):
