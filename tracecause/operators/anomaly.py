@@ -11,6 +11,7 @@ scored: the two ends come from the sorted reference draws.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -210,38 +211,69 @@ def linear_intervals(df: DataFrame, cases: Mapping[int, dict], keep, nodes, leve
     return df.select(*keep, *[F.col(n) for n in nodes if n not in keep]).mapInPandas(attribute, schema)
 
 
-def _general_scores(df: DataFrame, model: CausalModel, target: str, ref: Reference, plan: CoalitionPlan, keep,
-                    draws: int, replicate, seed: int) -> DataFrame:
-    """Attribute rows by evaluating the mechanisms for each coalition and draw.
+CELLS = 1 << 21  # numbers per node that a task evaluates at a time
 
-    Rows are placed by key first, so that both aggregates find their groups where they are; only the
-    rows themselves are shuffled, never their copies.
+
+def general_scores(df: DataFrame, model: CausalModel, target: str, ref: Reference, plan: CoalitionPlan, keep,
+                   draws: int, replicate, seed: int) -> DataFrame:
+    """``(keep..., __p0..)`` for any mechanisms: each coalition is evaluated on an array of rows x draws.
+
+    Rows stay in their Arrow batch, so they are neither copied nor shuffled and keys need not be unique.
     """
-    nodes = plan.players
-    tail = F.col("__tail")
-    m = ref.size
-    sorted_draws = double_array(ref.values)
-    rows = df.repartition(*[F.col(k) for k in keep])
-    rows = with_tail(rows, F.col(target), ref)
-    rows = rows.select("*",
-                       (F.element_at(sorted_draws, F.least(tail + 1, F.lit(m)).cast("int")) - ref.tie).alias("__low"),
-                       (F.element_at(sorted_draws, F.greatest(m - tail, F.lit(1)).cast("int")) + ref.tie)
-                       .alias("__high"))
-    noise_draws, _ = draw_values(model, nodes, draws, replicate, seed)
-    grid = plan.explode(rows).select("*", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("__draw"))
-    for n in nodes:
-        random = F.element_at(double_array(np.broadcast_to(noise_draws[n], (draws,))), F.col("__draw"))
-        values = {p: F.col(f"{p}__value") for p in nodes}
-        noise = F.when(plan.has(n), random).otherwise(F.col(f"{n}__noise"))
-        grid = grid.withColumn(f"{n}__value", model[n].predict_column(values) + noise)
-    y = F.col(f"{target}__value")
-    hit = (tail >= m) | (y < F.col("__low")) | (y > F.col("__high"))
-    q = F.when(F.col("coalition") == 0, F.lit(1.0)).otherwise(
-        F.greatest(F.avg(hit.cast("double")), F.lit(1.0 / (draws + 1))))
-    values = grid.groupBy(*keep, "slot", "coalition").agg(q.alias("q"))
-    sums = [F.sum(F.element_at(double_array(plan.factors[:, j]), F.col("slot") + 1) * -F.log("q")).alias(f"__p{j}")
-            for j in range(len(nodes))]
-    return values.groupBy(*keep).agg(*sums)
+    nodes, keep = list(plan.players), list(keep)
+    names = [f"__p{j}" for j in range(len(nodes))]
+    schema = T.StructType([df.schema[k] for k in keep] + [T.StructField(n, T.DoubleType()) for n in names])
+    drawn, _ = draw_values(model, nodes, draws, replicate, seed)
+    random = {n: np.array(np.broadcast_to(drawn[n], (draws,))) for n in nodes}
+    trees = {n: [(json.loads(t), c) for (t,), c in zip(model[n].terms, model[n].coef)] for n in nodes if model[n].kind == "gbt"}
+    sums = {n: (model[n].intercept, [] if n in trees else list(zip(model[n].terms, model[n].coef))) for n in nodes}
+    inside = [[mask >> j & 1 for j in range(len(nodes))] for mask in plan.masks]
+    factors, reference, tie, m = plan.factors, ref.values, ref.tie, ref.size
+
+    def attribute(batches):  # self-contained: workers need not import this package
+        def tree(t, at):
+            if not isinstance(t, list):
+                return t
+            name, threshold, low, high = t
+            return np.where(at[name] <= threshold, tree(low, at), tree(high, at))
+
+        def predict(n, at):
+            out = sums[n][0]
+            for term, c in sums[n][1]:
+                piece = at[term[0]]
+                for name in term[1:]:
+                    piece = piece * at[name]
+                out = out + piece * c
+            for t, c in trees.get(n, ()):
+                out = out + tree(t, at) * c
+            return out
+
+        def shares(rows):
+            seen = {n: rows[n].to_numpy(float)[:, None] for n in nodes}
+            own = {n: seen[n] - predict(n, seen) for n in nodes}
+            y = seen[target]
+            tail = np.minimum(m - np.searchsorted(reference, y - tie, side="left"), np.searchsorted(reference, y + tie, side="right"))
+            low = reference[np.minimum(tail, m - 1)] - tie
+            high = reference[np.maximum(m - tail - 1, 0)] + tie
+            out = np.zeros((len(rows), len(nodes)))
+            for s, chosen in enumerate(inside):
+                if not any(chosen):
+                    continue
+                at = {}
+                for n, is_random in zip(nodes, chosen):
+                    at[n] = predict(n, at) + (random[n][None, :] if is_random else own[n])
+                mixed = np.broadcast_to(at[target], (len(rows), draws))
+                q = np.clip(((tail >= m) | (mixed < low) | (mixed > high)).mean(axis=1), 1.0 / (draws + 1), 1.0)
+                out -= np.log(q)[:, None] * factors[s]
+            return out
+
+        step = max(1, CELLS // draws)
+        for batch in batches:
+            for start in range(0, len(batch), step):
+                part = batch.iloc[start:start + step].reset_index(drop=True)
+                yield pd.concat([part[keep], pd.DataFrame(shares(part), columns=names)], axis=1)
+
+    return df.select(*keep, *[F.col(n) for n in nodes if n not in keep]).mapInPandas(attribute, schema)
 
 
 def attribute_wide(model: CausalModel, rows: DataFrame, target: str, keep, draws: int = REFERENCE_DRAWS,
@@ -256,7 +288,7 @@ def attribute_wide(model: CausalModel, rows: DataFrame, target: str, keep, draws
     if linear is None:
         linear = model.is_linear(nodes)
     if not linear:
-        return _general_scores(model.with_noise(clean, nodes), model, target, ref, plan, keep, draws, replicate, seed), nodes
+        return general_scores(clean, model, target, ref, plan, keep, draws, replicate, seed), nodes
     return linear_scores(clean, linear_case(model, target, ref, plan, draws, replicate, seed), keep, nodes), nodes
 
 

@@ -545,6 +545,11 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     q["attribute_orders"] = (f"WITH {order_w}, {pools('facts', 'o_orderkey', ORDER_CHAIN)}, "
                              f"{attribution('facts', 'o_orderkey', ORDER_CHAIN, 200)} "
                              + long("phi", "o_orderkey", ORDER_CHAIN + ["net"]))
+    q["attribute_products"] = q["attribute_orders"]
+    chain = ORDER_CHAIN + ["net"]
+    q["distribution_change_products"] = (
+        f"WITH {FACTS}, {change_drawn('facts', 'o_orderkey', ORDER_CHAIN, 500)}, "
+        f"vals AS (SELECT s, avg(net) AS v FROM mixed GROUP BY s), {shapley('vals', chain)} " + long("phi", "", chain, "1e-3", 6))
     q["distribution_change"] = f"WITH {DAYS}, {change_mean('days', DAY_CHAIN)} " + long("phi", "", nodes, "1e-3", 6)
     q["distribution_change_orders"] = (f"WITH {FACTS}, {change_mean('facts', ORDER_CHAIN)} "
                                        + long("phi", "", ORDER_CHAIN + ["net"], "1e-3", 6))
