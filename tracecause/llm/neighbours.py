@@ -10,8 +10,9 @@ Rounds end when fewer than ``SETTLED`` of all entries change. Searching: every q
 longest vectors) and repeatedly asks the neighbours of its best nodes not yet asked, until the best ``BREADTH`` have all
 been asked. Results are scored again in double precision.
 
-Nodes are dealt into buckets of about ``BUCKET`` nodes by a hash of their id. A bucket asks for a vector once however many
-of its nodes need it, so hubs cost one row per bucket.
+Nodes are dealt into buckets of about ``BUCKET`` nodes by a hash of their id, for searches of about ``SEARCH_BUCKET``. A
+bucket asks for a vector once however many of its nodes need it, so hubs cost one row per bucket, and a query's vector goes
+to a bucket once however many of its nodes are scored.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do those of another length
 than most (the shortest of equally frequent lengths counts). Repeated ids are listed once, with the largest of their
@@ -28,9 +29,9 @@ from pyspark.sql import functions as F
 
 from tracecause.llm.common import cut_lineage
 
-DEGREE, REVERSE, TABLES, LEAF, BUCKET = 30, 30, 4, 192, 2048
-SETTLED, BREADTH, ASK = 0.05, 64, 32
-OFFERS = 8  # best offers for a node per bucket and round
+DEGREE, REVERSE, TABLES, LEAF, BUCKET, SEARCH_BUCKET = 30, 30, 4, 192, 256, 8192
+SETTLED, BREADTH, ASK = 0.03, 192, 64
+OFFERS = 5  # best offers for a node per bucket and round
 PIVOTS = 16
 EDGES = "u long, v long, sim float, fresh boolean"
 EDGE_SCHEMA = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("sim", pa.float32()), ("fresh", pa.bool_())])
@@ -224,6 +225,7 @@ ASKED_SCHEMA = pa.schema([("q", pa.int64()), ("v", pa.int64()), ("sim", pa.float
 
 def greedy(edges: DataFrame, vectors: DataFrame, queries: DataFrame, pivots: list[int], buckets: int, width: int) -> DataFrame:
     """(q, v, sim): the best nodes that each query node met."""
+    vectors = vectors.select(bucket_of("node", buckets).alias("bucket"), "node", "vec")
     links = edges.select(F.col("u").alias("node"), F.col("v").alias("next"))
     own = queries.select("q", F.col("q").alias("v"))
     starts = own.unionByName(queries.select("q", F.explode(F.array(*map(F.lit, pivots)).cast("array<long>")).alias("v"))) if pivots else own
@@ -297,7 +299,7 @@ def search(rows: DataFrame, every: int = 20, k: int = 20, id_column: str = "vec_
     asking = points.where(F.col("id") % every == 0).select(F.col("id").alias("query_id"), F.col("x").alias("qx"))
     by_node = cut_lineage(asking.join(nodes.select("node", F.col("x").alias("qx")), "qx").select("query_id", "node", "qx"))
     queries = by_node.select(F.col("node").alias("q")).distinct().join(vectors.select(F.col("node").alias("q"), "vec"), "q")
-    found = greedy(edges, vectors, queries, pivots, buckets, width)
+    found = greedy(edges, vectors, queries, pivots, -(-facts["n"] // SEARCH_BUCKET), width)
     # Exact scores once per pair of vectors, then members.
     pairs = found.join(nodes.select(F.col("node").alias("v"), "members", "x"), "v")
     both = pairs.join(by_node.withColumnRenamed("node", "q"), "q")
