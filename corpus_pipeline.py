@@ -68,11 +68,8 @@ def no_secrets(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def as_pieces(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every text with begin and end ids; decoding them gives the text back (``round_trip``)."""
-    coded = pieces.encode_documents(docs, PIECE_MODEL, ["doc_id", "text", "lang", "source"])
-    decoded = pieces.decode_documents(coded, PIECE_MODEL, ["doc_id", "text", "lang", "source", "ids"])
-    plain = F.translate(F.coalesce("text", F.lit("")), pieces.SPACE, " ")
-    return decoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-                          (F.col("decoded") == plain).alias("round_trip"))
+    coded = pieces.checked_pieces(docs, PIECE_MODEL, ["doc_id", "lang", "source"])
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES = [("language", known_language), ("near_duplicates", one_of_each), ("benchmark", no_benchmark),
