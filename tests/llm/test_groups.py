@@ -153,6 +153,27 @@ def test_reparameterised_questions(spark, make_docs):
     assert templates.with_leaks(docs.limit(0), bench).count() == 0
 
 
+ANNA = "If {} has {} apples and gives {} to {} and {} to {}, how many apples does {} have left for {} and {}?"
+
+
+def anna(a, b, c, *numbers):
+    return ANNA.format(a, numbers[0], numbers[1], b, numbers[2], c, a, b, c)
+
+
+def test_copies_in_one_document_do_not_vote_for_each_other(spark, make_docs):
+    copy, one, two = anna("Anna", "Ben", "Carla", 12, 3, 4), anna("Maria", "Otto", "Paul", 20, 5, 6), anna("Xaver", "Yves", "Zoe", 31, 7, 8)
+    mixed = anna("Maria", "Otto", "Paul", 20, 5, 6).replace("left for Otto and Paul", "left for Kim and Lea").replace("does Maria", "does Joe")
+    rows = [(1, copy), (2, f"{copy} {one}"), (3, f"{one} {copy} {two}"), (4, f"{one}\n{two}"), (5, "Prose. " * 50 + f"{two} {copy} {one} " + "More. " * 50),
+            (6, mixed), (7, anna("Anna Maria", "Otto", "Paul", 20, 5, 6)), (8, copy[:55] + " Then prose goes on. " * 9 + copy[55:])]
+    bench = spark.createDataFrame([(1, copy)], "item_id long, text string")
+    out = [{r["doc_id"]: r["leaks"] for r in templates.with_leaks(make_docs(rows), bench, index_windows=n).collect()} for n in (10 ** 6, 0)]
+    assert out[0] == out[1]
+    assert [i for i, leaks in sorted(out[0].items()) if leaks] == [1, 2, 3, 4, 5, 7]
+    assert all(leaks[0]["matched"] == leaks[0]["windows"] for i, leaks in out[0].items() if leaks and i != 7)
+    wide = templates.Index([(1, *templates.item_windows(" ".join(["alpha beta gamma delta in Boston epsilon zeta eta theta"] * 3), templates.Codes()))])
+    assert wide.find(" ".join(["alpha beta gamma delta in Boston epsilon zeta eta theta"] * 2 + ["alpha beta gamma delta in Boston Town epsilon zeta eta theta"]))
+
+
 def test_both_ways_agree_with_plain_search(spark, sf_dir, table_dir):
     got = {(r["doc_id"], r["item_id"]) for r in op5_decontamination(spark, sf_dir).collect()}
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

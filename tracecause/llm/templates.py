@@ -1,9 +1,11 @@
 """Benchmark decontamination by templates: finds questions even with other numbers, names and units in them.
 
 Numbers, units after a number and capitalised words within a sentence become typed slots; other words are literals in
-lower case. Windows of five such tokens are hashed. A document holds an item if at least 0.8 of the item's windows occur
-in it with consistent slots: one value in the item stands for one value in the document (of several the most frequent;
-windows that disagree do not count). Windows with fewer than two literals say nothing and are left out on both sides;
+lower case. Windows of five such tokens are hashed. A document holds an item if at least 0.8 of the item's windows stand
+in one place of it with consistent slots. A place is a document position less item position, up to ``DRIFT`` tokens more
+or less (names may have more words); copies elsewhere in the document have no say in it. In a place one value in the item
+stands for one value in the document (of several the most frequent; windows that disagree do not count). Of several
+places that hold the item the one with most windows is reported, of equals the first. Windows with fewer than two literals say nothing and are left out on both sides;
 an item shorter than five tokens is one window.
 
 Up to ``INDEX_WINDOWS`` benchmark windows (counted first) the index is sent to the documents, and nothing is shuffled.
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tracecause.llm.common import cut_lineage
 
-WINDOW, COVERAGE, LITERALS = 5, 0.8, 2
+WINDOW, COVERAGE, LITERALS, DRIFT = 5, 0.8, 2, 8
 INDEX_WINDOWS = 1_000_000
 TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?:;\n]")
 #: Words that are units when they follow a number.
@@ -165,13 +167,40 @@ class Index:
         return sorted(found, key=lambda x: (x["item_id"] is not None, x["item_id"] or 0))
 
 
+def places(pairs: list[tuple[int, int]], needed: int):
+    """The pairs of every place that could hold the item: first those of one alignment, then with drift around it.
+
+    With drift an item position has one document position, the one nearest to the alignment.
+    """
+    by_shift: dict[int, list[tuple[int, int]]] = {}
+    for d, i in pairs:
+        by_shift.setdefault(d - i, []).append((d, i))
+    shifts = np.array(sorted(by_shift), dtype=np.int64)
+    count = np.concatenate(([0], np.cumsum([len(by_shift[s]) for s in shifts.tolist()])))
+    low, high = np.searchsorted(shifts, shifts - DRIFT), np.searchsorted(shifts, shifts + DRIFT, side="right")
+    for n in np.flatnonzero(count[high] - count[low] >= COVERAGE * needed).tolist():
+        one = by_shift[int(shifts[n])]
+        if len(one) >= COVERAGE * needed:
+            yield one
+        nearest: dict[int, int] = {}
+        for s in sorted(shifts[low[n]:high[n]].tolist(), key=lambda s: (abs(s - int(shifts[n])), s)):
+            for d, i in by_shift[s]:
+                nearest.setdefault(i, d)
+        if len(nearest) > len(one) and len(nearest) >= COVERAGE * needed:
+            yield [(d, i) for i, d in nearest.items()]
+
+
 def judged(pairs, key, needed, item_values, doc_values, size) -> dict | None:
-    pairs = consistent(pairs, item_values, doc_values, size)
-    matched = len({i for _, i in pairs})
-    if not matched or matched < COVERAGE * needed:
-        return None
-    return {"item_id": key, "windows": needed, "matched": matched, "first_word": min(d for d, _ in pairs),
-            "last_word": max(d for d, _ in pairs) + size - 1}
+    """The best place of the item in the document, if any holds it."""
+    best = None
+    for place in places(sorted(set(pairs)), needed):
+        held = consistent(place, item_values, doc_values, size)
+        if not held or len(held) < COVERAGE * needed:
+            continue
+        first, last = min(d for d, _ in held), max(d for d, _ in held) + size - 1
+        if best is None or (-len(held), first, last) < best:
+            best = -len(held), first, last
+    return best and {"item_id": key, "windows": needed, "matched": -best[0], "first_word": best[1], "last_word": best[2]}
 
 
 def bitmap(hashes: np.ndarray) -> np.ndarray:
