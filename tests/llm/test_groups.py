@@ -174,6 +174,16 @@ def test_copies_in_one_document_do_not_vote_for_each_other(spark, make_docs):
     assert wide.find(" ".join(["alpha beta gamma delta in Boston epsilon zeta eta theta"] * 2 + ["alpha beta gamma delta in Boston Town epsilon zeta eta theta"]))
 
 
+def test_copies_in_any_case_and_items_of_few_literals(spark, make_docs):
+    items = [ITEMS[0], (6, "Compute 12, 15, 18, 21, 24"), (7, "What is 12 + 7 * 3 - 4 + 9?"), (7, "Which of these is it, 5 or 6 or 7?")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, items[0][1].lower()), (2, "Prose. " + items[0][1].upper()), (3, "so compute 12, 15, 18, 21, 24 now"), (4, "Compute 1, 5, 8, 2, 4"),
+            (5, "What is 1 + 2 * 3 - 4 + 5?"), (6, "And WHAT IS 12 + 7 * 3 - 4 + 9? And which of these is it, 5 or 6 or 7?"), (7, items[0][1])]
+    out = [{r["doc_id"]: r["leaks"] for r in templates.with_leaks(make_docs(rows), bench, index_windows=n).collect()} for n in (10 ** 6, 0)]
+    assert out[0] == out[1]
+    assert {i: [x["item_id"] for x in leaks] for i, leaks in out[0].items()} == {1: [1], 2: [1], 3: [6], 4: [], 5: [], 6: [7, 7], 7: [1]}
+
+
 def test_both_ways_agree_with_plain_search(spark, sf_dir, table_dir):
     got = {(r["doc_id"], r["item_id"]) for r in op5_decontamination(spark, sf_dir).collect()}
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
