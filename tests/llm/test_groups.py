@@ -124,6 +124,30 @@ def test_repeated_spans(spark, make_docs, sample_texts):
     assert stripped[503] is None
 
 
+def test_repeated_stretches_by_plain_search(spark, make_docs):
+    r = random.Random(5)
+    fresh = itertools.count()
+    own = lambda n: " ".join(f"own{next(fresh)}" for _ in range(n))
+    rows = []
+    for k in range(40):  # sentences of 18 words, the passage glued to others of its own, before and after
+        words = [f"w{r.randrange(10 ** 6)}" + "." * (i % 18 == 17) for i in range(50 + k)]
+        rows += [(2 * k, f"{own(3 + k % 20)} {' '.join(words)} {own(k % 7)}"), (2 * k + 1, f"{own(k % 33)} {' '.join(words)} {own(15)}")]
+    common = [f"c{i}" for i in range(30)]  # pieces of them agree by chance all the time, stretches of 8 words hardly
+    rows += [(100 + k, " ".join(r.choice(common) for _ in range(400))) for k in range(20)]
+    gone = {x["doc_id"]: x["spans"] for x in linededup.repeated_spans(make_docs(rows)).collect()}
+    seen = {}
+    for i, t in rows:
+        words = [(m[0], *m.span()) for m in linededup.WORD.finditer(t)]
+        cut = [any(s["start"] <= a and b <= s["stop"] for s in gone.get(i, ())) for _, a, b in words]
+        again = [False] * len(words)
+        for at in range(len(words) - 7):
+            if seen.setdefault(" ".join(w for w, _, _ in words[at:at + 8]), (i, at)) != (i, at):
+                again[at:at + 8] = [True] * 8
+        assert all(b for a, b in zip(cut, again, strict=True) if a), i
+        if i < 100 and i % 2:
+            assert sum(cut) * 2 > sum(again) >= 50, i
+
+
 def test_op8_edges(spark, make_docs, table_dir):
     line = "one two three four five six seven eight nine"
     rows = [(1, line), (2, line), (2, line), (None, line), (3, None)]

@@ -1,10 +1,10 @@
 """Removal of repeated lines and sentences, with offsets into the original texts.
 
-A text is cut at line ends and after sentence ends; a unit of over ``LONG`` words is cut further after words picked by
-their hash, so that a passage that starts anywhere in it falls into the same units. A unit's normal form is its words in
-lower case; the digest of that is grouped over all documents. The occurrence first in rank (id, then offset) stays.
-Others go if the run of neighbouring repeated units they are in has at least ``least_words`` words, so that short
-sentences that agree by chance stay.
+A text is cut at line ends, after sentence ends and after words picked by their hash, so that a passage falls into the same
+pieces wherever it stands. A unit is a run of neighbouring pieces, the shortest from a piece on or up to a piece that has
+``LEAST_WORDS`` words: short pieces that agree by chance make no repeat. A unit's normal form is its words in lower case;
+the digest of that is grouped over all documents. The occurrence first in rank (id, then offset) stays, the words of the
+others go.
 
 Edge cases: null texts count as empty, have no units and lose nothing. Rows that agree in id and text count as one
 document. Null ids rank first. Units without a word are never removed.
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -21,31 +22,59 @@ from pyspark.sql import functions as F
 
 from tracecause.llm.common import cut_lineage
 
-LONG, LEAST_WORDS = 40, 8
+LEAST_WORDS = 8
+#: Most bits of the map of repeated digests that tasks get (32 MB); beyond that it lets more other units through.
+MOST_BITS = 28
 UNIT = re.compile(r"[^\n.!?]+[.!?]*|[.!?]+")
 WORD = re.compile(r"\w+")
 
 
-def units(text: str):
-    """(start, end, words, digest) in order; a digest is two signed 64-bit integers."""
+class Cuts(dict):
+    """Whether a text is cut after a word; forgets when full."""
+
+    def __missing__(self, word: str) -> bool:
+        if len(self) >= 300_000:
+            self.clear()
+        cut = self[word] = xxhash.xxh32_intdigest(word) % 8 == 0
+        return cut
+
+
+CUTS = Cuts()
+
+
+def pieces(text: str):
+    """(start, end, words) in order."""
     for m in UNIT.finditer(text):
-        start, end = m.span()
-        words = WORD.findall(text[start:end].lower())
-        if not words:
-            continue
-        if len(words) <= LONG:
-            yield (start, end, len(words), *digest(words))
-            continue
-        held, begin = [], start
-        spans = list(WORD.finditer(text, start, end))
-        for i, w in enumerate(spans):
+        begin, end = m.span()
+        held, at = [], begin
+        for w in WORD.finditer(text, begin, end):
             word = w[0].lower()
             held.append(word)
-            last = i == len(spans) - 1
-            if last or xxhash.xxh32_intdigest(word) % 8 == 0:
-                stop = end if last else w.end()
-                yield (begin, stop, len(held), *digest(held))
-                held, begin = [], stop
+            if CUTS[word]:
+                yield at, w.end(), held
+                held, at = [], w.end()
+        if held:
+            yield at, end, held
+
+
+def units(text: str, least_words: int = LEAST_WORDS):
+    """(start, end, words, digest) in order; a digest is two signed 64-bit integers. A shorter text is one unit."""
+    found = list(pieces(text))
+    if not found:
+        return
+    total = [0]
+    for _, _, words in found:
+        total.append(total[-1] + len(words))
+    runs, first = set(), 0
+    for last in range(len(found)):
+        while total[last + 1] - total[first] >= least_words:
+            runs.add((first, last))  # the shortest from its first piece on
+            first += 1
+        if first:
+            runs.add((first - 1, last))  # the shortest up to its last piece
+    for first, last in sorted(runs or {(0, len(found) - 1)}):
+        words = [w for _, _, held in found[first:last + 1] for w in held]
+        yield (found[first][0], found[last][1], len(words), *digest(words))
 
 
 def digest(words: list[str]) -> tuple[int, int]:
@@ -58,14 +87,49 @@ UNIT_SCHEMA = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("seq
                          ("stop", pa.int32()), ("words", pa.int32()), ("hi", pa.int64()), ("lo", pa.int64())])
 
 
-def all_units(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame) -> DataFrame:
+    return docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+
+
+def repeated_digests(docs: DataFrame, least_words: int) -> DataFrame:
+    """First halves of digests that more than one unit has; only counts of these halves are shuffled."""
+    schema = pa.schema([("hi", pa.int64())])
+
     def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 500):
+                found = [u[3] for t in b.slice(at, 500).column(2).to_pylist() for u in units(t, least_words)]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], schema=schema)
+
+    return keyed(docs).mapInArrow(run, "hi long").groupBy("hi").count().where("count > 1").select("hi")
+
+
+def bitmap(hashes: DataFrame) -> tuple[np.ndarray, int]:
+    """Bytes of a map with a bit for the leading bits of every hash, and how many bits of a hash it takes."""
+    bits = max(16, min(MOST_BITS, (8 * hashes.count()).bit_length()))
+    word = hashes.select(F.shiftrightunsigned("hi", 64 - bits).alias("word"))
+    marks = word.groupBy(F.expr("word div 32").cast("int").alias("at")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(word % 32 AS int)))").alias("bits")).toArrow()  # at most 2 ** MOST_BITS / 32 rows
+    likely = np.zeros(1 << bits - 5, dtype="<u4")
+    likely[marks["at"].to_numpy()] = marks["bits"].to_numpy().astype("<u4")
+    return likely.view(np.uint8), bits
+
+
+def all_units(docs: DataFrame, likely: tuple[np.ndarray, int], least_words: int = LEAST_WORDS) -> DataFrame:
+    """The units whose digests are in the map, numbered among all of their text."""
+    shared = docs.sparkSession.sparkContext.broadcast(likely)
+
+    def run(batches):
+        marks, bits = shared.value
         for b in batches:
             columns = [[] for _ in UNIT_SCHEMA.names]
             for i in range(b.num_rows):
                 doc_id, key, text = (b.column(c)[i].as_py() for c in range(3))
-                found = list(units(text))
-                for values, column in zip(([doc_id] * len(found), [key] * len(found), range(len(found)),
+                found = list(units(text, least_words))
+                word = np.array([u[3] for u in found], dtype=np.int64).view(np.uint64) >> np.uint64(64 - bits)
+                stays = np.flatnonzero(marks[(word >> np.uint64(3)).astype(np.int64)] >> (word & np.uint64(7)).astype(np.uint8) & 1)
+                found = [found[k] for k in stays.tolist()]
+                for values, column in zip(([doc_id] * len(found), [key] * len(found), stays.tolist(),
                                            *(zip(*found, strict=True) if found else [()] * 5)), columns, strict=True):
                     column.extend(values)
                 if len(columns[0]) >= 100_000:
@@ -75,18 +139,18 @@ def all_units(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, UNIT_SCHEMA.types, strict=True)],
                                              schema=UNIT_SCHEMA)
 
-    keyed = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    return keyed.mapInArrow(run, UNITS)
+    return keyed(docs).mapInArrow(run, UNITS)
 
 
 def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """(doc_id, text_key, spans, units): what to remove of each document that loses something.
 
     ``spans`` has (start, stop, origin) in order, ``origin`` the id of the document that keeps the unit that opens the
-    span. Digests fold to one row per task and value before they are grouped; a common unit's rows meet their group
-    in a join that can be split.
+    span. A map of the digests that repeat drops most other units before anything of them is written or shuffled; the rest
+    is grouped by whole digests. Digests fold to one row per task and value before they are grouped; a common unit's rows
+    meet their group in a join that can be split.
     """
-    found = cut_lineage(all_units(docs))
+    found = cut_lineage(all_units(docs, bitmap(cut_lineage(repeated_digests(docs, least_words))), least_words))
     place = F.struct("doc_id", "start", "text_key")
     firsts = (found.groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.max(place).alias("last"))
               .where(F.col("first") != F.col("last")).select("hi", "lo", "first"))
@@ -113,16 +177,16 @@ SPAN_SCHEMA = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("spa
 
 
 def runs(again: list[dict], least_words: int) -> tuple[list[dict], int]:
-    """Spans of the runs of neighbouring units that are long enough, and how many units they hold."""
-    spans, n, at = [], 0, 0
-    while at < len(again):
-        end = at
-        while end + 1 < len(again) and again[end + 1]["seq"] == again[end]["seq"] + 1:
-            end += 1
-        if sum(u["words"] for u in again[at:end + 1]) >= least_words:
-            spans.append({"start": again[at]["start"], "stop": again[end]["stop"], "origin": again[at]["origin"]})
-            n += end + 1 - at
-        at = end + 1
+    """Spans of the repeated units that are long enough, joined where they overlap or follow each other; their number."""
+    spans, n, seq = [], 0, None
+    for u in again:
+        if u["words"] < least_words:
+            continue
+        if spans and (u["start"] < spans[-1]["stop"] or u["seq"] == seq + 1):
+            spans[-1]["stop"] = max(spans[-1]["stop"], u["stop"])
+        else:
+            spans.append({"start": u["start"], "stop": u["stop"], "origin": u["origin"]})
+        n, seq = n + 1, u["seq"]
     return spans, n
 
 
