@@ -56,9 +56,11 @@ def no_benchmark(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def no_secrets(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret values are replaced by a mark; every document stays, and ``n_chars`` follows its text."""
+    shared = spark.sparkContext.broadcast(secretscan.ranks(docs))
+
     @pandas_udf("string")
     def redact(texts):
-        return texts.map(secretscan.redacted, na_action="ignore")
+        return texts.map(lambda t: secretscan.redacted(t, ranked=shared.value), na_action="ignore")
 
     changed = docs.select(*COLUMNS).withColumn("__new", redact("text"))
     same = F.col("__new").eqNullSafe(F.col("text"))

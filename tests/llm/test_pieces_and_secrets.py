@@ -107,6 +107,15 @@ def test_cost_is_the_cheapest_segmentation():
     assert secretscan.guess_cost("q!7Z" * 5000) < secretscan.guess_cost("".join(random.Random(3).choices("q!7Zab", k=20000)))
 
 
+def test_words_of_the_corpus_are_no_secrets(spark, make_docs, table_dir):
+    ordinary = ["the password is incorrect", "authorization is mandatory", "the secret is patience", "password: Zugangsdaten"]
+    words = "incorrect and mandatory, patience; Zugangsdaten"
+    hidden = "pwd is kqzvwxjyqpbd"
+    rows = [*enumerate(ordinary), *((10 + i, f"{words} {i}") for i in range(6)), *((20 + i, f"{hidden} {i}") for i in range(9))]
+    got = {r["doc_id"]: r["n_guess"] for r in op2_secrets(spark, table_dir(documents=make_docs(rows))).collect()}
+    assert got == {i: int(i >= 20) for i, _ in rows}
+
+
 def test_redaction_and_rows(spark, make_docs, table_dir):
     assert secretscan.redacted("a token = \"" + "0a" * 20 + "\" b") == "a token = \"[SECRET]\" b"
     assert secretscan.redacted("clean") == "clean"

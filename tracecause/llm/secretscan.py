@@ -3,7 +3,8 @@
 The patterns give base spans. Beyond them, a value that follows a credential word (``pwd: ...``, ``"client_secret" =>
 "..."``, ``Authorization: Bearer ...``) is costed as a guesser would: the cheapest way to cut it into words, dates,
 repeats, sequences, keyboard walks and characters tried by brute force, found by dynamic programming over the log10 of
-guesses. Values of ``HARD`` or more are ``guess`` spans, unless a base span covers part of them. Placeholders such as
+guesses. A word costs its rank by document frequency, counted over all documents (``ranks``), or by a fixed list, whichever
+is less. Values of ``HARD`` or more are ``guess`` spans, unless a base span covers part of them. Placeholders such as
 ``changeme`` or ``qwerty12345`` stay below.
 
 Edge cases: null texts count as empty. Offsets are code points. Letters in patterns are ASCII, either case where stated.
@@ -12,11 +13,15 @@ A value of any length is costed whole, in time linear in its length.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
+from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tracecause.llm.common import map_rows
 
@@ -52,7 +57,10 @@ DATE = re.compile(r"(?:19|20)\d\d(?:([-/._]?)\d{1,2}\1\d{1,2})?|\d{1,2}([-/._])\
                   r"(?:0[1-9]|[12]\d|3[01])(?:0[1-9]|1[0-2])(?:19|20)\d\d")
 REPEAT = re.compile(r"(.{1,4}?)\1{2,}", re.S)
 RANK = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
-LONGEST = max(map(len, RANK))
+LONGEST = 24
+#: Words of this many documents or more are ranked, so many at most: the table sent to the tasks has under 10 MB.
+LEAST_DOCS, MOST_WORDS = 5, 100_000
+LETTERS = re.compile(rf"\b[^\W\d_]{{3,{LONGEST}}}\b")
 NEXT = {(a, b) for row in ROWS for a, b in zip(row, row[1:], strict=False)} | {(b, a) for row in ROWS for a, b in zip(row, row[1:], strict=False)}
 
 
@@ -65,14 +73,40 @@ def alphabet(ch: str) -> int:
     return 33
 
 
-def matches(value: str):
+def words_of(text: str) -> set[str]:
+    """Distinct words; values in a credential context do not count, else a secret that is copied would become a word."""
+    low = text.lower()
+    return set(LETTERS.findall(CONTEXT.sub(" ", low) if any(h in low for h in CONTEXT_HINTS) else low))
+
+
+def ranks(docs: DataFrame) -> dict[str, int]:
+    """Rank of the most frequent words by number of documents, merged with the fixed list."""
+    schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
+
+    def run(batches):
+        counts = Counter()
+        for b in batches:
+            for at in range(b.num_rows):
+                counts.update(words_of(b.column(0)[at].as_py()))
+                if len(counts) >= 200_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], schema=schema)
+                    counts.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], schema=schema)
+
+    counted = docs.where("text IS NOT NULL").select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    top = counted.where(F.col("n") >= LEAST_DOCS).orderBy(F.desc("n"), "word").limit(MOST_WORDS).collect()
+    found = {row["word"]: i for i, row in enumerate(top, 1)}
+    return found | {w: min(i, found.get(w, i)) for w, i in RANK.items()}
+
+
+def matches(value: str, ranked: dict[str, int] = RANK):
     """(start, stop, log10 of guesses) of all spans that follow a pattern."""
     low = value.lower()
     plain = low.translate(LEET)
     for text, extra in ((low, 0.0), *(((plain, 0.3),) if plain != low else ())):
         for i in range(len(text)):
             for j in range(i + 3, min(len(text), i + LONGEST) + 1):
-                rank = RANK.get(text[i:j])
+                rank = ranked.get(text[i:j])
                 if rank:
                     own = value[i:j]
                     case = 0.0 if own.islower() or not own.isalpha() else math.log10(2) if own.istitle() or own.isupper() else 1.0
@@ -92,10 +126,10 @@ def matches(value: str):
             start = i
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, ranked: dict[str, int] = RANK) -> float:
     """log10 of the guesses for the cheapest segmentation of the value."""
     ending: dict[int, list[tuple[int, float]]] = {}
-    for start, stop, cost in matches(value):
+    for start, stop, cost in matches(value, ranked):
         ending.setdefault(stop, []).append((start, cost + JOIN))
     best = [0.0] * (len(value) + 1)
     for i, ch in enumerate(value, 1):
@@ -105,7 +139,7 @@ def guess_cost(value: str) -> float:
     return best[-1]
 
 
-def scan(text: str) -> list[tuple[str, int, int, int]]:
+def scan(text: str, ranked: dict[str, int] = RANK) -> list[tuple[str, int, int, int]]:
     """(kind, start, stop, start of the secret value) by start, then kind. All secrets of a whole text."""
     found = []
     low = text.lower() if text.isascii() else "".join(c.lower() if c.isascii() else c for c in text)
@@ -118,7 +152,7 @@ def scan(text: str) -> list[tuple[str, int, int, int]]:
         base = [(start, stop) for _, start, stop, _ in found]
         for m in CONTEXT.finditer(text):
             start, stop = m.span(m.lastindex)
-            if not any(s < stop and start < e for s, e in base) and guess_cost(text[start:stop]) >= HARD:
+            if not any(s < stop and start < e for s, e in base) and guess_cost(text[start:stop], ranked) >= HARD:
                 found.append(("guess", start, stop, start))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
@@ -127,8 +161,8 @@ def written(spans) -> str:
     return ",".join(f"{kind}:{start}:{stop}" for kind, start, stop, *_ in spans)
 
 
-def summary(text: str) -> tuple:
-    found = scan(text)
+def summary(text: str, ranked: dict[str, int] = RANK) -> tuple:
+    found = scan(text, ranked)
     n = {k: sum(x[0] == k for x in found) for k in KINDS}
     base = written(x for x in found if x[0] != "guess")
     return n["assign"], n["access"], n["hex"], hashlib.sha256(base.encode()).hexdigest(), written(found), n["guess"]
@@ -136,14 +170,15 @@ def summary(text: str) -> tuple:
 
 def report(docs: DataFrame, keep: list[str]) -> DataFrame:
     """Counts per kind and all spans of every whole ``text``, beside the columns ``keep``."""
-    return map_rows(docs, lambda: summary, keep, "n_assign long, n_access long, n_hex long, base_sha256 string, "
+    shared = docs.sparkSession.sparkContext.broadcast(ranks(docs))
+    return map_rows(docs, lambda: functools.partial(summary, ranked=shared.value), keep, "n_assign long, n_access long, n_hex long, base_sha256 string, "
                                                  "spans string, n_guess long")
 
 
-def redacted(text: str, mark: str = "[SECRET]") -> str:
+def redacted(text: str, mark: str = "[SECRET]", ranked: dict[str, int] = RANK) -> str:
     """The text with every secret value replaced by ``mark``; overlapping values become one."""
     parts, at = [], 0
-    for _, start, stop in sorted((0, value, stop) for _, _, stop, value in scan(text)):
+    for _, start, stop in sorted((0, value, stop) for _, _, stop, value in scan(text, ranked)):
         if stop <= at:
             continue
         if start >= at:
