@@ -4,6 +4,7 @@ import sys
 import numpy as np
 import pandas as pd
 import pytest
+from graphs import SERVICE_EDGES, SUPPLY_EDGES
 from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -47,13 +48,6 @@ def shop_days(n, seed, price=1.0, views=1.0):
                          "Revenue": revenue, "Operational_Cost": cost, "Profit": revenue - cost})
 
 
-SHOP_EDGES = (("Shopping_Event", "Ad_Spend"), ("Shopping_Event", "Page_Views"), ("Ad_Spend", "Page_Views"),
-              ("Shopping_Event", "Unit_Price"), ("Page_Views", "Sold_Units"), ("Unit_Price", "Sold_Units"),
-              ("Shopping_Event", "Sold_Units"), ("Sold_Units", "Revenue"), ("Unit_Price", "Revenue"),
-              ("Ad_Spend", "Operational_Cost"), ("Sold_Units", "Operational_Cost"), ("Revenue", "Profit"),
-              ("Operational_Cost", "Profit"))
-
-
 def from_graph(edges, n, seed, roots, weights=None, rules=None, noise=0.1):
     """Rows of a graph, node by node: a root is what ``roots`` draws, another node a weighted sum of its parents plus
     normal noise, unless ``rules`` has a function of (values so far, random generator) for it."""
@@ -87,13 +81,6 @@ def requests(n, seed, slow_cache=0.0):
     return pd.DataFrame({"request_id": np.arange(n), **values})
 
 
-SERVICE_EDGES = (("Product_DB", "Caching_Service"), ("Shipping_Cost_Service", "Product_Service"),
-                 ("Caching_Service", "Product_Service"), ("Customer_DB", "Product_Service"),
-                 ("Customer_DB", "Auth_Service"), ("Order_DB", "Order_Service"), ("Customer_DB", "API"),
-                 ("Product_Service", "API"), ("Auth_Service", "API"), ("Order_Service", "API"),
-                 ("Auth_Service", "www"), ("API", "www"), ("www", "Website"))
-
-
 def product_week(n, seed, demand=3.0, alpha=0.8):
     """Orders of a week: what is asked for, what is confirmed, what arrives."""
     centre = {"demand": demand, "constraint": 1.2}
@@ -103,10 +90,6 @@ def product_week(n, seed, demand=3.0, alpha=0.8):
     return pd.DataFrame({"asin": [f"P{i:05d}" for i in range(n)], **values})
 
 
-SUPPLY_EDGES = (("demand", "submitted"), ("constraint", "submitted"), ("submitted", "confirmed"),
-                ("confirmed", "received"))
-
-
 @pytest.fixture(scope="session")
 def shop(spark):
     return spark.createDataFrame(shop_days(365, 1)).persist()

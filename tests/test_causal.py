@@ -6,7 +6,7 @@ from itertools import permutations
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import SERVICE_EDGES, SHOP_EDGES, SUPPLY_EDGES
+from graphs import SERVICE_EDGES, SHOP_EDGES, SUPPLY_EDGES
 from pyspark.sql import functions as F
 
 from tracecause.operators import (anomaly, assignment, change, evaluation, falsification, influence, intervals,
