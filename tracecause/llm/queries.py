@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracecause.llm import kneserney, langid, linededup, neighbours, pieces, secretscan, simhash, templates, toxicity, warc
+from tracecause.llm import kneserney, langid, linededup, neighbours, pieces, secretscan, simhash, templates, toxicity, warc, whitening
 from tracecause.llm.common import cut_lineage, fold_of, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -100,6 +100,14 @@ def op10_neighbours(spark, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"))
 
 
+def op13_whitening(spark, sf_dir: str) -> DataFrame:
+    """Every vector on the leading components of all, one row per component."""
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    each = out.select("*", F.posexplode("z").alias("at", "whitened"))
+    return each.select(F.col("id").alias("vec_id"), (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
+                       F.element_at("explained", F.col("at") + 1).alias("explained"), "identity_error", "deviation_exact")
+
+
 QUERIES = [op1_sentencepiece, op2_secrets, op3_simhash, op4_warc, op5_decontamination, op6_language, op7_toxicity,
-           op8_line_dedup, op9_kneser_ney, op10_neighbours]
+           op8_line_dedup, op9_kneser_ney, op10_neighbours, op13_whitening]
 ORACLES: dict[str, str] = {"op4_warc": OP4_SQL}
