@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from tracecause.sources.workspace import cut_lineage, fresh_path, shared_folder
 
-__all__ = ["cut_lineage", "fresh_path", "fold_of", "map_rows", "map_batches", "shared_folder", "table"]
+__all__ = ["cut_lineage", "dense", "fresh_path", "fold_of", "map_rows", "map_batches", "shared_folder", "summed", "table"]
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -66,3 +67,23 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[str], tuple]], keep: li
                 yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     return source.mapInArrow(run, schema)
+
+
+def dense(column: pa.Array, kind) -> np.ndarray:
+    """A column of lists of one length as a matrix."""
+    return np.asarray(column.flatten(), dtype=kind).reshape(len(column), -1)
+
+
+def summed(df: DataFrame, add: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
+    """Sum over all batches of an array that ``add`` makes of each: one partial sum per task, added up by Spark."""
+    def partial(batches) -> Iterator[pa.RecordBatch]:
+        total = None
+        for b in batches:
+            if b.num_rows:
+                total = add(b) if total is None else total + add(b)
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size, dtype=np.int64)), pa.array(total.ravel())],
+                                             names=["i", "v"])
+
+    found = df.mapInArrow(partial, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()
+    return found.sort_values("i")["v"].to_numpy(np.float64)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracecause.llm import kneserney, langid, linededup, neighbours, pieces, secretscan, simhash, templates, toxicity, warc, whitening
+from tracecause.llm import kneserney, langid, linededup, negatives, neighbours, pieces, secretscan, simhash, templates, toxicity, warc, whitening
 from tracecause.llm.common import cut_lineage, fold_of, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -100,6 +100,33 @@ def op10_neighbours(spark, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"))
 
 
+def op12_hard_negatives(spark, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh one counts as of the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), label=label)
+
+
+OP12_SQL = """
+WITH part AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, c -> CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS other,
+         CAST(list_inner_product(CAST(a.x AS DOUBLE[]), CAST(b.x AS DOUBLE[])) AS BIGINT) AS score
+  FROM part a JOIN part b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER w <= 10
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)"""
+
+
 def op13_whitening(spark, sf_dir: str) -> DataFrame:
     """Every vector on the leading components of all, one row per component."""
     out = whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -109,5 +136,5 @@ def op13_whitening(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [op1_sentencepiece, op2_secrets, op3_simhash, op4_warc, op5_decontamination, op6_language, op7_toxicity,
-           op8_line_dedup, op9_kneser_ney, op10_neighbours, op13_whitening]
-ORACLES: dict[str, str] = {"op4_warc": OP4_SQL}
+           op8_line_dedup, op9_kneser_ney, op10_neighbours, op12_hard_negatives, op13_whitening]
+ORACLES: dict[str, str] = {"op4_warc": OP4_SQL, "op12_hard_negatives": OP12_SQL}

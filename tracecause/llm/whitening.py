@@ -18,7 +18,6 @@ is beyond 64 bits; ``deviation_exact`` always holds it up to 38 digits, and is n
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from decimal import Context, Decimal
 
@@ -27,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracecause.llm.common import cut_lineage
+from tracecause.llm.common import cut_lineage, dense, summed
 
 HOT, FLAT, MOST_COMPONENTS = 1000, 1e-10, 32
 SAFE, MOST = 1 << 62, 2.0 ** 61
@@ -52,10 +51,6 @@ def distinct_vectors(rows: DataFrame) -> DataFrame:
     return cut_lineage(rows.groupBy("x").agg(F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.count("*").alias("w")))
 
 
-def dense(column: pa.Array, kind) -> np.ndarray:
-    return np.asarray(column.flatten(), dtype=kind).reshape(len(column), -1)
-
-
 def exact_sums(vectors: DataFrame, weight: Column) -> list[int]:
     """Weighted sum of every dimension."""
     def partial(batches):
@@ -77,21 +72,6 @@ def exact_sums(vectors: DataFrame, weight: Column) -> list[int]:
     return [int(r["v"]) for r in found.groupBy("i").agg(F.sum("v").alias("v")).orderBy("i").collect()]
 
 
-def summed(df: DataFrame, add: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
-    """Sum over all batches of an array that ``add`` makes of each: one partial sum per task, added up by Spark."""
-    def partial(batches) -> Iterator[pa.RecordBatch]:
-        total = None
-        for b in batches:
-            if b.num_rows:
-                total = add(b) if total is None else total + add(b)
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size, dtype=np.int64)), pa.array(total.ravel())],
-                                             names=["i", "v"])
-
-    found = df.mapInArrow(partial, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()
-    return found.sort_values("i")["v"].to_numpy(np.float64)
-
-
 @dataclass(frozen=True)
 class Whitening:
     """Mean as exact sums over ``n`` rows, components as columns, eigenvalues falling."""
