@@ -123,8 +123,8 @@ positives AS (
 SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
 FROM positives JOIN pairs USING (anchor_id)
 WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
-QUALIFY row_number() OVER w <= 10
-WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)"""
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER w <= 10"""
 
 
 def op13_whitening(spark, sf_dir: str) -> DataFrame:
