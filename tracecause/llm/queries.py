@@ -109,10 +109,10 @@ def op12_hard_negatives(spark, sf_dir: str) -> DataFrame:
 OP12_SQL = """
 WITH part AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, c -> CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+         list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
 pairs AS (
   SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS other,
          CAST(list_inner_product(CAST(a.x AS DOUBLE[]), CAST(b.x AS DOUBLE[])) AS BIGINT) AS score
