@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracecause.llm import kneserney, langid, linededup, negatives, neighbours, pieces, secretscan, simhash, templates, toxicity, warc, whitening
+from tracecause.llm import chat, kneserney, langid, linededup, negatives, neighbours, pieces, secretscan, simhash, templates, toxicity, warc, whitening
 from tracecause.llm.common import cut_lineage, fold_of, table
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -100,6 +100,14 @@ def op10_neighbours(spark, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"))
 
 
+def op11_chat(spark, sf_dir: str, model_path: str = PIECE_MODEL) -> DataFrame:
+    """Every conversation, and one that says control strings, formatted in windows and read back from them."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    tricky = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.windows(rows.unionByName(tricky), chat.piece_counts(model_path)))
+
+
 def op12_hard_negatives(spark, sf_dir: str) -> DataFrame:
     """Hard negatives of every hundredth vector; every seventh one counts as of the next label."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -136,5 +144,5 @@ def op13_whitening(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [op1_sentencepiece, op2_secrets, op3_simhash, op4_warc, op5_decontamination, op6_language, op7_toxicity,
-           op8_line_dedup, op9_kneser_ney, op10_neighbours, op12_hard_negatives, op13_whitening]
+           op8_line_dedup, op9_kneser_ney, op10_neighbours, op11_chat, op12_hard_negatives, op13_whitening]
 ORACLES: dict[str, str] = {"op4_warc": OP4_SQL, "op12_hard_negatives": OP12_SQL}
