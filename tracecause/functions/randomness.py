@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TWO_POW_32 = 4294967296.0
+TWO_POW_52 = 4503599627370496.0
 TWO_POW_53 = 9007199254740992.0
 
 
@@ -31,8 +31,8 @@ def uniform(row_id: Column, label, replicate=0, seed=0, method: str = "md5") ->
     parts = [_col(row_id).cast("string"), _col(label).cast("string"), _col(replicate).cast("string"),
              _col(seed).cast("string")]
     if method == "md5":
-        head = F.substring(F.md5(F.concat_ws(":", *parts).cast("binary")), 1, 8)
-        return F.conv(head, 16, 10).cast("double") / F.lit(TWO_POW_32)
+        head = F.substring(F.md5(F.concat_ws(":", *parts).cast("binary")), 1, 13)
+        return F.conv(head, 16, 10).cast("double") / F.lit(TWO_POW_52)
     if method == "xxhash64":
         return F.xxhash64(*parts).bitwiseAND(F.lit((1 << 53) - 1)).cast("double") / F.lit(TWO_POW_53)
     raise ValueError(f"unknown hash method {method!r}")
@@ -45,8 +45,26 @@ def uniform_values(n: int, label: str, replicate=0, seed=0) -> np.ndarray:
 
 def keyed_uniform_values(keys, label: str, replicate=0, seed=0) -> np.ndarray:
     """The md5 numbers of :func:`uniform` for given keys."""
-    heads = (hashlib.md5(f"{k}:{label}:{replicate}:{seed}".encode()).hexdigest()[:8] for k in keys)
-    return np.fromiter((int(h, 16) for h in heads), dtype=np.float64, count=len(keys)) / TWO_POW_32
+    return uniform_matrix([str(k).encode() for k in keys], [f":{label}:{replicate}:{seed}".encode()])[0]
+
+
+def uniform_matrix(keys: list[bytes], tails: list[bytes]) -> np.ndarray:
+    """Tails x keys: the md5 numbers of :func:`uniform` where key and tail together are the hashed text."""
+    md5 = hashlib.md5
+    heads = b"".join([md5(k + t).digest()[:8] for t in tails for k in keys])
+    return (np.frombuffer(heads, ">u8") >> np.uint64(12)).astype(np.float64).reshape(len(tails), len(keys)) / TWO_POW_52
+
+
+def mixed_matrix(hashes: np.ndarray, replicates: int) -> np.ndarray:
+    """Replicates x rows: uniform numbers from one 64-bit hash per row, a few array steps per replicate (splitmix64)."""
+    out = np.empty((replicates, len(hashes)))
+    for r in range(replicates):
+        with np.errstate(over="ignore"):
+            z = hashes.view(np.uint64) + np.uint64((r + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+            z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out[r] = ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / TWO_POW_53
+    return out
 
 
 def normal_from(u1: Column, u2: Column) -> Column:

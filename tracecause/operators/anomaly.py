@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from tracecause.functions.randomness import double_array
 from tracecause.operators.frames import complete
-from tracecause.operators.mechanisms import CausalModel, draw_values
+from tracecause.operators.mechanisms import CausalModel, draw_values, prefetch
 from tracecause.operators.shapley import CoalitionPlan, coalition_plan, unpivot_players
 
 REFERENCE_DRAWS = 1000
@@ -131,7 +131,7 @@ def linear_case(model: CausalModel, target: str, ref: Reference, plan: Coalition
             "intercepts": np.array([model[n].intercept for n in nodes]),
             "weighted": np.column_stack([np.broadcast_to(noise[n], (draws,)) for n in nodes]) * weight,
             "inside": np.array([[mask >> j & 1 for j in range(len(nodes))] for mask in plan.masks], dtype=bool),
-            "factors": plan.factors}
+            "factors": plan.factors, "draws": draws}
 
 
 def share_function():
@@ -167,40 +167,32 @@ def share_function():
     return prepare, shares
 
 
-def linear_scores(df: DataFrame, case: dict, keep, nodes) -> DataFrame:
-    """``(keep..., __p0..)``: attribute rows Arrow batch by Arrow batch; the rows never move."""
-    names = [f"__p{j}" for j in range(len(nodes))]
-    keep, nodes = list(keep), list(nodes)
-    schema = T.StructType([df.schema[k] for k in keep] + [T.StructField(n, T.DoubleType()) for n in names])
-    prepare, shares = share_function()
-
-    def attribute(batches):
-        sums = None
-        for batch in batches:
-            sums = prepare(case) if sums is None else sums
-            found = pd.DataFrame(shares(case, sums, batch[nodes].to_numpy(float)), columns=names)
-            yield pd.concat([batch[keep].reset_index(drop=True), found], axis=1)
-
-    return df.select(*keep, *[F.col(n) for n in nodes if n not in keep]).mapInPandas(attribute, schema)
+PREPARED = 1 << 28  # bytes of sorted sums that a task keeps from batch to batch
 
 
-def linear_intervals(df: DataFrame, cases: Mapping[int, dict], keep, nodes, level: float) -> DataFrame:
-    """``(keep..., node, median, lo, hi)`` over several fits of the same graph.
+def case_intervals(df: DataFrame, cases: Mapping[int, dict], keep, nodes, level: float, function) -> DataFrame:
+    """``(keep..., node, median, lo, hi)`` over several fits of the same graph; ``function`` is one of this module's pairs.
 
     A batch meets one fit after the other and gives quantiles over them, so neither copies of rows nor
-    scores per replicate ever leave the task, and only one fit's sums are held at a time.
+    scores per replicate ever leave the task. What a fit needs is prepared once per task, or once per batch where that of
+    all fits is larger than ``PREPARED``.
     """
     keep, nodes = list(keep), list(nodes)
     fields = [T.StructField("node", T.StringType())] + [T.StructField(n, T.DoubleType()) for n in ("median", "lo", "hi")]
     schema = T.StructType([df.schema[k] for k in keep] + fields)
-    prepare, shares = share_function()
+    prepare, shares = function
     points = [0.5, (1.0 - level) / 2.0, 1.0 - (1.0 - level) / 2.0]
     order = [cases[r] for r in sorted(cases)]
+    held = sum(c["inside"].shape[0] * c["draws"] * 8 for c in order) <= PREPARED
 
     def attribute(batches):
+        ready = None
         for batch in batches:
+            if held and ready is None:
+                ready = [prepare(c) for c in order]
             x = batch[nodes].to_numpy(float)
-            found = np.quantile(np.stack([shares(c, prepare(c), x) for c in order]), points, axis=0)
+            each = [shares(c, ready[i] if held else prepare(c), x) for i, c in enumerate(order)]
+            found = np.quantile(np.stack(each), points, axis=0)
             for j, n in enumerate(nodes):
                 out = batch[keep].reset_index(drop=True)
                 out["node"] = n
@@ -214,82 +206,105 @@ def linear_intervals(df: DataFrame, cases: Mapping[int, dict], keep, nodes, leve
 CELLS = 1 << 21  # numbers per node that a task evaluates at a time
 
 
-def general_scores(df: DataFrame, model: CausalModel, target: str, ref: Reference, plan: CoalitionPlan, keep,
-                   draws: int, replicate, seed: int) -> DataFrame:
-    """``(keep..., __p0..)`` for any mechanisms: each coalition is evaluated on an array of rows x draws.
+def general_case(model: CausalModel, target: str, ref: Reference, plan: CoalitionPlan, draws: int, replicate=0,
+                 seed: int = 0) -> dict:
+    """What a task needs to attribute rows of any model: mechanisms as plain lists, and the draws."""
+    nodes = list(plan.players)
+    drawn, _ = draw_values(model, nodes, draws, replicate, seed)
+    trees = {n: [(json.loads(t), c) for (t,), c in zip(model[n].terms, model[n].coef)] for n in nodes if model[n].kind == "gbt"}
+    return {"nodes": nodes, "target": target, "draws": draws, "reference": ref.values, "tie": ref.tie, "factors": plan.factors,
+            "random": {n: np.array(np.broadcast_to(drawn[n], (draws,))) for n in nodes}, "trees": trees,
+            "sums": {n: (model[n].intercept, [] if n in trees else list(zip(model[n].terms, model[n].coef))) for n in nodes},
+            "inside": np.array([[mask >> j & 1 for j in range(len(nodes))] for mask in plan.masks], dtype=bool)}
 
-    Rows stay in their Arrow batch, so they are neither copied nor shuffled and keys need not be unique.
-    """
-    nodes, keep = list(plan.players), list(keep)
+
+def general_function():
+    """The pair of :func:`share_function` for any mechanisms: each coalition is evaluated on an array of rows x draws."""
+    def prepare(case):
+        return None
+
+    def tree(t, at):
+        if not isinstance(t, list):
+            return t
+        name, threshold, low, high = t
+        return np.where(at[name] <= threshold, tree(low, at), tree(high, at))
+
+    def predict(case, n, at):
+        out = case["sums"][n][0]
+        for term, c in case["sums"][n][1]:
+            piece = at[term[0]]
+            for name in term[1:]:
+                piece = piece * at[name]
+            out = out + piece * c
+        for t, c in case["trees"].get(n, ()):
+            out = out + tree(t, at) * c
+        return out
+
+    def some(case, x):
+        nodes, draws, reference, tie = case["nodes"], case["draws"], case["reference"], case["tie"]
+        seen = {n: x[:, j][:, None] for j, n in enumerate(nodes)}
+        own = {n: seen[n] - predict(case, n, seen) for n in nodes}
+        y, m = seen[case["target"]], len(reference)
+        tail = np.minimum(m - np.searchsorted(reference, y - tie, side="left"), np.searchsorted(reference, y + tie, side="right"))
+        low = reference[np.minimum(tail, m - 1)] - tie
+        high = reference[np.maximum(m - tail - 1, 0)] + tie
+        out = np.zeros((len(x), len(nodes)))
+        for s, chosen in enumerate(case["inside"]):
+            if not chosen.any():
+                continue
+            at = {}
+            for n, is_random in zip(nodes, chosen):
+                at[n] = predict(case, n, at) + (case["random"][n][None, :] if is_random else own[n])
+            mixed = np.broadcast_to(at[case["target"]], (len(x), draws))
+            q = np.clip(((tail >= m) | (mixed < low) | (mixed > high)).mean(axis=1), 1.0 / (draws + 1), 1.0)
+            out -= np.log(q)[:, None] * case["factors"][s]
+        return out
+
+    step = CELLS
+
+    def shares(case, ready, x):
+        size = max(1, step // case["draws"])
+        return np.concatenate([some(case, x[i:i + size]) for i in range(0, len(x), size)] or [np.zeros((0, len(case["nodes"])))])
+
+    return prepare, shares
+
+
+def case_scores(df: DataFrame, case: dict, keep, nodes, function) -> DataFrame:
+    """``(keep..., __p0..)``: attribute rows Arrow batch by Arrow batch; the rows never move and keys need not be unique."""
     names = [f"__p{j}" for j in range(len(nodes))]
+    keep, nodes = list(keep), list(nodes)
     schema = T.StructType([df.schema[k] for k in keep] + [T.StructField(n, T.DoubleType()) for n in names])
-    drawn, _ = draw_values(model, nodes, draws, replicate, seed)
-    random = {n: np.array(np.broadcast_to(drawn[n], (draws,))) for n in nodes}
-    trees = {n: [(json.loads(t), c) for (t,), c in zip(model[n].terms, model[n].coef)] for n in nodes if model[n].kind == "gbt"}
-    sums = {n: (model[n].intercept, [] if n in trees else list(zip(model[n].terms, model[n].coef))) for n in nodes}
-    inside = [[mask >> j & 1 for j in range(len(nodes))] for mask in plan.masks]
-    factors, reference, tie, m = plan.factors, ref.values, ref.tie, ref.size
-
-    def attribute(batches):  # self-contained: workers need not import this package
-        def tree(t, at):
-            if not isinstance(t, list):
-                return t
-            name, threshold, low, high = t
-            return np.where(at[name] <= threshold, tree(low, at), tree(high, at))
-
-        def predict(n, at):
-            out = sums[n][0]
-            for term, c in sums[n][1]:
-                piece = at[term[0]]
-                for name in term[1:]:
-                    piece = piece * at[name]
-                out = out + piece * c
-            for t, c in trees.get(n, ()):
-                out = out + tree(t, at) * c
-            return out
-
-        def shares(rows):
-            seen = {n: rows[n].to_numpy(float)[:, None] for n in nodes}
-            own = {n: seen[n] - predict(n, seen) for n in nodes}
-            y = seen[target]
-            tail = np.minimum(m - np.searchsorted(reference, y - tie, side="left"), np.searchsorted(reference, y + tie, side="right"))
-            low = reference[np.minimum(tail, m - 1)] - tie
-            high = reference[np.maximum(m - tail - 1, 0)] + tie
-            out = np.zeros((len(rows), len(nodes)))
-            for s, chosen in enumerate(inside):
-                if not any(chosen):
-                    continue
-                at = {}
-                for n, is_random in zip(nodes, chosen):
-                    at[n] = predict(n, at) + (random[n][None, :] if is_random else own[n])
-                mixed = np.broadcast_to(at[target], (len(rows), draws))
-                q = np.clip(((tail >= m) | (mixed < low) | (mixed > high)).mean(axis=1), 1.0 / (draws + 1), 1.0)
-                out -= np.log(q)[:, None] * factors[s]
-            return out
-
-        step = max(1, CELLS // draws)
+    prepare, shares = function
+
+    def attribute(batches):
+        ready, fresh = None, True
         for batch in batches:
-            for start in range(0, len(batch), step):
-                part = batch.iloc[start:start + step].reset_index(drop=True)
-                yield pd.concat([part[keep], pd.DataFrame(shares(part), columns=names)], axis=1)
+            if fresh:
+                ready, fresh = prepare(case), False
+            found = pd.DataFrame(shares(case, ready, batch[nodes].to_numpy(float)), columns=names)
+            yield pd.concat([batch[keep].reset_index(drop=True), found], axis=1)
 
     return df.select(*keep, *[F.col(n) for n in nodes if n not in keep]).mapInPandas(attribute, schema)
 
 
+def case_of(model: CausalModel, target: str, plan: CoalitionPlan, draws: int, replicate, seed: int, linear: bool) -> dict:
+    ref = reference_draws(model, target, draws, replicate, seed)
+    return (linear_case if linear else general_case)(model, target, ref, plan, draws, replicate, seed)
+
+
 def attribute_wide(model: CausalModel, rows: DataFrame, target: str, keep, draws: int = REFERENCE_DRAWS,
                    replicate=0, seed: int = 0, orderings: int | None = None, linear: bool | None = None):
     """``(DataFrame keep + __p0.., nodes)``: the shares of each row side by side."""
     nodes = model.graph.closure(target)
     keep = [keep] if isinstance(keep, str) else list(keep)
-    ref = reference_draws(model, target, draws, replicate, seed)
     plan = coalition_plan(nodes, orderings, seed)
     clean = rows.filter(complete(nodes)).select(*keep, *[F.col(n).cast("double").alias(n) for n in nodes
                                                             if n not in keep])
     if linear is None:
         linear = model.is_linear(nodes)
-    if not linear:
-        return general_scores(clean, model, target, ref, plan, keep, draws, replicate, seed), nodes
-    return linear_scores(clean, linear_case(model, target, ref, plan, draws, replicate, seed), keep, nodes), nodes
+    prefetch([(model, nodes, draws, label, seed) for label in (replicate, f"ref{replicate}")])
+    case = case_of(model, target, plan, draws, replicate, seed, linear)
+    return case_scores(clean, case, keep, nodes, share_function() if linear else general_function()), nodes
 
 
 def attribute_anomalies(model: CausalModel, rows: DataFrame, target: str, keep, draws: int = REFERENCE_DRAWS,

@@ -19,8 +19,8 @@ from tracecause.functions.statistics import f_tail_value, normal_bin, normal_edg
 from tracecause.operators.frames import complete
 from tracecause.operators.graph import CausalGraph
 from tracecause.operators.mechanisms import (CausalModel, collect_moments, default_kinds, design_terms, draw_values,
-                                             fit_trees, halfnorm_params, solve, solve_standard, squared_error)
-from tracecause.operators.noise import NoiseTable, ranked
+                                             fit_trees, halfnorm_params, noise_table, prefetch, solve, solve_standard,
+                                             squared_error)
 from tracecause.operators.shapley import CoalitionPlan, coalition_plan
 
 Summary = Callable[[Column], Column]
@@ -50,9 +50,27 @@ def custom(function) -> Summary:
     return F.pandas_udf(call, "double")
 
 
+def compared(function, before: Mapping[int, np.ndarray]) -> Summary:
+    """A summary that compares draws with those of the same replicate in ``before``; needs a column ``replicate``."""
+    def call(values, replicate) -> float:
+        return float(function(before[int(replicate.iloc[0])], values.to_numpy()))
+
+    call.__annotations__ = {"values": pd.Series, "replicate": pd.Series, "return": float}
+    return lambda x: F.pandas_udf(call, "double")(x, F.col("replicate"))
+
+
 KL_BINS = 16
 
 
+def kl_value(before: np.ndarray, after: np.ndarray) -> float:
+    """What ``kl_values`` computes, of two arrays."""
+    mean_old, sd_old = float(before.mean()), float(before.std(ddof=1))
+    edges = [mean_old + sd_old * e for e in normal_edges(KL_BINS)] if sd_old > 0 else [np.inf] * (KL_BINS - 1)
+    old, new = (np.bincount(np.searchsorted(edges, x, side="right"), minlength=KL_BINS) + 0.5 for x in (before, after))
+    new = new / new.sum()
+    return float((new * np.log(new / (old / old.sum()))).sum())
+
+
 def kl(x: Column) -> Column:
     """Marks the Kullback-Leibler divergence of a mix from the all-old target; see ``kl_values``."""
     raise TypeError("kl compares two samples and is handled by coalition_values")
@@ -97,7 +115,6 @@ def fit_periods(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, tar
     rows = both.filter(complete(nodes))
     designs = [(n, design_terms(kinds[n], graph.parents(n))) for n in nodes]
     groups, _, _ = collect_moments(both, nodes, designs, ["side"])
-    tables = side_tables(*ranked(rows, F.col("__key"), nodes, seed, ["side"])) if pool else {}
     models = []
     for side in (0, 1):
         if (side,) not in groups:
@@ -108,7 +125,8 @@ def fit_periods(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, tar
                       else solve(m, n, kinds[n], graph.parents(n)) for n in nodes}
         for n, params in halfnorm_params(part, [n for n in nodes if kinds[n] == "halfnorm"]).items():
             mechanisms[n] = replace(mechanisms[n], params={**mechanisms[n].params, **params})
-        models.append(CausalModel(graph, mechanisms, int(m.n)).with_table(tables.get(side)))
+        table = noise_table(part, F.col("__key"), nodes, seed, int(m.n)) if pool else None
+        models.append(CausalModel(graph, mechanisms, int(m.n)).with_table(table))
     if test_change:
         p = change_p_values(groups[(0,)], groups[(1,)], graph, kinds)
         kept = {n: models[0][n] for n in nodes if p[n] > level}
@@ -116,12 +134,8 @@ def fit_periods(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, tar
     return models[0], models[1]
 
 
-def side_tables(frame: DataFrame, sizes: Mapping[tuple, int]) -> dict[int, NoiseTable]:
-    return {s: NoiseTable(frame.filter(F.col("side") == s).drop("side"), n) for (s,), n in sizes.items()}
-
-
 def change_p_values(old, new, graph: CausalGraph, kinds: Mapping[str, str]) -> dict[str, float]:
-    """Has a node's mechanism changed? The smaller p-value of two tests on the sums of both periods.
+    """Has a node's mechanism changed? Twice the smaller p-value of two tests on the sums of both periods.
 
     Chow test: do two fits beat one? Variance ratio: is the spread of the noise (of a root: of its values) another?
     """
@@ -145,7 +159,7 @@ def change_p_values(old, new, graph: CausalGraph, kinds: Mapping[str, str]) -> d
             else:
                 ratio = (rss[1] / free[1]) / (rss[0] / free[0])
                 spread = 2.0 * min(f_tail_value(ratio, free[1], free[0]), f_tail_value(1.0 / ratio, free[0], free[1]))
-                out[n] = min(chow, spread)
+                out[n] = min(1.0, 2.0 * min(chow, spread))
     return out
 
 
@@ -159,26 +173,34 @@ def mixed_values(df: DataFrame, plan: CoalitionPlan, old: CausalModel, new: Caus
     return df
 
 
+def drawn_noise(spark: SparkSession, pairs: Mapping, nodes, draws: int, seed: int) -> DataFrame:
+    """``(replicate, draw, node__side...)`` for ``{replicate: (old, new)}``: as many rows as draws were asked for.
+
+    Both sides use the same uniforms. The rows behind the draws come in one job.
+    """
+    prefetch([(m, nodes, draws, r, seed) for r, pair in pairs.items() for m in pair])
+    parts = [pd.DataFrame({"replicate": r, "draw": np.arange(draws), **{
+        f"{n}__{side}": np.broadcast_to(m[n].noise_values(draws, r, seed), (draws,)) for side, m in enumerate(pair) for n in nodes}})
+        for r, pair in pairs.items()]
+    return spark.createDataFrame(pd.concat(parts, ignore_index=True))
+
+
 def coalition_values(spark: SparkSession, plan: CoalitionPlan, old: CausalModel, new: CausalModel, target: str,
-                     summary: Summary, draws: int, replicate=0, seed: int = 0, replicates: int | None = None) -> DataFrame:
+                     summary: Summary, draws: int, replicate=0, seed: int = 0, pairs: Mapping | None = None) -> DataFrame:
     """``(slot, coalition, value)``: the summary of the target under each mix of mechanisms.
 
-    With ``replicates`` all of them are drawn in one plan and a ``replicate`` column leads the result.
+    With ``pairs``, models by replicate whose numbers ``old`` and ``new`` look up by a column ``replicate``, all of them
+    are drawn in one plan and that column leads the result.
     """
     if draws == 0:
         base = plan.explode(spark.range(1).select(F.lit(0.0).alias("__zero")))
         means = {0: old, 1: new}
         mixed = mixed_values(base, plan, old, new, lambda n, side: F.lit(means[side][n].noise_mean))
         return mixed.select("slot", "coalition", F.col(target).alias("value"))
-    base = spark.range(draws).select(F.col("id").alias("draw"))
-    by = []
-    if replicates is not None:
-        if summary is kl:
-            raise ValueError("kl is placed by one old model; stack its replicates with confidence_intervals")
-        base = base.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-        by, replicate = ["replicate"], F.col("replicate")
-    for side, model in enumerate((old, new)):
-        base = model.with_draws(base, F.col("draw"), plan.players, replicate, seed, suffix=f"__{side}")
+    if pairs is not None and summary is kl:
+        raise ValueError("kl is placed by one old model; stack its replicates with confidence_intervals")
+    by = [] if pairs is None else ["replicate"]
+    base = drawn_noise(spark, {replicate: (old, new)} if pairs is None else pairs, plan.players, draws, seed)
     mixed = mixed_values(plan.explode(base), plan, old, new, lambda n, side: F.col(f"{n}__{side}"))
     if summary is kl:
         y = draw_values(old, plan.players, draws, replicate, seed)[1][target]

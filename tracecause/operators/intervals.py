@@ -1,8 +1,9 @@
 """Confidence intervals: one ``replicate`` column instead of a loop over fits.
 
-Resampling is a weight per row and replicate that depends on the row key. All replicates are fitted from
-one weighted pass; their coefficients then sit in array literals indexed by the replicate, so the query
-itself is planned once.
+Resampling is a weight per row and replicate that depends on the row key. All replicates are fitted from one matrix product
+per task (:mod:`tracecause.operators.resampling`); their coefficients then sit in array literals indexed by the replicate,
+so a query itself is planned once. Rows are never copied: what a replicate draws is resolved by weights made again where
+the rows are.
 
 Modes: ``refit`` and ``resample`` draw rows with replacement (Poisson weights) and fit again, ``subsample``
 keeps a share of the rows, ``rerun`` keeps the model and draws new noise. Widths differ between modes, so
@@ -16,25 +17,23 @@ from dataclasses import replace
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracecause.functions.randomness import double_array
-from tracecause.operators.anomaly import (REFERENCE_DRAWS, attribute_anomalies, linear_case, linear_intervals,
-                                          reference_draws)
-from tracecause.operators.change import (change_scores, coalition_values, fit_periods, kl, mean, mixed_values,
-                                         stack_sides)
+from tracecause.operators.anomaly import REFERENCE_DRAWS, case_intervals, case_of, general_function, share_function
+from tracecause.operators.change import (Summary, change_p_values, coalition_values, compared, fit_periods, kl, kl_value, mean,
+                                         mixed_values, stack_sides)
 from tracecause.operators.frames import complete
 from tracecause.operators.graph import CausalGraph
-from tracecause.operators.mechanisms import (CausalModel, Mechanism, default_kinds, design_terms, moments,
+from tracecause.operators.mechanisms import (CausalModel, Mechanism, Moments, Scale, Term, default_kinds, design_terms, draw_values,
                                              needed_products, prefetch, profile, solve)
-from tracecause.operators.noise import NoiseTable, ranked
-from tracecause.operators.sampling import bootstrap_weights, subsample_weights
+from tracecause.operators.noise import NoiseTable, RowOrder, bucket_count, bucket_of, replicate_draws, row_hash
+from tracecause.operators.resampling import Weights, replicate_sums
 from tracecause.operators.shapley import coalition_plan
-from tracecause.operators.simulation import intervene
+from tracecause.operators.simulation import moved_nodes, with_moves
 
 RESAMPLES = 20
-MODES = ("refit", "resample", "subsample", "rerun")
 
 
 def interval_table(scores: DataFrame, by, mode: str, level: float = 0.95, score: str = "score") -> DataFrame:
@@ -53,71 +52,74 @@ def confidence_intervals(query: Callable[[int], DataFrame], replicates: int = RE
     return interval_table(reduce(DataFrame.unionByName, parts), list(by), mode, level, score)
 
 
-def weight_rows(df: DataFrame, key: Column, mode: str, replicates: int, frac: float, seed: int,
-                method: str = "md5") -> DataFrame:
-    if replicates < 1:
-        raise ValueError("at least one resample")
-    if mode in ("refit", "resample"):
-        return bootstrap_weights(df, key, replicates, seed, method)
-    if mode == "subsample":
-        return subsample_weights(df, key, frac, replicates, seed, method).filter(F.col("weight") > 0)
-    raise ValueError(f"mode {mode!r} has no row weights")
+def product_terms(products: list[Term], scale: Scale) -> Callable[[dict[str, np.ndarray]], np.ndarray]:
+    """Columns as they are to products of standardised columns, rows x products."""
+    names = sorted({n for p in products for n in p})
 
+    def terms(x: dict[str, np.ndarray]) -> np.ndarray:
+        z = {n: (x[n] - scale.mean[n]) / scale.sd[n] for n in names}
+        out = np.ones((len(next(iter(x.values()))), len(products)))
+        for j, p in enumerate(products):
+            for n in p:
+                out[:, j] *= z[n]
+        return out
 
-def replicate_tables(weighted: DataFrame, nodes, by: list[str], seed: int) -> dict[tuple, NoiseTable]:
-    """Per ``(by..., replicate)`` the rows a replicate holds, each as often as its weight says, by position."""
-    frame, sizes = ranked(weighted.filter(F.col("weight") > 0), F.col("__k"), nodes, seed, [*by, "replicate"], "weight")
-    out = {}
-    for own in sorted({g[:-1] for g in sizes}):
-        mine = frame
-        for name, value in zip(by, own, strict=True):
-            mine = mine.filter(F.col(name) == value).drop(name)
-        count = {g[-1]: n for g, n in sizes.items() if g[:-1] == own}
-        whole = NoiseTable(mine, [count.get(r, 0) for r in range(max(count) + 1)], "replicate")
-        for r, n in count.items():
-            out[(*own, r)] = NoiseTable(mine.filter(F.col("replicate") == r).drop("replicate"), n, whole=whole)
-    return out
-
-
-def replicate_models(df: DataFrame, graph: CausalGraph, key: Column, nodes, mode: str = "refit",
-                     replicates: int = RESAMPLES, frac: float = 0.6, kinds: Mapping[str, str] | None = None,
-                     side: str | None = None, pool: bool = True, seed: int = 0, method: str = "md5") -> dict:
-    """``{replicate: model}``, or ``{(side, replicate): model}``, from one weighted pass over the rows.
+    return terms
 
-    A row costs one hash per replicate; ``method="xxhash64"`` makes that the cheaper one.
 
-    Half-normal roots are given by their first two weighted moments and the observed minimum.
-    """
+def replicate_fits(df: DataFrame, graph: CausalGraph, key: Column, nodes, mode: str = "refit", replicates: int = RESAMPLES,
+                   frac: float = 0.6, kinds: Mapping[str, str] | None = None, side: str | None = None, pool: bool = True,
+                   seed: int = 0, method: str = "md5") -> tuple[dict, dict[tuple, Moments]]:
+    """Models as :func:`replicate_models` returns them, and the sums behind them."""
     nodes = list(nodes)
     kinds = {n: k for n, k in default_kinds(graph, kinds).items() if n in nodes}
     if "gbt" in kinds.values():
         raise ValueError("trees are not fitted from sums; use confidence_intervals over a query that fits them")
+    weights = Weights(mode, replicates, frac, seed, method)
     by = [side] if side else []
     rows = df.filter(complete(nodes)).select(*by, key.cast("string").alias("__k"),
                                              *[F.col(n).cast("double").alias(n) for n in nodes])
-    scale, _, _ = profile(rows, nodes)
-    weighted = weight_rows(rows, F.col("__k"), mode, replicates, frac, seed, method)
-    designs = [(n, design_terms(kinds[n], graph.parents(n))) for n in nodes]
-    groups = moments(weighted, scale, needed_products(designs), by + ["replicate"], F.col("weight"))
+    scale, n_ok, _ = profile(rows, nodes)
+    products = needed_products([(n, design_terms(kinds[n], graph.parents(n))) for n in nodes])
     half = [n for n in nodes if kinds[n] == "halfnorm"]
-    lows = {}
-    if half:
-        drawn = weighted.filter(F.col("weight") > 0).groupBy(*by, "replicate").agg(*[F.min(n).alias(n) for n in half])
-        lows = {tuple(r[b] for b in by + ["replicate"]): r for r in drawn.collect()}
-    tables = replicate_tables(weighted, nodes, by, seed) if pool else {}
-    models = {}
-    for group, m in groups.items():
-        if m.n < 2:
-            raise ValueError("too few rows to resample")
-        found = {n: solve(m, n, kinds[n], graph.parents(n)) for n in nodes}
-        for n in half:
-            low = lows[group][n]
-            size = float(np.sqrt(max(found[n].noise_var * (m.n - 1) / m.n, 0.0) + (found[n].noise_mean - low) ** 2))
-            found[n] = replace(found[n], params={**found[n].params, "loc": low, "scale": size,
-                                                 "noise_mean": low + size * float(np.sqrt(2 / np.pi)),
-                                                 "noise_var": size ** 2 * (1 - 2 / np.pi)})
-        models[group if side else group[-1]] = CausalModel(graph, found, int(m.n)).with_table(tables.get(group))
-    return models
+    buckets = bucket_count(n_ok, replicates) if pool else 0
+    bucket = bucket_of(row_hash(F.col("__k"), seed), buckets) if pool else None
+    sums = replicate_sums(rows, by, weights, F.col("__k"), nodes, product_terms(products, scale), len(products), half, bucket, buckets)
+    models, moments = {}, {}
+    for group, part in sums.items():
+        mine = rows.filter(F.col(side) == group[0]).drop(side) if side else rows
+        order = RowOrder(mine, nodes, seed, n_ok, weights, part.totals) if pool else None
+        for r in range(replicates):
+            m = Moments(scale, dict(zip(products, part.sums[r].tolist())))
+            if m.n < 2:
+                raise ValueError("too few rows to resample")
+            found = {n: solve(m, n, kinds[n], graph.parents(n)) for n in nodes}
+            for j, n in enumerate(half):
+                low = float(part.lows[r, j])
+                size = float(np.sqrt(max(found[n].noise_var * (m.n - 1) / m.n, 0.0) + (found[n].noise_mean - low) ** 2))
+                found[n] = replace(found[n], params={**found[n].params, "loc": low, "scale": size,
+                                                     "noise_mean": low + size * float(np.sqrt(2 / np.pi)),
+                                                     "noise_var": size ** 2 * (1 - 2 / np.pi)})
+            table = NoiseTable(order, r) if pool else None
+            name = (*group, r) if side else r
+            models[name] = CausalModel(graph, found, int(m.n)).with_table(table)
+            moments[(*group, r)] = m
+    return models, moments
+
+
+def replicate_models(df: DataFrame, graph: CausalGraph, key: Column, nodes, mode: str = "refit",
+                     replicates: int = RESAMPLES, frac: float = 0.6, kinds: Mapping[str, str] | None = None,
+                     side: str | None = None, pool: bool = True, seed: int = 0, method: str = "md5") -> dict:
+    """``{replicate: model}``, or ``{(side, replicate): model}``, from one weighted pass over the rows.
+
+    A row costs one hash per replicate, or one in all with ``method="xxhash64"``.
+
+    Half-normal roots are given by their first two weighted moments and the observed minimum.
+    """
+    return replicate_fits(df, graph, key, nodes, mode, replicates, frac, kinds, side, pool, seed, method)[0]
+
+
+LOOKED_UP = ("noise_mean", "noise_var", "total_var", "mean", "loc", "scale")
 
 
 def indexed_model(models: Sequence[CausalModel], nodes, index: Column) -> CausalModel:
@@ -128,66 +130,112 @@ def indexed_model(models: Sequence[CausalModel], nodes, index: Column) -> Causal
     out = {}
     for n in nodes:
         each = [m[n] for m in models]
-        exact = all(m.params.get("noise_var", 0.0) == 0.0 for m in each)
-        table = each[0].noise
-        params = {"noise_var": 0.0 if exact else 1.0, "noise_mean": lookup([m.params.get("noise_mean", 0.0) for m in each])}
-        for name in ("loc", "scale"):
-            if name in each[0].params:
-                params[name] = lookup([m.params[name] for m in each])
+        params = {name: lookup([m.params[name] for m in each]) for name in LOOKED_UP if all(name in m.params for m in each)}
+        params["exact"] = float(all(m.is_exact for m in each))
         out[n] = Mechanism(n, each[0].kind, each[0].parents, each[0].terms,
                            tuple(lookup([m.coef[i] for m in each]) for i in range(len(each[0].coef))),
-                           lookup([m.intercept for m in each]), table and (table.whole or table), params)
+                           lookup([m.intercept for m in each]), each[0].noise, params)
     return CausalModel(models[0].graph, out)
 
 
+def model_intervals(df: DataFrame, graph: CausalGraph, key: Column, query: Callable[[CausalModel, DataFrame], DataFrame],
+                    mode: str = "refit", replicates: int = RESAMPLES, by=("node",), level: float = 0.95, frac: float = 0.6,
+                    kinds: Mapping[str, str] | None = None, nodes=None, score: str = "score", seed: int = 0,
+                    method: str = "md5") -> DataFrame:
+    """Intervals of any query of a fitted model, the model being fitted anew for every replicate.
+
+    ``query(model, frame)`` gets one model for all replicates: its numbers (coefficients, intercepts, moments of noise and of
+    nodes) are Columns looked up by the column ``replicate`` of ``frame``, which has a row per replicate. It returns
+    ``(replicate, by..., score)``, and is planned once however many replicates there are.
+    """
+    nodes = list(nodes or graph.order)
+    models = replicate_models(df, graph, key, nodes, mode, replicates, frac, kinds, None, False, seed, method)
+    model = indexed_model([models[r] for r in range(replicates)], nodes, F.col("replicate"))
+    frame = df.sparkSession.range(replicates).select(F.col("id").cast("int").alias("replicate"))
+    return interval_table(query(model, frame), list(by), mode, level, score)
+
+
+def influence_intervals(df: DataFrame, graph: CausalGraph, target: str, key: Column, **options) -> DataFrame:
+    """Intervals of intrinsic influence on a target whose ancestors are linear."""
+    nodes = graph.closure(target)
+
+    def query(model: CausalModel, frame: DataFrame) -> DataFrame:
+        _, effect = model.total_effects(target)
+        scores = [F.struct(F.lit(n).alias("node"), (effect[n] * effect[n] * model[n].noise_var).alias("score")) for n in nodes]
+        return frame.select("replicate", F.inline(F.array(*scores)))
+
+    return model_intervals(df, graph, key, query, nodes=nodes, **options)
+
+
+def arrow_intervals(df: DataFrame, graph: CausalGraph, target: str, key: Column, **options) -> DataFrame:
+    """Intervals of the strength of the arrows into a linear target."""
+    def query(model: CausalModel, frame: DataFrame) -> DataFrame:
+        m = model[target]
+        if not m.is_linear:
+            raise ValueError("intervals of arrow strengths are those of linear mechanisms")
+        arrows = [F.struct(F.lit(term[0]).alias("parent"), F.lit(target).alias("child"),
+                           (c * c * model[term[0]].params["total_var"]).alias("score")) for term, c in zip(m.terms, m.coef)]
+        return frame.select("replicate", F.inline(F.array(*arrows)))
+
+    return model_intervals(df, graph, key, query, by=("parent", "child"), nodes=graph.closure(target), **options)
+
+
 def change_intervals(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, target: str, key: Column,
                      mode: str = "refit", replicates: int = RESAMPLES, level: float = 0.95, frac: float = 0.6,
-                     summary=mean, draws: int | None = None, kinds: Mapping[str, str] | None = None,
-                     pool: bool = True, seed: int = 0, method: str = "md5") -> DataFrame:
-    """Intervals of :func:`tracecause.operators.change.distribution_change`."""
-    return interval_table(change_replicates(old, new, graph, target, key, mode, replicates, frac, summary, draws,
-                                            kinds, pool, seed, method), ["node"], mode, level)
+                     summary: Summary = mean, draws: int | None = None, kinds: Mapping[str, str] | None = None,
+                     pool: bool = True, seed: int = 0, method: str = "md5", test_change: bool = False,
+                     test_level: float = 0.05, difference=None) -> DataFrame:
+    """Intervals of :func:`tracecause.operators.change.distribution_change`, with its change test and its differences."""
+    return interval_table(change_replicates(old, new, graph, target, key, mode, replicates, frac, summary, draws, kinds, pool,
+                                            seed, method, test_change, test_level, difference), ["node"], mode, level)
 
 
 def change_replicates(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, target: str, key: Column,
-                      mode: str = "refit", replicates: int = RESAMPLES, frac: float = 0.6, summary=mean,
+                      mode: str = "refit", replicates: int = RESAMPLES, frac: float = 0.6, summary: Summary = mean,
                       draws: int | None = None, kinds: Mapping[str, str] | None = None, pool: bool = True,
-                      seed: int = 0, method: str = "md5") -> DataFrame:
-    """``(replicate, node, score)``: all replicates in one plan."""
+                      seed: int = 0, method: str = "md5", test_change: bool = False, test_level: float = 0.05,
+                      difference=None) -> DataFrame:
+    """``(replicate, node, score)``: all replicates in one plan.
+
+    With ``test_change`` every replicate tests for itself which mechanisms changed. ``difference`` compares, within a
+    replicate, the target's draws under the old mechanisms with those under a mix.
+    """
     spark = old.sparkSession
     nodes = graph.closure(target)
-    all_kinds = default_kinds(graph, kinds)
-    linear = summary is mean and all(all_kinds[n] not in ("poly", "gbt") for n in nodes)
+    all_kinds = {n: k for n, k in default_kinds(graph, kinds).items() if n in nodes}
+    linear = summary is mean and difference is None and all(k not in ("poly", "gbt") for k in all_kinds.values())
     index = F.col("replicate")
     plan = coalition_plan(nodes, seed=seed)
     closed = linear and draws in (None, 0) and mode != "rerun"
     draws = draws or 2000
     if mode == "rerun":
-        pair = fit_periods(old, new, graph, target, kinds, key, pool, seed)
-        if summary is not kl:
-            drawn = coalition_values(spark, plan, *pair, target, summary, draws, 0, seed, replicates)
-            return plan.shares(drawn, F.col("value"), ["replicate"])
-        models = {(s, r): pair[s] for s in (0, 1) for r in range(replicates)}
+        pair = fit_periods(old, new, graph, target, kinds, key, pool, seed, test_change, test_level)
+        pairs = dict.fromkeys(range(replicates), pair)
+        sides = pair
     else:
-        models = replicate_models(stack_sides(old, new, nodes, key), graph, F.col("__key"), nodes, mode, replicates, frac, kinds, "side",
-                                  pool and not closed, seed, method)
-    each = [[models[(s, r)] for r in range(replicates)] for s in (0, 1)]
-    if summary is kl:
-        parts = [change_scores(spark, each[0][r], each[1][r], target, summary, draws, r, seed)
-                 .withColumn("replicate", F.lit(r)) for r in range(replicates)]
-        return reduce(DataFrame.unionByName, parts)
-    if not closed:
-        drawn = coalition_values(spark, plan, *(indexed_model(m, nodes, index) for m in each), target, summary, draws, 0,
-                                 seed, replicates)
-        return plan.shares(drawn, F.col("value"), ["replicate"])
-    sides = [indexed_model(m, nodes, index) for m in each]
-    base = plan.explode(spark.range(replicates).select(F.col("id").cast("int").alias("replicate")))
-    mixed = mixed_values(base, plan, *sides, lambda n, s: sides[s][n].noise_mean if sides[s][n].is_root else F.lit(0.0))
-    return plan.shares(mixed, F.col(target), ["replicate"])
+        models, sums = replicate_fits(stack_sides(old, new, nodes, key), graph, F.col("__key"), nodes, mode, replicates, frac, kinds,
+                                      "side", pool and not closed, seed, method)
+        if test_change:
+            for r in range(replicates):
+                p = change_p_values(sums[(0, r)], sums[(1, r)], graph, all_kinds)
+                kept = {n: models[(0, r)][n] for n in nodes if p[n] > test_level}
+                models[(1, r)] = replace(models[(1, r)], mechanisms={**models[(1, r)].mechanisms, **kept})
+        pairs = {r: (models[(0, r)], models[(1, r)]) for r in range(replicates)}
+        sides = [indexed_model([pairs[r][s] for r in range(replicates)], nodes, index) for s in (0, 1)]
+    if closed:
+        base = plan.explode(spark.range(replicates).select(F.col("id").cast("int").alias("replicate")))
+        mixed = mixed_values(base, plan, *sides, lambda n, s: sides[s][n].noise_mean if sides[s][n].is_root else F.lit(0.0))
+        return plan.shares(mixed, F.col(target), ["replicate"])
+    if summary is kl or difference is not None:
+        prefetch([(pair[0], nodes, draws, r, seed) for r, pair in pairs.items()])
+        before = {r: np.broadcast_to(draw_values(pair[0], nodes, draws, r, seed)[1][target], (draws,)) for r, pair in pairs.items()}
+        summary = compared(difference or kl_value, before)
+    drawn = coalition_values(spark, plan, *sides, target, summary, draws, 0, seed, pairs)
+    return plan.shares(drawn, F.col("value"), ["replicate"])
 
 
 def anomaly_models(train: DataFrame, graph: CausalGraph, target: str, key: Column, mode: str, replicates: int,
-                   frac: float, kinds, pool: int, seed: int, model: CausalModel | None, method: str) -> dict:
+                   frac: float, kinds, pool: bool, seed: int, model: CausalModel | None, method: str) -> dict:
     if mode == "rerun":
         if model is None:
             raise ValueError("mode 'rerun' needs the fitted model")
@@ -202,35 +250,43 @@ def anomaly_intervals(train: DataFrame, rows: DataFrame, graph: CausalGraph, tar
                       seed: int = 0, model: CausalModel | None = None, method: str = "md5") -> DataFrame:
     """``(keep..., node, median, lo, hi, mode, resamples)`` of each row's attribution under refitted models.
 
-    All-linear models are scored in one map over the rows; others one after the other.
+    One map over the rows scores them under all models, whatever their mechanisms.
     """
     nodes = graph.closure(target)
     keep = [keep] if isinstance(keep, str) else list(keep)
     models = anomaly_models(train, graph, target, key, mode, replicates, frac, kinds, pool, seed, model, method)
-    if not all(m.is_linear(nodes) for m in models.values()):
-        parts = [attribute_anomalies(models[r], rows, target, keep, draws, r, seed) for r in range(replicates)]
-        return interval_table(reduce(DataFrame.unionByName, parts), [*keep, "node"], mode, level)
+    linear = all(m.is_linear(nodes) for m in models.values())
     plan = coalition_plan(nodes, seed=seed)
     prefetch([(m, nodes, draws, label, seed) for r, m in models.items() for label in (r, f"ref{r}")])
-    cases = {r: linear_case(m, target, reference_draws(m, target, draws, r, seed), plan, draws, r, seed)
-             for r, m in models.items()}
+    cases = {r: case_of(m, target, plan, draws, r, seed, linear) for r, m in models.items()}
     clean = rows.filter(complete(nodes)).select(*keep, *[F.col(n).cast("double").alias(n) for n in nodes
                                                          if n not in keep])
-    return linear_intervals(clean, cases, keep, nodes, level).select(
+    return case_intervals(clean, cases, keep, nodes, level, share_function() if linear else general_function()).select(
         "*", F.lit(mode).alias("mode"), F.lit(replicates).alias("resamples"))
 
 
 def intervention_intervals(df: DataFrame, graph: CausalGraph, key: Column, interventions, mode: str = "refit",
                            replicates: int = RESAMPLES, level: float = 0.95, frac: float = 0.6,
                            kinds: Mapping[str, str] | None = None, pool: bool = True, seed: int = 0) -> DataFrame:
-    """Interval of every node's mean under soft interventions, models refitted per replicate."""
+    """Interval of every node's mean under soft interventions, models refitted per replicate.
+
+    The noise of all rows and replicates is resolved in one map over the buckets of the rows; keys must identify a row.
+    """
     nodes = graph.order
     found = replicate_models(df, graph, key, nodes, mode, replicates, frac, kinds, None, pool, seed)
     models = [found[r] for r in range(replicates)]
-    copies = df.filter(complete(nodes)).withColumn(
-        "replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    index = F.col("replicate")
-    moved = intervene(indexed_model(models, nodes, index), copies, key, interventions, "fresh", index, seed)
+    rows = df.filter(complete(nodes)).withColumn("__key", key.cast("string"))
+    model = indexed_model(models, nodes, F.col("replicate"))
+    fresh = moved_nodes(model, interventions)
+    drawn = [n for n in fresh if model[n].is_drawn]
+    if drawn:
+        draws = replicate_draws(models[0].noise.order, rows.select("__key"), [m.mechanisms for m in models], drawn, seed)
+        copies = rows.join(draws.select("__key", "replicate", *[F.col(n).alias(f"{n}__draw") for n in drawn]), "__key")
+    else:
+        copies = rows.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+    rest = [n for n in fresh if n not in drawn]
+    copies = model.with_draws(copies, F.col("__key"), rest, F.col("replicate"), seed)
+    moved = with_moves(model, copies, interventions, "fresh")
     means = (moved.groupBy("replicate").agg(*[F.avg(n).alias(n) for n in nodes])
              .unpivot(["replicate"], list(nodes), "node", "score"))
     return interval_table(means, ["node"], mode, level)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tracecause.functions.randomness import normal_from, normal_values, uniform, uniform_values
 from tracecause.operators.frames import complete
 from tracecause.operators.graph import CausalGraph
-from tracecause.operators.noise import NoiseTable, fetch, ranked
+from tracecause.operators.noise import NoiseTable, RowOrder, fetch
 
 RIDGE = 1e-10           # on the scaled moment matrix of exactly collinear parents
 MAX_CONDITION = 1e10    # condition number from which on parents count as collinear
@@ -75,7 +75,13 @@ class Mechanism:
     @property
     def is_drawn(self) -> bool:
         """Does the noise come from rows? Otherwise it follows a formula or is none."""
-        return self.kind != "halfnorm" and (self.is_root or self.params.get("noise_var", 0.0) != 0.0)
+        return self.kind != "halfnorm" and (self.is_root or not self.is_exact)
+
+    @property
+    def is_exact(self) -> bool:
+        """No noise. Of a mechanism whose numbers are columns, ``exact`` says it for all fits together."""
+        exact = self.params.get("exact")
+        return self.params.get("noise_var", 0.0) == 0.0 if exact is None else bool(exact)
 
     def drawn(self, rows: Mapping):
         """Noise of rows given the values of all nodes in them: a root's is its value."""
@@ -498,10 +504,14 @@ def first_rows(df: DataFrame, key: Column, nodes, size: int, seed: int = 0) -> n
     return np.array([[r[n] for n in nodes] for r in rows], dtype=float).reshape(len(rows), len(nodes))
 
 
-def noise_table(rows: DataFrame, key: Column, nodes, seed: int = 0) -> NoiseTable:
-    """All of ``rows`` (complete ones) by position."""
-    frame, sizes = ranked(rows, key, nodes, seed)
-    return NoiseTable(frame, sizes[()])
+def keyed_rows(rows: DataFrame, key: Column, nodes) -> DataFrame:
+    """``(__k, node...)``: key as text, nodes as doubles."""
+    return rows.select(key.cast("string").alias("__k"), *[F.col(n).cast("double").alias(n) for n in nodes])
+
+
+def noise_table(rows: DataFrame, key: Column, nodes, seed: int = 0, n: int = 1) -> NoiseTable:
+    """All of ``rows`` (``n`` complete ones) by position; nothing is read before something is drawn."""
+    return NoiseTable(RowOrder(keyed_rows(rows, key, nodes), nodes, seed, n))
 
 
 def halfnorm_params(df: DataFrame, nodes) -> dict[str, dict[str, float]]:
@@ -525,9 +535,9 @@ def halfnorm_params(df: DataFrame, nodes) -> dict[str, dict[str, float]]:
 
 def fit(df: DataFrame, graph: CausalGraph, key: Column, kinds: Mapping[str, str] | None = None,
         pool: bool = True, seed: int = 0, nodes=None) -> CausalModel:
-    """Fit all mechanisms: one pass for the sums (two if there are product terms), one to number the rows for draws.
+    """Fit all mechanisms: one pass for the sums (two if there are product terms); draws read the rows again when asked for.
 
-    ``pool=False`` leaves the numbering out, for queries that draw no noise.
+    ``pool=False`` leaves the rows out of the model, for queries that draw no noise.
     ``kinds`` overrides the default family of single nodes. ``nodes`` limits the work to a set closed
     under parents, for queries about one target.
     """
@@ -546,7 +556,7 @@ def fit(df: DataFrame, graph: CausalGraph, key: Column, kinds: Mapping[str, str]
         m = solve(sums, n, kinds[n], graph.parents(n))
         mechanisms[n] = replace(m, params={**m.params, **half[n]}) if n in half else m
     model = CausalModel(graph, mechanisms, n_ok, n_dropped)
-    return model.with_table(noise_table(rows, key, nodes, seed)) if pool else model
+    return model.with_table(noise_table(rows, key, nodes, seed, n_ok)) if pool else model
 
 
 def evaluate_nodes(nodes, mechanisms: Mapping[str, Mechanism], noise: Mapping[str, np.ndarray]) -> dict:

@@ -35,12 +35,26 @@ def intervene(model: CausalModel, df: DataFrame, key: Column, interventions: Map
     unknown = set(interventions) - set(model.graph.nodes)
     if unknown:
         raise KeyError(f"not in the graph: {sorted(unknown)}")
-    graph = model.graph
-    moved = {n for t in interventions for n in graph.descendants(t)} | set(interventions)
-    order = graph.order
-    df = df.select("*", key.cast("string").alias("__key"), *[F.col(n).cast("double").alias(f"{n}__obs") for n in order])
-    fresh = [n for n in order if mode == "fresh" and n in moved and not (n in interventions and model[n].is_root)]
-    df = model.with_draws(df, F.col("__key"), fresh, replicate, seed, method)
+    df = df.withColumn("__key", key.cast("string"))
+    fresh = moved_nodes(model, interventions) if mode == "fresh" else []
+    return with_moves(model, model.with_draws(df, F.col("__key"), fresh, replicate, seed, method), interventions, mode)
+
+
+def touched(graph, interventions) -> set[str]:
+    return {n for t in interventions for n in graph.descendants(t)} | set(interventions)
+
+
+def moved_nodes(model: CausalModel, interventions) -> list[str]:
+    """The nodes whose noise fresh interventions draw anew."""
+    moved = touched(model.graph, interventions)
+    return [n for n in model.graph.order if n in moved and not (n in interventions and model[n].is_root)]
+
+
+def with_moves(model: CausalModel, df: DataFrame, interventions: Mapping[str, Callable[[Column], Column]], mode: str) -> DataFrame:
+    """Rows with a column ``__key``, and ``<node>__draw`` where noise is fresh, under interventions: one projection per node."""
+    graph, order = model.graph, model.graph.order
+    moved = touched(graph, interventions)
+    df = df.select("*", *[F.col(n).cast("double").alias(f"{n}__obs") for n in order])
     for n in order:
         observed = F.col(f"{n}__obs")
         if n not in moved:
@@ -58,7 +72,7 @@ def intervene(model: CausalModel, df: DataFrame, key: Column, interventions: Map
             if n in interventions:
                 value = interventions[n](value)
         df = df.withColumn(n, value)
-    return df.drop("__key", *[f"{n}__obs" for n in order], *[f"{n}__draw" for n in fresh])
+    return df.drop("__key", *[f"{n}__obs" for n in order], *[f"{n}__draw" for n in order])
 
 
 def interventional_samples(spark: SparkSession, model: CausalModel, n: int,

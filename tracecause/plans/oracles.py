@@ -50,7 +50,7 @@ def cols(names, zero: str = "1e-6", digits: int = 7, prefix: str = "") -> str:
 
 def u(row: str, label: str, replicate: str = "'0'", seed: int = 0) -> str:
     text = f"CAST({row} AS VARCHAR) || ':{label}:' || {replicate} || ':{seed}'"
-    return f"(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)::DOUBLE / 4294967296::DOUBLE)"
+    return f"(CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT)::DOUBLE / 4503599627370496::DOUBLE)"
 
 
 def pick(pool: str, uniform: str) -> str:
@@ -283,6 +283,45 @@ def change_boot(source: str, key: str, chain, replicates: int, mode: str) -> str
                                                    for n in nodes) + ")")
 
 
+def left_over(node: str, chain, side: str = "") -> str:
+    """Weighted variance of a chain node that its parent leaves over."""
+    i = chain.index(node)
+    return f"{side}v_{node}" if i == 0 else f"({side}v_{node} - power({side}b_{node}, 2) * {side}v_{chain[i - 1]})"
+
+
+def f_score(a: str, da: str, b: str, db: str) -> str:
+    """The normal score of an F statistic (a / da) / (b / db)."""
+    root = f"power(({a} / {da}) / ({b} / {db}), 1.0 / 3.0)"
+    return f"((1 - 2 / (9 * {db})) * {root} - (1 - 2 / (9 * {da}))) / sqrt(2 / (9 * {db}) * power({root}, 2) + 2 / (9 * {da}))"
+
+
+def change_boot_tested(source: str, key: str, chain, replicates: int) -> str:
+    """As ``change_boot``, with mechanisms that pass the change test of their replicate taken from the old side."""
+    nodes, tests, kept = chain + ["net"], [], []
+    for i, n in enumerate(chain):
+        d1 = 1 if i == 0 else 2
+        rss = {s: f"({s}.n_w * {left_over(n, chain, s + '.')})" for s in ("fo", "fn", "fb")}
+        rest = f"({rss['fo']} + {rss['fn']})"
+        free = {s: f"greatest({s}.n_w - {d1}::DOUBLE, 1.0)" for s in ("fo", "fn")}
+        chow = f_score(f"greatest({rss['fb']} - {rest}, 1e-300)", f"{d1}::DOUBLE", rest, f"(fb.n_w - {2 * d1}::DOUBLE)")
+        up, down = (f_score(rss[a], free[a], rss[b], free[b]) for a, b in (("fn", "fo"), ("fo", "fn")))
+        tests.append(f"{chow} AS z_{n}, {up} AS up_{n}, {down} AS down_{n}")
+        same = " AND ".join(f"{k} * ({normal_tail(f'{x}_{n}')}) > 0.025" for k, x in ((1, "z"), (2, "up"), (2, "down")))
+        for field in ([f"m_{n}"] if i == 0 else [f"a_{n}", f"b_{n}"]):
+            kept.append(f"CASE WHEN {same} THEN fo.{field} ELSE fn.{field} END AS {field}")
+    mixed = mixes(chain, "fo", "ft", lambda n, s: f"{s}.m_{n}" if n == chain[0] else "0.0")
+    both = "fo JOIN fn USING (replicate) JOIN fb USING (replicate)"
+    return (weighted(source, key, replicates, "resample")
+            + f", old AS (SELECT * FROM boot WHERE d <= {SPLIT}), new AS (SELECT * FROM boot WHERE d > {SPLIT}), "
+            + ", ".join(fits(t, chain, "replicate", "weight", f) for t, f in (("old", "fo"), ("new", "fn"), ("boot", "fb")))
+            + f", test AS (SELECT replicate, {', '.join(tests)} FROM {both}), "
+            + f"ft AS (SELECT replicate, {', '.join(kept)}, fo.a_net, fo.bd, fo.bg FROM fo JOIN fn USING (replicate) JOIN test USING (replicate)), "
+            + f"base AS (SELECT replicate, s, {side_params(chain, ('fo', 'ft'))} FROM fo JOIN ft USING (replicate), "
+            + f"range({2 ** len(nodes)}) AS c(s)), vals AS (SELECT replicate, s, net AS v FROM {mixed}), "
+            + shapley("vals", nodes, "replicate")
+            + ", scores AS (" + " UNION ALL ".join(f"SELECT replicate, '{n}' AS node, {n} AS score FROM phi" for n in nodes) + ")")
+
+
 def boot_pools(key: str, chain, extra=()) -> str:
     """Per replicate: noise lists of the pool rows, each repeated by its weight."""
     nodes = list(chain) + list(extra)
@@ -548,13 +587,13 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     q["attribute_products"] = q["attribute_orders"]
     chain = ORDER_CHAIN + ["net"]
     q["distribution_change_products"] = (
-        f"WITH {FACTS}, {change_drawn('facts', 'o_orderkey', ORDER_CHAIN, 500)}, "
+        f"WITH {FACTS}, {change_drawn('facts', 'o_orderkey', ORDER_CHAIN, 2000)}, "
         f"vals AS (SELECT s, avg(net) AS v FROM mixed GROUP BY s), {shapley('vals', chain)} " + long("phi", "", chain, "1e-3", 6))
     q["distribution_change"] = f"WITH {DAYS}, {change_mean('days', DAY_CHAIN)} " + long("phi", "", nodes, "1e-3", 6)
     q["distribution_change_orders"] = (f"WITH {FACTS}, {change_mean('facts', ORDER_CHAIN)} "
                                        + long("phi", "", ORDER_CHAIN + ["net"], "1e-3", 6))
     q["distribution_change_tested"] = change_tested(ORDER_CHAIN)
-    drawn = f"{DAYS}, {change_drawn('days', 'd', DAY_CHAIN, 500)}"
+    drawn = f"{DAYS}, {change_drawn('days', 'd', DAY_CHAIN, 2000)}"
     q["distribution_change_variance"] = (f"WITH {drawn}, vals AS (SELECT s, var_samp(net) AS v FROM mixed GROUP BY s), "
                                          f"{shapley('vals', nodes)} " + long("phi", "", nodes, "10.0", 5))
     q["distribution_change_python"] = (f"WITH {drawn}, vals AS (SELECT s, avg(net) AS v FROM mixed GROUP BY s), "
@@ -571,10 +610,23 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
                                + interval("scores", "resample"))
     q["subsample_interval"] = f"WITH {DAYS}, {change_boot('days', 'd', DAY_CHAIN, 10, 'subsample')} " + interval(
         "scores", "subsample")
-    many = f"{DAYS}, {change_drawn('days', 'd', DAY_CHAIN, 500, replicates=5)}"
+    many = f"{DAYS}, {change_drawn('days', 'd', DAY_CHAIN, 2000, replicates=5)}"
     stacked = " UNION ALL ".join(f"SELECT replicate, '{n}' AS node, {n} AS score FROM phi" for n in nodes)
     q["rerun_interval"] = (f"WITH {many}, vals AS (SELECT replicate, s, avg(net) AS v FROM mixed GROUP BY replicate, s), "
                            f"{shapley('vals', nodes, 'replicate')}, scores AS ({stacked}) " + interval("scores", "rerun"))
+    q["change_interval_python"] = q["rerun_interval"]
+    q["change_interval_tested"] = (f"WITH {FACTS}, {change_boot_tested('facts', 'o_orderkey', ORDER_CHAIN, 10)} "
+                                   + interval("scores", "resample"))
+    scale = "n_w / (n_w - 1)"
+    own = [f"SELECT replicate, '{n}' AS node, power(w_{n}, 2) * {left_over(n, DAY_CHAIN)} * {scale} AS score FROM w" for n in DAY_CHAIN]
+    own.append("SELECT replicate, 'net', 0.0::DOUBLE FROM w")
+    q["influence_interval"] = (f"WITH {DAYS}, {weighted('days', 'd', replicates, 'refit')}, {fits('boot', DAY_CHAIN, 'replicate', 'weight')}, "
+                               f"{effects(DAY_CHAIN)}, scores AS ({' UNION ALL '.join(own)}) " + interval("scores", "refit"))
+    arrows = " UNION ALL ".join(f"SELECT replicate, '{p}' AS parent, 'net' AS node, power({b}, 2) * v_{p} * {scale} AS score FROM f"
+                                for p, b in (("disc", "bd"), ("gross", "bg")))
+    q["arrow_interval"] = (f"WITH {FACTS}, {weighted('facts', 'o_orderkey', 10, 'refit')}, {fits('boot', ORDER_CHAIN, 'replicate', 'weight')}, "
+                           f"scores AS ({arrows}) SELECT parent, node AS child, median, lo, hi, mode, resamples FROM ("
+                           + interval("scores", "refit", "parent") + ")")
     boot = (f"{DAYS}, {weighted('days', 'd', 10, 'refit')}, {fits('boot', DAY_CHAIN, 'replicate', 'weight')}, "
             f"{effects(DAY_CHAIN)}, {boot_pools('d', DAY_CHAIN, ['qty'])}")
     stacked = " UNION ALL ".join(f"SELECT replicate, d, '{n}' AS node, {n} AS score FROM phi" for n in nodes)
@@ -626,13 +678,9 @@ def change_tested(chain) -> str:
                      f"(SELECT count(*) FROM facts) - {2 * d1}::DOUBLE AS d2")
     root = "power(((pooled - rest) / d1) / (rest / d2), 1.0 / 3.0)"
     z = f"((1 - 2 / (9 * d2)) * {root} - (1 - 2 / (9 * d1))) / sqrt(2 / (9 * d2) * power({root}, 2) + 2 / (9 * d1))"
-    def cube(a, da, b, db):
-        """The score of an F statistic (a / da) / (b / db)."""
-        root = f"power(({a} / {da}) / ({b} / {db}), 1.0 / 3.0)"
-        return f"((1 - 2 / (9 * {db})) * {root} - (1 - 2 / (9 * {da}))) / sqrt(2 / (9 * {db}) * power({root}, 2) + 2 / (9 * {da}))"
-    up, down = cube("r1", "k1", "r0", "k0"), cube("r0", "k0", "r1", "k1")
+    up, down = f_score("r1", "k1", "r0", "k0"), f_score("r0", "k0", "r1", "k1")
     for i, n in enumerate(chain):
-        same = (f"(SELECT ({normal_tail('z')}) > 0.05 AND 2 * ({normal_tail('up')}) > 0.05 AND 2 * ({normal_tail('down')}) > 0.05 "
+        same = (f"(SELECT ({normal_tail('z')}) > 0.025 AND 2 * ({normal_tail('up')}) > 0.025 AND 2 * ({normal_tail('down')}) > 0.025 "
                 f"FROM chow WHERE node = '{n}')")
         for field in ([f"m_{n}"] if i == 0 else [f"a_{n}", f"b_{n}"]):
             kept.append(f"CASE WHEN {same} THEN fo.{field} ELSE fn.{field} END AS {field}")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tracecause.functions.statistics import significant
 from tracecause.operators import (anomaly, assignment, change, evaluation, falsification, frames, graph, influence,
-                                  intervals, sampling, simulation)
+                                  intervals, resampling, sampling, simulation)
 from tracecause.operators.mechanisms import CausalModel, fit
 from tracecause.plans.workload import (DAILY_GRAPH, ORDER_GRAPH, SPLIT, daily, order_facts, supply_edges, table)
 from tracecause.sources import ingest, snapshots
@@ -270,10 +270,8 @@ def hash_sample_exact(spark, sf_dir):
 
 def poisson_weights(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    weights = sampling.bootstrap_weights(rows, F.col("event_id"), 4, 10)
-    return weights.groupBy("event_type", "replicate").agg(
-        F.sum("weight").alias("n"), tidy(F.sum(F.col("weight") * F.col("value"))).alias("total"),
-        F.max("weight").alias("top"))
+    sums = resampling.bootstrap_sums(rows, F.col("event_id"), ["event_type"], ["value"], resampling.Weights("refit", 4, seed=10))
+    return sums.select("event_type", "replicate", "n", tidy("value").alias("total"), "top")
 
 
 # --- mechanisms ---
@@ -456,7 +454,7 @@ def attribute_products(spark, sf_dir):
 
 def distribution_change_products(spark, sf_dir):
     old, new = old_new(facts(spark, sf_dir))
-    out = change.distribution_change(old, new, ORDER_GRAPH, TARGET, draws=500, kinds={TARGET: "poly"}, key=F.col("o_orderkey"))
+    out = change.distribution_change(old, new, ORDER_GRAPH, TARGET, draws=2000, kinds={TARGET: "poly"}, key=F.col("o_orderkey"))
     return out.select("node", tidy("score", 1e-3, 6).alias("score"))
 
 
@@ -476,19 +474,19 @@ def distribution_change_tested(spark, sf_dir):
 
 
 def distribution_change_variance(spark, sf_dir):
-    out = change.distribution_change(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET, change.variance, 500, key=day())
+    out = change.distribution_change(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET, change.variance, 2000, key=day())
     return out.select("node", tidy("score", 10.0, 5).alias("score"))
 
 
 def distribution_change_python(spark, sf_dir):
     """The difference of means as a Python function of two samples."""
-    out = change.distribution_change(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET, draws=500, key=day(),
+    out = change.distribution_change(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET, draws=2000, key=day(),
                                      difference=lambda x, y: y.mean() - x.mean())
     return out.select("node", tidy("score", 1e-3, 6).alias("score"))
 
 
 def distribution_change_kl(spark, sf_dir):
-    out = change.distribution_change(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET, change.kl, 500, key=day())
+    out = change.distribution_change(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET, change.kl, 2000, key=day())
     return out.select("node", tidy("score", 1e-6, 5).alias("score"))
 
 
@@ -512,10 +510,34 @@ def subsample_interval(spark, sf_dir):
 
 
 def rerun_interval(spark, sf_dir):
-    out = intervals.change_intervals(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET, day(), "rerun", 5, draws=500)
+    out = intervals.change_intervals(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET, day(), "rerun", 5, draws=2000)
     return interval_columns(out)
 
 
+def change_interval_tested(spark, sf_dir):
+    """Every replicate tests for itself which mechanisms changed."""
+    out = intervals.change_intervals(facts(spark, sf_dir), is_new(), ORDER_GRAPH, TARGET, F.col("o_orderkey"), "resample", 10,
+                                     test_change=True)
+    return interval_columns(out)
+
+
+def change_interval_python(spark, sf_dir):
+    """As ``rerun_interval``, the difference of means being a Python function of two samples."""
+    out = intervals.change_intervals(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET, day(), "rerun", 5, draws=2000,
+                                     difference=lambda x, y: y.mean() - x.mean())
+    return interval_columns(out)
+
+
+def influence_interval(spark, sf_dir):
+    out = intervals.influence_intervals(days(spark, sf_dir), DAILY_GRAPH, TARGET, day(), mode="refit", replicates=REPLICATES)
+    return interval_columns(out)
+
+
+def arrow_interval(spark, sf_dir):
+    out = intervals.arrow_intervals(facts(spark, sf_dir), ORDER_GRAPH, TARGET, F.col("o_orderkey"), mode="refit", replicates=10)
+    return out.select("parent", "child", *[tidy(c, 1e-3, 5).alias(c) for c in ("median", "lo", "hi")], "mode", "resamples")
+
+
 def anomaly_interval(spark, sf_dir):
     """Every day's attribution with its interval: models refitted on resampled days."""
     df = days(spark, sf_dir)
@@ -600,5 +622,6 @@ QUERIES = [
     intrinsic_influence, intrinsic_sampled, anomaly_score, z_score, attribute_anomalies, attribute_orders,
     distribution_change, distribution_change_orders, distribution_change_tested, distribution_change_variance,
     distribution_change_python, distribution_change_kl, interventional_draws, bootstrap_refit, bootstrap_resample, subsample_interval, rerun_interval, anomaly_interval,
+    change_interval_tested, change_interval_python, influence_interval, arrow_interval,
     intervene, intervene_counterfactual, before_after, intervention_interval, batch_scores, stream_scores,
 ]

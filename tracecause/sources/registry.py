@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tracecause.operators.graph import CausalGraph
 from tracecause.operators.mechanisms import MECHANISM_SCHEMA, CausalModel
-from tracecause.operators.noise import NoiseTable
+from tracecause.operators.noise import NoiseTable, StoredRows
 from tracecause.sources.workspace import read_or_empty
 
 SCHEMAS = {
@@ -98,7 +98,7 @@ class ModelRegistry:
         schema = ", ".join(["pos bigint"] + [f"`{r.node.replace('`', '``')}` double" for r in rows])
         noise = read_or_empty(self.spark, self.noise_path(model, version), schema)
         size = noise.count()
-        return found.with_table(NoiseTable(noise, size)) if size else found
+        return found.with_table(NoiseTable(StoredRows(noise, size))) if size else found
 
     def check_input(self, model: str, version: int, df: DataFrame) -> None:
         """Raise where a scoring table lacks a column of the training schema or has another type."""

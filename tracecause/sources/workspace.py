@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,3 +50,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = fresh_path(df.sparkSession, "step")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per context, as ``--py-files`` would.
+
+    Operators whose maps use functions of the package call it; so do callers of the functions of a subpackage.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_tracecause_sent", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for folder, _, names in os.walk(package):
+            for path in (os.path.join(folder, name) for name in names if name.endswith(".py")):
+                z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    archive = fresh_path(spark, "package") + ".zip"
+    store, place = fs.FileSystem.from_uri(archive)
+    store.create_dir(os.path.dirname(place), recursive=True)
+    with store.open_output_stream(place, compression=None) as out:
+        out.write(packed.getvalue())
+    context.addPyFile(archive)
+    context._tracecause_sent = True
