@@ -207,3 +207,61 @@ def test_intervention_intervals_by_hand(weeks):
             want = models[r][node].drawn(table.rows(position))
             np.testing.assert_allclose(mine.loc[keys, node], want, rtol=1e-9, atol=1e-9)
     assert isinstance(models[1].noise, NoiseTable) and isinstance(order, RowOrder)
+
+
+# --- draws without replacement ---
+
+
+def test_permutations_are_bijections_that_mix(spark):
+    from tracecause.functions.permutation import permuted_values, with_permuted
+
+    for n in (1, 2, 3, 7, 16, 17, 1000, 4097):
+        x = permuted_values(np.arange(n), n, "a", 2, 5)
+        assert sorted(x.tolist()) == list(range(n))
+        got = with_permuted(spark.range(n).withColumn("pos", F.col("id")), "pos", "to", n, "a", 2, 5).orderBy("id").toPandas()
+        assert got.to.tolist() == x.tolist() and list(got.columns) == ["id", "pos", "to"]
+    a, b = (permuted_values(np.arange(4097), 4097, k) for k in "ab")
+    r = [np.corrcoef(np.arange(4097), a)[0, 1], np.corrcoef(a, b)[0, 1], np.corrcoef(a[1:], a[:-1])[0, 1]]
+    assert np.abs(r).max() < 0.06
+    big = permuted_values(np.array([0, 2 ** 52 - 1, 2 ** 40]), 2 ** 52, "a")
+    assert ((big >= 0) & (big < 2 ** 52)).all()
+
+
+def test_fresh_noise_without_replacement_is_every_noise_once(weeks):
+    from tracecause.operators import simulation
+    from tracecause.operators.mechanisms import fit
+    from tracecause.operators.noise import permuted_draws
+
+    model = fit(weeks[0], SUPPLY, F.col("asin"))
+    at = {n: F.col(n) for n in model.noise.nodes}
+    keyed = weeks[0].withColumn("__key", F.col("asin"))
+    got = permuted_draws(model.noise, keyed, {"a": model["received"].drawn(at), "b": model["submitted"].drawn(at)}).toPandas()
+    own = model.residuals(weeks[0], ["received", "submitted"]).toPandas()
+    assert len(got) == 1000 and set(got.columns) == {*keyed.columns, "a", "b"}
+    np.testing.assert_allclose(np.sort(got.a), np.sort(own.received), atol=1e-9)
+    np.testing.assert_allclose(np.sort(got.b), np.sort(own.submitted), atol=1e-9)
+    noise = weeks[0].select("asin", *NODES).toPandas().merge(got[["asin", "a"]], on="asin")
+    assert abs(np.corrcoef(noise.demand, noise.a)[0, 1]) < 0.12
+    # Fewer and more rows than the model has.
+    few = weeks[0].orderBy("asin").limit(37).withColumn("__key", F.col("asin"))
+    assert permuted_draws(model.noise, few, {"a": F.col("received")}).where("a IS NOT NULL").count() == 37
+    more = weeks[0].crossJoin(few.select(F.col("asin").alias("again")).limit(3)).withColumn("__key", F.concat("asin", "again"))
+    counts = permuted_draws(model.noise, more, {"a": F.col("received")}).groupBy("a").count().toPandas()
+    assert (counts["count"] == 3).all() and len(counts) == 1000
+    assert permuted_draws(model.noise, few.limit(0), {"a": F.col("received")}).count() == 0
+    shift = {"submitted": lambda x: x + 1}
+    moved = {r: simulation.intervene(model, weeks[0], F.col("asin"), shift, replace=r).agg(F.avg("received")).first()[0] for r in (True, False)}
+    assert moved[False] == pytest.approx(weeks[0].agg(F.avg("received")).first()[0] + model["confirmed"].coef[0] * model["received"].coef[0], abs=0.05)
+    assert moved[True] == pytest.approx(moved[False], abs=0.1)
+
+
+def test_interventions_take_one_exchange(weeks):
+    from tracecause.operators import simulation
+    from tracecause.operators.mechanisms import fit
+    from tracecause.sources.workspace import cut_lineage
+
+    rows = cut_lineage(weeks[0])
+    model = fit(rows, SUPPLY, F.col("asin"))
+    out = simulation.intervene(model, rows, F.col("asin"), {"demand": lambda x: x + 1})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan

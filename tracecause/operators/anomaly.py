@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracecause.functions.randomness import double_array
+from tracecause.functions.randomness import double_array, rank_steps
 from tracecause.operators.frames import complete
 from tracecause.operators.mechanisms import CausalModel, draw_values, prefetch
 from tracecause.operators.shapley import CoalitionPlan, coalition_plan, unpivot_players
@@ -55,22 +55,6 @@ def reference_draws(model: CausalModel, target: str, draws: int = REFERENCE_DRAW
     return Reference(y, TIE * float(y.std(ddof=1) if draws > 1 else 0.0))
 
 
-def rank_steps(name: str, size: int, test: str) -> list[str]:
-    """SQL for how many leading elements of the sorted array ``__ref`` pass a test, by binary search.
-
-    Each halving is a column that refers to the one before: a dozen integer steps of generated code per
-    row, where a scan of the array would cost one interpreted call per element.
-    """
-    steps, last, step = [], "0", 1 << (size.bit_length() - 1)
-    while step:
-        here = f"{last} + {step}"
-        now = f"__{name}{step}" if step > 1 else name
-        element = f"element_at(__ref, least({here}, {size}))"
-        steps.append(f"CASE WHEN {here} <= {size} AND {element} {test} THEN {here} ELSE {last} END AS {now}")
-        last, step = now, step >> 1
-    return steps
-
-
 def with_tail(df: DataFrame, y: Column, ref: Reference, name: str = "__tail") -> DataFrame:
     """Add ``min(#draws >= y, #draws <= y)``, ties counted on both sides."""
     kept = df.columns

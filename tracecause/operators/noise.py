@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracecause.functions.randomness import uniform_matrix
+from tracecause.functions.permutation import with_permuted
+from tracecause.functions.randomness import double_array, rank_steps, uniform_matrix
 from tracecause.operators.resampling import Weights
 from tracecause.sources.workspace import cut_lineage, ship
 
@@ -283,6 +284,45 @@ def replicate_draws(order: RowOrder, ids: DataFrame, mechanisms: list[dict], nod
     return found.groupBy("__key", "replicate").agg(*[F.max(F.when(F.col("which") == i, F.col("noise"))).alias(n) for i, n in enumerate(nodes)])
 
 
+def permuted_draws(table: NoiseTable, df: DataFrame, values: dict[str, Column], replicate=0, seed: int = 0) -> DataFrame:
+    """``df``, with a column ``__key``, and a column per entry of ``values``: noise drawn without replacement.
+
+    A keyed permutation per node says which row each row of the table gives its noise to, so noise is sent and not looked up:
+    the rows of ``df``, dealt by the first bits of their hash, and what is sent to them go through one exchange, and meet
+    within their bucket at the place that the order of the hash gives a row. Where ``df`` has more rows than the table,
+    every row of the table gives again, by another permutation. Keys must identify a row.
+    """
+    kept, n = df.columns, table.size
+    order = RowOrder(df.select(F.col("__key").alias("__k")), [], table.order.seed, n)
+    counts, m = order.totals[0], order.size()
+    ends = np.cumsum(counts)
+    sent = None
+    for epoch in range(-(-m // n) if n else 0):
+        part, names = table.frame.select("pos", *[v.alias(f"__v{j}") for j, v in enumerate(values.values())]), list(values)
+        for j, name in enumerate(names):
+            part = with_permuted(part, "pos", f"__to{j}", n, name if not epoch else f"{name}/{epoch}", replicate, seed)
+        gifts = F.array(*[F.struct(F.lit(j).alias("which"), (F.col(f"__to{j}") + epoch * n).alias("to"), F.col(f"__v{j}").alias("noise"))
+                          for j in range(len(names))])
+        part = part.select(F.inline(gifts)).where(F.col("to") < m)
+        sent = part if sent is None else sent.unionByName(part)
+    if sent is None:
+        return df.select("*", *[F.lit(None).cast("double").alias(name) for name in values])
+    # The bucket of a position: how many buckets end at or before it.
+    steps = rank_steps("bucket", order.buckets, "<= to")
+    sent = sent.withColumn("__ref", double_array(ends)).selectExpr("*", *steps)
+    before = F.element_at(double_array(ends - counts), F.col("bucket") + 1)
+    sent = sent.select("bucket", (F.col("to") - before).cast("long").alias("offset"), "which", "noise")
+    hashed = row_hash(F.col("__key"), order.seed)
+    rows = df.select(bucket_of(hashed, order.buckets).alias("bucket"), hashed.alias("__h"), F.col("__key").alias("__order"),
+                     F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"))
+    both = rows.unionByName(sent, allowMissingColumns=True).repartition("bucket")
+    local = F.row_number().over(Window.partitionBy("bucket", F.col("which").isNull()).orderBy("__h", "__order")) - 1
+    placed = both.withColumn("offset", F.when(F.col("which").isNull(), local.cast("long")).otherwise(F.col("offset")))
+    met = placed.groupBy("bucket", "offset").agg(F.first("row", ignorenulls=True).alias("row"), *[
+        F.max(F.when(F.col("which") == j, F.col("noise"))).alias(name) for j, name in enumerate(values)])
+    return met.select("row.*", *list(values))
+
+
 def ranked(order: RowOrder) -> DataFrame:
     """``(pos, node...)``: positions follow from the place in the bucket and the number of rows in the buckets before."""
     before = np.cumsum(order.totals[0]) - order.totals[0]

@@ -1,4 +1,5 @@
-"""Draws from a fitted model and soft interventions: a join per node whose noise is drawn, and one projection per node."""
+"""Draws from a fitted model and soft interventions: noise comes by one exchange (interventions) or a join per node, and each
+node is one projection."""
 
 from __future__ import annotations
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tracecause.operators.frames import column_means
 from tracecause.operators.mechanisms import CausalModel
+from tracecause.operators.noise import permuted_draws
 
 
 def draw(spark: SparkSession, model: CausalModel, n: int, replicate=0, seed: int = 0, method: str = "md5",
@@ -23,12 +25,13 @@ def draw(spark: SparkSession, model: CausalModel, n: int, replicate=0, seed: int
 
 
 def intervene(model: CausalModel, df: DataFrame, key: Column, interventions: Mapping[str, Callable[[Column], Column]],
-              mode: str = "fresh", replicate=0, seed: int = 0, method: str = "md5") -> DataFrame:
+              mode: str = "fresh", replicate=0, seed: int = 0, method: str = "md5", replace: bool = False) -> DataFrame:
     """Observed rows under soft interventions; an intervention is a function from Column to Column.
 
     Nodes that are neither touched nor downstream keep their values. A touched root becomes
     ``f(observed)``; a touched non-root ``f(redraw given its parents)``; descendants are recomputed. With
-    ``mode="counterfactual"`` every row keeps its abducted noise, with ``"fresh"`` noise is drawn anew.
+    ``mode="counterfactual"`` every row keeps its abducted noise, with ``"fresh"`` noise is drawn anew: by a permutation
+    of the rows per node, so without replacement and with one exchange for all nodes, or with ``replace`` by a join per node.
     """
     if mode not in ("fresh", "counterfactual"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -37,6 +40,11 @@ def intervene(model: CausalModel, df: DataFrame, key: Column, interventions: Map
         raise KeyError(f"not in the graph: {sorted(unknown)}")
     df = df.withColumn("__key", key.cast("string"))
     fresh = moved_nodes(model, interventions) if mode == "fresh" else []
+    from_rows = [n for n in fresh if model[n].is_drawn]
+    if from_rows and not replace:
+        at = {n: F.col(n) for n in model.noise.nodes}
+        df = permuted_draws(model.noise, df, {f"{n}__draw": model[n].drawn(at) for n in from_rows}, replicate, seed)
+        fresh = [n for n in fresh if n not in from_rows]
     return with_moves(model, model.with_draws(df, F.col("__key"), fresh, replicate, seed, method), interventions, mode)
 
 

@@ -6,6 +6,7 @@ the two-parent one by Cramer's rule, Shapley values by summing over all coalitio
 
 from __future__ import annotations
 
+from hashlib import md5
 from math import exp, factorial
 from statistics import NormalDist
 
@@ -128,6 +129,23 @@ def pools(source: str, key: str, chain, extra=(), params: str = "f", name: str =
             f"FROM {source}), {name} AS (SELECT {lead}{lists} FROM {name}_r {join} {tail})")
 
 
+def permuted(source: str, label: str, replicate: int = 0, seed: int = 0) -> str:
+    """``(j, x)``: positions of ``source`` and their images under a keyed permutation."""
+    prime, rounds = (1 << 31) - 1, 4
+    sql = f"SELECT j, j AS x, n, a, n // a AS b FROM (SELECT count(*) AS n, CAST(floor(sqrt(count(*))) AS BIGINT) AS a FROM {source}), (SELECT pos - 1 AS j FROM {source})"
+    for half in range(2):
+        sql = f"SELECT *, (x - {half} * (n - a * b)) % a AS l, (x - {half} * (n - a * b)) // a AS r FROM ({sql})"
+        for i in range(rounds):
+            digest = md5(f"{label}:{replicate}:{seed}:{half}:{i}".encode()).hexdigest()
+            c, m1, m2 = (int(digest[8 * k:8 * k + 8], 16) % (prime - 1) + 1 for k in range(3))
+            part, other, size = ("r", "l", "b") if i % 2 else ("l", "r", "a")
+            sql = (f"SELECT * REPLACE (({part} + xor(t, t >> 15) * {m2} % {prime}) % {size} AS {part}) FROM "
+                   f"(SELECT *, ({other} + {c}) * {m1} % {prime} AS t FROM ({sql}))").replace("SELECT * REPLACE", "SELECT * EXCLUDE (t) REPLACE")
+        inside = f"x >= {half} * (n - a * b) AND x < {half} * (n - a * b) + a * b"
+        sql = f"SELECT j, n, a, b, CASE WHEN {inside} THEN r * a + l + {half} * (n - a * b) ELSE x END AS x FROM ({sql})"
+    return sql
+
+
 def shapley(values: str, nodes, keys: str = "", value: str = "v", name: str = "phi") -> str:
     """Columns per node from rows (keys, s, value)."""
     k = len(nodes)
@@ -636,7 +654,9 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     q["interventional_draws"] = (f"WITH {base}, draw AS (SELECT unnest(range((SELECT count(*) FROM days))) AS id) SELECT id, "
                                  + cols(["n_orders", "n_lines", "gross", "disc", "net"], "1e-4", 6)
                                  + f" FROM {forward(DAY_CHAIN, 'id', shift=shift)}")
-    row = {n: pick("p_" + n, u("d", n)) for n in ("n_lines", "gross", "disc", "qty")}
+    row = {n: f"p_{n}[j_{n} + 1]" for n in ("n_lines", "gross", "disc", "qty")}
+    given = "(SELECT pool_r.* EXCLUDE (pos), " + ", ".join(f"j_{n}" for n in row) + " FROM pool_r" + "".join(
+        f" JOIN (SELECT j AS j_{n}, x AS i_{n} FROM ({permuted('pool_r', n + '__draw')})) ON i_{n} = pos - 1" for n in row) + ")"
 
     def shifted(noise, source):
         s = f"(SELECT *, a_n_lines + b_n_lines * n_orders + {noise['n_lines']} - 1 AS x_n_lines FROM {source})"
@@ -644,7 +664,7 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
         s = f"(SELECT *, (a_disc + b_disc * x_gross + {noise['disc']}) * 2 AS x_disc FROM {s})"
         return (f"(SELECT *, a_qty + b_qty * x_n_lines + {noise['qty']} AS x_qty, "
                 f"a_net + bd * x_disc + bg * x_gross AS x_net FROM {s})")
-    after = shifted(row, "days, f, pool")
+    after = shifted(row, f"{given}, f, pool")
     moved = ["n_lines", "gross", "disc", "net"]
     q["intervene"] = (f"WITH {base} SELECT d, {tidy('n_orders', '1e-4', 9)} AS n_orders, "
                       + ", ".join(f"{tidy('x_' + n, '1e-4', 9)} AS {n}" for n in moved) + f" FROM {after}")
