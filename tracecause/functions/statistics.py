@@ -35,6 +35,35 @@ def normal_tail_value(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2.0))
 
 
+def chi2_tail_value(statistic: float, dof: float) -> float:
+    """P(X >= statistic) for chi-square by the Wilson-Hilferty cube root."""
+    if dof <= 0 or statistic <= 0:
+        return 1.0
+    spread = 2.0 / (9.0 * dof)
+    return normal_tail_value(((statistic / dof) ** (1.0 / 3.0) - (1.0 - spread)) / math.sqrt(spread))
+
+
+def weighted_chi2_tail_value(statistic: float, traces: tuple[float, float, float]) -> float:
+    """P(sum of weight * chi-square_1 >= statistic), from the sums of the weights, their squares and cubes.
+
+    Three cumulants are matched by a shifted chi-square (the Hall-Buckley-Eagleson approximation).
+    """
+    c1, c2, c3 = traces
+    if not (c1 > 0 and c2 > 0 and c3 > 0):
+        return 1.0
+    dof = c2 ** 3 / c3 ** 2
+    return chi2_tail_value((statistic - c1) / math.sqrt(2.0 * c2) * math.sqrt(2.0 * dof) + dof, dof)
+
+
+def kolmogorov_tail_value(distance: float, n: float, m: float) -> float:
+    """P(D >= distance) for the largest distance between two empirical distributions of one law."""
+    if distance <= 0:
+        return 1.0
+    size = math.sqrt(n * m / (n + m))
+    x = (size + 0.12 + 0.11 / size) * distance
+    return min(1.0, max(0.0, 2.0 * sum((-1) ** (k - 1) * math.exp(-2.0 * (k * x) ** 2) for k in range(1, 101))))
+
+
 def f_tail_value(statistic: float, d1: float, d2: float) -> float:
     """P(F >= statistic) by Paulson's cube root."""
     if statistic <= 0:

@@ -164,6 +164,29 @@ def replicate_sums(rows: DataFrame, by: list[str], weights: Weights, key: Column
     return out
 
 
+def array_sums(df: DataFrame, columns: list[str], terms: Callable[[dict[str, np.ndarray]], np.ndarray]) -> np.ndarray:
+    """Sum over all rows of ``terms``, a function from the columns of a batch to an array of sums of any one length.
+
+    A task yields one partial sum, and what comes to the driver has the length of the array.
+    """
+    ship(df.sparkSession)
+
+    def partial(batches):
+        total = None
+        for b in batches:
+            if b.num_rows:
+                here = terms({c: b.column(c).to_numpy(zero_copy_only=False) for c in columns}).ravel()
+                total = here if total is None else total + here
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int64)), pa.array(total.astype(np.float64))],
+                                             names=["i", "v"])
+
+    found = df.select(*columns).mapInArrow(partial, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow()
+    out = np.zeros(found.num_rows)
+    out[found.column("i").to_numpy()] = found.column("v").to_numpy()
+    return out
+
+
 def pa_fields(df: DataFrame, names: list[str]) -> list[pa.Field]:
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -565,6 +565,7 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     q["draw_samples"] = (f"WITH {base}, draw AS (SELECT i AS id FROM (SELECT unnest(range((SELECT count(*) FROM days))) AS i)) "
                          f"SELECT id, {cols(DAY_ALL, '1e-4', 6)} FROM {forward(DAY_CHAIN, 'id')}")
     q["dag_local_tests"] = dag_tests()
+    q["dag_covariance_tests"] = dag_covariance()
     q["arrow_strength"] = f"""WITH {order_w} SELECT 'disc' AS parent, 'net' AS child,
         {tidy('(power(any_value(bd), 2) * var_samp(disc))')} AS strength FROM facts, w UNION ALL SELECT 'gross', 'net',
         {tidy('(power(any_value(bg), 2) * var_samp(gross))')} FROM facts, w"""
@@ -611,6 +612,7 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     q["distribution_change_orders"] = (f"WITH {FACTS}, {change_mean('facts', ORDER_CHAIN)} "
                                        + long("phi", "", ORDER_CHAIN + ["net"], "1e-3", 6))
     q["distribution_change_tested"] = change_tested(ORDER_CHAIN)
+    q["distribution_change_tested_shape"] = change_tested(ORDER_CHAIN, True)
     drawn = f"{DAYS}, {change_drawn('days', 'd', DAY_CHAIN, 2000)}"
     q["distribution_change_variance"] = (f"WITH {drawn}, vals AS (SELECT s, var_samp(net) AS v FROM mixed GROUP BY s), "
                                          f"{shapley('vals', nodes)} " + long("phi", "", nodes, "10.0", 5))
@@ -685,8 +687,8 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     return q
 
 
-def change_tested(chain) -> str:
-    """Mean change with mechanisms that pass a Chow test taken from the old side."""
+def change_tested(chain, shape: bool = False) -> str:
+    """Mean change with mechanisms that pass the change tests taken from the old side; ``shape`` adds the distance of noises."""
     parts, kept = [], []
     for i, n in enumerate(chain):
         d1 = 1 if i == 0 else 2
@@ -699,9 +701,18 @@ def change_tested(chain) -> str:
     root = "power(((pooled - rest) / d1) / (rest / d2), 1.0 / 3.0)"
     z = f"((1 - 2 / (9 * d2)) * {root} - (1 - 2 / (9 * d1))) / sqrt(2 / (9 * d2) * power({root}, 2) + 2 / (9 * d1))"
     up, down = f_score("r1", "k1", "r0", "k0"), f_score("r0", "k0", "r1", "k1")
+    level = "(0.05 / 3)" if shape else "0.025"
     for i, n in enumerate(chain):
-        same = (f"(SELECT ({normal_tail('z')}) > 0.025 AND 2 * ({normal_tail('up')}) > 0.025 AND 2 * ({normal_tail('down')}) > 0.025 "
+        same = (f"(SELECT ({normal_tail('z')}) > {level} AND 2 * ({normal_tail('up')}) > {level} AND 2 * ({normal_tail('down')}) > {level} "
                 f"FROM chow WHERE node = '{n}')")
+        if shape:
+            noise = residual(n, chain)
+            distance = (f"SELECT max(abs(ca / na - cb / nb)) AS d, any_value(na) AS na, any_value(nb) AS nb FROM (SELECT sum(a) OVER (ORDER BY v) AS ca, "
+                        f"sum(b) OVER (ORDER BY v) AS cb, sum(a) OVER () AS na, sum(b) OVER () AS nb FROM (SELECT v, sum(1.0 - side) AS a, sum(side) AS b "
+                        f"FROM (SELECT 0.0 AS side, {noise} AS v FROM old, fo UNION ALL SELECT 1.0, {noise} FROM new, fn) GROUP BY v))")
+            tail = ("2 * list_sum(list_transform(range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2 * power(k * x, 2))))")
+            same += (f" AND (SELECT {tail} > {level} FROM (SELECT (e + 0.12 + 0.11 / e) * d AS x FROM (SELECT d, sqrt(na * nb / (na + nb)) AS e "
+                     f"FROM ({distance}))))")
         for field in ([f"m_{n}"] if i == 0 else [f"a_{n}", f"b_{n}"]):
             kept.append(f"CASE WHEN {same} THEN fo.{field} ELSE fn.{field} END AS {field}")
     nodes = chain + ["net"]
@@ -714,21 +725,45 @@ def change_tested(chain) -> str:
             + f"vals AS (SELECT s, net AS v FROM {mixed}), {shapley('vals', nodes)} " + long("phi", "", nodes, "1e-3", 6))
 
 
-def dag_tests() -> str:
-    from tracecause.operators.falsification import implied_claims
-    from tracecause.plans.workload import DAILY_GRAPH
+#: What the daily graph implies, written out: a node, its parents, and what it should not depend on given these.
+DAY_CLAIMS = (("disc", ("gross",), ("n_lines", "n_orders", "peak", "qty")),
+              ("gross", ("n_lines",), ("n_orders", "peak", "qty")),
+              ("n_lines", ("n_orders",), ("peak",)),
+              ("net", ("disc", "gross"), ("n_lines", "n_orders", "peak", "qty")),
+              ("qty", ("n_lines",), ("disc", "gross", "n_orders", "net", "peak")))
+
 
+def dag_tests() -> str:
     parts = []
-    for x, z, given in implied_claims(DAILY_GRAPH):
-        if x == "net":  # an exact sum of its parents: nothing is left to correlate
-            r = "0.0::DOUBLE"
-        elif given:
-            g = given[0]
-            r = (f"(corr({x}, {z}) - corr({x}, {g}) * corr({z}, {g})) / "
-                 f"sqrt((1 - power(corr({x}, {g}), 2)) * (1 - power(corr({z}, {g}), 2)))")
-        else:
-            r = f"corr({x}, {z})"
-        parts.append(f"SELECT '{x}' AS node, '{z}' AS other, '{','.join(given)}' AS given, {len(given)} AS k, {r} AS r, "
-                     f"count(*) AS n FROM days")
+    for x, given, others in DAY_CLAIMS:
+        for z in others:
+            if x == "net":  # an exact sum of its parents: nothing is left to correlate
+                r = "0.0::DOUBLE"
+            else:
+                g = given[0]
+                r = (f"(corr({x}, {z}) - corr({x}, {g}) * corr({z}, {g})) / "
+                     f"sqrt((1 - power(corr({x}, {g}), 2)) * (1 - power(corr({z}, {g}), 2)))")
+            parts.append(f"SELECT '{x}' AS node, '{z}' AS other, '{','.join(given)}' AS given, {len(given)} AS k, {r} AS r, "
+                         f"count(*) AS n FROM days")
     return (f"WITH {DAYS}, c AS ({' UNION ALL '.join(parts)}) SELECT node, other, given, {tidy('r', '1e-7', 5)} AS partial_corr, "
             f"0.5 * ln((1 + abs(r)) / (1 - abs(r))) * sqrt(n - k - 3) > 1.959963984540054 AS violated FROM c")
+
+
+def dag_covariance() -> str:
+    """Products of held-out residuals, five folds, straight lines."""
+    fold = f"CAST(floor({u('d', 'fold')} * 5) AS INTEGER)"
+    parts = []
+    for x, given, others in DAY_CLAIMS:
+        for z in others:
+            head = f"SELECT '{x}' AS node, '{z}' AS other, '{','.join(given)}' AS given"
+            if x == "net":
+                parts.append(f"{head}, 0.0::DOUBLE AS t")
+                continue
+            g = given[0]
+            lines = ", ".join(f"regr_slope({y}, {g}) AS b{i}, regr_intercept({y}, {g}) AS a{i}" for i, y in enumerate((x, z)))
+            parts.append(f"{head}, count(*) * power(avg(p), 2) / (avg(p * p) - power(avg(p), 2)) AS t FROM (SELECT ({x} - a0 - b0 * {g}) * "
+                         f"({z} - a1 - b1 * {g}) AS p FROM k JOIN (SELECT h AS fold, {lines} FROM k, range(5) AS r(h) WHERE fold <> h "
+                         f"GROUP BY h) USING (fold))")
+    z = "((power(greatest(t, 1e-300), 1.0 / 3.0) - (1 - 2.0 / 9.0)) / sqrt(2.0 / 9.0))"
+    return (f"WITH {DAYS}, k AS (SELECT *, {fold} AS fold FROM days), c AS ({' UNION ALL '.join(parts)}) SELECT node, other, given, "
+            f"{tidy('t', '1e-7', 5)} AS statistic, t > 0 AND ({normal_tail(z)}) < 0.05 AS violated FROM c")

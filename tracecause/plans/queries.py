@@ -346,6 +346,12 @@ def noise_independence(spark, sf_dir):
                       "rejected")
 
 
+def independence_kernel(spark, sf_dir):
+    df = days(spark, sf_dir)
+    out = evaluation.kernel_independence(day_model(df, 0), df)
+    return out.select("node", "parent", "n", "scale", tidy("statistic", digits=5).alias("statistic"), "rejected")
+
+
 def period_divergence(spark, sf_dir):
     old, new = old_new(days(spark, sf_dir))
     out = evaluation.binned_kl(old, new, DAILY_NODES)
@@ -379,6 +385,16 @@ def dag_local_tests(spark, sf_dir):
     return out.select("node", "other", "given", tidy("partial_corr", 1e-7, 5).alias("partial_corr"), "violated")
 
 
+def dag_covariance_tests(spark, sf_dir):
+    out = falsification.covariance_claims(days(spark, sf_dir), DAILY_GRAPH, day(), "linear", False)
+    return out.select("node", "other", "given", tidy("statistic", 1e-7, 5).alias("statistic"), "violated")
+
+
+def dag_falsify_covariance(spark, sf_dir):
+    """The verdict by held-out residuals of product mechanisms, of the nodes and of their squares."""
+    return falsification.falsify(facts(spark, sf_dir), ORDER_GRAPH, 20, method="covariance", key=F.col("o_orderkey"))
+
+
 def dag_permutations(spark, sf_dir):
     return falsification.permutations(facts(spark, sf_dir), ORDER_GRAPH, 20)
 
@@ -473,6 +489,12 @@ def distribution_change_tested(spark, sf_dir):
     return out.select("node", tidy("score", 1e-3, 6).alias("score"))
 
 
+def distribution_change_tested_shape(spark, sf_dir):
+    """As ``distribution_change_tested``, the whole distribution of each noise being compared, too."""
+    out = change.distribution_change(facts(spark, sf_dir), is_new(), ORDER_GRAPH, TARGET, test_change="shape")
+    return out.select("node", tidy("score", 1e-3, 6).alias("score"))
+
+
 def distribution_change_variance(spark, sf_dir):
     out = change.distribution_change(days(spark, sf_dir), is_new(), DAILY_GRAPH, TARGET, change.variance, 2000, key=day())
     return out.select("node", tidy("score", 10.0, 5).alias("score"))
@@ -622,6 +644,7 @@ QUERIES = [
     intrinsic_influence, intrinsic_sampled, anomaly_score, z_score, attribute_anomalies, attribute_orders,
     distribution_change, distribution_change_orders, distribution_change_tested, distribution_change_variance,
     distribution_change_python, distribution_change_kl, interventional_draws, bootstrap_refit, bootstrap_resample, subsample_interval, rerun_interval, anomaly_interval,
+    independence_kernel, dag_covariance_tests, dag_falsify_covariance, distribution_change_tested_shape,
     change_interval_tested, change_interval_python, influence_interval, arrow_interval,
     intervene, intervene_counterfactual, before_after, intervention_interval, batch_scores, stream_scores,
 ]
