@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -94,22 +95,91 @@ def test_op3_groups(spark, make_docs, table_dir, sample_texts):
     assert op3_simhash(spark, table_dir(documents=make_docs(rows).limit(0))).count() == 0
 
 
+UNIT, WORD = re.compile(r"[^\n.!?]+[.!?]*|[.!?]+"), re.compile(r"\w+")
+
+
+def plain_units(text, least):
+    """(start, end, words) by loops over characters and words; only hashes of words are asked of the operator."""
+    pieces = []
+    for m in UNIT.finditer(text):
+        at, held = m.start(), []
+        words = list(WORD.finditer(text, m.start(), m.end()))
+        h = [int(linededup.words_of(w[0])[2][0]) for w in words]
+        for i, w in enumerate(words):
+            held.append("".join(c.lower() if len(c.lower()) == 1 else c for c in w[0]))
+            if 3 <= i < len(h) - 3 and h[i] < min(h[i - 3:i]) and h[i] <= min(h[i + 1:i + 4]):
+                pieces.append((at, w.end(), held))
+                at, held = w.end(), []
+        if held:
+            pieces.append((at, m.end(), held))
+    count = lambda a, b: sum(len(pieces[k][2]) for k in range(a, b + 1))
+    runs = set()
+    for a in range(len(pieces)):
+        for b in range(a, len(pieces)):
+            if count(a, b) >= least:
+                runs.add((a, b))  # shortest from a on
+                while count(a + 1, b) >= least:
+                    a += 1
+                runs.add((a, b))  # and shortest up to b
+                break
+    for b in range(len(pieces)):
+        for a in range(b, -1, -1):
+            if count(a, b) >= least:
+                runs.add((a, b))
+                break
+    if pieces and not runs:
+        runs = {(0, len(pieces) - 1)}
+    shortest = [(a, b) for a, b in runs if count(a, b) < least or count(a + 1, b) < least or count(a, b - 1) < least]
+    return [(pieces[a][0], pieces[b][1], [w for p in pieces[a:b + 1] for w in p[2]]) for a, b in sorted(shortest)]
+
+
 def brute_spans(rows, least):
     seen, out = {}, {}
     docs = sorted({(i, t) for i, t in rows if t is not None}, key=lambda x: (x[0] is not None, x[0] or 0))
     for i, t in docs:
-        again = []
-        for seq, (start, stop, words, *digest) in enumerate(linededup.units(t)):
-            if tuple(digest) in seen:
-                again.append({"seq": seq, "start": start, "stop": stop, "words": words, "origin": seen[tuple(digest)]})
-            else:
-                seen[tuple(digest)] = i
-        spans, _ = linededup.runs(again, least)
+        spans, last = [], None
+        for seq, (start, stop, words) in enumerate(plain_units(t, least)):
+            if tuple(words) not in seen:
+                seen[tuple(words)] = i
+            elif len(words) >= least:
+                if spans and (start < spans[-1]["stop"] or seq == last + 1):
+                    spans[-1]["stop"] = max(stop, spans[-1]["stop"])
+                else:
+                    spans.append({"start": start, "stop": stop, "origin": seen[tuple(words)]})
+                last = seq
         if spans:
             out[i, t] = spans
     return out
 
 
+def test_units_of_odd_texts(sample_texts):
+    r = random.Random(3)
+    odd = ["", "a", ".", "...!a.b", "a.\n.b\n\nc!?d", "İstanbul ǅ ß Σς", "word_1 x2\u0301 \U0001f600 東京", " . ", "a" * 50]
+    odd += ["".join(r.choice("ab. \n!") for _ in range(200)) for _ in range(60)] + [t for _, t, _ in sample_texts[:40] if t and len(t) < 4000]
+    table = linededup.unit_table(odd, 4)
+    for k, t in enumerate(odd):
+        mine = table["text"] == k
+        got = list(zip(*(table[c][mine].tolist() for c in ("start", "stop", "words"))))
+        want = plain_units(t, 4)
+        assert got == [(a, b, len(w)) for a, b, w in want], t
+        assert table["seq"][mine].tolist() == list(range(len(want)))
+    digests = {}
+    for k in range(len(table["hi"])):
+        words = tuple(plain_units(odd[table["text"][k]], 4)[table["seq"][k]][2])
+        assert digests.setdefault(words, (table["hi"][k], table["lo"][k])) == (table["hi"][k], table["lo"][k])
+    assert len(set(digests.values())) == len(digests)
+
+
+def test_units_do_not_depend_on_chunks(monkeypatch, sample_texts):
+    texts = [t for _, t, _ in sample_texts if t][:50] + ["x" * 500, "long " * 300 + "y" * 300]
+    want = linededup.unit_table(texts)
+    monkeypatch.setattr(linededup, "CHUNK", 64)
+    linededup.powers.cache_clear()
+    got = linededup.unit_table(texts)
+    linededup.powers.cache_clear()
+    assert all((got[c] == want[c]).all() for c in want)
+
+
 def test_repeated_spans(spark, make_docs, sample_texts):
     passage = "Shared words of a passage that goes on. " + " ".join(f"p{i}" for i in range(60)) + ". And its end is here too"
     rows = [(i, t) for i, t, _ in sample_texts[:60]] + [(500, "Own start, then " + passage + "."), (501, "Other\n" + passage + "!"), (502, ""),
@@ -119,7 +189,7 @@ def test_repeated_spans(spark, make_docs, sample_texts):
     got = {r["doc_id"]: [s.asDict() for s in r["spans"]] for r in spans.collect()}
     want = {i: s for (i, _), s in brute_spans(rows, linededup.LEAST_WORDS).items()}
     assert got == want and 501 in got and 499 not in got
-    stripped = {r["doc_id"]: r["text"] for r in linededup.strip(make_docs(rows), spans).collect()}
+    stripped = {r["doc_id"]: r["text"] for r in linededup.strip(make_docs(rows, clash=True), spans).collect()}
     assert len(stripped) == len(rows) and "p30 p31" in stripped[500] and "p30 p31" not in stripped[501]
     assert stripped[503] is None
 
@@ -137,7 +207,7 @@ def test_repeated_stretches_by_plain_search(spark, make_docs):
     gone = {x["doc_id"]: x["spans"] for x in linededup.repeated_spans(make_docs(rows)).collect()}
     seen = {}
     for i, t in rows:
-        words = [(m[0], *m.span()) for m in linededup.WORD.finditer(t)]
+        words = [(m[0], *m.span()) for m in WORD.finditer(t)]
         cut = [any(s["start"] <= a and b <= s["stop"] for s in gone.get(i, ())) for _, a, b in words]
         again = [False] * len(words)
         for at in range(len(words) - 7):
@@ -215,6 +285,6 @@ def test_both_ways_agree_with_plain_search(spark, sf_dir, table_dir):
     other = templates.with_leaks(docs, bench, index_windows=0).select("doc_id", F.explode("leaks").alias("l")).select("doc_id", "l.item_id")
     assert {tuple(r) for r in other.collect()} == got
     # Items that stand in a document word for word are all found.
-    words = lambda t: " " + " ".join(linededup.WORD.findall((t or "").lower())) + " "
+    words = lambda t: " " + " ".join(WORD.findall((t or "").lower())) + " "
     plain = {(d["doc_id"], b["item_id"]) for d in docs.collect() for b in bench.collect() if words(b["text"]) in words(d["text"])}
     assert plain and plain <= got
