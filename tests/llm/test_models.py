@@ -37,7 +37,8 @@ def code(gram):
 
 
 def test_language_by_brute_force(spark, make_docs, table_dir, sample_texts):
-    rows = sample_texts[:80] + [(1000, "123 !!", "en"), (1001, None, "de"), (1002, "", None), (None, "the and of", None)]
+    rows = sample_texts[:80] + [(1000, "123 !!", "en"), (1001, None, "de"), (1002, "", None), (None, "the and of", None),
+                                 (1003, "\u2764\ufe0f 123", "en"), (1005, "\u0301\u0302", "en")]  # marks are no letters
     got = op6_language(spark, table_dir(documents=make_docs(rows, clash=True))).collect()
     learned = defaultdict(Counter)
     for i, t, lang in rows:
@@ -47,6 +48,8 @@ def test_language_by_brute_force(spark, make_docs, table_dir, sample_texts):
                for lang, c in learned.items() if c}
 
     def nearest(t):
+        if not any(c.isalpha() for c in t or ""):
+            return "und", 0.0
         own = sorted(naive_grams(t or "").items(), key=lambda x: (-x[1], code(x[0])))[:langid.SIZE]
         if not own:
             return "und", 0.0
@@ -152,15 +155,13 @@ def test_archives(spark, table_dir, tmp_path):
 
 
 def brute(rows, every, k):
-    good = {}
-    for i, v in rows:
-        if i is not None and v is not None and len(v) == 8 and None not in v and np.isfinite(v).all() and any(v):
-            good[i] = max(good.get(i, v), v)
+    """{(query id, number of the row): [(id, score)]}, every row being a candidate of all others."""
+    good = [(i, v) for i, v in rows if i is not None and v is not None and len(v) == 8 and None not in v and np.isfinite(v).all() and any(v)]
     out = {}
-    for q in good:
+    for at, (q, v) in enumerate(good):
         if q % every == 0:
-            s = sorted((-float(np.dot(good[q], good[i])), i) for i in good if i != q)
-            out[q] = [(i, -d) for d, i in s[:k]]
+            s = sorted((-float(np.dot(v, w)), i) for k, (i, w) in enumerate(good) if k != at)
+            out[q, at] = [(i, -d) for d, i in s[:k]]
     return out
 
 
@@ -169,18 +170,38 @@ def test_neighbours_small_and_odd(spark, table_dir):
     rows = [(i, r.normal(size=8).astype(np.float32).astype(float).tolist()) for i in range(90)]
     rows += [(100 + i, rows[3][1]) for i in range(30)] + [(200, None), (201, [0.0] * 8), (202, [1.0] * 7), (203, [None, *[1.0] * 7]),
                                                           (204, [float("nan")] * 8), (None, [1.0] * 8), (4, rows[4][1])]
+    # A second row of an id with another vector, the nearest of row 0 by far; and a query whose row is there twice.
+    rows += [(7, [3 * c for c in rows[0][1]]), (40, rows[40][1])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "0 AS label", "1 AS node", "2 AS x", "3 AS rank")
     got = defaultdict(list)
     for x in sorted(op10_neighbours(spark, table_dir(embeddings=df)).collect(), key=lambda x: x["rank"]):
         got[x["query_id"]].append((x["vec_id"], x["score"]))
-    want = brute(rows, 20, 20)
-    assert set(got) == set(want)
+    want = defaultdict(list)
+    for (q, _), found in brute(rows, 20, 20).items():
+        want[q] += enumerate(found)
+    assert set(got) == set(want) and got[0][0][0] == 7
     for q in want:
-        assert [i for i, _ in got[q]] == [i for i, _ in want[q]]
-        np.testing.assert_allclose([s for _, s in got[q]], [s for _, s in want[q]])
+        expected = [x for _, x in sorted(want[q], key=lambda x: x[0])]
+        assert [i for i, _ in got[q]] == [i for i, _ in expected]
+        np.testing.assert_allclose([s for _, s in got[q]], [s for _, s in expected])
     assert op10_neighbours(spark, table_dir(embeddings=df.limit(0))).count() == 0
 
 
+def test_vectors_of_any_size(spark):
+    """Inner products beyond 32-bit floats: shrinking all vectors alike changes no order."""
+    r = np.random.default_rng(6)
+    x = (r.normal(size=(1200, 8)) * 1e25).astype(np.float32)
+    got = defaultdict(set)
+    for row in neighbours.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")).collect():
+        got[row["query_id"]].add(row["vec_id"])
+    wide, hits = x.astype(np.float64), 0
+    for q in got:
+        s = wide @ wide[q]
+        s[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-s)[:20].tolist())) / 20
+    assert len(got) == 60 and hits / 60 >= 0.9
+
+
 def test_recall(spark, sf_dir):
     df = spark.read.parquet(f"{MEDIUM}/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"]) for r in df.select("vec_id", "embedding").collect()]

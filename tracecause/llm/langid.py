@@ -4,7 +4,7 @@ Each language keeps its most frequent 1- to 3-grams in order of rank. A document
 its distance to a language is the sum over them of how far each is out of place, ``size`` where the language lacks it.
 The nearest language wins, the first in alphabetical order of equals.
 
-Edge cases: null texts count as empty. Texts without a letter are ``und`` with score 0, and so is every text when
+Edge cases: null texts count as empty. Texts without a letter (combining marks are none) are ``und`` with score 0, and so is every text when
 there is nothing to learn from. Rows with a null language or text are not learned from. Repeated rows count each time.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracecause.llm.common import map_batches, map_rows
-from tracecause.llm.ngrams import counted, letter_grams, letters
+from tracecause.llm.ngrams import counted, has_letters, letter_grams
 
 #: N-grams in a profile, and characters that are sorted at a time while counting.
 SIZE, CHUNK = 400, 1_000_000
@@ -74,9 +74,9 @@ class Ranker:
 
     def nearest(self, text: str) -> tuple[str, float]:
         """The language, and 1 less the share of the largest possible distance."""
-        codes, n = counted(letter_grams(text))
-        if not len(codes) or not self.names:
+        if not self.names or not has_letters(text):
             return UNKNOWN, 0.0
+        codes, n = counted(letter_grams(text))
         own = codes[np.argsort(-n, kind="stable")[:self.size]]
         at = np.searchsorted(self.grams, own)
         at[at < len(self.grams)] = np.where(self.grams[at[at < len(self.grams)]] == own[at < len(self.grams)],
@@ -90,7 +90,3 @@ class Ranker:
 def predict(docs: DataFrame, languages: dict[str, list[int]], keep: list[str], size: int = SIZE) -> DataFrame:
     """``lang_pred`` and ``score`` (0 to 1) of every whole ``text``, beside the columns ``keep``."""
     return map_rows(docs, lambda: Ranker(languages, size).nearest, keep, "lang_pred string, score double")
-
-
-def has_letters(text: str) -> bool:
-    return len(letters(text)) > 0

@@ -20,6 +20,16 @@ def letter_table() -> np.ndarray:
     return table
 
 
+@functools.cache
+def plain_letters() -> np.ndarray:
+    """For each code point: is it a letter? Combining marks alone make no word."""
+    return np.fromiter((not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c))[0] == "L" for c in range(MAX_CODE)), bool, MAX_CODE)
+
+
+def has_letters(text: str) -> bool:
+    return bool(plain_letters()[code_points(text)].any())
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
