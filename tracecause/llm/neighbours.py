@@ -15,8 +15,8 @@ bucket asks for a vector once however many of its nodes need it, so hubs cost on
 to a bucket once however many of its nodes are scored.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do those of another length
-than most (the shortest of equally frequent lengths counts). Repeated ids are listed once, with the largest of their
-vectors in array order. Null ids take no part. Ties go to the smaller id. With fewer candidates all are listed.
+than most (the shortest of equally frequent lengths counts). Rows of one id are rows of their own: each is a candidate, each
+asks if its id is asked for, and none finds itself. Null ids take no part. Ties go to the smaller id. With fewer candidates all are listed.
 """
 
 from __future__ import annotations
@@ -42,15 +42,14 @@ def bucket_of(ids, buckets: int):
 
 
 def usable(rows: DataFrame, id_column: str, vector: str) -> DataFrame:
-    """(id, x): one row per id, ``x`` an array of doubles of the usual length that takes part."""
+    """(id, x): the rows that take part, ``x`` an array of doubles of the usual length."""
     x = F.col("x")
     good = rows.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("x"))
     good = good.where(F.col("id").isNotNull() & x.isNotNull() & (F.size(x) > 0)
                       & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
                       & F.exists(x, lambda c: c != 0))
     lengths = good.groupBy(F.size(x).alias("d")).count().orderBy(F.desc("count"), "d").first()
-    good = good.where(F.size(x) == (lengths["d"] if lengths else 0))
-    return good.groupBy("id").agg(F.max("x").alias("x"))
+    return good.where(F.size(x) == (lengths["d"] if lengths else 0))
 
 
 def as_nodes(rows: DataFrame, keep: int):
@@ -65,13 +64,13 @@ def matrix(column, width: int) -> np.ndarray:
 
 
 def packed(nodes: DataFrame, longest: float, buckets: int) -> DataFrame:
-    """(bucket, node, vec): 32-bit vectors of equal length; the added component is last."""
+    """(bucket, node, vec): 32-bit vectors of length one, all shrunk alike; the added component is last."""
     schema = pa.schema([("node", pa.int64()), ("vec", pa.binary())])
 
     def run(batches):
         for b in batches:
-            x = np.array(b.column(1).flatten(), dtype=np.float64).reshape(b.num_rows, -1)
-            last = np.sqrt(np.maximum(longest - (x ** 2).sum(axis=1), 0.0))
+            x = np.array(b.column(1).flatten(), dtype=np.float64).reshape(b.num_rows, -1) / longest ** 0.5
+            last = np.sqrt(np.maximum(1.0 - (x ** 2).sum(axis=1), 0.0))
             vec = np.column_stack((x, last)).astype(np.float32)
             yield pa.RecordBatch.from_pydict({"node": b.column(0), "vec": [v.tobytes() for v in vec]}, schema)
 
@@ -297,13 +296,18 @@ def search(rows: DataFrame, every: int = 20, k: int = 20, id_column: str = "vec_
     edges = build_graph(vectors, facts["n"], width, buckets)
     pivots = [r["node"] for r in nodes.orderBy(F.desc(norm), "node").limit(PIVOTS).collect()]
     asking = points.where(F.col("id") % every == 0).select(F.col("id").alias("query_id"), F.col("x").alias("qx"))
-    by_node = cut_lineage(asking.join(nodes.select("node", F.col("x").alias("qx")), "qx").select("query_id", "node", "qx"))
+    asking = asking.groupBy("query_id", "qx").agg(F.count("*").cast("int").alias("copies"))
+    by_node = cut_lineage(asking.join(nodes.select("node", F.col("x").alias("qx")), "qx").select("query_id", "node", "qx", "copies"))
     queries = by_node.select(F.col("node").alias("q")).distinct().join(vectors.select(F.col("node").alias("q"), "vec"), "q")
     found = greedy(edges, vectors, queries, pivots, -(-facts["n"] // SEARCH_BUCKET), width)
     # Exact scores once per pair of vectors, then members.
     pairs = found.join(nodes.select(F.col("node").alias("v"), "members", "x"), "v")
     both = pairs.join(by_node.withColumnRenamed("node", "q"), "q")
     exact = F.aggregate(F.zip_with("qx", "x", lambda a, b: a * b), F.lit(0.0), lambda s, c: s + c)
-    listed = both.select("query_id", exact.alias("score"), F.explode("members").alias("vec_id")).where("query_id <> vec_id")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return listed.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    # Of the rows with the query's own vector one is the query.
+    itself = F.when(F.col("q") == F.col("v"), F.array_position("members", F.col("query_id")) - 1).otherwise(-1)
+    listed = both.select("query_id", "q", "copies", exact.alias("score"), itself.alias("itself"), F.posexplode("members").alias("at", "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id"))
+    best = listed.where(F.col("at") != F.col("itself")).withColumn("rank", rank).where(F.col("rank") <= k)
+    each = best.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return each.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
