@@ -13,7 +13,7 @@ from tracecause.functions.randomness import uniform
 from tracecause.functions.statistics import normal_bin
 from tracecause.operators.evaluation import KL_BINS, kl_of_counts
 from tracecause.operators.frames import complete
-from tracecause.operators.mechanisms import CausalModel, Mechanism, first_rows, noise_table
+from tracecause.operators.mechanisms import CausalModel, Mechanism, evaluate_nodes, first_rows, noise_table, prefetch
 from tracecause.operators.shapley import coalition_plan
 
 
@@ -122,12 +122,14 @@ def _kl_strength(model: CausalModel, df: DataFrame, target: str, key: Column, se
     return kl_of_counts(counts, ["parent", "child"], KL_BINS, "strength")
 
 
-def intrinsic(spark: SparkSession, model: CausalModel, target: str, draws: int = 500, outer: int = 200,
-              seed: int = 0, linear: bool | None = None) -> DataFrame:
+def intrinsic(spark: SparkSession, model: CausalModel, target: str, draws: int = 500, seed: int = 0,
+              linear: bool | None = None) -> DataFrame:
     """``(node, score)``: the share of the target's variance that each node adds itself.
 
-    ``v(S) = Var(Y) - E[Var(Y | noise of S)]``. Linear models have the closed form effect^2 * Var(noise).
-    Otherwise ``outer`` draws of the noise in S are each completed ``draws`` times.
+    ``v(S) = Var(E[Y | noise of S])``. Linear models have the closed form effect^2 * Var(noise). Otherwise noise is drawn in
+    ``draws`` pairs and frozen by coalition: ``v(S)`` is the covariance of Y with the target whose noise outside S comes from the
+    other of the pair, one evaluation per pair and coalition. The linear part of Y, whose v(S) is known, goes through
+    the same pairs as a control, so what is estimated is only the part of v(S) that no straight line gives.
     """
     nodes = model.graph.closure(target)
     if linear is None:
@@ -136,17 +138,39 @@ def intrinsic(spark: SparkSession, model: CausalModel, target: str, draws: int =
         _, effect = model.total_effects(target)
         return spark.createDataFrame([(n, float(effect[n] ** 2 * model[n].noise_var)) for n in nodes],
                                      "node string, score double")
+    if draws < 2:
+        raise ValueError("at least two pairs of draws")
     plan = coalition_plan(nodes, seed=seed)
-    base = spark.range(outer).select(F.col("id").alias("outer_id"))
-    base = model.with_draws(base, F.col("outer_id"), nodes, "outer", seed, suffix="__fix")
-    base = base.withColumn("inner_id", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
-    cell = F.concat_ws("/", "outer_id", "inner_id")
-    base = model.with_draws(base, cell, nodes, "inner", seed, suffix="__var")
-    grid = plan.explode(base)
+    prefetch([(model, nodes, draws, label, seed) for label in ("outer", "inner")])
+    fixed, varied = ({n: np.broadcast_to(model[n].noise_values(draws, label, seed), (draws,)) for n in nodes} for label in ("outer", "inner"))
+    y = np.broadcast_to(evaluate_nodes(nodes, model.mechanisms, fixed)[target], (draws,))
+    # The best straight line of the target in the noises, over the pairs' first halves.
+    noisy = [n for n in nodes if np.ptp(fixed[n]) > 0]
+    slope = dict.fromkeys(nodes, 0.0)
+    if noisy:
+        x = np.column_stack([(fixed[n] - fixed[n].mean()) / fixed[n].std() for n in noisy])
+        found, *_ = np.linalg.lstsq(x, y - y.mean(), rcond=1e-9)
+        slope |= {n: float(b / fixed[n].std()) for n, b in zip(noisy, found)}
+    centre = float(y.mean())
+    line = sum(slope[n] * (fixed[n] - fixed[n].mean()) for n in nodes)
+    pairs = {"__y": y - centre, "__line": np.broadcast_to(line, (draws,))}
+    for n in nodes:
+        pairs |= {f"{n}__fix": fixed[n], f"{n}__var": varied[n], f"{n}__lf": slope[n] * (fixed[n] - fixed[n].mean()),
+                  f"{n}__lv": slope[n] * (varied[n] - fixed[n].mean())}
+    grid = plan.explode(spark.createDataFrame(pd.DataFrame(pairs)))
+    along = F.lit(0.0)
     for n in nodes:
         values = {p: F.col(p) for p in nodes}
-        noise = F.when(plan.has(n), F.col(f"{n}__fix")).otherwise(F.col(f"{n}__var"))
-        grid = grid.withColumn(n, model[n].predict_column(values) + noise)
-    inner = grid.groupBy("slot", "coalition", "outer_id").agg(F.var_pop(F.col(target)).alias("v"))
-    values = inner.groupBy("slot", "coalition").agg(F.avg("v").alias("v"))
-    return plan.shares(values, -F.col("v"))
+        grid = grid.withColumn(n, model[n].predict_column(values) + F.when(plan.has(n), F.col(f"{n}__fix")).otherwise(F.col(f"{n}__var")))
+        along = along + F.when(plan.has(n), F.col(f"{n}__lf")).otherwise(F.col(f"{n}__lv"))
+    grid = grid.select("slot", "coalition", "__y", "__line", (F.col(target) - centre).alias("__other"), along.alias("__along"))
+
+    def frozen(a, b):
+        """Covariance of a pair of equal laws: both means are of one number."""
+        return F.avg(F.col(a) * F.col(b)) - F.pow((F.avg(a) + F.avg(b)) / 2.0, 2)
+
+    values = grid.groupBy("slot", "coalition").agg((frozen("__y", "__other") - frozen("__line", "__along")).alias("rest"))
+    known = F.lit(0.0)
+    for n in nodes:
+        known = known + F.when(plan.has(n), F.lit(float(slope[n] ** 2 * model[n].noise_var))).otherwise(0.0)
+    return plan.shares(values.withColumn("v", F.col("rest") + known), F.col("v"))

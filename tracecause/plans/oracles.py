@@ -581,15 +581,8 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     q["intrinsic_influence"] = f"WITH {order_w}{influence('facts', ORDER_CHAIN)} " + long("i", "", ORDER_CHAIN + ["net"],
                                                                                           digits=6)
     nodes = DAY_CHAIN + ["net"]
-    fixed = ", ".join(f"w_{n} * {pick('p_' + n, u('o', n, chr(39) + 'outer' + chr(39)))} AS x_{n}" for n in DAY_CHAIN)
-    inner_id = "CAST(o AS VARCHAR) || '/' || CAST(i AS VARCHAR)"
-    varied = ", ".join(f"w_{n} * {pick('p_' + n, u('(' + inner_id + ')', n, chr(39) + 'inner' + chr(39)))} AS y_{n}"
-                       for n in DAY_CHAIN)
-    y = " + ".join(f"CASE WHEN s & {1 << j} > 0 THEN x_{n} ELSE y_{n} END" for j, n in enumerate(DAY_CHAIN))
-    q["intrinsic_sampled"] = (f"WITH {day_w}, {pools('days', 'd', DAY_CHAIN)}, g AS (SELECT o, i, {fixed}, {varied} FROM w, pool, "
-                              f"range(100) AS a(o), range(200) AS b(i)), ys AS (SELECT o, s, {y} AS y FROM g, range(64) AS c(s)), "
-                              f"vals AS (SELECT s, -avg(v) AS v FROM (SELECT o, s, var_pop(y) AS v FROM ys GROUP BY o, s) "
-                              f"GROUP BY s), {shapley('vals', nodes)} " + long("phi", "", nodes, "1e-3", 5))
+    # Of a linear target the control is all there is, and the estimate is the closed form.
+    q["intrinsic_sampled"] = f"WITH {day_w}{influence('days', DAY_CHAIN)} " + long("i", "", nodes, "1e-3", 5)
     day_pool = f"{day_w}, {pools('days', 'd', DAY_CHAIN)}"
     day_attr = f"{day_pool}, {attribution('days', 'd', DAY_CHAIN, draws)}"
     g = f"-ln(least(2 * greatest(t / {draws}::DOUBLE, 1.0 / {draws + 1}::DOUBLE), 1.0))"

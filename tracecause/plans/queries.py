@@ -432,7 +432,7 @@ def intrinsic_influence(spark, sf_dir):
 
 def intrinsic_sampled(spark, sf_dir):
     df = days(spark, sf_dir)
-    return influence.intrinsic(spark, day_model(df), TARGET, draws=200, outer=100, linear=False).select(
+    return influence.intrinsic(spark, day_model(df), TARGET, draws=500, linear=False).select(
         "node", tidy("score", 1e-3, 5).alias("score"))
 
 
