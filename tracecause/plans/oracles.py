@@ -476,20 +476,19 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     nodes = ["n_lines", "qty", "gross", "disc"]
     res = ", ".join(f"{residual(n, ORDER_CHAIN)} AS r_{n}" for n in nodes)
     q["empirical_noise"] = f"""WITH {FACTS}, {fits('facts', ORDER_CHAIN)} SELECT o_orderkey,
-        {', '.join(f"{tidy('r_' + n, '1e-4', 6)} AS {n}" for n in nodes)} FROM (SELECT o_orderkey, {res} FROM facts, f)"""
+        {', '.join(f"{tidy('r_' + n, '1e-4', 6)} AS {n}" for n in nodes)}, 0.0::DOUBLE AS net FROM (SELECT o_orderkey, {res} FROM facts, f)"""
     q["noise_pool"] = f"WITH {DAYS}, {fits('days', DAY_CHAIN)}, {pools('days', 'd', DAY_CHAIN, ['qty'])} " + " UNION ALL ".join(
         f"SELECT '{n}' AS node, i AS pos, {tidy('v', '1e-4', 6)} AS noise FROM (SELECT unnest(p_{n}) AS v, "
-        f"unnest(range(len(p_{n}))) AS i FROM pool)" for n in DAY_CHAIN + ["qty"])
+        f"unnest(range(len(p_{n}))) AS i FROM pool)" for n in DAY_CHAIN + ["qty"]) + (
+        " UNION ALL SELECT 'net', unnest(range(len(p_peak))), 0.0::DOUBLE FROM pool")
     fold = f"CAST(floor({u('d', 'fold')} * 5) AS INTEGER)"
     single = list(zip(DAY_CHAIN, DAY_CHAIN[1:])) + [("n_lines", "qty")]
-    cv = " UNION ALL ".join(
-        f"SELECT '{y}' AS node, avg(power({y} - my, 2)) AS mean, avg(power({y} - a - b * {x}, 2)) AS linear FROM k JOIN "
-        f"(SELECT h AS fold, avg({y}) AS my, regr_slope({y}, {x}) AS b, regr_intercept({y}, {x}) AS a FROM k, range(5) AS "
-        f"r(h) WHERE fold <> h GROUP BY h) USING (fold)" for x, y in single)
-    q["auto_assign"] = f"""WITH {DAYS}, k AS (SELECT *, {fold} AS fold FROM days), cv AS ({cv})
-        SELECT node, 'mean' AS candidate, {tidy('mean', digits=6)} AS cv_mse, false AS chosen FROM cv
-        UNION ALL SELECT node, 'linear', {tidy('linear', digits=6)}, true FROM cv
-        UNION ALL SELECT 'peak', 'empirical', NULL, true"""
+    cv = cross_validated("k", single, ("peak",))
+    q["auto_assign"] = f"WITH {DAYS}, k AS (SELECT *, {fold} AS fold FROM days), cv AS ({cv}) {assignment_rows('peak')}"
+    order_fold = f"CAST(floor({u('o_orderkey', 'fold')} * 5) AS INTEGER)"
+    order_pairs = list(zip(ORDER_CHAIN, ORDER_CHAIN[1:])) + [("n_lines", "qty")]
+    q["auto_assign_products"] = (f"WITH {FACTS}, k AS (SELECT *, {order_fold} AS fold FROM facts), cv AS ("
+                                 f"{cross_validated('k', order_pairs)}) {assignment_rows('n_lines')}")
     metric = []
     for n in nodes:
         r = residual(n, ORDER_CHAIN)
@@ -499,6 +498,8 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
         metric.append(f"SELECT '{n}' AS node, 'crps' AS metric, sum((2 * i - n - 1) * r) / (any_value(n) * any_value(n)) "
                       f"/ any_value(sd) AS value FROM (SELECT r, row_number() OVER (ORDER BY r) AS i, count(*) OVER ()::DOUBLE AS n, "
                       f"stddev_samp(x) OVER () AS sd FROM (SELECT {r} AS r, {n} AS x FROM facts, f))")
+    metric.append("SELECT 'net' AS node, 'mse' AS metric, 0.0::DOUBLE AS value UNION ALL SELECT 'net', 'r2', 1.0::DOUBLE "
+                  "UNION ALL SELECT 'net', 'crps', 0.0::DOUBLE")
     q["mechanism_metrics"] = (f"WITH {FACTS}, {fits('facts', ORDER_CHAIN)} SELECT node, metric, "
                               f"{tidy('value', digits=6)} AS value FROM (" + " UNION ALL ".join(metric) + ")")
     bins = []
@@ -516,7 +517,8 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
         z AS (SELECT *, {z} AS z FROM g)"""
     q["noise_independence"] = f"""WITH {DAYS}, {fits('days', DAY_CHAIN)}, {tests}
         SELECT node, parent, CAST(n AS BIGINT) AS n, {tidy('g', digits=6)} AS g, dof,
-        least(({normal_tail('z')}) * 5, 1.0) < 0.05 AS rejected FROM z"""
+        least(({normal_tail('z')}) * 7, 1.0) < 0.05 AS rejected FROM z
+        UNION ALL SELECT 'net', unnest(['disc', 'gross']), (SELECT count(*) FROM days), 0.0::DOUBLE, 0, false"""
 
     def divergence(a, b, nodes, zero="1e-6", digits=6):
         out = []
@@ -553,14 +555,16 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
         report.append(f"SELECT 'performance' AS section, '{n}' AS node, 'crps' AS metric, sum((2 * i - n - 1) * r) / "
                       f"(any_value(n) * any_value(n)) / any_value(sd) AS value FROM (SELECT r, row_number() OVER (ORDER BY r) AS i, count(*) OVER ()::DOUBLE AS n, "
                       f"stddev_samp(x) OVER () AS sd FROM (SELECT {r} AS r, {n} AS x FROM days, f))")
+    report.append("SELECT 'performance' AS section, 'net', unnest(['mse', 'r2', 'crps']), unnest([0.0::DOUBLE, 1.0, 0.0])")
     report.append("SELECT 'baseline' AS section, node, 'cv_mse:mean', mean FROM cv UNION ALL "
-                  "SELECT 'baseline', node, 'cv_mse:linear', linear FROM cv")
-    report.append(f"SELECT 'invertibility', node, 'p:' || parent, least(({normal_tail('z')}) * 5, 1.0) FROM z")
+                  "SELECT 'baseline', node, 'cv_mse:linear', linear FROM cv UNION ALL SELECT 'baseline', node, 'cv_mse:poly', poly FROM cv")
+    report.append(f"SELECT 'invertibility', node, 'p:' || parent, least(({normal_tail('z')}) * 7, 1.0) FROM z UNION ALL "
+                  "SELECT 'invertibility', 'net', unnest(['p:disc', 'p:gross']), 1.0::DOUBLE")
     report = [f"SELECT section, node, metric, {tidy('value', '1e-5', 5)} AS value FROM ({' UNION ALL '.join(report)})"]
     report.append(f"SELECT 'divergence' AS section, node, 'kl' AS metric, kl AS value FROM "
-                  f"({divergence('days', 'gen', DAY_CHAIN + ['qty'], '1e-5', 5)})")
+                  f"({divergence('days', 'gen', DAY_ALL, '1e-5', 5)})")
     q["evaluate_model"] = (
-        f"WITH {base}, draw AS (SELECT i AS id FROM range(2000) AS r(i)), gen AS (SELECT * FROM {forward(DAY_CHAIN, 'id', rep)}), "
+        f"WITH {base}, draw AS (SELECT i AS id FROM range(10000) AS r(i)), gen AS (SELECT * FROM {forward(DAY_CHAIN, 'id', rep)}), "
         f"k AS (SELECT *, {fold} AS fold FROM days), cv AS ({cv}), {tests} " + " UNION ALL ".join(report))
     q["draw_samples"] = (f"WITH {base}, draw AS (SELECT i AS id FROM (SELECT unnest(range((SELECT count(*) FROM days))) AS i)) "
                          f"SELECT id, {cols(DAY_ALL, '1e-4', 6)} FROM {forward(DAY_CHAIN, 'id')}")
@@ -680,6 +684,33 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     return q
 
 
+def cross_validated(source: str, pairs, binary=()) -> str:
+    """Held-out squared error per node of its mean, of a line and of a parabola in its parent; ``net`` is an exact sum.
+
+    A parent in ``binary`` has two values, and a parabola in it is a line.
+    """
+    out = []
+    for x, y in pairs:
+        scaled = f"(SELECT *, ({x} - avg({x}) OVER ()) / stddev_samp({x}) OVER () AS z FROM {source})"
+        sums = (f"avg({y}) AS my, regr_slope({y}, {x}) AS b, regr_intercept({y}, {x}) AS a, avg(z) AS mu, avg(z * z) AS mv, "
+                f"covar_pop(z, z) AS uu, covar_pop(z, z * z) AS uv, covar_pop(z * z, z * z) AS vv, covar_pop(z, {y}) AS uy, covar_pop(z * z, {y}) AS vy")
+        fitted = (f"SELECT *, (uy * vv - vy * uv) / (uu * vv - uv * uv) AS p1, (vy * uu - uy * uv) / (uu * vv - uv * uv) AS p2 FROM "
+                  f"(SELECT h AS fold, {sums} FROM {scaled}, range(5) AS r(h) WHERE fold <> h GROUP BY h)")
+        line = f"avg(power({y} - a - b * {x}, 2))"
+        curve = line if x in binary else f"avg(power({y} - my - p1 * (z - mu) - p2 * (z * z - mv), 2))"
+        out.append(f"SELECT '{y}' AS node, avg(power({y} - my, 2)) AS mean, {line} AS linear, {curve} AS poly FROM {scaled} JOIN ({fitted}) USING (fold)")
+    out.append(f"SELECT 'net', avg(power(net - my, 2)), 0.0::DOUBLE, 0.0::DOUBLE FROM {source} JOIN (SELECT h AS fold, avg(net) AS my "
+               f"FROM {source}, range(5) AS r(h) WHERE fold <> h GROUP BY h) USING (fold)")
+    return " UNION ALL ".join(out)
+
+
+def assignment_rows(root: str) -> str:
+    better = "poly < linear * 0.95"
+    return (f"SELECT node, 'mean' AS candidate, {tidy('mean', digits=6)} AS cv_mse, false AS chosen FROM cv "
+            f"UNION ALL SELECT node, 'linear', {tidy('linear', digits=6)}, NOT ({better}) FROM cv "
+            f"UNION ALL SELECT node, 'poly', {tidy('poly', digits=6)}, {better} FROM cv UNION ALL SELECT '{root}', 'empirical', NULL, true")
+
+
 def change_tested(chain, shape: bool = False) -> str:
     """Mean change with mechanisms that pass the change tests taken from the old side; ``shape`` adds the distance of noises."""
     parts, kept = [], []

@@ -305,14 +305,14 @@ def fit_halfnormal(spark, sf_dir):
 def empirical_noise(spark, sf_dir):
     df = facts(spark, sf_dir)
     fitted = fit(df, ORDER_GRAPH, F.col("o_orderkey"), pool=0)
-    noise = fitted.residuals(df, ["n_lines", "qty", "gross", "disc"], ["o_orderkey"])
-    return noise.select("o_orderkey", *[tidy(c, 1e-4, 6).alias(c) for c in ("n_lines", "qty", "gross", "disc")])
+    noise = fitted.residuals(df, ORDER_NODES, ["o_orderkey"])
+    return noise.select("o_orderkey", *[tidy(c, 1e-4, 6).alias(c) for c in ORDER_NODES])
 
 
 def noise_pool(spark, sf_dir):
     df = days(spark, sf_dir)
     fitted = day_model(df)
-    nodes, table = ["peak", "n_orders", "n_lines", "qty", "gross", "disc"], fitted.noise
+    nodes, table = DAILY_NODES, fitted.noise
     at = {n: F.col(n) for n in table.nodes}
     wide = table.frame.select("pos", *[fitted[n].drawn(at).alias(n) for n in nodes])
     return wide.unpivot("pos", nodes, "node", "noise").select("node", "pos", tidy("noise", 1e-4, 6).alias("noise"))
@@ -320,8 +320,7 @@ def noise_pool(spark, sf_dir):
 
 def auto_assign(spark, sf_dir):
     df = days(spark, sf_dir)
-    nodes = ["peak", "n_orders", "n_lines", "gross", "disc", "qty"]
-    _, rows = assignment.assign(df, DAILY_GRAPH, day(), quality="simple", nodes=nodes)
+    _, rows = assignment.assign(df, DAILY_GRAPH, day(), quality="good")
     return assignment.summary_table(spark, rows).select("node", "candidate", tidy("cv_mse", digits=6).alias("cv_mse"),
                                                         "chosen")
 
@@ -335,13 +334,13 @@ def auto_assign_products(spark, sf_dir):
 def mechanism_metrics(spark, sf_dir):
     df = facts(spark, sf_dir)
     fitted = fit(df, ORDER_GRAPH, F.col("o_orderkey"), pool=0)
-    out = evaluation.mechanism_metrics(fitted, df, F.col("o_orderkey"), ["n_lines", "qty", "gross", "disc"])
+    out = evaluation.mechanism_metrics(fitted, df, F.col("o_orderkey"))
     return out.select("node", "metric", tidy("value", digits=6).alias("value"))
 
 
 def noise_independence(spark, sf_dir):
     df = days(spark, sf_dir)
-    out = evaluation.independence(day_model(df, 0), df, ["n_orders", "n_lines", "qty", "gross", "disc"])
+    out = evaluation.independence(day_model(df, 0), df)
     return out.select("node", "parent", "n", tidy("g", digits=6).alias("g"), F.col("dof").cast("bigint").alias("dof"),
                       "rejected")
 
@@ -367,11 +366,9 @@ def fit_divergence(spark, sf_dir):
 
 def evaluate_model(spark, sf_dir):
     """The whole report but for the permutation test, which has a query of its own."""
-    df = days(spark, sf_dir).select("d", "peak", "n_orders", "n_lines", "gross", "disc", "qty")
-    spec = graph.CausalGraph(tuple(e for e in DAILY_GRAPH.edges if e[1] != TARGET))
-    out = evaluation.evaluate(fit(df, spec, day()), df, day(), True, True, False, draws=2000)
-    return out.filter(~F.col("metric").isin("cv_mse:poly")).select(
-        "section", "node", "metric", tidy("value", 1e-5, 5).alias("value"))
+    df = days(spark, sf_dir)
+    out = evaluation.evaluate(day_model(df), df, day(), True, True, False)
+    return out.select("section", "node", "metric", tidy("value", 1e-5, 5).alias("value"))
 
 
 def arrow_strength_trees(spark, sf_dir):
