@@ -293,6 +293,40 @@ def test_attribution_beyond_the_exact_limit(spark):
     np.testing.assert_allclose(pair.sort_index(), full, atol=1e-9)
 
 
+def test_a_hundred_nodes(spark):
+    """Coalitions of more players than a long has bits: exact sums, and an error that says how sure the shares are."""
+    r = np.random.default_rng(5)
+    names = [f"n{i:03d}" for i in range(100)]
+
+    def rows(shift):
+        data = {}
+        for i, n in enumerate(names):
+            data[n] = (0.9 * data[names[i - 1]] if i else shift) + shift * (i == 97) * 2 + r.normal(size=400)
+        return spark.createDataFrame(pd.DataFrame({"k": range(400), **data}))
+
+    old, new = rows(0.0), rows(1.0)
+    graph = CausalGraph(tuple(zip(names, names[1:])))
+    out = change.distribution_change(old, new, graph, names[-1], orderings=6, errors=True).toPandas().set_index("node")
+    means = [d.agg(F.avg(names[-1])).first()[0] for d in (old, new)]
+    assert len(out) == 100 and out.score.sum() == pytest.approx(means[1] - means[0], abs=1e-9)
+    assert out.score.idxmax() == "n097" and out.score["n097"] == pytest.approx(2 * 0.81, abs=0.5)
+    model = fit(old, graph, F.col("k"))
+    some = old.orderBy("k").limit(3).persist()
+    got = anomaly.attribute_anomalies(model, some, names[-1], "k", 50, orderings=8, errors=True).toPandas()
+    np.testing.assert_allclose(got.groupby("k").score.sum(), brute_force_sum(model, names[-1], some.toPandas(), 50), atol=1e-9)
+    assert len(got) == 300 and (got.error >= 0).all() and got.error.max() > 0
+
+
+def test_errors_of_sampled_orderings_cover_the_exact_shares():
+    r = np.random.default_rng(6)
+    value = np.cumsum(r.normal(size=1 << 10)) * 0.1
+    exact = value @ coalition_plan("abcdefghij").factors
+    plan = coalition_plan("abcdefghij", orderings=400, seed=1)
+    seen = value[list(plan.masks)]
+    off = np.abs(seen @ plan.factors - exact) / plan.errors(seen)
+    assert (off < 4).all() and (off < 2).mean() >= 0.7 and (seen @ plan.factors).sum() == pytest.approx(value[-1] - value[0])
+
+
 def brute_force_sum(model, target, pdf, draws):
     ref = np.sort(draw_values(model, model.graph.closure(target), draws, "ref0", 0)[1][target])
     tie = 1e-9 * ref.std(ddof=1)

@@ -114,7 +114,7 @@ def linear_case(model: CausalModel, target: str, ref: Reference, plan: Coalition
     return {"constant": constant, "effects": weight, "reference": ref.values, "tie": ref.tie, "abduct": abduct,
             "intercepts": np.array([model[n].intercept for n in nodes]),
             "weighted": np.column_stack([np.broadcast_to(noise[n], (draws,)) for n in nodes]) * weight,
-            "inside": np.array([[mask >> j & 1 for j in range(len(nodes))] for mask in plan.masks], dtype=bool),
+            "inside": plan.inside(), "batches": plan.batches,
             "factors": plan.factors, "draws": draws}
 
 
@@ -127,8 +127,8 @@ def share_function():
     def prepare(case):
         return np.sort(case["inside"].astype(float) @ case["weighted"].T, axis=1)
 
-    def shares(case, sums, x):
-        """Rows x nodes from observed values, the target being the last node."""
+    def shares(case, sums, x, errors=False):
+        """Rows x nodes from observed values, the target being the last node; with ``errors`` twice as many columns."""
         y, noise = x[:, -1], x @ case["abduct"] - case["intercepts"]
         reference, tie, inside = case["reference"], case["tie"], case["inside"]
         m, draws = len(reference), sums.shape[1]
@@ -138,6 +138,7 @@ def share_function():
         high = reference[np.maximum(m - tail - 1, 0)] + tie
         fixed = noise * case["effects"]
         out = np.zeros((len(y), noise.shape[1]))
+        parts = np.zeros((len(case["batches"]), *out.shape)) if errors else None
         for s in range(len(inside)):
             if not inside[s].any():
                 continue  # nothing random: as anomalous as observed, value 0
@@ -146,7 +147,9 @@ def share_function():
                     + draws - np.searchsorted(sums[s], high - base, side="right"))
             q = np.where(tail >= m, 1.0, np.clip(hits / draws, 1.0 / (draws + 1), 1.0))
             out -= np.log(q)[:, None] * case["factors"][s]
-        return out
+            if errors:
+                parts -= np.log(q)[None, :, None] * case["batches"][:, None, s, :]
+        return np.column_stack([out, parts.std(axis=0, ddof=1) / np.sqrt(len(parts))]) if errors else out
 
     return prepare, shares
 
@@ -199,7 +202,7 @@ def general_case(model: CausalModel, target: str, ref: Reference, plan: Coalitio
     return {"nodes": nodes, "target": target, "draws": draws, "reference": ref.values, "tie": ref.tie, "factors": plan.factors,
             "random": {n: np.array(np.broadcast_to(drawn[n], (draws,))) for n in nodes}, "trees": trees,
             "sums": {n: (model[n].intercept, [] if n in trees else list(zip(model[n].terms, model[n].coef))) for n in nodes},
-            "inside": np.array([[mask >> j & 1 for j in range(len(nodes))] for mask in plan.masks], dtype=bool)}
+            "inside": plan.inside(), "batches": plan.batches}
 
 
 def general_function():
@@ -224,7 +227,7 @@ def general_function():
             out = out + tree(t, at) * c
         return out
 
-    def some(case, x):
+    def some(case, x, errors):
         nodes, draws, reference, tie = case["nodes"], case["draws"], case["reference"], case["tie"]
         seen = {n: x[:, j][:, None] for j, n in enumerate(nodes)}
         own = {n: seen[n] - predict(case, n, seen) for n in nodes}
@@ -233,6 +236,7 @@ def general_function():
         low = reference[np.minimum(tail, m - 1)] - tie
         high = reference[np.maximum(m - tail - 1, 0)] + tie
         out = np.zeros((len(x), len(nodes)))
+        parts = np.zeros((len(case["batches"]), *out.shape)) if errors else None
         for s, chosen in enumerate(case["inside"]):
             if not chosen.any():
                 continue
@@ -242,20 +246,24 @@ def general_function():
             mixed = np.broadcast_to(at[case["target"]], (len(x), draws))
             q = np.clip(((tail >= m) | (mixed < low) | (mixed > high)).mean(axis=1), 1.0 / (draws + 1), 1.0)
             out -= np.log(q)[:, None] * case["factors"][s]
-        return out
+            if errors:
+                parts -= np.log(q)[None, :, None] * case["batches"][:, None, s, :]
+        return np.column_stack([out, parts.std(axis=0, ddof=1) / np.sqrt(len(parts))]) if errors else out
 
     step = CELLS
 
-    def shares(case, ready, x):
+    def shares(case, ready, x, errors=False):
         size = max(1, step // case["draws"])
-        return np.concatenate([some(case, x[i:i + size]) for i in range(0, len(x), size)] or [np.zeros((0, len(case["nodes"])))])
+        wide = len(case["nodes"]) * (1 + errors)
+        return np.concatenate([some(case, x[i:i + size], errors) for i in range(0, len(x), size)] or [np.zeros((0, wide))])
 
     return prepare, shares
 
 
-def case_scores(df: DataFrame, case: dict, keep, nodes, function) -> DataFrame:
-    """``(keep..., __p0..)``: attribute rows Arrow batch by Arrow batch; the rows never move and keys need not be unique."""
-    names = [f"__p{j}" for j in range(len(nodes))]
+def case_scores(df: DataFrame, case: dict, keep, nodes, function, errors: bool = False) -> DataFrame:
+    """``(keep..., __p0..)``, with ``errors`` also ``__e0..``: attribute rows Arrow batch by Arrow batch; the rows never move and
+    keys need not be unique."""
+    names = [f"__p{j}" for j in range(len(nodes))] + [f"__e{j}" for j in range(len(nodes)) if errors]
     keep, nodes = list(keep), list(nodes)
     schema = T.StructType([df.schema[k] for k in keep] + [T.StructField(n, T.DoubleType()) for n in names])
     prepare, shares = function
@@ -265,7 +273,7 @@ def case_scores(df: DataFrame, case: dict, keep, nodes, function) -> DataFrame:
         for batch in batches:
             if fresh:
                 ready, fresh = prepare(case), False
-            found = pd.DataFrame(shares(case, ready, batch[nodes].to_numpy(float)), columns=names)
+            found = pd.DataFrame(shares(case, ready, batch[nodes].to_numpy(float), errors), columns=names)
             yield pd.concat([batch[keep].reset_index(drop=True), found], axis=1)
 
     return df.select(*keep, *[F.col(n) for n in nodes if n not in keep]).mapInPandas(attribute, schema)
@@ -277,7 +285,7 @@ def case_of(model: CausalModel, target: str, plan: CoalitionPlan, draws: int, re
 
 
 def attribute_wide(model: CausalModel, rows: DataFrame, target: str, keep, draws: int = REFERENCE_DRAWS,
-                   replicate=0, seed: int = 0, orderings: int | None = None, linear: bool | None = None):
+                   replicate=0, seed: int = 0, orderings: int | None = None, linear: bool | None = None, errors: bool = False):
     """``(DataFrame keep + __p0.., nodes)``: the shares of each row side by side."""
     nodes = model.graph.closure(target)
     keep = [keep] if isinstance(keep, str) else list(keep)
@@ -288,14 +296,17 @@ def attribute_wide(model: CausalModel, rows: DataFrame, target: str, keep, draws
         linear = model.is_linear(nodes)
     prefetch([(model, nodes, draws, label, seed) for label in (replicate, f"ref{replicate}")])
     case = case_of(model, target, plan, draws, replicate, seed, linear)
-    return case_scores(clean, case, keep, nodes, share_function() if linear else general_function()), nodes
+    if errors and plan.batches is None:
+        raise ValueError("exact shares have no error; ask for orderings")
+    return case_scores(clean, case, keep, nodes, share_function() if linear else general_function(), errors), nodes
 
 
 def attribute_anomalies(model: CausalModel, rows: DataFrame, target: str, keep, draws: int = REFERENCE_DRAWS,
-                        replicate=0, seed: int = 0, orderings: int | None = None, linear: bool | None = None) -> DataFrame:
+                        replicate=0, seed: int = 0, orderings: int | None = None, linear: bool | None = None,
+                        errors: bool = False) -> DataFrame:
     """Long ``(keep..., node, score)``; positive where a node made the row more anomalous.
 
-    ``keep`` must identify a row.
+    ``keep`` must identify a row. With ``errors``, for sampled orderings, there is a standard error beside each score.
     """
-    wide, nodes = attribute_wide(model, rows, target, keep, draws, replicate, seed, orderings, linear)
-    return unpivot_players(wide, nodes, [keep] if isinstance(keep, str) else list(keep))
+    wide, nodes = attribute_wide(model, rows, target, keep, draws, replicate, seed, orderings, linear, errors)
+    return unpivot_players(wide, nodes, [keep] if isinstance(keep, str) else list(keep), errors)

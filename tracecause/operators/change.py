@@ -242,8 +242,9 @@ def coalition_values(spark: SparkSession, plan: CoalitionPlan, old: CausalModel,
 
 
 def change_scores(spark: SparkSession, old: CausalModel, new: CausalModel, target: str, summary: Summary = mean,
-                  draws: int | None = None, replicate=0, seed: int = 0, orderings: int | None = None) -> DataFrame:
-    """Shapley shares of the change from two fitted models.
+                  draws: int | None = None, replicate=0, seed: int = 0, orderings: int | None = None,
+                  errors: bool = False) -> DataFrame:
+    """Shapley shares of the change from two fitted models; with ``errors`` the standard error of sampled orderings beside them.
 
     Means of linear mechanisms are propagated exactly (``draws=0``, the default for them). Anything else
     is drawn; old and new noise use the same uniforms, so an unchanged mechanism scores zero.
@@ -255,13 +256,13 @@ def change_scores(spark: SparkSession, old: CausalModel, new: CausalModel, targe
         raise ValueError("only means of linear mechanisms have a closed form")
     plan = coalition_plan(nodes, orderings, seed)
     values = coalition_values(spark, plan, old, new, target, summary, draws, replicate, seed)
-    return plan.shares(values, F.col("value"))
+    return plan.shares_with_errors(values, F.col("value")) if errors else plan.shares(values, F.col("value"))
 
 
 def distribution_change(old: DataFrame, new: DataFrame | Column, graph: CausalGraph, target: str, summary: Summary = mean,
                         draws: int | None = None, kinds: Mapping[str, str] | None = None, key: Column | None = None,
                         seed: int = 0, test_change: bool | str = False, level: float = 0.05,
-                        difference=None) -> DataFrame:
+                        difference=None, orderings: int | None = None, errors: bool = False) -> DataFrame:
     """Long ``(node, score)``: how much of the target's change, new minus old, each mechanism explains.
 
     ``new`` is a table, or a predicate that marks the new rows of ``old`` where one table holds both periods.
@@ -279,4 +280,4 @@ def distribution_change(old: DataFrame, new: DataFrame | Column, graph: CausalGr
         draws = draws or 2000
         before = draw_values(models[0], nodes, draws, 0, seed)[1][target]
         summary = custom(lambda after: difference(before, after))
-    return change_scores(old.sparkSession, *models, target, summary, draws, seed=seed)
+    return change_scores(old.sparkSession, *models, target, summary, draws, 0, seed, orderings, errors)

@@ -133,12 +133,12 @@ def spread(df: DataFrame, target: str) -> DataFrame:
 def change(old_new: DataFrame, is_new: Column, columns) -> DataFrame:
     """Means of both periods and their differences, all columns in one pass over the stacked rows."""
     aggs = []
-    for c in columns:
+    for i, c in enumerate(columns):
         x = number(c)
-        aggs += [F.avg(F.when(~is_new, x)).alias(f"{c}__old"), F.avg(F.when(is_new, x)).alias(f"{c}__new")]
+        aggs += [F.avg(F.when(~is_new, x)).alias(f"__{i}o"), F.avg(F.when(is_new, x)).alias(f"__{i}n")]
     wide = old_new.agg(*aggs)
-    pairs = ", ".join(f"'{c}', `{c}__old`, `{c}__new`" for c in columns)
-    long = wide.selectExpr(f"stack({len(columns)}, {pairs}) as (node, mean_old, mean_new)")
+    long = wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("node"), F.col(f"__{i}o").alias("mean_old"), F.col(f"__{i}n").alias("mean_new"))
+                                          for i, c in enumerate(columns)])))
     return (long.withColumn("difference", F.col("mean_new") - F.col("mean_old"))
             .withColumn("growth_pct", growth_pct(F.col("mean_old"), F.col("mean_new")))
             .withColumn("drop_pct", drop_pct(F.col("mean_old"), F.col("mean_new"))))
@@ -150,9 +150,9 @@ def histograms(df: DataFrame, columns, bins: int = 20) -> DataFrame:
     One pass for the bounds, one for the counts; rows collapse to at most ``bins`` per column before
     the shuffle.
     """
-    bounds = df.agg(*[e for c in columns for e in (F.min(number(c)).alias(f"{c}__lo"), F.max(number(c)).alias(f"{c}__hi"))])
-    edges = ", ".join(f"'{c}', `{c}__lo`, `{c}__hi`" for c in columns)
-    bounds = bounds.selectExpr(f"stack({len(columns)}, {edges}) as (node, lo, hi)")
+    bounds = df.agg(*[e for i, c in enumerate(columns) for e in (F.min(number(c)).alias(f"__{i}lo"), F.max(number(c)).alias(f"__{i}hi"))])
+    bounds = bounds.select(F.inline(F.array(*[F.struct(F.lit(c).alias("node"), F.col(f"__{i}lo").alias("lo"), F.col(f"__{i}hi").alias("hi"))
+                                              for i, c in enumerate(columns)])))
     long = df.select(*[number(c).alias(c) for c in columns]).unpivot([], list(columns), "node", "x")
     width = (F.col("hi") - F.col("lo")) / bins
     slot = F.when(width > 0, F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1))).otherwise(0)
