@@ -570,6 +570,13 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
                          f"SELECT id, {cols(DAY_ALL, '1e-4', 6)} FROM {forward(DAY_CHAIN, 'id')}")
     q["dag_local_tests"] = dag_tests()
     q["dag_covariance_tests"] = dag_covariance()
+    q["dag_permutations"] = dag_permuted() + """ SELECT CASE WHEN replicate < 0 THEN 'given' ELSE 'permuted' END AS graph, replicate,
+        CAST(n_claims AS INTEGER) AS n_claims, CAST(n_violations AS INTEGER) AS n_violations, n_violations / n_claims AS violation_share,
+        same_claims FROM v JOIN same USING (replicate)"""
+    q["dag_falsify"] = dag_permuted() + """, o AS (SELECT * FROM v WHERE replicate < 0), s AS (SELECT avg((v.n_violations <= o.n_violations)::INTEGER) AS p,
+        avg(same_claims::INTEGER) AS same, count(*) AS n FROM v JOIN same USING (replicate), o WHERE v.replicate >= 0)
+        SELECT CAST(n_claims AS INTEGER) AS n_claims, CAST(n_violations AS INTEGER) AS n_violations, CAST(n AS INTEGER) AS n_permutations,
+        p AS p_value, same AS same_claims_share, same <= 0.05 AS informative, same <= 0.05 AND p > 0.05 AS rejected FROM s, o"""
     q["arrow_strength"] = f"""WITH {order_w} SELECT 'disc' AS parent, 'net' AS child,
         {tidy('(power(any_value(bd), 2) * var_samp(disc))')} AS strength FROM facts, w UNION ALL SELECT 'gross', 'net',
         {tidy('(power(any_value(bg), 2) * var_samp(gross))')} FROM facts, w"""
@@ -773,6 +780,57 @@ def dag_tests() -> str:
             f"0.5 * ln((1 + abs(r)) / (1 - abs(r))) * sqrt(n - k - 3) > 1.959963984540054 AS violated FROM c")
 
 
+ORDER_EDGES = (("n_lines", "qty"), ("n_lines", "gross"), ("gross", "disc"), ("gross", "net"), ("disc", "net"))
+
+
+def claims_of(edges) -> list[tuple[str, str, list[str]]]:
+    """What a graph implies: a node and each other that is neither its parent nor below it, given its parents."""
+    names = sorted({n for e in edges for n in e})
+    parents = {n: sorted(p for p, c in edges if c == n) for n in names}
+    below = {n: set() for n in names}
+    for _ in names:
+        for p, c in edges:
+            below[p] |= {c} | below[c]
+    return [(x, z, parents[x]) for x in names for z in names if z != x and z not in parents[x] and z not in below[x]]
+
+
+def permuted_edges(edges, replicate: int):
+    names = sorted({n for e in edges for n in e})
+    draw = {i: int(md5(f"{i}:permute:{replicate}:0".encode()).hexdigest()[:13], 16) for i in range(len(names))}
+    moved = {n: names[j] for n, j in zip(names, sorted(draw, key=lambda i: (draw[i], i)))}
+    return tuple((moved[p], moved[c]) for p, c in edges)
+
+
+def dag_permuted(count: int = 20) -> str:
+    """CTEs up to ``v`` (replicate, n_claims, n_violations): claims of the order graph (-1) and of its permutations, with at most two parents."""
+    names = sorted({n for e in ORDER_EDGES for n in e})
+    graphs = {r: ORDER_EDGES if r < 0 else permuted_edges(ORDER_EDGES, r) for r in range(-1, count)}
+    own = {(frozenset((x, z)), frozenset(g)) for x, z, g in claims_of(ORDER_EDGES)}
+    rows, same = [], []
+    for r, edges in graphs.items():
+        found = claims_of(edges)
+        for x, z, g in found:
+            given = [f"'{n}'" for n in g] + ["NULL"] * (2 - len(g))
+            rows.append(f"({r}, '{x}', '{z}', {given[0]}, {given[1]}, {len(g)})")
+        same.append(f"({r}, {str({(frozenset((x, z)), frozenset(g)) for x, z, g in found} == own).lower()})")
+    matrix = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, {'1.0::DOUBLE' if a == b else f'corr({a}, {b})'} AS r, count(*) AS n FROM facts"
+                                for a in names for b in names)
+    pairs = {"xz": "x z", "xg": "x g", "xh": "x h", "zg": "z g", "zh": "z h", "gh": "g h"}
+    joins = " ".join(f"LEFT JOIN m AS {k} ON {k}.a = c.{v[0]} AND {k}.b = c.{v[2]}" for k, v in pairs.items())
+    picked = ", ".join(f"coalesce({k}.r, 0) AS {k}" for k in pairs)
+    det = "(1 - gh * gh)"  # without a second parent all its correlations are zero
+
+    def left(a, b, whole):
+        return f"({whole} - ({a}g * {b}g + {a}h * {b}h - gh * ({a}g * {b}h + {a}h * {b}g)) / {det})"
+    vx, vz, cov = left("x", "x", "1"), left("z", "z", "1"), left("x", "z", "xz")
+    r = f"CASE WHEN {vx} < 1e-9 OR {vz} < 1e-9 THEN 0.0 ELSE greatest(least({cov} / sqrt(greatest({vx} * {vz}, 1e-300)), 1 - 1e-15), -1 + 1e-15) END"
+    return (f"WITH {FACTS}, m AS ({matrix}), c(replicate, x, z, g, h, k) AS (VALUES {', '.join(rows)}), "
+            f"same(replicate, same_claims) AS (VALUES {', '.join(same)}), "
+            f"j AS (SELECT c.replicate, c.k, xz.n AS n, {picked} FROM c {joins}), t AS (SELECT replicate, k, n, {r} AS r FROM j), "
+            f"v AS (SELECT replicate, count(*) AS n_claims, count(*) FILTER (0.5 * ln((1 + abs(r)) / (1 - abs(r))) * sqrt(n - k - 3) > "
+            f"1.959963984540054) AS n_violations FROM t GROUP BY replicate)")
+
+
 def dag_covariance() -> str:
     """Products of held-out residuals, five folds, straight lines."""
     fold = f"CAST(floor({u('d', 'fold')} * 5) AS INTEGER)"
