@@ -32,6 +32,7 @@ from tracecause.operators.noise import NoiseTable, RowOrder, bucket_count, bucke
 from tracecause.operators.resampling import Weights, replicate_sums
 from tracecause.operators.shapley import coalition_plan
 from tracecause.operators.simulation import moved_nodes, with_moves
+from tracecause.sources.workspace import ship
 
 RESAMPLES = 20
 
@@ -227,6 +228,7 @@ def change_replicates(old: DataFrame, new: DataFrame | Column, graph: CausalGrap
         mixed = mixed_values(base, plan, *sides, lambda n, s: sides[s][n].noise_mean if sides[s][n].is_root else F.lit(0.0))
         return plan.shares(mixed, F.col(target), ["replicate"])
     if summary is kl or difference is not None:
+        ship(spark)  # the workers compare
         prefetch([(pair[0], nodes, draws, r, seed) for r, pair in pairs.items()])
         before = {r: np.broadcast_to(draw_values(pair[0], nodes, draws, r, seed)[1][target], (draws,)) for r, pair in pairs.items()}
         summary = compared(difference or kl_value, before)
