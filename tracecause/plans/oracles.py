@@ -466,7 +466,7 @@ def build(draws: int = 400, replicates: int = 20) -> dict[str, str]:
     q["hash_sample_exact"] = f"""SELECT event_id, event_type FROM events ORDER BY {u('event_id', 'sample', "'2'", 10)},
         event_id LIMIT (SELECT CAST(round(count(*) * 0.6) AS BIGINT) FROM events)"""
     q["poisson_weights"] = f"""SELECT event_type, CAST(replicate AS INTEGER) AS replicate, CAST(sum(w) AS BIGINT) AS n,
-        {tidy('sum(w * value)')} AS total, CAST(max(w) AS INTEGER) AS top FROM (SELECT *,
+        {tidy('sum(w * value)', digits=12)} AS total, CAST(max(w) AS INTEGER) AS top FROM (SELECT *,
         {poisson_case(u('event_id', 'boot', 'CAST(replicate AS VARCHAR)', 10))} AS w
         FROM events, range(4) AS r(replicate)) GROUP BY 1, 2"""
     q["fit_linear"] = f"WITH {FACTS}, {fits('facts', ORDER_CHAIN)} " + fit_rows(ORDER_CHAIN, "1e-4", 7)

@@ -271,7 +271,7 @@ def hash_sample_exact(spark, sf_dir):
 def poisson_weights(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     sums = resampling.bootstrap_sums(rows, F.col("event_id"), ["event_type"], ["value"], resampling.Weights("refit", 4, seed=10))
-    return sums.select("event_type", "replicate", "n", tidy("value").alias("total"), "top")
+    return sums.select("event_type", "replicate", "n", tidy("value", digits=12).alias("total"), "top")
 
 
 # --- mechanisms ---
