@@ -8,6 +8,7 @@ from tracecause.functions.statistics import (chi2_tail, f_tail_value, normal_bin
                                              normal_tail_value)
 from tracecause.operators import frames, graph, sampling
 from tracecause.operators.graph import CausalGraph
+from tracecause.plans import workload
 from tracecause.sources import ingest, snapshots
 from tracecause.sources.payload import from_payload, to_payload
 from tracecause.sources.workspace import fresh_path
@@ -170,6 +171,30 @@ def test_graph_tables_match_the_column_graph(spark):
     assert graph.ancestor_table(loop, spark.createDataFrame([("a",)], "node string")).count() == 1
 
 
+def order_tables(spark, folder, n):
+    """The tables of ``supply_edges`` with ``n`` orders of two lines each, the first of which stands there twice."""
+    for name, rows, schema in (
+            ("nation", [(1, 0), (2, 0)], "n_nationkey int, n_regionkey int"),
+            ("customer", [(c, 1) for c in range(5)], "c_custkey long, c_nationkey int"),
+            ("supplier", [(s, 2) for s in range(3)] + [(3, None)], "s_suppkey long, s_nationkey int"),
+            ("orders", [(o, o % 5) for o in range(n)], "o_orderkey long, o_custkey long"),
+            ("lineitem", [(o, (o + i) % 3) for o in range(n) for i in (0, 0, 1)], "l_orderkey long, l_suppkey long")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_edges_are_dealt_out_by_their_number(spark, tmp_path, monkeypatch):
+    """A task tells the repeats of so many pairs, however few bytes they are and however many pairs there are."""
+    folder = order_tables(spark, tmp_path, 2000)
+    monkeypatch.setattr(workload, "IDS_A_TASK", 250, raising=False)
+    edges = workload.supply_edges(spark, folder)
+    rows = [len(part) for part in edges.rdd.glom().collect()]
+    assert sum(rows) == edges.distinct().count() == 2 + 5 + 3 + 2000 + 4000
+    assert max(rows) < 2 * 250
+    degree = {(r.child, r.parent): r.n_parents for r in graph.parent_table(edges).collect()}
+    assert len(degree) == 6010 and degree["order:7", "supplier:1"] == 3 and degree["supplier:0", "nation:2"] == 1
+
+
 def test_gaps_are_left_out(spark):
     """Summaries of rows with a null and a NaN equal those of the rows without them."""
     rows = [("a", float(i), float(i * i % 7)) for i in range(20)]

@@ -18,6 +18,7 @@ ORDER_GRAPH = CausalGraph((("n_lines", "qty"), ("n_lines", "gross"), ("gross", "
                            ("disc", "net")))
 SPLIT = "1998-04-15"
 KEY = "d"
+IDS_A_TASK = 250_000  # pairs of ids that one task keeps in memory to tell repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,7 +51,8 @@ def supply_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Who an order depends on: region to nation to customer and supplier, and both to the order.
 
     Repeated edges are dropped as pairs of ids, before the longer names are made; kinds of edges never
-    coincide, so their union needs no further check.
+    coincide, so their union needs no further check. The pairs are dealt out by their number: partitions of few
+    bytes hold many of them, and each is kept in memory along with what is grouped next.
     """
     stacked = None
     for source, parent, child, parent_id, child_id in (
@@ -59,7 +61,9 @@ def supply_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
             ("supplier", "nation", "supplier", "s_nationkey", "s_suppkey"),
             ("orders", "customer", "order", "o_custkey", "o_orderkey"),
             ("lineitem", "supplier", "order", "l_suppkey", "l_orderkey")):
-        ids = table(spark, sf_dir, source).select(parent_id, child_id).dropna().distinct()
+        rows = table(spark, sf_dir, source)
+        ids = (rows.select(parent_id, child_id).dropna()
+               .repartition(-(-rows.count() // IDS_A_TASK) or 1, parent_id, child_id).distinct())
         named = ids.select(*[F.concat(F.lit(kind + ":"), F.col(c).cast("string")).alias(role) for role, kind, c in (
             ("parent", parent, parent_id), ("child", child, child_id))])
         stacked = named if stacked is None else stacked.unionByName(named)
