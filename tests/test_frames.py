@@ -195,6 +195,15 @@ def test_edges_are_dealt_out_by_their_number(spark, tmp_path, monkeypatch):
     assert len(degree) == 6010 and degree["order:7", "supplier:1"] == 3 and degree["supplier:0", "nation:2"] == 1
 
 
+def test_nodes_read_the_edges_once(spark, tmp_path, capsys):
+    path = str(tmp_path / "edges")
+    spark.createDataFrame([("a", "b"), ("a", "c"), (None, "c"), ("c", None)], "parent string, child string").write.parquet(path)
+    nodes = graph.node_table(spark.read.parquet(path))
+    nodes.explain()
+    assert capsys.readouterr().out.count("FileScan") == 1
+    assert nodes.columns == ["node"] and sorted(str(r.node) for r in nodes.collect()) == ["None", "a", "b", "c"]
+
+
 def test_gaps_are_left_out(spark):
     """Summaries of rows with a null and a NaN equal those of the rows without them."""
     rows = [("a", float(i), float(i * i % 7)) for i in range(20)]

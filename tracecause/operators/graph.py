@@ -114,7 +114,8 @@ def edge_table(df: DataFrame, parent: str, child: str) -> DataFrame:
 
 
 def node_table(edges: DataFrame) -> DataFrame:
-    return edges.select("parent").union(edges.select("child")).distinct().toDF("node")
+    """Both ends of all edges, which are read once."""
+    return edges.select(F.explode(F.array("parent", "child")).alias("node")).distinct()
 
 
 def parent_table(edges: DataFrame) -> DataFrame:
