@@ -204,6 +204,34 @@ def test_nodes_read_the_edges_once(spark, tmp_path, capsys):
     assert nodes.columns == ["node"] and sorted(str(r.node) for r in nodes.collect()) == ["None", "a", "b", "c"]
 
 
+def test_a_few_nodes_move_no_edges(spark, monkeypatch, capsys):
+    """The edges are dealt out once, for the many nodes of the middle: not for one root, nor for the last nodes."""
+    rows = [("root", f"middle-{i:05d}") for i in range(3000)] + [(f"middle-{i:05d}", f"leaf-{i % 2000:05d}") for i in range(3000)]
+    edges = spark.createDataFrame(rows, "parent string, child string")
+    plans, cut = [], graph.cut_lineage
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: (df.explain(), plans.append(capsys.readouterr().out), cut(df))[-1])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        found = {r.node: r.level for r in graph.level_table(edges).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == {"root": 0} | {c: 1 for p, c in rows if p == "root"} | {c: 2 for p, c in rows if p != "root"}
+    assert sum("SortMergeJoin" in p and "LeftSemi" in p for p in plans) == 1
+
+
+@pytest.mark.parametrize("rows", ([(None, "b"), ("a", "b")], [("a", "b"), ("a", None), ("b", None)], [("a", "b"), ("a", "b"), ("b", "c")]))
+def test_levels_of_null_and_repeated_edges(spark, rows):
+    """A null is a node without a level above it, and what hangs on it never opens."""
+    edges = spark.createDataFrame(rows, "parent string, child string")
+    if rows[0][0] is None:
+        with pytest.raises(ValueError, match="cycle"):
+            graph.level_table(edges)
+        return
+    found = {r.node: r.level for r in graph.level_table(edges).collect()}
+    assert found == ({"a": 0, "b": 1, None: 0} if rows[1][1] is None else {"a": 0, "b": 1, "c": 2})
+
+
 def test_gaps_are_left_out(spark):
     """Summaries of rows with a null and a NaN equal those of the rows without them."""
     rows = [("a", float(i), float(i * i % 7)) for i in range(20)]

@@ -167,12 +167,15 @@ def level_table(edges: DataFrame) -> DataFrame:
     """Topological level of every node: the longest path from a root.
 
     Each round takes the nodes with no open incoming edge and closes the edges that leave them. A round
-    reads the edges and writes the nodes that are left; edges are never rewritten.
+    reads the edges and writes the nodes that are left; edges are never rewritten. What a round takes and what it
+    closes is written too, so that a join with few of either moves no edges and no nodes. Nothing waits for the
+    last nodes, and no edges are read for them.
     """
     edges = cut_lineage(edges)
-    degree = edges.groupBy(F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("open"))
-    left = cut_lineage(node_table(edges).join(degree, "node", "left").select("node", F.coalesce("open", F.lit(0))
-                                                                             .alias("open")))
+    ends = edges.select(F.explode(F.array(F.struct(F.col("parent").alias("node"), F.lit(0).alias("open")),
+                                          F.struct(F.col("child").alias("node"), F.lit(1).alias("open")))).alias("end"))
+    open_edges = F.when(F.col("end.node").isNull(), 0).otherwise(F.col("end.open"))  # no edge is ever closed for a null
+    left = cut_lineage(ends.groupBy("end.node").agg(F.sum(open_edges).alias("open")))
     done = None
     level = 0
     while not left.isEmpty():
@@ -181,9 +184,13 @@ def level_table(edges: DataFrame) -> DataFrame:
             raise ValueError("the graph has a cycle")
         rows = ready.withColumn("level", F.lit(level))
         done = rows if done is None else done.union(rows)
-        closed = (edges.join(ready.withColumnRenamed("node", "parent"), "parent", "left_semi")
-                  .groupBy(F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("closed")))
-        left = cut_lineage(left.filter(F.col("open") > 0).join(closed, "node", "left")
+        waiting = left.filter(F.col("open") > 0)
+        if waiting.isEmpty():
+            break
+        taken = cut_lineage(ready.withColumnRenamed("node", "parent"))
+        closed = cut_lineage(edges.join(taken, "parent", "left_semi")
+                             .groupBy(F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("closed")))
+        left = cut_lineage(waiting.join(closed, "node", "left")
                            .select("node", (F.col("open") - F.coalesce("closed", F.lit(0))).alias("open")))
         level += 1
     if done is None:
