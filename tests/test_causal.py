@@ -9,7 +9,7 @@ import pytest
 from graphs import SERVICE_EDGES, SHOP_EDGES, SUPPLY_EDGES
 from pyspark.sql import functions as F
 
-from tracecause.operators import (anomaly, assignment, change, evaluation, falsification, influence, intervals,
+from tracecause.operators import (anomaly, assignment, change, evaluation, falsification, influence, intervals, mechanisms,
                                   simulation)
 from tracecause.operators.graph import CausalGraph
 from tracecause.operators.mechanisms import draw_values, fit, read_tree, tree_value
@@ -152,6 +152,41 @@ def test_trees(spark):
     assert tree == ["x", 0.5, 1.0, 2.0] and tree_value(json.loads(json.dumps(tree)), {"x": np.array([0.0, 1.0])}).tolist() == [1, 2]
 
 
+def test_trees_pass_over_cells(spark, monkeypatch):
+    """Rounds of boosting see cells of rows, and the trees are those that Spark grows on the rows themselves."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    r = np.random.default_rng(3)
+    a, b = r.gamma(2.0, 10.0, 3000), np.floor(r.uniform(0, 4, 3000))
+    data = pd.DataFrame({"k": range(3000), "a": a, "b": b, "y": np.sin(a / 9) * (1 + b) + r.normal(0, 0.1, 3000)})
+    df = spark.createDataFrame(data)
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df.withColumnRenamed("y", "label"))
+    plain = GBTRegressor(maxIter=20, maxDepth=4, seed=0).fit(rows)
+    want = plain.transform(rows).orderBy("k").select("prediction").toPandas().prediction
+    seen, grow = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, d: (seen.append(d.count()), grow(self, d))[1])
+    model = fit(df, CausalGraph((("a", "y"), ("b", "y"))), F.col("k"), {"y": "gbt"}, 0)
+    assert len(seen) == 1 and seen[0] <= 32 * 4
+    got = model["y"].predict({"a": a, "b": b})
+    np.testing.assert_allclose(got - model["y"].intercept, want, atol=1e-9)
+    batches, whole = [], type(df).mapInPandas
+    monkeypatch.setattr(type(df), "mapInPandas", lambda d, *args: (batches.append(d.count()), whole(d, *args))[1])
+    found = {s.parent: s.strength for s in influence.arrow_strength(model, df, "y", key=F.col("k")).collect()}
+    assert len(batches) == 1 and batches[0] <= 32 * 4
+    pool = influence.first_rows(df, F.col("k"), ["a", "b"], 100)
+    for i, parent in enumerate(("a", "b")):
+        cut = [model["y"].predict({"a": a, "b": b, parent: np.full(3000, x)}) for x in pool[:, i]]
+        assert found[parent] == pytest.approx(np.var(cut, axis=0).mean(), rel=1e-9)
+
+
+def test_bounds_of_columns_with_many_values(spark):
+    df = spark.range(30000).select(((F.col("id") * 7919) % 30000).cast("double").alias("x"), (F.col("id") % 3).cast("double").alias("few"))
+    many, few = mechanisms.tree_bounds(df, ["x", "few"])
+    assert few == [0.5, 1.5] and len(many) == 31
+    np.testing.assert_allclose(many, np.arange(1, 32) * 30000 / 32, atol=30000 * 0.002)
+
+
 def test_columns_that_do_not_vary(spark):
     rows = [(i, 5.0, float(i % 7), 2.0 * (i % 7) + 1, 3.0) for i in range(60)]
     df = spark.createDataFrame(rows, "k int, flat double, a double, y double, z double")

@@ -13,7 +13,8 @@ from tracecause.functions.randomness import uniform
 from tracecause.functions.statistics import normal_bin
 from tracecause.operators.evaluation import KL_BINS, kl_of_counts
 from tracecause.operators.frames import complete
-from tracecause.operators.mechanisms import CausalModel, Mechanism, evaluate_nodes, first_rows, noise_table, prefetch
+from tracecause.operators.mechanisms import (CausalModel, Mechanism, evaluate_nodes, first_rows, interval, noise_table,
+                                             prefetch, splits)
 from tracecause.operators.shapley import coalition_plan
 
 
@@ -74,14 +75,16 @@ def _drawn_strength(m: Mechanism, df: DataFrame, target: str, key: Column | None
                     draws: int) -> DataFrame:
     """Variance over draws of one parent, averaged over the rows: for mechanisms without a closed form.
 
-    All rows meet the same draws, so rows and draws swap places: ``mean_row Var_draw(f)`` follows from
-    per-row sums that an Arrow batch computes at once, and two numbers per batch and parent leave the task.
+    All rows meet the same draws, so rows and draws swap places: ``mean_row Var_draw(f)`` follows from sums that an Arrow
+    batch computes at once, and two numbers per batch and parent leave the task. Rows on the same side of every split
+    have the same values, so they fold into one cell with their number first.
     """
     if key is None:
         raise ValueError("trees need draws, and draws a row key")
     parents = list(m.parents)
     pool = first_rows(df, key, parents, draws, seed)
     trees = [(json.loads(t), c) for (t,), c in zip(m.terms, m.coef)]
+    bounds = {p: sorted({t for tree, _ in trees for name, t in splits(tree) if name == p}) for p in parents}
 
     def batch_sums(batches):  # self-contained: workers need not import this package
         def value(tree, columns):
@@ -91,14 +94,15 @@ def _drawn_strength(m: Mechanism, df: DataFrame, target: str, key: Column | None
             return np.where(columns[name] <= threshold, value(low, columns), value(high, columns))
 
         for batch in batches:
-            seen = {p: batch[p].to_numpy()[:, None] for p in parents}
+            seen = {p: np.array(bounds[p] + [np.inf])[batch[p].to_numpy().astype(int) - 1][:, None] for p in parents}
+            rows = batch["n"].to_numpy()
             for i, parent in enumerate(parents):
                 columns = {**seen, parent: pool[None, :, i]}
                 out = sum(np.broadcast_to(value(t, columns) * c, (len(batch), len(pool))) for t, c in trees)
-                yield pd.DataFrame({"parent": [parent], "total": [float(out.var(axis=1).sum())], "n": [len(batch)]})
+                yield pd.DataFrame({"parent": [parent], "total": [float((out.var(axis=1) * rows).sum())], "n": [int(rows.sum())]})
 
-    slim = df.select(*[F.col(p).cast("double").alias(p) for p in parents])
-    sums = slim.mapInPandas(batch_sums, "parent string, total double, n bigint")
+    cells = df.select(*[interval(p, bounds[p]).alias(p) for p in parents]).groupBy(*parents).agg(F.count(F.lit(1)).alias("n"))
+    sums = cells.mapInPandas(batch_sums, "parent string, total double, n bigint")
     return sums.groupBy("parent").agg((F.sum("total") / F.sum("n")).alias("strength")).select(
         "parent", F.lit(target).alias("child"), "strength")
 

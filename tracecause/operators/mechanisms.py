@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import math
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from itertools import combinations_with_replacement
 
@@ -23,11 +23,15 @@ from tracecause.functions.randomness import normal_from, normal_values, uniform,
 from tracecause.operators.frames import complete
 from tracecause.operators.graph import CausalGraph
 from tracecause.operators.noise import NoiseTable, RowOrder, fetch
+from tracecause.sources.workspace import cut_lineage
 
 RIDGE = 1e-10           # on the scaled moment matrix of exactly collinear parents
 MAX_CONDITION = 1e10    # condition number from which on parents count as collinear
 NOISE_FLOOR = 1e-9      # share of a node's variance below which its noise counts as none
 WIDE_MOMENTS = 400      # sums per aggregate before the work is split
+TREE_BINS = 32          # intervals of a column that trees tell apart
+EXACT_VALUES = 20_000   # about so many different values of a column are counted one by one to bound its intervals
+BOUND_ERROR = 0.001     # share of rows by which bounds between more values may miss equal counts
 
 Term = tuple[str, ...]  # product of parents, () being the constant; of a tree ensemble, one tree as JSON
 
@@ -442,7 +446,15 @@ def tree_value(tree, values: Mapping):
     return np.where(np.asarray(values[name]) <= threshold, a, b)
 
 
-def read_tree(text: str, names: tuple[str, ...]):
+def splits(tree):
+    """``(name, threshold)`` of all splits of a tree."""
+    if isinstance(tree, list):
+        yield tree[0], tree[1]
+        yield from splits(tree[2])
+        yield from splits(tree[3])
+
+
+def read_tree(text: str, names: Sequence):
     """A tree from its printed form: nested ``If``, ``Else`` and ``Predict`` lines."""
     lines = iter([line.strip() for line in text.splitlines() if re.match(r"\s*(If|Else|Predict)", line)])
 
@@ -458,16 +470,73 @@ def read_tree(text: str, names: tuple[str, ...]):
     return node()
 
 
+def interval_bounds(values: np.ndarray, counts: np.ndarray) -> list[float]:
+    """Up to ``TREE_BINS - 1`` bounds between the sorted values of a column: all, or those at equal counts of rows."""
+    between = (values[:-1] + values[1:]) / 2.0
+    if len(between) < TREE_BINS:
+        return between.tolist()
+    share = counts.sum() / TREE_BINS
+    bounds, target, below = [], share, counts.cumsum()
+    for i, bound in enumerate(between):
+        if abs(below[i] - target) < abs(below[i + 1] - target):
+            bounds.append(float(bound))
+            target += share
+    return bounds
+
+
+def tree_bounds(data: DataFrame, names) -> list[list[float]]:
+    """Bounds of the intervals of columns without gaps, from all rows."""
+    different = data.agg(*[F.approx_count_distinct(n).alias(f"d{i}") for i, n in enumerate(names)]).first()
+    many = [n for i, n in enumerate(names) if different[f"d{i}"] > EXACT_VALUES]
+    found = {}
+    if many:
+        shares = [i / TREE_BINS for i in range(1, TREE_BINS)]
+        found = {n: sorted(set(q)) for n, q in zip(many, data.approxQuantile(many, shares, BOUND_ERROR))}
+    for n in names:
+        if n not in found:
+            counted = data.groupBy(F.col(n).alias("x")).count().toPandas().sort_values("x")
+            found[n] = interval_bounds(counted["x"].to_numpy(), counted["count"].to_numpy())
+    return [found[n] for n in names]
+
+
+def interval(name: str, bounds: list[float]) -> Column:
+    """Number of the interval a row's value lies in, from 1; an upper bound belongs to its interval."""
+    def between(first, last):
+        if first == last:
+            return first
+        middle = (first + last) // 2
+        return [name, bounds[middle - 1], between(first, middle), between(middle + 1, last)]
+
+    found = tree_value(between(1, len(bounds) + 1), {name: F.col(name).cast("double")})
+    return found if isinstance(found, Column) else F.lit(found)
+
+
 def fit_trees(rows: DataFrame, node: str, parents: tuple[str, ...], trees: int = 20, depth: int = 4,
               seed: int = 0) -> Mechanism:
-    """Boosted regression trees, kept as nested comparisons so that they evaluate as plain expressions."""
+    """Boosted regression trees, kept as nested comparisons so that they evaluate as plain expressions.
+
+    Trees tell rows apart by intervals of the parents, and squared error needs no more of rows that share all intervals
+    than their number and mean. So all rows fold into such cells in one pass, and the rounds of boosting pass over cells.
+    """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
     data = rows.select(F.col(node).cast("double").alias("label"), *[F.col(p).cast("double").alias(p) for p in parents])
-    data = VectorAssembler(inputCols=list(parents), outputCol="features").transform(data).select("label", "features")
-    model = GBTRegressor(maxIter=trees, maxDepth=depth, seed=seed).fit(data)
-    terms = tuple((json.dumps(read_tree(t.toDebugString, parents)),) for t in model.trees)
+    bounds = tree_bounds(data, parents)
+    at = [f"i{i}" for i in range(len(parents))]
+    cells = cut_lineage(data.select("label", *[interval(p, b).alias(i) for p, b, i in zip(parents, bounds, at)])
+                        .groupBy(*at).agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight")))
+    cells = VectorAssembler(inputCols=at, outputCol="features").transform(cells).select("label", "weight", "features")
+    model = GBTRegressor(maxIter=trees, maxDepth=depth, seed=seed, maxBins=TREE_BINS + 2, weightCol="weight").fit(cells)
+
+    def placed(tree):
+        """The tree on the parents: it split numbers of intervals."""
+        if not isinstance(tree, list):
+            return tree
+        i, split, low, high = tree
+        return [parents[i], bounds[i][int(split) - 1], placed(low), placed(high)]
+
+    terms = tuple((json.dumps(placed(read_tree(t.toDebugString, range(len(parents))))),) for t in model.trees)
     bare = Mechanism(node, "gbt", parents, terms, tuple(float(w) for w in model.treeWeights))
     x = F.col(node).cast("double")
     row = rows.select(x.alias("x"), (x - bare.predict_column({p: F.col(p).cast("double") for p in parents})).alias("r")).agg(
